@@ -1,0 +1,21 @@
+"""Join-side helpers: broadcast a side only after its size is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A reference list of this many keys (~40 bytes each in the hash relation) stays well below
+# a few tens of MB per executor. Every UK postcode together is ~1.8 million rows.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it never scans more than
+    ``max_rows + 1`` rows. Beyond the bound the join falls back to a shuffled join, which
+    AQE may still turn into a broadcast if the runtime size allows.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

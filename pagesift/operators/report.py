@@ -48,22 +48,24 @@ def run_figures(lines: DataFrame, matches: DataFrame, coverage_rows: DataFrame |
 
 
 def run_report(figures: DataFrame) -> DataFrame:
-    """Add success rate and the verdict flags to :func:`run_figures`' row."""
-    err = F.coalesce("n_errors", F.lit(0)).cast("bigint")
-    succ = F.coalesce("n_success", F.lit(0)).cast("bigint")
-    rows = F.coalesce("total_rows", F.lit(0)).cast("bigint")
-    files = F.coalesce("n_files", F.lit(0)).cast("bigint")
+    """Add success rate and the verdict flags to :func:`run_figures`' row (missing figures
+    count as 0)."""
+    def num(c: str) -> F.Column:
+        v = F.col(c) if c in figures.columns else F.lit(None)
+        return F.coalesce(v.cast("bigint"), F.lit(0).cast("bigint"))
+    err, succ, rows, files = num("n_errors"), num("n_success"), num("total_rows"), num("n_files")
     rate = F.when(succ + err > 0, idiv(succ * 100, succ + err)).otherwise(F.lit(0).cast("bigint"))
-    cov = F.col("pct_with_postcodes") if "pct_with_postcodes" in figures.columns else F.lit(None)
+    cov = F.col("pct_with_postcodes") if "pct_with_postcodes" in figures.columns \
+        else F.lit(None).cast("double")
     verdict = (F.when(succ + err == 0, F.lit("no_activity"))
                .when((err == 0) & (rate > HEALTHY_PCT), F.lit("healthy"))
                .when(err > 0, F.lit("rerun_failed_segments"))
                .otherwise(F.lit("below_target")))
     return figures.select(
-        err.alias("n_errors"), F.coalesce("n_warnings", F.lit(0)).cast("bigint").alias("n_warnings"),
-        succ.alias("n_success"), F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"),
+        err.alias("n_errors"), num("n_warnings").alias("n_warnings"),
+        succ.alias("n_success"), num("n_records").alias("n_records"),
         rows.alias("total_rows"), files.alias("n_files"),
-        F.coalesce("unique_postcodes", F.lit(0)).cast("bigint").alias("unique_postcodes"),
+        num("unique_postcodes").alias("unique_postcodes"),
         cov.alias("pct_with_postcodes"),
         rate.alias("success_rate"),
         (err > ERROR_THRESHOLD).alias("high_errors"),

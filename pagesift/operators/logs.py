@@ -75,8 +75,9 @@ def log_success_totals(lines: DataFrame) -> DataFrame:
 
 
 def log_time(line) -> F.Column:
-    """Timestamp of a log line (``asctime`` prefix), timezone-free."""
-    return F.to_timestamp_ntz(F.regexp_extract(line, LOG_TS, 1), F.lit("yyyy-MM-dd HH:mm:ss,SSS"))
+    """Timestamp of a log line (``asctime`` prefix), timezone-free; null when absent or invalid."""
+    parsed = F.try_to_timestamp(F.regexp_extract(line, LOG_TS, 1), F.lit("yyyy-MM-dd HH:mm:ss,SSS"))
+    return parsed.cast("timestamp_ntz")
 
 
 def segment_runtime(lines: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK
 from ..operators.match import postcode_pages
 from ..operators.runs import manifest_segments, segment_slice, segment_status
+from ..schemas import MATCH
 from ..sources.sinks import write_matches, write_status
 from ..sources.wet import scan_manifest
 
@@ -61,7 +62,7 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
         matches = postcode_pages(records, lookup, url_contains=url_contains, language=language,
                                  prefix=prefix, key=key)
         write_matches(matches, output_dir, mode=mode)
-        written = spark.read.parquet(output_dir).select("crawl_date", "segment")
+        written = spark.read.schema(MATCH).parquet(output_dir).select("crawl_date", "segment")
         scanned = scan.where(F.col("is_status")).select(
             "crawl_date", "segment", "n_records",
             F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error")

@@ -22,11 +22,9 @@ def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = Fal
     """(file_path, file_name, line_no, line): every line of every file, 0-based line numbers.
 
     A trailing newline does not produce an extra empty line (as ``readlines``)."""
-    r = spark.read.option("wholetext", "true")
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    whole = r.text(path).select(F.col("_metadata.file_path").alias("file_path"),
-                                F.col("_metadata.file_name").alias("file_name"), "value")
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=recursive or None).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"), "value")
     body = F.regexp_replace("value", r"\n$", "")
     return whole.select("file_path", "file_name",
                         F.posexplode(F.split(body, "\n")).alias("line_no", "line")) \

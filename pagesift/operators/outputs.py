@@ -55,6 +55,22 @@ def postcode_coverage(rows: DataFrame, file_col: F.Column | None = None,
                    F.coalesce(F.avg("pct_with_postcodes"), F.lit(0.0)).alias("pct_with_postcodes"))
 
 
+def coverage_from_counts(scanned: DataFrame, matches: DataFrame,
+                         key: tuple[str, ...] = ("crawl_date", "segment")) -> DataFrame:
+    """The same macro average from per-file counts, without touching record-level rows.
+
+    ``scanned``: one row per file (``key``) with ``n_records`` read; ``matches``: match rows.
+    Both sides are aggregated map-side to one row per file before they meet, so the join is
+    over files (hundreds of thousands), not records (billions).
+    """
+    found = matches.groupBy(*key).agg(F.count(F.lit(1)).alias("n_matches"))
+    per = scanned.groupBy(*key).agg(F.sum("n_records").alias("n_records")) \
+        .where(F.col("n_records") > 0).join(found, list(key), "left")
+    pct = (F.coalesce("n_matches", F.lit(0)) / F.col("n_records")) * 100
+    return per.agg(F.count(F.lit(1)).alias("n_files"),
+                   F.coalesce(F.avg(pct), F.lit(0.0)).alias("pct_with_postcodes"))
+
+
 def records_with_matches(records: DataFrame, matches: DataFrame) -> DataFrame:
     """Every record with its match postcodes, null where nothing matched (left join on key)."""
     return records.select(*RECORD_KEY).join(

@@ -19,7 +19,7 @@ from ..functions.durations import (
     idiv,
 )
 from .logs import classify, success_lines
-from .outputs import output_stats, postcode_coverage
+from .outputs import output_stats
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -30,11 +30,12 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def run_figures(lines: DataFrame, matches: DataFrame, coverage_rows: DataFrame | None = None,
+def run_figures(lines: DataFrame, matches: DataFrame, coverage: DataFrame | None = None,
                 error_kinds: tuple[str, ...] = ("err", "log")) -> DataFrame:
     """One row: errors, warnings, successes, records, output rows/files/postcodes, coverage.
 
-    ``error_kinds``: file kinds whose errors are counted. The default sums ``.err`` and
+    ``coverage``: a one-row ``pct_with_postcodes`` (``postcode_coverage`` or
+    ``coverage_from_counts``). ``error_kinds``: file kinds whose errors are counted. The default sums ``.err`` and
     ``.log`` as the reference does, although both receive the same messages.
     """
     errs = classify(lines.where(F.col("source_kind").isin(*error_kinds))).agg(
@@ -42,8 +43,8 @@ def run_figures(lines: DataFrame, matches: DataFrame, coverage_rows: DataFrame |
     succ = success_lines(lines).agg(F.sum("n_marks").cast("bigint").alias("n_success"),
                                     F.sum("n_records").cast("bigint").alias("n_records"))
     parts = [errs, succ, output_stats(matches)]
-    if coverage_rows is not None:
-        parts.append(postcode_coverage(coverage_rows).select("pct_with_postcodes"))
+    if coverage is not None:
+        parts.append(coverage.select("pct_with_postcodes"))
     return _stack(parts)
 
 

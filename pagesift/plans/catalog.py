@@ -54,10 +54,13 @@ def _crawls(spark, d):
     return runs.parse_crawl_list(relation(spark, d, "crawl_list_lines"))
 
 
+def _scanned(spark, d):
+    """Records read per archive (what the archive source reports in its status rows)."""
+    return _wet(spark, d).groupBy("crawl_date", "segment").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def _status(spark, d):
-    wet = _wet(spark, d)
-    scanned = wet.groupBy("crawl_date", "segment").agg(F.count(F.lit(1)).alias("n_records"))
-    return runs.segment_status(relation(spark, d, "manifest"), scanned, _pages(spark, d))
+    return runs.segment_status(relation(spark, d, "manifest"), _scanned(spark, d), _pages(spark, d))
 
 
 def _joined(col: str) -> F.Column:
@@ -367,8 +370,7 @@ SELECT count(*) AS n_files, round(avg(pct), 4) AS pct_with_postcodes FROM per_fi
           ("wet_records", "postcode_lookup"))
 def q_postcode_coverage(spark, d):
     """A5: macro average over files of the percent of records with postcodes."""
-    rows = outputs.records_with_matches(_wet(spark, d), _pages(spark, d))
-    cov = outputs.postcode_coverage(rows)
+    cov = outputs.coverage_from_counts(_scanned(spark, d), _pages(spark, d))
     return cov.select("n_files", F.round("pct_with_postcodes", 4).alias("pct_with_postcodes"))
 
 
@@ -527,8 +529,8 @@ FROM r""", ("wet_records", "postcode_lookup", "log_lines"))
 def q_run_report(spark, d):
     """The one-row run report with verdict flags."""
     pp = _pages(spark, d)
-    rows = outputs.records_with_matches(_wet(spark, d), pp)
-    figs = report.run_figures(relation(spark, d, "log_lines"), pp, rows)
+    cov = outputs.coverage_from_counts(_scanned(spark, d), pp)
+    figs = report.run_figures(relation(spark, d, "log_lines"), pp, cov)
     figs = figs.withColumn("pct_with_postcodes", F.round("pct_with_postcodes", 4))
     return report.run_report(figs)
 

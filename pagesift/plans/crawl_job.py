@@ -3,14 +3,15 @@
 One Spark job replaces the reference's per-date loop of cluster array tasks::
 
     manifest (slice) --hash(crawl_date, segment)--> archive reader (mapInArrow, header filter)
-        -> persist(candidate pages + one status row per archive)     one pass over the archives
+        -> checkpoint(candidate pages + one status row per archive)  one pass over the archives
         -> postcode_pages (regex once, broadcast semi join, one shuffle of matched pages)
         -> Parquet partitioned by crawl_date
         -> segment_status(manifest, scan status, written matches)    done / empty / partial / ...
 
-The persisted scan holds only records that passed the cheap header tests (``.co.uk/``
+The staged scan holds only records that passed the cheap header tests (``.co.uk/``
 and ``eng``) plus a row per archive, so both outputs come from a single read of the
-archives. If an executor is lost its blocks are rebuilt from lineage (the archives it read).
+archives. It is checkpointed to the cluster's shared ``spark.checkpoint.dir`` by default, so
+a lost executor costs no re-read of archives.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK
 from ..operators.match import postcode_pages
 from ..operators.runs import manifest_segments, segment_slice, segment_status
 from ..schemas import MATCH
+from ..session import ensure_checkpoint_dir
 from ..sources.sinks import write_matches, write_status
 from ..sources.wet import scan_manifest
 
@@ -40,11 +42,16 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
                  status_dir: str, *, base_url: str | None = None, url_contains: str = UK_HOST_MARK,
                  language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
                  task_id: int | None = None, segments_per_task: int = 1,
-                 num_partitions: int | None = None, mode: str = "overwrite") -> JobResult:
+                 files_per_task: int = 4, num_partitions: int | None = None,
+                 mode: str = "overwrite", stage: str = "checkpoint") -> JobResult:
     """Run the filter over every archive in ``manifest`` (or one task's slice of it).
 
     ``manifest``: crawl_date, segment, path. Paths are read as given, or joined to
     ``base_url`` when it is set (http(s) archives are streamed, never staged on local disk).
+    ``stage``: how the single scan is shared by the match and status outputs --
+    ``checkpoint`` (default) writes the candidates to ``spark.checkpoint.dir`` (shared
+    storage; survives executor loss without re-reading archives), ``persist`` keeps them in
+    executor memory/disk and rebuilds lost blocks from the archives.
     """
     if task_id is not None:
         manifest = segment_slice(manifest, task_id, segments_per_task)
@@ -55,8 +62,12 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
         location = "path"
     scan = scan_manifest(manifest, location=location, rec_type=CONVERSION,
                          uri_contains=url_contains, language=language,
-                         num_partitions=num_partitions)
-    scan = scan.persist(StorageLevel.MEMORY_AND_DISK)
+                         files_per_task=files_per_task, num_partitions=num_partitions)
+    if stage == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        scan = scan.checkpoint(eager=True)
+    else:
+        scan = scan.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records = scan.where(~F.col("is_status"))
         matches = postcode_pages(records, lookup, url_contains=url_contains, language=language,

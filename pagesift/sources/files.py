@@ -1,9 +1,9 @@
 """Readers for the run's text and Parquet inputs: crawl list, manifests, logs, lookup, output.
 
-Text files whose line order matters (manifests: segment = 0-based line index; logs: first /
-last lines) are read one file per row with ``wholetext`` and numbered with ``posexplode`` --
-exact and dense, unlike ``monotonically_increasing_id``. These are small control files
-(a manifest of 80,000 paths is ~10 MB); the archives themselves never take this path.
+Manifests (segment = 0-based line index) and the crawl list are read one file per row with
+``wholetext`` and numbered with ``posexplode`` -- exact and dense, unlike
+``monotonically_increasing_id``. They are small control files (a manifest of 80,000 paths is
+~10 MB). Logs, which can grow large, are read line by line instead (see ``read_logs``).
 """
 
 from __future__ import annotations
@@ -53,12 +53,18 @@ def read_manifest(spark: SparkSession, path: str | list[str], crawl_date: str |
 
 
 def read_logs(spark: SparkSession, directory: str, kinds=("err", "log", "out")) -> DataFrame:
-    """(file, source_kind, line_no, line) for the job's ``*.err``, ``*.log``, ``*.out`` files."""
-    paths = [f"{directory.rstrip('/')}/*.{k}" for k in kinds]
-    lines = read_lines(spark, paths)
-    return lines.select(F.col("file_name").alias("file"),
-                        F.regexp_extract("file_name", LOG_KIND, 1).alias("source_kind"),
-                        "line_no", "line")
+    """(file, source_kind, line_no, line) for the job's ``*.err``, ``*.log``, ``*.out`` files.
+
+    Read line by line (splittable, so one huge log is spread over many tasks). ``line_no``
+    orders the lines of a file -- split start offset, then position within the split -- but
+    is not dense; ``first_failures`` / ``recent_activity`` only need the order.
+    """
+    lines = spark.read.text(f"{directory.rstrip('/')}/*.{{{','.join(kinds)}}}")
+    in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    pos = F.col("_metadata.file_block_start") * F.lit(1 << 24) + in_split
+    return lines.select(F.col("_metadata.file_name").alias("file"),
+                        F.regexp_extract(F.col("_metadata.file_name"), LOG_KIND, 1).alias("source_kind"),
+                        pos.cast("bigint").alias("line_no"), F.col("value").alias("line"))
 
 
 def read_lookup(spark: SparkSession, path: str, key: str = "pcds") -> DataFrame:

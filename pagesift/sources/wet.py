@@ -201,21 +201,23 @@ def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
 
 def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type: str | None = None,
                   uri_contains: str | None = None, language: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  files_per_task: int = 4, num_partitions: int | None = None) -> DataFrame:
     """Read the archives a manifest names, in parallel, inside tasks.
 
     ``manifest`` has ``crawl_date``, ``segment`` and a ``location`` column (path or URL). Each
     archive yields its records that pass the header filter and one status row
-    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``). Manifest rows are
-    hash-partitioned on (crawl_date, segment), which spreads archives evenly and is stable
-    across task retries.
+    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``).
+
+    Manifest rows are range-partitioned on (crawl_date, segment) into tasks of about
+    ``files_per_task`` archives: equal-sized tasks whatever the spread of crawls, small
+    enough that a lost executor costs minutes, and stable across task retries.
     """
     keep = header_filter(rec_type=rec_type, uri_contains=uri_contains, language=language)
     filtered = any(v is not None for v in (rec_type, uri_contains, language))
     rows = manifest.select("crawl_date", F.col("segment").cast("int").alias("segment"),
                            F.col(location).alias("location"))
-    n = num_partitions or manifest.sparkSession.sparkContext.defaultParallelism
-    rows = rows.repartition(n, "crawl_date", "segment")
+    n = num_partitions or max(1, -(-rows.count() // files_per_task))
+    rows = rows.repartitionByRange(n, "crawl_date", "segment")
 
     def read_batches(batches):
         out = {k: [] for k in _ARROW_SCAN.names}

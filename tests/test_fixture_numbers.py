@@ -43,10 +43,14 @@ def test_page_filter_and_matches(spark, sf):
 
 def test_coverage(spark, sf):
     e = EXPECTED[sf]
-    rows = outputs.records_with_matches(relation(spark, sf, "wet_records"), _pages(spark, sf))
+    wet = relation(spark, sf, "wet_records")
+    rows = outputs.records_with_matches(wet, _pages(spark, sf))
     c = outputs.postcode_coverage(rows).first()
     assert c.n_files == e["cov"][0]
     assert round(c.pct_with_postcodes, 1) == e["cov"][1]
+    scanned = wet.groupBy("crawl_date", "segment").agg(F.count(F.lit(1)).alias("n_records"))
+    c2 = outputs.coverage_from_counts(scanned, _pages(spark, sf)).first()
+    assert c2.n_files == c.n_files and abs(c2.pct_with_postcodes - c.pct_with_postcodes) < 1e-9
 
 
 def test_segment_states_and_progress(spark, sf):

@@ -41,5 +41,5 @@ def test_filter_crawl(spark, tmp_path):
     assert st[3][0] == "failed"
     # the slice entry point: task 1 of 2 segments per task covers segments 2 and 3
     res2 = filter_crawl(spark, manifest, lookup, str(tmp_path / "out2"), str(tmp_path / "status2"),
-                        task_id=1, segments_per_task=2)
+                        task_id=1, segments_per_task=2, stage="persist")
     assert sorted(r.segment for r in res2.status.collect()) == [2, 3]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.durations import OUTPUT_SIZE_LIMIT_GB
 from ..schemas import RECORD_KEY
 
 
@@ -77,10 +78,13 @@ def records_with_matches(records: DataFrame, matches: DataFrame) -> DataFrame:
         matches.select(*RECORD_KEY, "postcodes"), list(RECORD_KEY), "left")
 
 
-def file_sizes(files: DataFrame) -> DataFrame:
-    """One row from per-file metadata (``file_path``, ``file_size``): file count and size in
-    MB rounded up per file, as ``du -m`` reports it."""
-    return files.select("file_path", "file_size").distinct().agg(
+def file_sizes(files: DataFrame, limit_gb: int = OUTPUT_SIZE_LIMIT_GB) -> DataFrame:
+    """One row from per-file metadata (``file_path``, ``file_size``): file count, size in MB
+    rounded up per file (``du -m``), total in GB rounded up, and the over-limit warning."""
+    per = files.select("file_path", "file_size").distinct()
+    return per.agg(
         F.count(F.lit(1)).alias("n_files"),
         F.coalesce(F.sum(F.ceil(F.col("file_size") / F.lit(1048576))), F.lit(0)).cast("bigint")
-        .alias("total_mb"))
+        .alias("total_mb"),
+        F.coalesce(F.ceil(F.sum("file_size") / F.lit(1 << 30)), F.lit(0)).cast("bigint")
+        .alias("total_gb")).withColumn("over_limit", F.col("total_gb") > limit_gb)

@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.durations import dhm_text, idiv, minutes_breakdown, percent_floor
+from ..functions.durations import (
+    dhm_text,
+    idiv,
+    minutes_breakdown,
+    percent_floor,
+    seconds_breakdown,
+)
 from ..functions.text import join_url, output_file_name, segment_label
 
 SEGMENT_KEY = ("crawl_date", "segment")
@@ -49,6 +55,21 @@ def parse_crawl_list(lines: DataFrame, line: str = "line", strict: bool = False)
         first.alias("crawl_date"), rest.try_cast("bigint").alias("n_files"))
 
 
+# The crawl list the submitter falls back to when no file is given
+# (date, number of archive files).
+DEFAULT_CRAWLS = (
+    ("202104", 79840), ("202110", 64000), ("202117", 64000), ("202121", 64000),
+    ("202125", 64000), ("202131", 72000), ("202139", 72000), ("202143", 72000),
+    ("202149", 64000),
+)
+
+
+def default_crawl_list(spark) -> DataFrame:
+    """The built-in crawl list as (line_no, crawl_date, n_files)."""
+    return spark.createDataFrame([(i, d, n) for i, (d, n) in enumerate(DEFAULT_CRAWLS)],
+                                 "line_no long, crawl_date string, n_files long")
+
+
 def workload_total(crawls: DataFrame) -> DataFrame:
     """One row: listed crawl lines, distinct crawl dates, total files (``SS`` workload)."""
     return crawls.agg(F.count(F.lit(1)).alias("n_crawl_lines"),
@@ -145,6 +166,16 @@ def progress_by_crawl(crawls: DataFrame, manifest: DataFrame, status: DataFrame)
         .otherwise(F.lit("in_progress")).alias("state"))
 
 
+def elapsed_breakdown(df: DataFrame, seconds: str = "elapsed_s") -> DataFrame:
+    """Days / hours / minutes of a duration column and its ``Xd Yh Zm`` text (status script)."""
+    parts = seconds_breakdown(F.col(seconds))
+    return df.select("*", parts["days"].alias("elapsed_days"), parts["hours"].alias("elapsed_hours"),
+                     parts["minutes"].alias("elapsed_minutes"),
+                     F.when(F.col(seconds).isNotNull(),
+                            dhm_text(parts["days"], parts["hours"], parts["minutes"]))
+                     .alias("elapsed_text"))
+
+
 def eta(progress: DataFrame, elapsed_seconds: int) -> DataFrame:
     """Rate (files/min, integer) and ETA per crawl, as the status script computes them.
 

@@ -478,6 +478,22 @@ def q_time_limit_use(spark, d):
     return jobs.time_limit_use(relation(spark, d, "accounting"))
 
 
+@register("elapsed_breakdown", f"""
+WITH e AS (SELECT job_id, {_o_duration('elapsed')} AS elapsed_s FROM accounting),
+p AS (SELECT job_id, elapsed_s, elapsed_s // 3600 // 24 AS elapsed_days, (elapsed_s // 3600) % 24 AS elapsed_hours,
+             (elapsed_s % 3600) // 60 AS elapsed_minutes FROM e)
+SELECT job_id, elapsed_s, elapsed_days, elapsed_hours, elapsed_minutes,
+  CASE WHEN elapsed_s IS NULL THEN NULL
+       WHEN elapsed_days > 0 THEN printf('%dd %dh %dm', elapsed_days, elapsed_hours, elapsed_minutes)
+       WHEN elapsed_hours > 0 THEN printf('%dh %dm', elapsed_hours, elapsed_minutes)
+       ELSE printf('%dm', elapsed_minutes) END AS elapsed_text
+FROM p""", ("accounting",))
+def q_elapsed_breakdown(spark, d):
+    """Elapsed seconds split into days / hours / minutes, formatted as the status report."""
+    e = jobs.elapsed_seconds(relation(spark, d, "accounting")).select("job_id", "elapsed_s")
+    return runs.elapsed_breakdown(e)
+
+
 @register("deadline_days", f"""
 SELECT job_id, (epoch_us(TIMESTAMP '{DEADLINE}') - epoch_us(submit_time)) // 1000000 // 86400 AS days_left,
        (epoch_us(TIMESTAMP '{DEADLINE}') - epoch_us(submit_time)) // 1000000 // 86400 < 7 AS deadline_alert

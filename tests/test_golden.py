@@ -129,3 +129,19 @@ def test_coverage_gap_of_reference_counts(spark):
     assert got == {"202104": (3193, 15), "202110": (2560, 0), "202131": (2880, 0)}
     got50 = {r.crawl_date: r.uncovered for r in runs.coverage_gap(crawls, 50).collect()}
     assert got50 == {"202104": 40, "202110": 0, "202131": 0}
+
+
+def test_default_crawl_list_and_elapsed_breakdown(spark):
+    total = runs.workload_total(runs.default_crawl_list(spark)).first()
+    assert (total.n_crawl_lines, total.total_files) == (9, 615_840)
+    df = spark.createDataFrame([(59,), (3600 * 5 + 60 * 7,), (86400 * 2 + 3600 + 60,), (None,)], "elapsed_s long")
+    got = [r.elapsed_text for r in runs.elapsed_breakdown(df).collect()]
+    assert got == ["0m", "5h 7m", "2d 1h 1m", None]
+
+
+def test_report_sink_round_trip(spark, tmp_path):
+    from pagesift.sources.sinks import write_report
+    figs = spark.createDataFrame([(0, 40, 12)], "n_errors long, n_success long, total_rows long")
+    write_report(report.run_report(figs), str(tmp_path / "report"))
+    back = spark.read.json(str(tmp_path / "report")).first()
+    assert back.verdict == "healthy" and back.success_rate == 100

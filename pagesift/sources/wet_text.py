@@ -29,7 +29,7 @@ HEADER_END = "\r\n\r\n"
 def _valid_text(raw: Column) -> Column:
     """Decode dropping invalid byte sequences (as ``bytes.decode('utf-8', 'ignore')``)."""
     return F.when(F.is_valid_utf8(raw), raw) \
-        .otherwise(F.regexp_replace(F.make_valid_utf8(raw), "�", ""))
+        .otherwise(F.regexp_replace(F.make_valid_utf8(raw), "\uFFFD", ""))
 
 
 def _header_map(head: Column) -> Column:

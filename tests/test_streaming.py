@@ -33,3 +33,28 @@ def test_stream_records_exactly_once(spark, tmp_path):
     q2.awaitTermination(300)
     assert len([p for p in os.listdir(out) if p.startswith("batch=")]) == n_batches
     assert spark.read.parquet(out).count() == len(expected)
+
+
+def test_stream_manifests(spark, tmp_path):
+    from pagesift.sources import warc
+    from pagesift.streaming.incremental import stream_manifests
+
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    rec = warc.encode_record({"WARC-Type": "conversion", "WARC-Target-URI": "https://a.co.uk/p",
+                              "WARC-Identified-Content-Language": "eng"}, b"at BS1 4AB")
+    other = warc.encode_record({"WARC-Type": "conversion", "WARC-Target-URI": "https://a.com/p",
+                                "WARC-Identified-Content-Language": "eng"}, b"at BS1 4AB")
+    (arch / "a.wet.gz").write_bytes(warc.gzip_members([rec, other]))
+    (arch / "b.wet.gz").write_bytes(warc.gzip_members([other, rec, rec]))
+    mdir = tmp_path / "manifests"
+    mdir.mkdir()
+    (mdir / "m1.csv").write_text(f"crawl_date,segment,path\n202104,0,{arch / 'a.wet.gz'}\n")
+    lookup = spark.createDataFrame([("BS1 4AB",)], "pcds string")
+    ck, out = str(tmp_path / "ck"), str(tmp_path / "out")
+    stream_manifests(spark, str(mdir), lookup, out, ck, available_now=True).awaitTermination(300)
+    assert spark.read.parquet(out).count() == 1
+    (mdir / "m2.csv").write_text(f"crawl_date,segment,path\n202104,1,{arch / 'b.wet.gz'}\n")
+    stream_manifests(spark, str(mdir), lookup, out, ck, available_now=True).awaitTermination(300)
+    got = sorted((r.segment, r.record_no) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 0), (1, 1), (1, 2)]

@@ -60,7 +60,7 @@ def _scanned(spark, d):
 
 
 def _status(spark, d):
-    return runs.segment_status(relation(spark, d, "manifest"), _scanned(spark, d), _pages(spark, d))
+    return runs.segment_status(relation(spark, d, "archive_manifest"), _scanned(spark, d), _pages(spark, d))
 
 
 def _joined(col: str) -> F.Column:
@@ -95,7 +95,7 @@ status AS (
          coalesce(h.n_matches, 0)::BIGINT AS n_matches,
          CASE WHEN coalesce(h.n_matches, 0) > 0 THEN 'done'
               WHEN s.n_records IS NOT NULL THEN 'empty' ELSE 'pending' END AS state
-  FROM manifest m
+  FROM archive_manifest m
   LEFT JOIN scanned s ON m.crawl_date = s.crawl_date AND m.segment = s.segment
   LEFT JOIN hits h ON m.crawl_date = h.crawl_date AND m.segment = h.segment)"""
 O_CRAWLS = r"""
@@ -108,7 +108,7 @@ crawls AS (
     AND regexp_matches(regexp_extract(line, '^\s*(\S+)\s+(.*?)\s*$', 2), '^[0-9]+$'))"""
 O_PROGRESS = """
 listed AS (SELECT crawl_date, sum(n_files)::BIGINT AS n_listed FROM crawls GROUP BY ALL),
-totals AS (SELECT crawl_date, count(*) AS n_segments FROM manifest GROUP BY ALL),
+totals AS (SELECT crawl_date, count(*) AS n_segments FROM archive_manifest GROUP BY ALL),
 fin AS (SELECT crawl_date, count(*) AS n_finished FROM status WHERE state IN ('done', 'empty') GROUP BY ALL),
 progress AS (
   SELECT coalesce(l.crawl_date, t.crawl_date) AS crawl_date, l.n_listed,
@@ -252,67 +252,67 @@ def q_coverage_gap(spark, d):
 @register("manifest_segments", f"""
 SELECT crawl_date, segment, path,
        '{BASE_URL}' || regexp_replace(trim(path), '^/+', '') AS file_url
-FROM manifest""", ("manifest",))
+FROM archive_manifest""", ("archive_manifest",))
 def q_manifest_segments(spark, d):
     """Manifest segments with their archive URL."""
-    m = runs.manifest_segments(relation(spark, d, "manifest"), BASE_URL)
+    m = runs.manifest_segments(relation(spark, d, "archive_manifest"), BASE_URL)
     return m.select("crawl_date", "segment", "path", "file_url")
 
 
 @register("segment_label", """
 SELECT crawl_date, segment, printf('%05d', segment) AS segment_label,
        'crawldata' || crawl_date || 'segment' || printf('%05d', segment) || '.parquet' AS output_file
-FROM manifest""", ("manifest",))
+FROM archive_manifest""", ("archive_manifest",))
 def q_segment_label(spark, d):
     """Zero-padded segment label and output file name."""
-    m = runs.manifest_segments(relation(spark, d, "manifest"), BASE_URL)
+    m = runs.manifest_segments(relation(spark, d, "archive_manifest"), BASE_URL)
     return m.select("crawl_date", "segment", "segment_label", "output_file")
 
 
 @register("segment_slice", f"""
-SELECT crawl_date, segment, path FROM manifest
-WHERE segment BETWEEN {SLICE_TASK * SLICE_K} AND {SLICE_TASK * SLICE_K + SLICE_K - 1}""", ("manifest",))
+SELECT crawl_date, segment, path FROM archive_manifest
+WHERE segment BETWEEN {SLICE_TASK * SLICE_K} AND {SLICE_TASK * SLICE_K + SLICE_K - 1}""", ("archive_manifest",))
 def q_segment_slice(spark, d):
     """the segments one array task processes."""
-    return runs.segment_slice(relation(spark, d, "manifest"), SLICE_TASK, SLICE_K) \
+    return runs.segment_slice(relation(spark, d, "archive_manifest"), SLICE_TASK, SLICE_K) \
         .select("crawl_date", "segment", "path")
 
 
 @register("segment_out_of_range", """
 WITH requested AS (
   SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN '202104' ELSE '202110' END AS crawl_date,
-         CAST(event_id % 30 AS INTEGER) AS segment FROM events),
-sizes AS (SELECT crawl_date, count(*) AS n_paths FROM manifest GROUP BY ALL)
+         CAST(floor(event_id / 2) AS INTEGER) AS segment FROM events),
+sizes AS (SELECT crawl_date, count(*) AS n_paths FROM archive_manifest GROUP BY ALL)
 SELECT r.crawl_date, r.segment, coalesce(s.n_paths, 0)::BIGINT AS n_paths, 'failed' AS state,
        printf('Segment number %d exceeds available paths (%d)', r.segment, coalesce(s.n_paths, 0)) AS error
 FROM requested r LEFT JOIN sizes s ON r.crawl_date = s.crawl_date
-WHERE NOT EXISTS (SELECT 1 FROM manifest m WHERE m.crawl_date = r.crawl_date AND m.segment = r.segment)""",
-          ("manifest",))
+WHERE NOT EXISTS (SELECT 1 FROM archive_manifest m WHERE m.crawl_date = r.crawl_date AND m.segment = r.segment)""",
+          ("archive_manifest",))
 def q_segment_out_of_range(spark, d):
     """requested segments beyond the manifest are failed, with the reference's message."""
     ev = table(spark, d, "events")
     requested = ev.select(
         F.when(F.col("event_id") % 2 == 0, F.lit("202104")).otherwise(F.lit("202110")).alias("crawl_date"),
-        (F.col("event_id") % 30).cast("int").alias("segment"))
-    return runs.segment_out_of_range(requested, relation(spark, d, "manifest"))
+        F.floor(F.col("event_id") / 2).cast("int").alias("segment"))
+    return runs.segment_out_of_range(requested, relation(spark, d, "archive_manifest"))
 
 
 # ================================================================ run reconciliation
 @register("segment_status", f"WITH {O_PP},{O_STATUS}\nSELECT * FROM status",
-          ("wet_records", "postcode_lookup", "manifest"))
+          ("wet_records", "postcode_lookup", "archive_manifest"))
 def q_segment_status(spark, d):
     """Per manifest segment records read, matches and state (empty counts as done)."""
     return _status(spark, d).select("crawl_date", "segment", "n_records", "n_matches", "state")
 
 
 @register("remaining_segments", f"""WITH {O_PP},{O_STATUS}
-SELECT m.crawl_date, m.segment, m.path FROM manifest m
+SELECT m.crawl_date, m.segment, m.path FROM archive_manifest m
 WHERE NOT EXISTS (SELECT 1 FROM status s WHERE s.state IN ('done', 'empty')
                   AND s.crawl_date = m.crawl_date AND s.segment = m.segment)""",
-          ("wet_records", "postcode_lookup", "manifest"))
+          ("wet_records", "postcode_lookup", "archive_manifest"))
 def q_remaining_segments(spark, d):
     """The manifest segments still to run."""
-    return runs.remaining_segments(relation(spark, d, "manifest"), _status(spark, d)) \
+    return runs.remaining_segments(relation(spark, d, "archive_manifest"), _status(spark, d)) \
         .select("crawl_date", "segment", "path")
 
 
@@ -321,10 +321,10 @@ SELECT crawl_date, n_listed, n_segments, n_finished, n_segments - n_finished AS
        CASE WHEN n_segments <= 0 THEN 0 ELSE n_finished * 100 // n_segments END AS pct_complete,
        CASE WHEN n_segments <= 0 THEN 'no_manifest' WHEN n_finished >= n_segments THEN 'complete'
             ELSE 'in_progress' END AS state
-FROM progress""", ("wet_records", "postcode_lookup", "manifest", "crawl_list_lines"))
+FROM progress""", ("wet_records", "postcode_lookup", "archive_manifest", "crawl_list_lines"))
 def q_progress_by_crawl(spark, d):
     """Per crawl date, listed files vs. manifest segments finished."""
-    return runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "manifest"), _status(spark, d))
+    return runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "archive_manifest"), _status(spark, d))
 
 
 @register("eta_breakdown", f"""WITH {O_PP},{O_STATUS},{O_CRAWLS},{O_PROGRESS},
@@ -340,10 +340,10 @@ SELECT crawl_date, n_finished, n_remaining, rate_per_min, eta_minutes, eta_days,
        WHEN eta_days > 0 THEN printf('%dd %dh %dm', eta_days, eta_hours, eta_mins)
        WHEN eta_hours > 0 THEN printf('%dh %dm', eta_hours, eta_mins)
        ELSE printf('%dm', eta_mins) END AS eta_text
-FROM p5""", ("wet_records", "postcode_lookup", "manifest", "crawl_list_lines"))
+FROM p5""", ("wet_records", "postcode_lookup", "archive_manifest", "crawl_list_lines"))
 def q_eta_breakdown(spark, d):
     """files/min, minutes left and its d/h/m split per crawl."""
-    progress = runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "manifest"), _status(spark, d))
+    progress = runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "archive_manifest"), _status(spark, d))
     return runs.eta(progress, ELAPSED_S)
 
 

@@ -4,8 +4,9 @@ The driver's tables hold no crawl archives, postcodes, logs or job accounting, s
 inputs are derived from them with SQL that is valid unchanged in Spark SQL and DuckDB. Each
 text below is registered as a temporary view in Spark and inlined as a CTE in the oracle SQL.
 Every relation reads a driver table, so its size follows the scale factor -- except the
-25-row ``crawl_lines`` and ``manifest`` fixtures over ``nation``; the registered queries use
-``crawl_list_lines`` (one line per event) for the crawl list instead.
+25-row ``crawl_lines`` and ``manifest`` fixtures over ``nation``, kept for the expected numbers
+of FIXTURES.md; the registered queries use ``crawl_list_lines`` (one line per event) and
+``archive_manifest`` (one archive per document) instead.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ DEPENDS = {
     "wet_records": ("documents",),
     "postcode_lookup": ("documents",),
     "manifest": ("nation",),
+    "archive_manifest": ("documents",),
     "crawl_lines": ("nation",),
     "crawl_list_lines": ("events",),
     "log_lines": ("events",),
@@ -108,6 +110,17 @@ from events
 """
 
 
+# Manifest at scale: one archive per document, alternating between the two crawls, so each
+# crawl lists n/2 segments; records exist only for segments 0-19 (wet_records), the rest are
+# still to run.
+SQL["archive_manifest"] = """
+select case when doc_id % 2 = 0 then '202104' else '202110' end as crawl_date,
+  cast(floor(doc_id / 2) as int) as segment,
+  concat('crawl-data/', case when doc_id % 2 = 0 then '202104' else '202110' end, '/wet/part-',
+    cast(cast(floor(doc_id / 2) as int) as string), '.warc.wet.gz') as path
+from documents
+"""
+
 # Crawl list at scale: the same five kinds of line as ``crawl_lines`` (comment, blank, date
 # without a count, non-numeric count, good row), one line per event, dates over 52 weeks.
 SQL["crawl_list_lines"] = """

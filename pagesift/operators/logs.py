@@ -96,9 +96,11 @@ def segment_runtime(lines: DataFrame) -> DataFrame:
         F.when(line.rlike(DOWNLOADING), log_time(line)).alias("start_ts"),
         F.when(line.rlike(COMPLETED), log_time(line)).alias("end_ts"),
     ).where(F.col("segment").isNotNull())
+    # collect_set keeps the aggregate hash-based (ObjectHashAggregate); a string max() would
+    # force a sort-based aggregate over every line. One download line per segment: set size 1.
     per = events.groupBy("file", "segment").agg(
-        F.max("crawl_date").alias("crawl_date"), F.min("start_ts").alias("start_ts"),
-        F.max("end_ts").alias("end_ts"))
+        F.array_max(F.collect_set("crawl_date")).alias("crawl_date"),
+        F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"))
     return per.where(F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()).select(
         "file", "crawl_date", "segment",
         F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")).alias("runtime_s"))

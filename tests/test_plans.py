@@ -73,8 +73,10 @@ def test_reader_takes_pushed_filters():
     assert not keep({k: v for k, v in base.items() if k != "warc-identified-content-language"})
 
 
-def test_no_cross_join_in_any_query(spark):
+def test_no_cross_join_sort_aggregate_or_python_in_any_query(spark):
     import __spark_entry__ as entry
     for name, fn in entry.queries().items():
         plan = _plan(fn(spark, SF001))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        assert "SortAggregate" not in plan, name          # hash aggregates only
+        assert "EvalPython" not in plan, name             # no Python UDF in any query

@@ -55,9 +55,13 @@ def lookup_keys(lookup: DataFrame, prefix: str | None = POSTCODE_PREFIX,
 
 
 def record_postcodes(records: DataFrame, pattern: str = UK_POSTCODE) -> DataFrame:
-    """Every record with at least one match: key + sorted distinct postcodes (general form)."""
-    found = records.select(*RECORD_KEY, postcodes("text", pattern).alias("postcodes"))
-    return found.where(F.size("postcodes") > 0)
+    """Every record with at least one match: key + sorted distinct postcodes (general form).
+
+    Guarded by ``rlike`` (stops at the first hit) instead of ``size(extracted) > 0``, which
+    Catalyst would answer by inlining the extraction into the filter: the full extraction
+    then runs once, on matching records only."""
+    return records.where(F.col("text").rlike(pattern)) \
+        .select(*RECORD_KEY, postcodes("text", pattern).alias("postcodes"))
 
 
 def prefixed_postcodes(records: DataFrame, prefix: str = POSTCODE_PREFIX) -> DataFrame:

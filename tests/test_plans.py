@@ -28,6 +28,12 @@ def test_postcode_pages_plan(spark):
     assert plan.count("ObjectHashAggregate") == 2
 
 
+def test_general_extraction_evaluated_once(spark):
+    df = match.record_postcodes(relation(spark, SF001, "wet_records"))
+    assert _optimized(df).count("regexp_extract_all") == 1
+    assert _plan(df).count("regexp_extract_all") == 1
+
+
 def test_lookup_beyond_bound_is_not_broadcast(spark):
     pp = match.postcode_pages(relation(spark, SF001, "wet_records"), relation(spark, SF001, "postcode_lookup"),
                               max_broadcast_rows=3)

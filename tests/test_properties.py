@@ -54,3 +54,55 @@ def test_same_uri_in_two_records_stays_two_rows(spark):
         .withColumn("rec_type", F.lit("conversion")).withColumn("text", F.lit("at BS1 1AB"))
     lookup = spark.createDataFrame([("BS1 1AB",)], "pcds string")
     assert match.postcode_pages(wet, lookup).count() == 2
+
+
+URI_TOKENS = ["https://", "http://", "www.", "a", "b.", ".co.uk", ".uk", "/", "?u=", ".co.uk/", ".uk/",
+              ":80", "x", "\r", "HTTPS://", ".com", "é", "-"]
+uris = st.lists(st.lists(st.sampled_from(URI_TOKENS), max_size=10).map("".join), min_size=40, max_size=120)
+
+
+def py_website(url):
+    # the documented semantics: cut from the first ".uk/" to the end of the line, keep ".uk",
+    # then drop every "https://" and then every "http://"
+    w = re.sub(r"\.uk/.*", ".uk", url)
+    return w.replace("https://", "").replace("http://", "")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(uris)
+def test_website_matches_documented_semantics(spark, batch):
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(batch)], "i int, u string")
+    rows = df.select("i", text.website("u").alias("w"), F.col("u").contains(text.UK_HOST_MARK).alias("k")) \
+        .orderBy("i").collect()
+    for r in rows:
+        assert r.w == py_website(batch[r.i])
+        assert r.k == (".co.uk/" in batch[r.i])
+
+
+DUR = st.one_of(
+    st.tuples(st.integers(0, 30), st.integers(0, 99), st.integers(0, 59), st.integers(0, 59)).map(
+        lambda t: f"{t[0]}-{t[1]:02d}:{t[2]:02d}:{t[3]:02d}"),
+    st.tuples(st.integers(0, 99), st.integers(0, 59), st.integers(0, 59)).map(lambda t: f"{t[0]}:{t[1]:02d}:{t[2]:02d}"),
+    st.tuples(st.integers(0, 99), st.integers(0, 59)).map(lambda t: f"{t[0]}:{t[1]:02d}"),
+    st.integers(0, 10**6).map(str), st.sampled_from(["", "UNLIMITED", "168:00:00", "1-2:3:4", "abc"]))
+
+
+def py_seconds(t):
+    if t in ("", "UNLIMITED"):
+        return 0
+    for pat, f in ((r"([0-9]+)-([0-9]{1,2}):([0-9]{2}):([0-9]{2})", lambda d, h, m, s: (d * 24 + h) * 3600 + m * 60 + s),
+                   (r"([0-9]{1,2}):([0-9]{2}):([0-9]{2})", lambda h, m, s: h * 3600 + m * 60 + s),
+                   (r"([0-9]{1,2}):([0-9]{2})", lambda m, s: m * 60 + s)):
+        mt = re.fullmatch(pat, t)
+        if mt:
+            return f(*map(int, mt.groups()))
+    return int(t) if t.isdigit() else None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(DUR, min_size=30, max_size=80))
+def test_duration_seconds_matches_python(spark, batch):
+    from pagesift.functions.durations import duration_seconds
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "i int, t string")
+    for r in df.select("i", duration_seconds("t").alias("s")).orderBy("i").collect():
+        assert r.s == py_seconds(batch[r.i]), batch[r.i]

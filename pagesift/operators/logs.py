@@ -87,14 +87,17 @@ def segment_runtime(lines: DataFrame) -> DataFrame:
     dropped.
     """
     line = F.col("line")
-    events = lines.select(
-        "file",
-        F.when(line.rlike(DOWNLOADING), F.regexp_extract(line, DOWNLOADING, 1)).alias("crawl_date"),
-        F.coalesce(F.when(line.rlike(DOWNLOADING), F.regexp_extract(line, DOWNLOADING, 2)),
-                   F.when(line.rlike(COMPLETED), F.regexp_extract(line, COMPLETED, 1)))
-        .cast("bigint").alias("segment"),
-        F.when(line.rlike(DOWNLOADING), log_time(line)).alias("start_ts"),
-        F.when(line.rlike(COMPLETED), log_time(line)).alias("end_ts"),
+    # each pattern is matched once per line; '' means no match
+    parts = lines.select(
+        "file", F.regexp_extract(line, DOWNLOADING, 1).alias("dl_date"),
+        F.regexp_extract(line, DOWNLOADING, 2).alias("dl_seg"),
+        F.regexp_extract(line, COMPLETED, 1).alias("done_seg"), log_time(line).alias("ts"))
+    is_dl, is_done = F.col("dl_seg") != "", F.col("done_seg") != ""
+    events = parts.select(
+        "file", F.when(is_dl, F.col("dl_date")).alias("crawl_date"),
+        F.when(is_dl, F.col("dl_seg")).when(is_done, F.col("done_seg")).cast("bigint").alias("segment"),
+        F.when(is_dl, F.col("ts")).alias("start_ts"),
+        F.when(is_done, F.col("ts")).alias("end_ts"),
     ).where(F.col("segment").isNotNull())
     # collect_set keeps the aggregate hash-based (ObjectHashAggregate); a string max() would
     # force a sort-based aggregate over every line. One download line per segment: set size 1.

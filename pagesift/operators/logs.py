@@ -75,9 +75,14 @@ def log_success_totals(lines: DataFrame) -> DataFrame:
 
 
 def log_time(line) -> F.Column:
-    """Timestamp of a log line (``asctime`` prefix), timezone-free; null when absent or invalid."""
-    parsed = F.try_to_timestamp(F.regexp_extract(line, LOG_TS, 1), F.lit("yyyy-MM-dd HH:mm:ss,SSS"))
-    return parsed.cast("timestamp_ntz")
+    """Timestamp of a log line (``asctime`` prefix), timezone-free; null when absent or invalid.
+
+    Built from the parsed fields, so no session time zone (or DST gap) is involved."""
+    ts = F.regexp_extract(line, LOG_TS, 1)
+    f = F.split(ts, r"[- :,]")            # yyyy, MM, dd, HH, mm, ss, SSS
+    part = [f.getItem(i).try_cast("int") for i in range(5)]
+    secs = F.concat(f.getItem(5), F.lit("."), f.getItem(6)).try_cast("decimal(8,3)")
+    return F.when(ts != "", F.try_make_timestamp_ntz(*part, secs))
 
 
 def segment_runtime(lines: DataFrame) -> DataFrame:

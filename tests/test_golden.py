@@ -145,3 +145,17 @@ def test_report_sink_round_trip(spark, tmp_path):
     write_report(report.run_report(figs), str(tmp_path / "report"))
     back = spark.read.json(str(tmp_path / "report")).first()
     assert back.verdict == "healthy" and back.success_rate == 100
+
+
+def test_log_time_is_timezone_free(spark):
+    from pagesift.operators.logs import log_time
+    import datetime as dt
+    df = spark.createDataFrame([("2024-03-10 02:30:05,250 - INFO - x",), ("2024-13-45 00:00:00,000 - x",), ("no ts",)],
+                               "line string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # 02:30 does not exist there that day
+    try:
+        got = [r.t for r in df.select(log_time(F.col("line")).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2024, 3, 10, 2, 30, 5, 250000), None, None]

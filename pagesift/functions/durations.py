@@ -43,12 +43,9 @@ def idiv(a: Column, b: Column) -> Column:
     return F.call_function("div", a.cast("bigint"), b.cast("bigint"))
 
 
-_div = idiv
-
-
 def percent_floor(part: Column, whole: Column) -> Column:
     """``part*100 div whole``; 0 when whole <= 0."""
-    return F.when(whole <= 0, F.lit(0).cast("bigint")).otherwise(_div(part * 100, whole))
+    return F.when(whole <= 0, F.lit(0).cast("bigint")).otherwise(idiv(part * 100, whole))
 
 
 def dhm_text(days: Column, hours: Column, minutes: Column) -> Column:
@@ -60,15 +57,15 @@ def dhm_text(days: Column, hours: Column, minutes: Column) -> Column:
 
 def seconds_breakdown(seconds: Column) -> dict[str, Column]:
     """Days, hours, minutes of a duration in seconds (integer division cascade)."""
-    total_h = _div(seconds, F.lit(3600))
+    total_h = idiv(seconds, F.lit(3600))
     return {
-        "days": _div(total_h, F.lit(24)),
+        "days": idiv(total_h, F.lit(24)),
         "hours": total_h % 24,
-        "minutes": _div(seconds % 3600, F.lit(60)),
+        "minutes": idiv(seconds % 3600, F.lit(60)),
     }
 
 
 def minutes_breakdown(minutes: Column) -> dict[str, Column]:
     """Days, hours, minutes of a duration in minutes."""
-    total_h = _div(minutes, F.lit(60))
-    return {"days": _div(total_h, F.lit(24)), "hours": total_h % 24, "minutes": minutes % 60}
+    total_h = idiv(minutes, F.lit(60))
+    return {"days": idiv(total_h, F.lit(24)), "hours": total_h % 24, "minutes": minutes % 60}

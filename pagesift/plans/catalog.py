@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import UK_POSTCODE, website
 from ..operators import jobs, logs, match, outputs, report, runs
-from ..operators.outputs import output_file
 from ..sources.planted import relation, table, with_relations
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -559,4 +558,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["queries", "oracle_sql", "output_file"]
+__all__ = ["queries", "oracle_sql"]

@@ -1,8 +1,6 @@
 """End-to-end job over archives on disk: matches written, status per segment."""
 
-import os
 
-from pyspark.sql import functions as F
 
 from pagesift.plans.crawl_job import filter_crawl
 from pagesift.sources import warc

@@ -1,6 +1,5 @@
 """Plan-shape checks: the physical plans we want at scale, asserted on the executed plan."""
 
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, IsNotNull, StringContains
 
 from conftest import SF001

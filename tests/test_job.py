@@ -1,7 +1,5 @@
 """End-to-end job over archives on disk: matches written, status per segment."""
 
-
-
 from pagesift.plans.crawl_job import filter_crawl
 from pagesift.sources import warc
 

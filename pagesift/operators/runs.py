@@ -124,10 +124,15 @@ def segment_status(manifest: DataFrame, scanned: DataFrame, matches: DataFrame)
     ``empty`` (read, no match), ``pending`` (never read).
     """
     scan_cols = scanned.columns
+    # an archive read in several byte ranges has several scan rows: records add up, and the
+    # worst range decides (failed > partial > read); a failure after some records is partial
+    worst = F.max(F.when(F.col("state") == FAILED, 2).when(F.col("state") == PARTIAL, 1)) \
+        if "state" in scan_cols else F.lit(None).cast("int")
     scan = scanned.groupBy(*SEGMENT_KEY).agg(
-        F.sum("n_records").cast("bigint").alias("n_records"),
-        (F.max("state") if "state" in scan_cols else F.lit(None).cast("string")).alias("scan_state"),
+        F.sum("n_records").cast("bigint").alias("n_records"), worst.alias("worst"),
         (F.max("error") if "error" in scan_cols else F.lit(None).cast("string")).alias("error"))
+    scan = scan.withColumn("scan_state", F.when((F.col("worst") == 2) & (F.col("n_records") == 0), F.lit(FAILED))
+                           .when(F.col("worst") >= 1, F.lit(PARTIAL)))
     found = matches.groupBy(*SEGMENT_KEY).agg(F.count(F.lit(1)).alias("n_matches"))
     joined = manifest.select(*SEGMENT_KEY).join(scan, list(SEGMENT_KEY), "left") \
         .join(found, list(SEGMENT_KEY), "left")

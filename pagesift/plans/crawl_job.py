@@ -31,6 +31,9 @@ from ..sources.sinks import write_matches, write_status
 from ..sources.wet import scan_manifest
 
 
+DEFAULT_SPLIT_BYTES = 256 * 1024 * 1024   # crawl archives are ~100-150 MB: normally read whole
+
+
 @dataclass
 class JobResult:
     matches_path: str
@@ -43,11 +46,14 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
                  language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
                  task_id: int | None = None, segments_per_task: int = 1,
                  files_per_task: int = 4, num_partitions: int | None = None,
+                 split_bytes: int | None = DEFAULT_SPLIT_BYTES,
                  mode: str = "overwrite", stage: str = "checkpoint") -> JobResult:
     """Run the filter over every archive in ``manifest`` (or one task's slice of it).
 
     ``manifest``: crawl_date, segment, path. Paths are read as given, or joined to
     ``base_url`` when it is set (http(s) archives are streamed, never staged on local disk).
+    ``split_bytes``: archives larger than this are read as several byte ranges (a single
+    oversized archive never pins one task).
     ``stage``: how the single scan is shared by the match and status outputs --
     ``checkpoint`` (default) writes the candidates to ``spark.checkpoint.dir`` (shared
     storage; survives executor loss without re-reading archives), ``persist`` keeps them in
@@ -62,7 +68,8 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
         location = "path"
     scan = scan_manifest(manifest, location=location, rec_type=CONVERSION,
                          uri_contains=url_contains, language=language,
-                         files_per_task=files_per_task, num_partitions=num_partitions)
+                         files_per_task=files_per_task, num_partitions=num_partitions,
+                         split_bytes=split_bytes)
     if stage == "checkpoint":
         ensure_checkpoint_dir(spark)
         scan = scan.checkpoint(eager=True)

@@ -34,7 +34,7 @@ from pyspark.sql.datasource import (
 )
 
 from ..schemas import SCAN_STATUS, WET_RECORD
-from .warc import ScanResult, header_filter, iter_records, open_archive
+from .warc import ScanResult, byte_ranges, header_filter, iter_range_records, iter_records, open_archive
 
 # Archive names written by the reference's jobs: crawldata{date}segment{NNNNN}.wet.gz
 DEFAULT_NAME_PATTERN = r"crawldata(\d+)segment(\d+)"
@@ -83,9 +83,13 @@ def list_archives(path: str) -> list[str]:
 
 
 class WetPartition(InputPartition):
-    def __init__(self, path: str, crawl_date: str | None, segment: int | None):
-        super().__init__(path)
+    """One archive, or one byte range ``[start, end)`` of a large one (``end == -1``: whole)."""
+
+    def __init__(self, path: str, crawl_date: str | None, segment: int | None,
+                 start: int = 0, end: int = -1):
+        super().__init__((path, start))
         self.path, self.crawl_date, self.segment = path, crawl_date, segment
+        self.start, self.end = start, end
 
 
 class WetReader(DataSourceReader):
@@ -113,13 +117,15 @@ class WetReader(DataSourceReader):
         files = list_archives(self.options["path"])
         pattern = re.compile(self.options.get("namepattern", DEFAULT_NAME_PATTERN))
         fallback_date = self.options.get("crawldate")
+        split = int(self.options.get("splitbytes", "0")) or None
         parts = []
         for i, p in enumerate(files):
             m = pattern.search(os.path.basename(p))
-            if m and m.lastindex and m.lastindex >= 2:
-                parts.append(WetPartition(p, m.group(1), int(m.group(2))))
-            else:
-                parts.append(WetPartition(p, fallback_date, i))
+            date, seg = (m.group(1), int(m.group(2))) if m and m.lastindex and m.lastindex >= 2 \
+                else (fallback_date, i)
+            size = os.path.getsize(p) if split and os.path.isfile(p) and _is_gzip(p) else 0
+            for start, end in byte_ranges(size, split):
+                parts.append(WetPartition(p, date, seg, start, end))
         return parts
 
     def _keep(self):
@@ -148,6 +154,9 @@ class WetReader(DataSourceReader):
     def read(self, partition: WetPartition):
         status = ScanResult()
         keep = None if self.status_mode else self._keep()
+        if partition.end != -1:
+            yield from self._read_range(partition, keep, status)
+            return
         try:
             stream = open_any(partition.path)
         except OSError as e:
@@ -167,6 +176,24 @@ class WetReader(DataSourceReader):
                        headers, length, text)
 
 
+    def _read_range(self, partition: WetPartition, keep, status: ScanResult):
+        with open(partition.path, "rb") as f:
+            recs = iter_range_records(f, partition.start, partition.end,
+                                      keep=(lambda h: False) if self.status_mode else keep,
+                                      status=status)
+            for rec in recs:
+                record_no, rec_type, uri, language, headers, length, text = rec
+                yield (partition.crawl_date, partition.segment, record_no, rec_type, uri, language,
+                       headers, length, text)
+        if self.status_mode:
+            yield (partition.crawl_date, partition.segment, status.n_records, status.state, status.error)
+
+
+def _is_gzip(path: str) -> bool:
+    with open(path, "rb") as f:
+        return f.read(2) == b"\x1f\x8b"
+
+
 class WetDataSource(DataSource):
     """``spark.read.format("wet").option("path", ...)``: records of WET archives."""
 
@@ -189,19 +216,58 @@ def register(spark: SparkSession) -> None:
 
 
 def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
-             name_pattern: str = DEFAULT_NAME_PATTERN, crawl_date: str | None = None) -> DataFrame:
-    """Records (or per-archive status rows with ``mode='status'``) of the archives at ``path``."""
+             name_pattern: str = DEFAULT_NAME_PATTERN, crawl_date: str | None = None,
+             split_bytes: int | None = None) -> DataFrame:
+    """Records (or per-archive status rows with ``mode='status'``) of the archives at ``path``.
+
+    ``split_bytes``: gzip archives larger than this are read as several byte ranges in
+    parallel (one gzip member per record, as crawl archives are written); status rows are then
+    per range and add up per archive."""
     register(spark)
     r = spark.read.format("wet").option("path", path).option("mode", mode) \
-        .option("namePattern", name_pattern)
+        .option("namePattern", name_pattern).option("splitBytes", str(split_bytes or 0))
     if crawl_date is not None:
         r = r.option("crawlDate", crawl_date)
     return r.load()
 
 
+def _open_unit(item: dict):
+    """Whole archive (decompressed stream) or the raw file for a byte range."""
+    return open_any(item["location"]) if item["end"] == -1 else open(item["location"], "rb")
+
+
+def _byte_ranges(rows: DataFrame, split_bytes: int | None) -> DataFrame:
+    """Add ``start``/``end`` (``end = -1``: whole archive); sizes are taken inside tasks."""
+    if not split_bytes:
+        return rows.select("*", F.lit(0).cast("bigint").alias("start"),
+                           F.lit(-1).cast("bigint").alias("end"))
+
+    def sizes(batches):
+        for b in batches:
+            out = []
+            for loc in b.column("location").to_pylist():
+                try:
+                    out.append(os.path.getsize(loc) if os.path.isfile(loc) and _is_gzip(loc) else -1)
+                except OSError:
+                    out.append(-1)
+            yield b.append_column("size", pa.array(out, pa.int64()))
+
+    sized = rows.mapInArrow(sizes, "crawl_date string, segment int, location string, size bigint")
+    split = F.lit(split_bytes).cast("bigint")
+    big = F.col("size") > split
+    n_parts = F.when(big, F.ceil(F.col("size") / split)).otherwise(F.lit(1)).cast("int")
+    parts = sized.select("*", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"))
+    return parts.select(
+        "crawl_date", "segment", "location",
+        F.when(big, F.col("part") * split).otherwise(F.lit(0)).cast("bigint").alias("start"),
+        F.when(big, F.least((F.col("part") + 1) * split, F.col("size"))).otherwise(F.lit(-1))
+        .cast("bigint").alias("end"))
+
+
 def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type: str | None = None,
                   uri_contains: str | None = None, language: str | None = None,
-                  files_per_task: int = 4, num_partitions: int | None = None) -> DataFrame:
+                  files_per_task: int = 4, num_partitions: int | None = None,
+                  split_bytes: int | None = None) -> DataFrame:
     """Read the archives a manifest names, in parallel, inside tasks.
 
     ``manifest`` has ``crawl_date``, ``segment`` and a ``location`` column (path or URL). Each
@@ -211,13 +277,18 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
     Manifest rows are range-partitioned on (crawl_date, segment) into tasks of about
     ``files_per_task`` archives: equal-sized tasks whatever the spread of crawls, small
     enough that a lost executor costs minutes, and stable across task retries.
+
+    ``split_bytes``: a local gzip archive larger than this becomes several byte ranges, each
+    its own unit of work (with its own status row), so one oversized archive is spread over
+    many tasks instead of holding one task for hours.
     """
     keep = header_filter(rec_type=rec_type, uri_contains=uri_contains, language=language)
     filtered = any(v is not None for v in (rec_type, uri_contains, language))
     rows = manifest.select("crawl_date", F.col("segment").cast("int").alias("segment"),
                            F.col(location).alias("location"))
+    rows = _byte_ranges(rows, split_bytes)
     n = num_partitions or max(1, -(-rows.count() // files_per_task))
-    rows = rows.repartitionByRange(n, "crawl_date", "segment")
+    rows = rows.repartitionByRange(n, "crawl_date", "segment", "start")
 
     def read_batches(batches):
         out = {k: [] for k in _ARROW_SCAN.names}
@@ -236,8 +307,12 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
             for item in batch.to_pylist():
                 status = ScanResult()
                 try:
-                    with open_any(item["location"]) as stream:
-                        for rec in iter_records(stream, keep=keep if filtered else None, status=status):
+                    with _open_unit(item) as stream:
+                        recs = iter_records(stream, keep=keep if filtered else None, status=status) \
+                            if item["end"] == -1 else \
+                            iter_range_records(stream, item["start"], item["end"],
+                                               keep=keep if filtered else None, status=status)
+                        for rec in recs:
                             record_no, rt, uri, lang, headers, length, text = rec
                             add(crawl_date=item["crawl_date"], segment=item["segment"],
                                 record_no=record_no, rec_type=rt, uri=uri, language=lang,

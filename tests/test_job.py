@@ -26,7 +26,7 @@ def test_filter_crawl(spark, tmp_path):
         "crawl_date string, segment int, path string")
     lookup = spark.createDataFrame([("BS1 4AB",), ("BS2 0HQ",), (None,)], "pcds string")
     res = filter_crawl(spark, manifest, lookup, str(tmp_path / "out"), str(tmp_path / "status"),
-                       num_partitions=2)
+                       num_partitions=2, split_bytes=64)
     out = spark.read.parquet(res.matches_path).orderBy("segment").collect()
     assert [(r.segment, r.postcodes, r.website) for r in out] == [
         (0, ["BS1 4AB", "BS2 0HQ"], "a.co.uk"), (1, ["BS1 4AB", "BS2 0HQ"], "a.co.uk")]

@@ -130,3 +130,48 @@ def test_native_reader_repeated_headers(spark, tmp_path):
     (tmp_path / "crawldata202110segment00001.wet.gz").write_bytes(gzip.compress(rec))
     r = read_wet_text(spark, str(tmp_path)).first()
     assert r.headers["warc-concurrent-to"] == "<a>" and r.text == "abc" and r.uri == "https://a.co.uk/1"
+
+
+def _many_records(n=300):
+    recs = [INFO]
+    for i in range(n):
+        uri = f"https://www.s{i}.co.uk/p" if i % 3 else f"https://www.s{i}.com/p"
+        body = (f"page {i} " + "lorem ipsum " * (i % 40) + (" BS1 4AB" if i % 5 == 0 else "")).encode()
+        recs.append(conv(uri, body))
+    return warc.gzip_members(recs)
+
+
+def test_byte_ranges_read_every_record_once(spark, tmp_path):
+    data = _many_records()
+    p = tmp_path / "crawldata202104segment00007.wet.gz"
+    p.write_bytes(data)
+    whole = wet.read_wet(spark, str(tmp_path)).collect()
+    split = wet.read_wet(spark, str(tmp_path), split_bytes=2048)
+    assert split.rdd.getNumPartitions() > 5
+    got = split.collect()
+    assert sorted((r.uri or "", r.text) for r in got) == sorted((r.uri or "", r.text) for r in whole)
+    assert len({r.record_no for r in got}) == len(got) == 301
+    st = wet.read_wet(spark, str(tmp_path), mode="status", split_bytes=2048).collect()
+    assert sum(r.n_records for r in st) == 301 and {r.state for r in st} == {"read"}
+    lookup = spark.createDataFrame([("BS1 4AB",)], "pcds string")
+    a = postcode_pages(wet.read_wet(spark, str(tmp_path)), lookup).count()
+    b = postcode_pages(split, lookup).count()
+    assert a == b > 0
+
+
+def test_scan_manifest_byte_ranges_and_status(spark, tmp_path):
+    from pagesift.operators.runs import segment_status
+    big = tmp_path / "big.wet.gz"
+    big.write_bytes(_many_records())
+    cut = tmp_path / "cut.wet.gz"
+    cut.write_bytes(_many_records()[:-40])
+    manifest = spark.createDataFrame([("202104", 0, str(big)), ("202104", 1, str(cut))],
+                                     "crawl_date string, segment int, path string")
+    scan = wet.scan_manifest(manifest, location="path", rec_type="conversion", uri_contains=".co.uk/",
+                             language="eng", split_bytes=4096)
+    recs = scan.where("NOT is_status")
+    assert recs.where("segment = 0").count() == 200       # 2 of 3 pages are .co.uk
+    status = segment_status(manifest, scan.where("is_status"), recs.limit(0))
+    st = {r.segment: (r.n_records, r.state) for r in status.collect()}
+    assert st[0] == (301, "empty")
+    assert st[1][1] == "partial" and 290 < st[1][0] < 301

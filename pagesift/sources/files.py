@@ -1,35 +1,49 @@
 """Readers for the run's text and Parquet inputs: crawl list, manifests, logs, lookup, output.
 
-Manifests (segment = 0-based line index) and the crawl list are read one file per row with
-``wholetext`` and numbered with ``posexplode`` -- exact and dense, unlike
-``monotonically_increasing_id``. They are small control files (a manifest of 80,000 paths is
-~10 MB). Logs, which can grow large, are read line by line instead (see ``read_logs``).
+Manifests (segment = 0-based line index) and crawl lists need exact line numbers:
+``read_lines`` gives them without ever putting a whole file in one task (see there). Logs
+only need line order, so ``read_logs`` skips the numbering pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
 from ..operators.runs import parse_crawl_list
 from ..schemas import RECORD_KEY
 
 MANIFEST_DATE = r"(\d+)_wet\.paths$"      # {date}_wet.paths, one manifest per crawl
 LOG_KIND = r"\.([A-Za-z]+)$"               # err / log / out from the extension
+MAX_SPLITS = 1_000_000                     # per-split offsets broadcast only below this many
 
 
 def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """(file_path, file_name, line_no, line): every line of every file, 0-based line numbers.
+    """(file_path, file_name, line_no, line): every line of every file, dense 0-based numbers.
 
-    A trailing newline does not produce an extra empty line (as ``readlines``)."""
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=recursive or None).select(
+    Files are read line by line, split like any text input, so no file has to fit in one
+    task. Numbering is exact: lines are counted per file split (a tiny table, one row per
+    split), running totals over the splits of each file give each split's first line number,
+    and a line's number is that plus its position within the split. A trailing newline does
+    not produce an extra empty line (as ``readlines``).
+    """
+    raw = spark.read.text(path, recursiveFileLookup=recursive or None).select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"), "value")
-    body = F.regexp_replace("value", r"\n$", "")
-    return whole.select("file_path", "file_name",
-                        F.posexplode(F.split(body, "\n")).alias("line_no", "line")) \
-        .where(~((F.col("line") == "") & (F.col("line_no") == 0) & (F.length(body) == 0))) \
-        .withColumn("line_no", F.col("line_no").cast("bigint"))
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
+    splits = raw.groupBy("file_path", "block").agg(F.min("pos").alias("first"),
+                                                   F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file_path").orderBy("block") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file_path", "block", "first",
+                            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    # one row per file split: bounded by total input size / split size
+    offsets = bounded_broadcast(offsets, MAX_SPLITS)
+    return raw.join(offsets, ["file_path", "block"]).select(
+        "file_path", "file_name",
+        (F.col("before") + F.col("pos") - F.col("first")).cast("bigint").alias("line_no"), "line")
 
 
 def read_crawl_list(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:

@@ -81,3 +81,19 @@ def test_output_files_sizes_and_latest(spark, tmp_path):
     cov = outputs.postcode_coverage(files.read_output(spark, str(tmp_path / "out")),
                                     F.col("file_path")).first()
     assert cov.n_files == fl.count()
+
+
+def test_read_lines_exact_numbers_across_splits(spark, tmp_path):
+    lines = [f"crawl-data/x/part-{i}.warc.wet.gz" if i % 97 else "" for i in range(40000)]
+    (tmp_path / "202110_wet.paths").write_text("\n".join(lines) + "\n")
+    (tmp_path / "202104_wet.paths").write_text("a\nb\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024))
+    try:
+        m = files.read_manifest(spark, str(tmp_path))
+        assert m.rdd.getNumPartitions() > 4
+        got = {(r.crawl_date, r.segment): r.path for r in m.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 40002
+    assert all(got[("202110", i)] == lines[i] for i in range(40000))
+    assert got[("202104", 0)] == "a" and got[("202104", 1)] == "b"

@@ -39,3 +39,28 @@ def test_filter_crawl(spark, tmp_path):
     res2 = filter_crawl(spark, manifest, lookup, str(tmp_path / "out2"), str(tmp_path / "status2"),
                         task_id=1, segments_per_task=2, stage="persist")
     assert sorted(r.segment for r in res2.status.collect()) == [2, 3]
+
+
+def test_cli_filter_analyse_status(spark, tmp_path, capsys):
+    from pagesift.plans.cli import main
+    d = tmp_path / "arch"
+    d.mkdir()
+    (d / "p0.wet.gz").write_bytes(warc.gzip_members([INFO, conv("https://a.co.uk/1", b"At BS1 4AB")]))
+    (d / "p1.wet.gz").write_bytes(warc.gzip_members([INFO, conv("https://b.co.uk/2", b"none")]))
+    paths = tmp_path / "202104_wet.paths"
+    paths.write_text("p0.wet.gz\np1.wet.gz\np2.wet.gz\n")
+    spark.createDataFrame([("BS1 4AB", "x")], "pcds string, ward string").write.parquet(str(tmp_path / "lookup"))
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "job.log").write_text("2025-01-01 00:00:00,000 - INFO - Completed processing segment 0: 1 records\n")
+    out, status = str(tmp_path / "out"), str(tmp_path / "status")
+    common = ["--wet-paths", str(paths), "--status-dir", status]
+    assert main(["filter", *common, "--postcode-lookup", str(tmp_path / "lookup"), "--output-dir", out,
+                 "--server-url", str(d) + "/", "--task-id", "0", "--segments-per-task", "2"], spark) == 0
+    st = {r.segment: r.state for r in spark.read.parquet(status).collect()}
+    assert st == {0: "done", 1: "empty"}
+    assert main(["analyse", "--logs", str(logs), "--output-dir", out, "--report", str(tmp_path / "rep")], spark) == 0
+    rep = spark.read.json(str(tmp_path / "rep")).first()
+    assert rep.total_rows == 1 and rep.n_success == 1 and rep.verdict == "healthy"
+    assert main(["status", *common, "--elapsed-seconds", "600"], spark) == 0
+    assert "202104" in capsys.readouterr().out

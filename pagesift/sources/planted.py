@@ -47,8 +47,9 @@ from documents
 """
 
 SQL["postcode_lookup"] = """
-select concat('BS', cast(doc_id % 9 + 1 as string), ' ', cast(doc_id % 10 as string), 'AB') as pcds, source as ward
-from documents where doc_id % 10 < 7
+select concat('BS', cast(doc_id % 9 + 1 as string), ' ', cast(doc_id % 10 as string),
+    case when doc_id % 10 < 7 then 'AB' else 'AA' end) as pcds, source as ward
+from documents
 union all select cast(null as string) as pcds, 'none' as ward
 """
 

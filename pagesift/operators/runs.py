@@ -199,3 +199,21 @@ def eta(progress: DataFrame, elapsed_seconds: int) -> DataFrame:
                            rate.alias("rate_per_min"), mins.alias("eta_minutes"),
                            parts["days"].alias("eta_days"), parts["hours"].alias("eta_hours"),
                            parts["minutes"].alias("eta_mins"), text.alias("eta_text"))
+
+
+# Fixed value: seconds per segment the monitor assumes until runtimes are known.
+DEFAULT_SEGMENT_SECONDS = 300
+
+
+def monitor_eta(progress: DataFrame, runtimes: DataFrame,
+                default_seconds: int = DEFAULT_SEGMENT_SECONDS) -> DataFrame:
+    """Hours left per crawl = remaining segments x seconds per segment div 3600.
+
+    Seconds per segment is the crawl's mean measured runtime (``runtime_summary``: crawl_date,
+    avg_s), whole seconds, or ``default_seconds`` when the crawl has none yet. Both sides
+    hold one row per crawl."""
+    est = runtimes.select("crawl_date", F.floor("avg_s").cast("bigint").alias("est_s"))
+    j = progress.select("crawl_date", "n_remaining").join(est, "crawl_date", "left")
+    sec = F.coalesce("est_s", F.lit(default_seconds).cast("bigint"))
+    return j.select("crawl_date", "n_remaining", sec.alias("sec_per_segment"),
+                    idiv(F.col("n_remaining") * sec, F.lit(3600)).alias("eta_hours"))

@@ -154,6 +154,29 @@ rows_pc AS (
 per_file AS (SELECT file, avg(has_pc) * 100 AS pct FROM rows_pc GROUP BY file)"""
 
 
+O_RUNTIME = r"""
+ev AS (
+  SELECT file,
+    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
+         THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 1) END AS crawl_date,
+    CAST(coalesce(
+      CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
+           THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 2) END,
+      CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
+           THEN regexp_extract(line, 'Completed processing segment (\d+): (\d+) records', 1) END) AS BIGINT) AS segment,
+    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
+         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS start_ts,
+    CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
+         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS end_ts
+  FROM segment_log),
+per AS (
+  SELECT file, segment, max(crawl_date) AS crawl_date, min(start_ts) AS start_ts, max(end_ts) AS end_ts
+  FROM ev WHERE segment IS NOT NULL GROUP BY file, segment),
+rt AS (
+  SELECT file, crawl_date, segment, (epoch_us(end_ts) - epoch_us(start_ts)) // 1000000 AS runtime_s
+  FROM per WHERE start_ts IS NOT NULL AND end_ts IS NOT NULL)"""
+
+
 # ================================================================ matching (flagship)
 @register("postcode_pages", f"WITH {O_PP}\nSELECT * FROM pp",
           ("wet_records", "postcode_lookup"))
@@ -346,6 +369,21 @@ def q_eta_breakdown(spark, d):
     return runs.eta(progress, ELAPSED_S)
 
 
+@register("monitor_eta", f"""WITH {O_PP},{O_STATUS},{O_CRAWLS},{O_PROGRESS},{O_RUNTIME},
+est AS (SELECT crawl_date, floor(avg(runtime_s))::BIGINT AS est_s FROM rt GROUP BY crawl_date)
+SELECT p.crawl_date, p.n_segments - p.n_finished AS n_remaining,
+       coalesce(e.est_s, 300) AS sec_per_segment,
+       (p.n_segments - p.n_finished) * coalesce(e.est_s, 300) // 3600 AS eta_hours
+FROM progress p LEFT JOIN est e ON p.crawl_date = e.crawl_date""",
+          ("wet_records", "postcode_lookup", "archive_manifest", "crawl_list_lines", "segment_log"))
+def q_monitor_eta(spark, d):
+    """A14 (monitor form): remaining segments x measured seconds per segment, in hours."""
+    progress = runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "archive_manifest"),
+                                      _status(spark, d))
+    summary = logs.runtime_summary(logs.segment_runtime(relation(spark, d, "segment_log")))
+    return runs.monitor_eta(progress, summary)
+
+
 # ================================================================ output statistics
 @register("output_stats", f"""WITH {O_PP},
 flat AS (SELECT crawl_date || '/' || CAST(segment AS VARCHAR) AS file, unnest(string_split(postcodes, ',')) AS pc FROM pp)
@@ -391,27 +429,7 @@ def q_log_success_totals(spark, d):
     return logs.log_success_totals(relation(spark, d, "log_lines"))
 
 
-O_RUNTIME = r"""
-ev AS (
-  SELECT file,
-    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-         THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 1) END AS crawl_date,
-    CAST(coalesce(
-      CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-           THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 2) END,
-      CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
-           THEN regexp_extract(line, 'Completed processing segment (\d+): (\d+) records', 1) END) AS BIGINT) AS segment,
-    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS start_ts,
-    CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
-         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS end_ts
-  FROM segment_log),
-per AS (
-  SELECT file, segment, max(crawl_date) AS crawl_date, min(start_ts) AS start_ts, max(end_ts) AS end_ts
-  FROM ev WHERE segment IS NOT NULL GROUP BY file, segment),
-rt AS (
-  SELECT file, crawl_date, segment, (epoch_us(end_ts) - epoch_us(start_ts)) // 1000000 AS runtime_s
-  FROM per WHERE start_ts IS NOT NULL AND end_ts IS NOT NULL)"""
+
 
 
 @register("segment_runtime", f"WITH {O_RUNTIME}\nSELECT * FROM rt", ("segment_log",))

@@ -159,3 +159,10 @@ def test_log_time_is_timezone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(2024, 3, 10, 2, 30, 5, 250000), None, None]
+
+
+def test_monitor_eta_defaults_to_300s(spark):
+    prog = spark.createDataFrame([("a", 12), ("b", 100)], "crawl_date string, n_remaining long")
+    rt = spark.createDataFrame([("a", 599.9)], "crawl_date string, avg_s double")
+    got = {r.crawl_date: (r.sec_per_segment, r.eta_hours) for r in runs.monitor_eta(prog, rt).collect()}
+    assert got == {"a": (599, 1), "b": (300, 8)}

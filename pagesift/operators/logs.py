@@ -114,9 +114,10 @@ def segment_runtime(lines: DataFrame) -> DataFrame:
         F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")).alias("runtime_s"))
 
 
-def runtime_summary(runtimes: DataFrame) -> DataFrame:
-    """Per crawl date: segments timed and min / max / mean / total runtime in seconds."""
-    return runtimes.groupBy("crawl_date").agg(
+def runtime_summary(runtimes: DataFrame, by: tuple[str, ...] = ("crawl_date",)) -> DataFrame:
+    """Per crawl date (or ``by=("file",)``: per task log): segments timed and min / max /
+    mean / total runtime in seconds."""
+    return runtimes.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_segments"), F.min("runtime_s").alias("min_s"),
         F.max("runtime_s").alias("max_s"), F.avg("runtime_s").alias("avg_s"),
         F.sum("runtime_s").cast("bigint").alias("total_s"))

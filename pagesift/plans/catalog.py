@@ -447,6 +447,15 @@ def q_runtime_summary(spark, d):
     return logs.runtime_summary(logs.segment_runtime(relation(spark, d, "segment_log")))
 
 
+@register("runtime_by_task", f"""WITH {O_RUNTIME}
+SELECT file, count(*) AS n_segments, min(runtime_s) AS min_s, max(runtime_s) AS max_s,
+       avg(runtime_s) AS avg_s, sum(runtime_s)::BIGINT AS total_s FROM rt GROUP BY file""",
+          ("segment_log",))
+def q_runtime_by_task(spark, d):
+    """Min / max / mean / total segment runtime per task (one log file per task)."""
+    return logs.runtime_summary(logs.segment_runtime(relation(spark, d, "segment_log")), by=("file",))
+
+
 @register("failures_by_class", f"""
 SELECT l.source_kind, c.failure_class, count(*) AS n_lines
 FROM log_lines l JOIN (VALUES {", ".join(f"('{c}')" for c in logs.FAILURE_CLASSES)}) AS c(failure_class)

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import UK_POSTCODE, website
 from ..operators import jobs, logs, match, outputs, report, runs
+from ..sources import wet
 from ..sources.planted import relation, table, with_relations
+from ..sources.planted_archives import planted_archive_dir, record_no_from_id, write_archives
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -186,6 +188,17 @@ def q_postcode_pages(spark, d):
     return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
 
 
+@register("archive_roundtrip", f"WITH {O_PP}\nSELECT * FROM pp", ("wet_records", "postcode_lookup"))
+def q_archive_roundtrip(spark, d):
+    """S5-S8 at scale: planted records written as WET archives by Spark, read back by the
+    ``wet`` source, matched by the flagship operator -- must equal ``postcode_pages``."""
+    out = planted_archive_dir(spark)
+    write_archives(_wet(spark, d), out)
+    recs = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
+    pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
+    return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
+
+
 @register("page_filter", f"""
 SELECT crawl_date, segment, record_no, uri, {O_WEBSITE} AS website, language,
        length(text) AS n_chars, text

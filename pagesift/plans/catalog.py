@@ -199,6 +199,20 @@ def q_archive_roundtrip(spark, d):
     return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
 
 
+@register("archive_status", f"WITH {O_PP},{O_STATUS}\nSELECT * FROM status",
+          ("wet_records", "postcode_lookup", "archive_manifest"))
+def q_archive_status(spark, d):
+    """A1, A2, D4 from real archives: per-file status rows of the ``wet`` source (records read,
+    state) and the matches they yield, reconciled with the manifest."""
+    out = planted_archive_dir(spark)
+    write_archives(_wet(spark, d), out)
+    scanned = wet.read_wet(spark, out, mode="status")
+    recs = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
+    pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
+    status = runs.segment_status(relation(spark, d, "archive_manifest"), scanned, pp)
+    return status.select("crawl_date", "segment", "n_records", "n_matches", "state")
+
+
 @register("page_filter", f"""
 SELECT crawl_date, segment, record_no, uri, {O_WEBSITE} AS website, language,
        length(text) AS n_chars, text

@@ -202,14 +202,13 @@ def q_archive_roundtrip(spark, d):
 @register("archive_status", f"WITH {O_PP},{O_STATUS}\nSELECT * FROM status",
           ("wet_records", "postcode_lookup", "archive_manifest"))
 def q_archive_status(spark, d):
-    """A1, A2, D4 from real archives: per-file status rows of the ``wet`` source (records read,
-    state) and the matches they yield, reconciled with the manifest."""
-    out = planted_archive_dir(spark)
-    write_archives(_wet(spark, d), out)
-    scanned = wet.read_wet(spark, out, mode="status")
-    recs = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
+    """A1, A2, D4 from real archives: the job's manifest-driven reader yields records and one
+    status row per archive in one pass; matches and status are reconciled with the manifest."""
+    files = write_archives(_wet(spark, d), planted_archive_dir(spark))
+    scan = wet.scan_manifest(files, location="path")
+    recs = scan.where(~F.col("is_status")).withColumn("record_no", record_no_from_id())
     pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
-    status = runs.segment_status(relation(spark, d, "archive_manifest"), scanned, pp)
+    status = runs.segment_status(relation(spark, d, "archive_manifest"), scan.where(F.col("is_status")), pp)
     return status.select("crawl_date", "segment", "n_records", "n_matches", "state")
 
 

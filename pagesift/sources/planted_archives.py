@@ -24,10 +24,15 @@ from .warc import encode_record
 
 RECORD_ID = "<urn:pagesift:record:{}>"
 RECORD_ID_PATTERN = r"record:(\d+)>"
+MANIFEST_SCHEMA = "crawl_date string, segment int, path string, n_records long"
 
 
-def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000) -> int:
-    """Write ``records`` (WET_RECORD columns) under ``out_dir``; returns the records written."""
+def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000) -> DataFrame:
+    """Write ``records`` (WET_RECORD columns) as archives under ``out_dir``.
+
+    Returns the manifest of what was written -- (crawl_date, segment, path, n_records), one
+    row per file -- itself written by the same job to ``out_dir/_manifest`` and read back, so
+    the file list never passes through the driver."""
     cols = records.select("crawl_date", "segment", "record_no", "rec_type", "uri", "language", "text")
     n_parts = max(1, -(-cols.count() // rows_per_task))
     parts = cols.repartitionByRange(n_parts, "crawl_date", "segment", "record_no") \
@@ -36,7 +41,7 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
     def write(batches):
         pid = TaskContext.get().partitionId()
         handles: dict[tuple, object] = {}
-        n = 0
+        counts: dict[tuple, int] = {}
         try:
             for pdf in batches:
                 for row in pdf.itertuples(index=False):
@@ -44,6 +49,7 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
                     if key not in handles:
                         name = f"crawldata{key[0]}segment{key[1]:05d}-p{pid:05d}.wet.gz"
                         handles[key] = open(os.path.join(out_dir, name), "wb")  # noqa: SIM115
+                        counts[key] = 0
                     headers = {"WARC-Type": row.rec_type,
                                "WARC-Record-ID": RECORD_ID.format(int(row.record_no))}
                     if isinstance(row.uri, str):
@@ -52,14 +58,17 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
                         headers["WARC-Identified-Content-Language"] = row.language
                     body = (row.text or "").encode("utf-8")
                     handles[key].write(gzip.compress(encode_record(headers, body), 1))
-                    n += 1
+                    counts[key] += 1
         finally:
             for h in handles.values():
                 h.close()
-        yield pd.DataFrame({"n": [n]})
+        yield pd.DataFrame({
+            "crawl_date": [k[0] for k in counts], "segment": [k[1] for k in counts],
+            "path": [handles[k].name for k in counts], "n_records": list(counts.values())})
 
-    written = parts.mapInPandas(write, "n long").agg(F.sum("n").alias("n")).first()
-    return int(written.n or 0)
+    manifest_dir = os.path.join(out_dir, "_manifest")
+    parts.mapInPandas(write, MANIFEST_SCHEMA).write.mode("overwrite").parquet(manifest_dir)
+    return records.sparkSession.read.parquet(manifest_dir)
 
 
 def planted_archive_dir(spark: SparkSession) -> str:

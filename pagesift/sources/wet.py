@@ -18,6 +18,7 @@ import glob
 import os
 import re
 import urllib.request
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -152,41 +153,69 @@ class WetReader(DataSourceReader):
         return keep if p else None
 
     def read(self, partition: WetPartition):
-        status = ScanResult()
-        keep = None if self.status_mode else self._keep()
+        if self.status_mode:
+            yield self._status_row(partition)
+            return
+        keep = self._keep()
         if partition.end != -1:
-            yield from self._read_range(partition, keep, status)
+            with open(partition.path, "rb") as f:
+                yield from _record_batches(partition, iter_range_records(
+                    f, partition.start, partition.end, keep=keep))
             return
+        with open_any(partition.path) as stream:
+            yield from _record_batches(partition, iter_records(stream, keep=keep))
+
+    @staticmethod
+    def _status_row(partition: WetPartition) -> tuple:
+        """Records read and state of one archive (or byte range); headers only, no body decode."""
+        status = ScanResult()
+        skip_all = lambda h: False
         try:
-            stream = open_any(partition.path)
+            if partition.end != -1:
+                with open(partition.path, "rb") as f:
+                    for _ in iter_range_records(f, partition.start, partition.end, skip_all, status):
+                        pass
+            else:
+                with open_any(partition.path) as stream:
+                    for _ in iter_records(stream, keep=skip_all, status=status):
+                        pass
         except OSError as e:
-            if self.status_mode:
-                yield (partition.crawl_date, partition.segment, 0, "failed", f"{type(e).__name__}: {e}")
-                return
-            raise
-        with stream:
-            if self.status_mode:
-                for _ in iter_records(stream, keep=lambda h: False, status=status):
-                    pass
-                yield (partition.crawl_date, partition.segment, status.n_records, status.state, status.error)
-                return
-            for rec in iter_records(stream, keep=keep, status=status):
-                record_no, rec_type, uri, language, headers, length, text = rec
-                yield (partition.crawl_date, partition.segment, record_no, rec_type, uri, language,
-                       headers, length, text)
-
-
-    def _read_range(self, partition: WetPartition, keep, status: ScanResult):
-        with open(partition.path, "rb") as f:
-            recs = iter_range_records(f, partition.start, partition.end,
-                                      keep=(lambda h: False) if self.status_mode else keep,
-                                      status=status)
-            for rec in recs:
-                record_no, rec_type, uri, language, headers, length, text = rec
-                yield (partition.crawl_date, partition.segment, record_no, rec_type, uri, language,
-                       headers, length, text)
-        if self.status_mode:
-            yield (partition.crawl_date, partition.segment, status.n_records, status.state, status.error)
+            status.state, status.error = "failed", f"{type(e).__name__}: {e}"
+        return (partition.crawl_date, partition.segment, status.n_records, status.state, status.error)
+
+
+_ARROW_RECORD = pa.schema([
+    ("crawl_date", pa.string()), ("segment", pa.int32()), ("record_no", pa.int64()),
+    ("rec_type", pa.string()), ("uri", pa.string()), ("language", pa.string()),
+    ("headers", pa.map_(pa.string(), pa.string())), ("content_length", pa.int64()),
+    ("text", pa.string()),
+])
+
+
+def _record_batches(partition: WetPartition, records) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of ``BATCH_ROWS`` records (columnar hand-off to the JVM)."""
+    cols: dict[str, list] = {k: [] for k in _ARROW_RECORD.names}
+
+    def flush():
+        batch = pa.RecordBatch.from_pydict(cols, schema=_ARROW_RECORD)
+        for v in cols.values():
+            v.clear()
+        return batch
+
+    for record_no, rec_type, uri, language, headers, length, text in records:
+        cols["crawl_date"].append(partition.crawl_date)
+        cols["segment"].append(partition.segment)
+        cols["record_no"].append(record_no)
+        cols["rec_type"].append(rec_type)
+        cols["uri"].append(uri)
+        cols["language"].append(language)
+        cols["headers"].append(list(headers.items()))
+        cols["content_length"].append(length)
+        cols["text"].append(text)
+        if len(cols["record_no"]) >= BATCH_ROWS:
+            yield flush()
+    if cols["record_no"]:
+        yield flush()
 
 
 def _is_gzip(path: str) -> bool:

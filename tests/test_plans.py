@@ -85,3 +85,14 @@ def test_no_cross_join_sort_aggregate_or_python_in_any_query(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "SortAggregate" not in plan, name          # hash aggregates only
         assert "EvalPython" not in plan, name             # no Python UDF in any query
+
+
+def test_output_reads_prune_crawl_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+    pp = match.postcode_pages(relation(spark, SF001, "wet_records"), relation(spark, SF001, "postcode_lookup"))
+    pp.write.partitionBy("crawl_date").parquet(str(tmp_path / "out"))
+    one = spark.read.parquet(str(tmp_path / "out")).where(F.col("crawl_date") == "202104")
+    stats = outputs.output_stats(one)
+    plan = _plan(stats)
+    assert "PartitionFilters: [isnotnull(crawl_date" in plan and "(crawl_date#" in plan
+    assert stats.first().total_rows == pp.where(F.col("crawl_date") == "202104").count()

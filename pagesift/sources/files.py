@@ -81,6 +81,16 @@ def read_logs(spark: SparkSession, directory: str, kinds=("err", "log", "out"))
                         pos.cast("bigint").alias("line_no"), F.col("value").alias("line"))
 
 
+def log_files(spark: SparkSession, directory: str, kinds=("err", "log", "out")) -> DataFrame:
+    """One row per log file: file_path, file name, kind, modification time, lines."""
+    lines = spark.read.text(f"{directory.rstrip('/')}/*.{{{','.join(kinds)}}}")
+    return lines.select(F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_name").alias("file"),
+                        F.col("_metadata.file_modification_time").alias("file_mtime")) \
+        .groupBy("file_path", "file", "file_mtime").agg(F.count(F.lit(1)).alias("n_lines")) \
+        .withColumn("source_kind", F.regexp_extract("file", LOG_KIND, 1))
+
+
 def read_lookup(spark: SparkSession, path: str, key: str = "pcds") -> DataFrame:
     """The reference list. Fails before any archive is read when the file or column is missing."""
     df = spark.read.parquet(path)
@@ -111,5 +121,5 @@ def latest_files(files: DataFrame, n: int = 5) -> DataFrame:
     return files.orderBy(F.col("file_mtime").desc(), F.col("file_path")).limit(n)
 
 
-__all__ = ["read_lines", "read_crawl_list", "read_manifest", "read_logs", "read_lookup",
+__all__ = ["read_lines", "read_crawl_list", "read_manifest", "read_logs", "log_files", "read_lookup",
            "read_output", "output_files", "latest_files", "RECORD_KEY"]

@@ -97,3 +97,14 @@ def test_read_lines_exact_numbers_across_splits(spark, tmp_path):
     assert len(got) == 40002
     assert all(got[("202110", i)] == lines[i] for i in range(40000))
     assert got[("202104", 0)] == "a" and got[("202104", 1)] == "b"
+
+
+def test_latest_log_files(spark, tmp_path):
+    import os
+    for i in range(7):
+        f = tmp_path / f"task_{i}.log"
+        f.write_text(f"line {i}\nmore\n")
+        os.utime(f, (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))
+    latest = files.latest_files(files.log_files(spark, str(tmp_path)), 5).collect()
+    assert [r.file for r in latest] == [f"task_{i}.log" for i in (6, 5, 4, 3, 2)]
+    assert all(r.n_lines == 2 and r.source_kind == "log" for r in latest)

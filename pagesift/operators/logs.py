@@ -78,11 +78,14 @@ def log_time(line) -> F.Column:
     """Timestamp of a log line (``asctime`` prefix), timezone-free; null when absent or invalid.
 
     Built from the parsed fields, so no session time zone (or DST gap) is involved."""
-    ts = F.regexp_extract(line, LOG_TS, 1)
-    f = F.split(ts, r"[- :,]")            # yyyy, MM, dd, HH, mm, ss, SSS
-    part = [f.getItem(i).try_cast("int") for i in range(5)]
-    secs = F.concat(f.getItem(5), F.lit("."), f.getItem(6)).try_cast("decimal(8,3)")
-    return F.when(ts != "", F.try_make_timestamp_ntz(*part, secs))
+    ts = F.regexp_extract(line, LOG_TS, 1)     # fixed layout: yyyy-MM-dd HH:mm:ss,SSS
+
+    def num(pos: int, n: int) -> F.Column:
+        return F.substring(ts, pos, n).cast("int")
+    millis = num(18, 2) * 1000 + num(21, 3)
+    secs = (millis.cast("decimal(12,0)") / 1000).cast("decimal(16,6)")
+    return F.when(ts != "", F.try_make_timestamp_ntz(num(1, 4), num(6, 2), num(9, 2),
+                                                     num(12, 2), num(15, 2), secs))
 
 
 def segment_runtime(lines: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ Two entry points share the framing helper in :mod:`.warc`:
 from __future__ import annotations
 
 import glob
+import gzip
 import os
 import re
 import urllib.request
@@ -57,14 +58,51 @@ _ARROW_SCAN = pa.schema([
 ])
 
 
-def open_any(location: str):
-    """Local/shared-filesystem path or http(s) URL, decompressed when gzip'ed."""
+def _has_scheme(location: str) -> bool:
+    return "://" in location
+
+
+def open_raw(location: str):
+    """Seekable binary file for a path or a filesystem URI (``file://``, ``s3://``,
+    ``gs://``, ``hdfs://``, ... through ``pyarrow.fs``), read inside the task."""
     if location.startswith(("http://", "https://")):
-        import gzip
+        raise ValueError("byte ranges need a seekable filesystem, not http")
+    if not _has_scheme(location):
+        return open(location, "rb")  # noqa: SIM115
+    from pyarrow import fs as pafs
+
+    filesystem, path = pafs.FileSystem.from_uri(location)
+    return filesystem.open_input_file(path)
+
+
+def archive_size(location: str) -> int:
+    """Size in bytes, or -1 when unknown (http) or missing."""
+    try:
+        if location.startswith(("http://", "https://")):
+            return -1
+        if not _has_scheme(location):
+            return os.path.getsize(location)
+        from pyarrow import fs as pafs
 
+        filesystem, path = pafs.FileSystem.from_uri(location)
+        info = filesystem.get_file_info(path)
+        return info.size if info.type == pafs.FileType.File else -1
+    except (OSError, ValueError):
+        return -1
+
+
+def open_any(location: str):
+    """An archive as a binary stream, decompressed when gzip'ed: local/shared path, http(s)
+    URL (streamed), or any filesystem URI ``pyarrow.fs`` knows."""
+    if location.startswith(("http://", "https://")):
         resp = urllib.request.urlopen(location, timeout=300)  # noqa: S310 - archive URLs
         return gzip.GzipFile(fileobj=resp, mode="rb") if location.endswith(".gz") else resp
-    return open_archive(location)
+    if not _has_scheme(location):
+        return open_archive(location)
+    raw = open_raw(location)
+    head = raw.read(2)
+    raw.seek(0)
+    return gzip.GzipFile(fileobj=raw, mode="rb") if head == b"\x1f\x8b" else raw
 
 
 def list_archives(path: str) -> list[str]:
@@ -158,7 +196,7 @@ class WetReader(DataSourceReader):
             return
         keep = self._keep()
         if partition.end != -1:
-            with open(partition.path, "rb") as f:
+            with open_raw(partition.path) as f:
                 yield from _record_batches(partition, iter_range_records(
                     f, partition.start, partition.end, keep=keep))
             return
@@ -172,7 +210,7 @@ class WetReader(DataSourceReader):
         skip_all = lambda h: False
         try:
             if partition.end != -1:
-                with open(partition.path, "rb") as f:
+                with open_raw(partition.path) as f:
                     for _ in iter_range_records(f, partition.start, partition.end, skip_all, status):
                         pass
             else:
@@ -219,7 +257,7 @@ def _record_batches(partition: WetPartition, records) -> Iterator[pa.RecordBatch
 
 
 def _is_gzip(path: str) -> bool:
-    with open(path, "rb") as f:
+    with open_raw(path) as f:
         return f.read(2) == b"\x1f\x8b"
 
 
@@ -262,7 +300,7 @@ def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
 
 def _open_unit(item: dict):
     """Whole archive (decompressed stream) or the raw file for a byte range."""
-    return open_any(item["location"]) if item["end"] == -1 else open(item["location"], "rb")
+    return open_any(item["location"]) if item["end"] == -1 else open_raw(item["location"])
 
 
 def _byte_ranges(rows: DataFrame, split_bytes: int | None) -> DataFrame:
@@ -275,10 +313,8 @@ def _byte_ranges(rows: DataFrame, split_bytes: int | None) -> DataFrame:
         for b in batches:
             out = []
             for loc in b.column("location").to_pylist():
-                try:
-                    out.append(os.path.getsize(loc) if os.path.isfile(loc) and _is_gzip(loc) else -1)
-                except OSError:
-                    out.append(-1)
+                size = archive_size(loc)
+                out.append(size if size > 0 and _is_gzip(loc) else -1)
             yield b.append_column("size", pa.array(out, pa.int64()))
 
     sized = rows.mapInArrow(sizes, "crawl_date string, segment int, location string, size bigint")

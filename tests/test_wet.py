@@ -175,3 +175,18 @@ def test_scan_manifest_byte_ranges_and_status(spark, tmp_path):
     st = {r.segment: (r.n_records, r.state) for r in status.collect()}
     assert st[0] == (301, "empty")
     assert st[1][1] == "partial" and 290 < st[1][0] < 301
+
+
+def test_filesystem_uris_and_ranges(spark, tmp_path):
+    big = tmp_path / "big.wet.gz"
+    big.write_bytes(_many_records())
+    uri = big.as_uri()                               # file:///..., opened through pyarrow.fs
+    assert wet.archive_size(uri) == big.stat().st_size
+    manifest = spark.createDataFrame([("202104", 0, uri), ("202104", 1, str(big))],
+                                     "crawl_date string, segment int, path string")
+    scan = wet.scan_manifest(manifest, location="path", split_bytes=4096)
+    st = {r.segment: (r.n, r.s) for r in scan.where("is_status").groupBy("segment")
+          .agg(F.sum("n_records").alias("n"), F.max("state").alias("s")).collect()}
+    assert st == {0: (301, "read"), 1: (301, "read")}
+    whole = wet.scan_manifest(manifest.where("segment = 0"), location="path")
+    assert whole.where("NOT is_status").count() == 301

@@ -41,6 +41,7 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
     def write(batches):
         pid = TaskContext.get().partitionId()
         handles: dict[tuple, object] = {}
+        paths: dict[tuple, str] = {}
         counts: dict[tuple, int] = {}
         try:
             for pdf in batches:
@@ -48,7 +49,8 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
                     key = (row.crawl_date, int(row.segment))
                     if key not in handles:
                         name = f"crawldata{key[0]}segment{key[1]:05d}-p{pid:05d}.wet.gz"
-                        handles[key] = open(os.path.join(out_dir, name), "wb")  # noqa: SIM115
+                        paths[key] = f"{out_dir.rstrip('/')}/{name}"
+                        handles[key] = _open_output(paths[key])
                         counts[key] = 0
                     headers = {"WARC-Type": row.rec_type,
                                "WARC-Record-ID": RECORD_ID.format(int(row.record_no))}
@@ -64,17 +66,38 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
                 h.close()
         yield pd.DataFrame({
             "crawl_date": [k[0] for k in counts], "segment": [k[1] for k in counts],
-            "path": [handles[k].name for k in counts], "n_records": list(counts.values())})
+            "path": [paths[k] for k in counts], "n_records": list(counts.values())})
 
-    manifest_dir = os.path.join(out_dir, "_manifest")
+    manifest_dir = f"{out_dir.rstrip('/')}/_manifest"
     parts.mapInPandas(write, MANIFEST_SCHEMA).write.mode("overwrite").parquet(manifest_dir)
     return records.sparkSession.read.parquet(manifest_dir)
 
 
+def _open_output(location: str):
+    """Writable binary stream for a local path or a filesystem URI (``pyarrow.fs``)."""
+    if "://" not in location:
+        return open(location, "wb")  # noqa: SIM115
+    from pyarrow import fs as pafs
+
+    filesystem, path = pafs.FileSystem.from_uri(location)
+    return filesystem.open_output_stream(path)
+
+
 def planted_archive_dir(spark: SparkSession) -> str:
-    """A fresh folder for planted archives under the session's checkpoint folder."""
+    """A fresh folder for planted archives under the session's (shared) checkpoint folder:
+    a local path for ``file:`` checkpoints, else a filesystem URI."""
     base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base.replace("file:", ""), f"planted-archives-{uuid.uuid4().hex[:12]}")
+    name = f"planted-archives-{uuid.uuid4().hex[:12]}"
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
+    if "://" in base:
+        from pyarrow import fs as pafs
+
+        uri = f"{base.rstrip('/')}/{name}"
+        filesystem, path = pafs.FileSystem.from_uri(uri)
+        filesystem.create_dir(path, recursive=True)
+        return uri
+    path = os.path.join(base, name)
     os.makedirs(path, exist_ok=True)
     return path
 

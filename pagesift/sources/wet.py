@@ -105,11 +105,31 @@ def open_any(location: str):
     return gzip.GzipFile(fileobj=raw, mode="rb") if head == b"\x1f\x8b" else raw
 
 
+ARCHIVE_SUFFIXES = (".wet.gz", ".wet", ".gz")
+
+
+def _list_uri(uri: str) -> list[str]:
+    """Archives under a filesystem URI (a file or a folder, recursively), as URIs."""
+    from pyarrow import fs as pafs
+
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    prefix = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
+    info = filesystem.get_file_info(path)
+    if info.type == pafs.FileType.File:
+        return [uri]
+    found = filesystem.get_file_info(pafs.FileSelector(path, recursive=True))
+    return sorted(prefix + f.path for f in found
+                  if f.type == pafs.FileType.File and f.path.endswith(ARCHIVE_SUFFIXES))
+
+
 def list_archives(path: str) -> list[str]:
-    """Expand a comma-separated list of files, directories and globs, sorted."""
+    """Expand a comma-separated list of files, directories and globs (or filesystem URIs),
+    sorted."""
     out: list[str] = []
     for p in [x.strip() for x in path.split(",") if x.strip()]:
-        if os.path.isdir(p):
+        if _has_scheme(p) and not p.startswith(("http://", "https://")):
+            out.extend(_list_uri(p))
+        elif os.path.isdir(p):
             found = set()
             for g in ARCHIVE_GLOBS:
                 found.update(glob.glob(os.path.join(p, "**", g), recursive=True))
@@ -162,7 +182,8 @@ class WetReader(DataSourceReader):
             m = pattern.search(os.path.basename(p))
             date, seg = (m.group(1), int(m.group(2))) if m and m.lastindex and m.lastindex >= 2 \
                 else (fallback_date, i)
-            size = os.path.getsize(p) if split and os.path.isfile(p) and _is_gzip(p) else 0
+            size = archive_size(p) if split else 0
+            size = size if size > 0 and _is_gzip(p) else 0
             for start, end in byte_ranges(size, split):
                 parts.append(WetPartition(p, date, seg, start, end))
         return parts

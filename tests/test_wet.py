@@ -190,3 +190,21 @@ def test_filesystem_uris_and_ranges(spark, tmp_path):
     assert st == {0: (301, "read"), 1: (301, "read")}
     whole = wet.scan_manifest(manifest.where("segment = 0"), location="path")
     assert whole.where("NOT is_status").count() == 301
+
+
+def test_data_source_lists_filesystem_uris(spark, tmp_path):
+    (tmp_path / "crawldata202104segment00003.wet.gz").write_bytes(warc.gzip_members(RECORDS))
+    df = wet.read_wet(spark, tmp_path.as_uri(), split_bytes=64)
+    assert df.count() == 4 and {r.segment for r in df.collect()} == {3}
+
+
+def test_planted_archives_to_filesystem_uri(spark, tmp_path):
+    from conftest import SF001
+    from pagesift.sources.planted import relation
+    from pagesift.sources.planted_archives import record_no_from_id, write_archives
+    out = (tmp_path / "arch").as_uri()
+    (tmp_path / "arch").mkdir()
+    files = write_archives(relation(spark, SF001, "wet_records"), out)
+    assert files.agg(F.sum("n_records")).first()[0] == 200
+    back = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
+    assert sorted(r.record_no for r in back.select("record_no").collect()) == list(range(200))

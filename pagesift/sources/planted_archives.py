@@ -80,7 +80,7 @@ def _open_output(location: str):
     from pyarrow import fs as pafs
 
     filesystem, path = pafs.FileSystem.from_uri(location)
-    return filesystem.open_output_stream(path)
+    return filesystem.open_output_stream(path, compression=None)   # bytes are gzip already
 
 
 def planted_archive_dir(spark: SparkSession) -> str:

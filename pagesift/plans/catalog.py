@@ -577,8 +577,8 @@ def q_latest_job(spark, d):
 flags AS ({O_ERR_FLAGS}),
 succ AS ({O_SUCCESS}),
 fig AS (
-  SELECT (SELECT count(*) FILTER (WHERE is_error) FROM flags WHERE source_kind IN ('err', 'log')) AS n_errors,
-         (SELECT count(*) FILTER (WHERE is_warning) FROM flags WHERE source_kind IN ('err', 'log')) AS n_warnings,
+  SELECT (SELECT count(*) FILTER (WHERE is_error) FROM flags WHERE source_kind = 'log') AS n_errors,
+         (SELECT count(*) FILTER (WHERE is_warning) FROM flags WHERE source_kind = 'log') AS n_warnings,
          (SELECT coalesce(sum(n_marks), 0) FROM succ)::BIGINT AS n_success,
          (SELECT coalesce(sum(n_records), 0) FROM succ)::BIGINT AS n_records,
          (SELECT count(*) FROM pp) AS total_rows,

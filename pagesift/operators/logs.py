@@ -34,9 +34,11 @@ def _ci(pattern: str):
     return f"(?i){pattern}"
 
 
-def classify(lines: DataFrame, strict_warnings: bool = False) -> DataFrame:
+def classify(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
     """Add boolean ``is_error`` / ``is_warning`` with the pattern set of the line's file kind
-    (``err`` and ``log`` files only; other kinds are neither)."""
+    (``err`` and ``log`` files only; other kinds are neither). ``strict_warnings`` (default)
+    matches the ``.err`` warning words as whole words; ``False`` keeps the reference's loose
+    form, where ``low`` also hits "following", "slow", "allowed"."""
     kind, line = F.col("source_kind"), F.col("line")
     err_warn = ERR_WARNINGS_STRICT if strict_warnings else ERR_WARNINGS
     is_error = (F.when(kind == "err", line.rlike(_ci(ERR_ERRORS)))
@@ -47,7 +49,7 @@ def classify(lines: DataFrame, strict_warnings: bool = False) -> DataFrame:
         .withColumn("is_warning", F.coalesce(is_warn, F.lit(False)))
 
 
-def log_error_counts(lines: DataFrame, strict_warnings: bool = False) -> DataFrame:
+def log_error_counts(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
     """Per ``.err``/``.log`` file: error and warning line counts."""
     c = classify(lines.where(F.col("source_kind").isin("err", "log")), strict_warnings)
     return c.groupBy("file", "source_kind").agg(

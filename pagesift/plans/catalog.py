@@ -137,7 +137,7 @@ SELECT file, source_kind, line_no, line,
   CASE WHEN source_kind = 'err' THEN regexp_matches(line, '(?i)error|failed|exception|timeout')
        WHEN source_kind = 'log' THEN regexp_matches(line, '(?i)error|failed to download|error processing|logging.error')
        ELSE false END AS is_error,
-  CASE WHEN source_kind = 'err' THEN regexp_matches(line, '(?i)warning|low|insufficient')
+  CASE WHEN source_kind = 'err' THEN regexp_matches(line, '(?i)\b(warning|low|insufficient)\b')
        WHEN source_kind = 'log' THEN regexp_matches(line, '(?i)warning|no records|low disk')
        ELSE false END AS is_warning
 FROM log_lines"""

@@ -166,3 +166,13 @@ def test_monitor_eta_defaults_to_300s(spark):
     rt = spark.createDataFrame([("a", 599.9)], "crawl_date string, avg_s double")
     got = {r.crawl_date: (r.sec_per_segment, r.eta_hours) for r in runs.monitor_eta(prog, rt).collect()}
     assert got == {"a": (599, 1), "b": (300, 8)}
+
+
+def test_warning_patterns_strict_and_reference(spark):
+    from pagesift.operators import logs
+    lines = spark.createDataFrame(
+        [("a.err", "err", 1, "slow network, retries allowed"), ("a.err", "err", 2, "Low disk space"),
+         ("a.err", "err", 3, "WARNING: insufficient quota")], "file string, source_kind string, line_no long, line string")
+    strict = logs.log_error_counts(lines).first()
+    loose = logs.log_error_counts(lines, strict_warnings=False).first()
+    assert (strict.n_warnings, loose.n_warnings) == (2, 3)

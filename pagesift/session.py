@@ -6,7 +6,10 @@ convenience used by tests and ``bench.py``.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +54,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="pagesift-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pagesift`` importable in the Python workers (``addPyFile`` of a zip of the
+    package), once per application. Operators that run Python in tasks call this; with
+    ``spark-submit --py-files pagesift.zip`` it only adds a second copy of the same code."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
+    target = base if "://" not in base else tempfile.mkdtemp(prefix="pagesift-code-")
+    os.makedirs(target, exist_ok=True)
+    zip_path = os.path.join(target, f"pagesift-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(pkg_dir):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(sc.applicationId)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from .warc import encode_record
 
 RECORD_ID = "<urn:pagesift:record:{}>"
@@ -33,6 +33,7 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
     Returns the manifest of what was written -- (crawl_date, segment, path, n_records), one
     row per file -- itself written by the same job to ``out_dir/_manifest`` and read back, so
     the file list never passes through the driver."""
+    ship_package(records.sparkSession)
     cols = records.select("crawl_date", "segment", "record_no", "rec_type", "uri", "language", "text")
     n_parts = max(1, -(-cols.count() // rows_per_task))
     parts = cols.repartitionByRange(n_parts, "crawl_date", "segment", "record_no") \

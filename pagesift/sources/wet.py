@@ -4,8 +4,9 @@ Two entry points share the framing helper in :mod:`.warc`:
 
 * ``spark.read.format("wet").load(path)`` -- a Python Data Source with one input partition
   per archive. Equality / contains / prefix filters on ``rec_type``, ``uri`` and ``language``
-  are pushed into the reader (``spark.sql.python.filterPushdown.enabled=true``), so bodies
-  of records that cannot pass are skipped undecoded; Spark still re-checks every filter.
+  are pushed into the reader when the session enables ``spark.sql.python.filterPushdown``
+  (``read_wet`` asks for it then), so bodies of records that cannot pass are skipped
+  undecoded; Spark still re-checks every filter. Without it the plain reader is used.
   ``option("mode", "status")`` yields one row per archive instead (records read, state).
 * :func:`scan_manifest` -- the same reader driven by a manifest DataFrame via
   ``mapInArrow``: the file list never passes through the driver, and every archive yields
@@ -36,11 +37,13 @@ from pyspark.sql.datasource import (
 )
 
 from ..schemas import SCAN_STATUS, WET_RECORD
+from ..session import ship_package
 from .warc import ScanResult, byte_ranges, header_filter, iter_range_records, iter_records, open_archive
 
 # Archive names written by the reference's jobs: crawldata{date}segment{NNNNN}.wet.gz
 DEFAULT_NAME_PATTERN = r"crawldata(\d+)segment(\d+)"
 BATCH_ROWS = 1024   # rows per Arrow batch out of the reader
+PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 ARCHIVE_GLOBS = ("*.wet.gz", "*.warc.wet.gz", "*.wet", "*.gz")
 
 SCAN_ROW = T.StructType(WET_RECORD.fields + [
@@ -157,21 +160,6 @@ class WetReader(DataSourceReader):
         self.status_mode = status_mode
         self.pushed: dict[str, str] = {}
 
-    def pushFilters(self, filters):
-        col = {"rec_type": "rec_type", "uri": "uri", "language": "language"}
-        for f in filters:
-            name = f.attribute[0] if len(f.attribute) == 1 else None
-            if name in col and isinstance(f, EqualTo) and isinstance(f.value, str):
-                self.pushed[f"{name}_eq"] = f.value
-            elif name == "uri" and isinstance(f, StringContains):
-                self.pushed["uri_contains"] = f.value
-            elif name == "uri" and isinstance(f, StringStartsWith):
-                self.pushed["uri_startswith"] = f.value
-            elif name in col and isinstance(f, IsNotNull):
-                self.pushed[f"{name}_notnull"] = "1"
-            # Spark re-evaluates every filter after the scan: the reader only skips early.
-            yield f
-
     def partitions(self):
         files = list_archives(self.options["path"])
         pattern = re.compile(self.options.get("namepattern", DEFAULT_NAME_PATTERN))
@@ -282,6 +270,26 @@ def _is_gzip(path: str) -> bool:
         return f.read(2) == b"\x1f\x8b"
 
 
+class WetPushdownReader(WetReader):
+    """``WetReader`` that takes pushed filters (needs
+    ``spark.sql.python.filterPushdown.enabled=true``, else Spark refuses the reader)."""
+
+    def pushFilters(self, filters):
+        col = {"rec_type": "rec_type", "uri": "uri", "language": "language"}
+        for f in filters:
+            name = f.attribute[0] if len(f.attribute) == 1 else None
+            if name in col and isinstance(f, EqualTo) and isinstance(f.value, str):
+                self.pushed[f"{name}_eq"] = f.value
+            elif name == "uri" and isinstance(f, StringContains):
+                self.pushed["uri_contains"] = f.value
+            elif name == "uri" and isinstance(f, StringStartsWith):
+                self.pushed["uri_startswith"] = f.value
+            elif name in col and isinstance(f, IsNotNull):
+                self.pushed[f"{name}_notnull"] = "1"
+            # Spark re-evaluates every filter after the scan: the reader only skips early.
+            yield f
+
+
 class WetDataSource(DataSource):
     """``spark.read.format("wet").option("path", ...)``: records of WET archives."""
 
@@ -296,10 +304,13 @@ class WetDataSource(DataSource):
         return SCAN_STATUS if self._status_mode() else WET_RECORD
 
     def reader(self, schema):
-        return WetReader(self.options, self._status_mode())
+        pushdown = self.options.get("pushdown", "false").lower() == "true"
+        cls = WetPushdownReader if pushdown and not self._status_mode() else WetReader
+        return cls(self.options, self._status_mode())
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(WetDataSource)
 
 
@@ -312,7 +323,9 @@ def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
     parallel (one gzip member per record, as crawl archives are written); status rows are then
     per range and add up per archive."""
     register(spark)
+    pushdown = spark.conf.get(PUSHDOWN_CONF, "false").lower() == "true"
     r = spark.read.format("wet").option("path", path).option("mode", mode) \
+        .option("pushdown", str(pushdown).lower()) \
         .option("namePattern", name_pattern).option("splitBytes", str(split_bytes or 0))
     if crawl_date is not None:
         r = r.option("crawlDate", crawl_date)
@@ -368,6 +381,7 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
     its own unit of work (with its own status row), so one oversized archive is spread over
     many tasks instead of holding one task for hours.
     """
+    ship_package(manifest.sparkSession)
     keep = header_filter(rec_type=rec_type, uri_contains=uri_contains, language=language)
     filtered = any(v is not None for v in (rec_type, uri_contains, language))
     rows = manifest.select("crawl_date", F.col("segment").cast("int").alias("segment"),

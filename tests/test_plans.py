@@ -5,7 +5,7 @@ from pyspark.sql.datasource import EqualTo, IsNotNull, StringContains
 from conftest import SF001
 from pagesift.operators import logs, match, outputs
 from pagesift.sources.planted import relation
-from pagesift.sources.wet import WetReader
+from pagesift.sources.wet import WetPushdownReader
 
 
 def _plan(df) -> str:
@@ -64,7 +64,7 @@ def test_output_stats_reads_only_postcodes(spark, tmp_path):
 
 
 def test_reader_takes_pushed_filters():
-    r = WetReader({"path": "/nonexistent"}, status_mode=False)
+    r = WetPushdownReader({"path": "/nonexistent"}, status_mode=False)
     fs = [EqualTo(("rec_type",), "conversion"), StringContains(("uri",), ".co.uk/"),
           EqualTo(("language",), "eng"), IsNotNull(("uri",))]
     back = list(r.pushFilters(fs))

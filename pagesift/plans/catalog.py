@@ -19,7 +19,7 @@ from ..functions.text import UK_POSTCODE, website
 from ..operators import jobs, logs, match, outputs, report, runs
 from ..sources import wet
 from ..sources.planted import relation, table, with_relations
-from ..sources.planted_archives import planted_archive_dir, record_no_from_id, write_archives
+from ..sources.planted_archives import planted_archives, record_no_from_id
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -192,8 +192,7 @@ def q_postcode_pages(spark, d):
 def q_archive_roundtrip(spark, d):
     """S5-S8 at scale: planted records written as WET archives by Spark, read back by the
     ``wet`` source, matched by the flagship operator -- must equal ``postcode_pages``."""
-    out = planted_archive_dir(spark)
-    write_archives(_wet(spark, d), out)
+    out, _ = planted_archives(spark, _wet(spark, d), d)
     recs = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
     pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
     return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
@@ -204,7 +203,7 @@ def q_archive_roundtrip(spark, d):
 def q_archive_status(spark, d):
     """A1, A2, D4 from real archives: the job's manifest-driven reader yields records and one
     status row per archive in one pass; matches and status are reconciled with the manifest."""
-    files = write_archives(_wet(spark, d), planted_archive_dir(spark))
+    _, files = planted_archives(spark, _wet(spark, d), d)
     scan = wet.scan_manifest(files, location="path")
     recs = scan.where(~F.col("is_status")).withColumn("record_no", record_no_from_id())
     pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))

@@ -11,6 +11,7 @@ partition, so a retried task rewrites the same files.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import os
 import uuid
 
@@ -84,11 +85,14 @@ def _open_output(location: str):
     return filesystem.open_output_stream(path, compression=None)   # bytes are gzip already
 
 
-def planted_archive_dir(spark: SparkSession) -> str:
-    """A fresh folder for planted archives under the session's (shared) checkpoint folder:
-    a local path for ``file:`` checkpoints, else a filesystem URI."""
+def planted_archive_dir(spark: SparkSession, key: str | None = None) -> str:
+    """A folder for planted archives under the session's (shared) checkpoint folder, which is
+    specific to the application: named after ``key`` when given (so the archives of one input
+    are written once per application), else fresh. A local path for ``file:`` checkpoints,
+    else a filesystem URI."""
     base = ensure_checkpoint_dir(spark)
-    name = f"planted-archives-{uuid.uuid4().hex[:12]}"
+    tag = hashlib.sha1(key.encode()).hexdigest()[:12] if key else uuid.uuid4().hex[:12]
+    name = f"planted-archives-{tag}"
     if base.startswith("file:"):
         base = "/" + base[len("file:"):].lstrip("/")
     if "://" in base:
@@ -103,6 +107,26 @@ def planted_archive_dir(spark: SparkSession) -> str:
     return path
 
 
+def _exists(location: str) -> bool:
+    if "://" not in location:
+        return os.path.exists(location)
+    from pyarrow import fs as pafs
+
+    filesystem, path = pafs.FileSystem.from_uri(location)
+    return filesystem.get_file_info(path).type != pafs.FileType.NotFound
+
+
+def planted_archives(spark: SparkSession, records: DataFrame, key: str) -> tuple[str, DataFrame]:
+    """(folder, manifest) of ``records`` written as archives, reusing a complete earlier write
+    of the same ``key`` in this application."""
+    out = planted_archive_dir(spark, key)
+    manifest_dir = f"{out.rstrip('/')}/_manifest"
+    if _exists(f"{manifest_dir}/_SUCCESS"):
+        ship_package(spark)
+        return out, spark.read.parquet(manifest_dir)
+    return out, write_archives(records, out)
+
+
 def record_no_from_id(headers: str = "headers") -> F.Column:
     """The planted record number carried in ``WARC-Record-ID``."""
     return F.regexp_extract(F.col(headers)["warc-record-id"], RECORD_ID_PATTERN, 1).cast("bigint")

@@ -1,0 +1 @@
+"""Incremental runs over newly landed records or manifests (``incremental``)."""

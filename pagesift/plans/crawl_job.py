@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK
+from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK, page_predicate
 from ..operators.match import postcode_pages
 from ..operators.runs import manifest_segments, segment_slice, segment_status
 from ..schemas import MATCH
@@ -89,3 +89,31 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
     finally:
         scan.unpersist()
     return JobResult(output_dir, status_dir, spark.read.parquet(status_dir))
+
+
+def filter_records(spark: SparkSession, records: DataFrame, manifest: DataFrame, lookup: DataFrame,
+                   output_dir: str, status_dir: str, *, url_contains: str = UK_HOST_MARK,
+                   language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
+                   mode: str = "overwrite") -> JobResult:
+    """The same job over records from any reader, e.g. the JVM-only ``read_wet_text`` on a glob
+    in HDFS or an object store.
+
+    One scan feeds both outputs: a narrow projection -- the key of every record, and type, URI,
+    language and text only where the cheap header tests pass -- is checkpointed to
+    ``spark.checkpoint.dir``; matches come from its candidates, records-per-segment from all
+    of its rows. (No ``partial`` state here: the text reader cannot tell a truncated archive.)
+    """
+    cand = F.coalesce(page_predicate(url_contains=url_contains, lang=language), F.lit(False))
+    narrow = records.select(
+        "crawl_date", "segment", "record_no", cand.alias("is_candidate"),
+        *[F.when(cand, F.col(c)).alias(c) for c in ("rec_type", "uri", "language", "text")])
+    ensure_checkpoint_dir(spark)
+    staged = narrow.checkpoint(eager=True)
+    matches = postcode_pages(staged.where(F.col("is_candidate")), lookup, url_contains=url_contains,
+                             language=language, prefix=prefix, key=key)
+    write_matches(matches, output_dir, mode=mode)
+    written = spark.read.schema(MATCH).parquet(output_dir).select("crawl_date", "segment")
+    scanned = staged.groupBy("crawl_date", "segment").agg(F.count(F.lit(1)).alias("n_records"))
+    status = segment_status(manifest.select("crawl_date", "segment"), scanned, written)
+    write_status(status, status_dir)
+    return JobResult(output_dir, status_dir, spark.read.parquet(status_dir))

@@ -64,3 +64,39 @@ def test_cli_filter_analyse_status(spark, tmp_path, capsys):
     assert rep.total_rows == 1 and rep.n_success == 1 and rep.verdict == "healthy"
     assert main(["status", *common, "--elapsed-seconds", "600"], spark) == 0
     assert "202104" in capsys.readouterr().out
+
+
+def _archives(d):
+    d.mkdir()
+    (d / "crawldata202104segment00000.wet.gz").write_bytes(warc.gzip_members(
+        [INFO, conv("https://a.co.uk/1", b"At BS1 4AB and BS2 0HQ"), conv("https://b.co.uk/2", b"none")]))
+    (d / "crawldata202104segment00001.wet.gz").write_bytes(warc.gzip_members([INFO, conv("https://b.co.uk/2", b"x")]))
+
+
+def test_rerun_does_not_duplicate(spark, tmp_path):
+    d = tmp_path / "arch"
+    _archives(d)
+    manifest = spark.createDataFrame([("202104", i, str(d / f"crawldata202104segment0000{i}.wet.gz")) for i in (0, 1)],
+                                     "crawl_date string, segment int, path string")
+    lookup = spark.createDataFrame([("BS1 4AB",)], "pcds string")
+    out, st = str(tmp_path / "out"), str(tmp_path / "st")
+    for _ in range(2):          # a restarted job overwrites, never appends
+        filter_crawl(spark, manifest, lookup, out, st)
+    assert spark.read.parquet(out).count() == 1
+    assert spark.read.parquet(st).count() == 2
+
+
+def test_filter_records_with_jvm_reader(spark, tmp_path):
+    from pagesift.plans.crawl_job import filter_records
+    from pagesift.sources.wet_text import read_wet_text
+    d = tmp_path / "arch"
+    _archives(d)
+    manifest = spark.createDataFrame([("202104", 0, "a"), ("202104", 1, "b"), ("202104", 2, "c")],
+                                     "crawl_date string, segment int, path string")
+    lookup = spark.createDataFrame([("BS1 4AB",), ("BS2 0HQ",)], "pcds string")
+    res = filter_records(spark, read_wet_text(spark, str(d)), manifest, lookup,
+                         str(tmp_path / "out"), str(tmp_path / "st"))
+    out = spark.read.parquet(res.matches_path).collect()
+    assert [(r.segment, r.postcodes) for r in out] == [(0, ["BS1 4AB", "BS2 0HQ"])]
+    st = {r.segment: (r.state, r.n_records, r.n_matches) for r in res.status.collect()}
+    assert st == {0: ("done", 3, 1), 1: ("empty", 2, 0), 2: ("pending", 0, 0)}

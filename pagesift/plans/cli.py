@@ -19,9 +19,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import outputs, report, runs
+from ..operators.joins import bounded_broadcast
 from ..sources import files
 from ..sources.sinks import write_report
-from .crawl_job import filter_crawl
+from ..sources.wet_text import read_wet_text
+from .crawl_job import filter_crawl, filter_records
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -40,6 +42,10 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--task-id", type=int, help="process segments [task*k, (task+1)*k)")
     f.add_argument("--segments-per-task", type=int, default=1)
     f.add_argument("--files-per-task", type=int, default=4, help="archives per Spark task")
+    f.add_argument("--reader", choices=("python", "text"), default="python",
+                   help="python: exact framing + per-archive status; text: JVM-only reader")
+    f.add_argument("--archives", help="with --reader text: archive folder or glob (any Hadoop "
+                   "filesystem), files named crawldata{date}segment{NNNNN}...")
 
     a = sub.add_parser("analyse", help="run report from logs and outputs")
     a.add_argument("--logs", required=True, help="folder with *.err, *.log, *.out")
@@ -62,10 +68,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.segment is not None:
             manifest = manifest.where(F.col("segment") == args.segment)
         lookup = files.read_lookup(spark, args.postcode_lookup, args.lookup_column)
-        res = filter_crawl(spark, manifest, lookup, args.output_dir, args.status_dir,
-                           base_url=args.server_url, key=args.lookup_column,
-                           task_id=args.task_id, segments_per_task=args.segments_per_task,
-                           files_per_task=args.files_per_task)
+        if args.reader == "text":
+            if not args.archives:
+                raise SystemExit("--reader text needs --archives")
+            records = read_wet_text(spark, args.archives, crawl_date=args.crawl_date)
+            if args.task_id is not None or args.segment is not None:
+                if args.task_id is not None:
+                    manifest = runs.segment_slice(manifest, args.task_id, args.segments_per_task)
+                # a slice is small: keep its archives' records with a size-checked broadcast
+                keys = bounded_broadcast(manifest.select("crawl_date", "segment"))
+                records = records.join(keys, ["crawl_date", "segment"], "left_semi")
+            res = filter_records(spark, records, manifest, lookup, args.output_dir,
+                                 args.status_dir, key=args.lookup_column)
+        else:
+            res = filter_crawl(spark, manifest, lookup, args.output_dir, args.status_dir,
+                               base_url=args.server_url, key=args.lookup_column,
+                               task_id=args.task_id, segments_per_task=args.segments_per_task,
+                               files_per_task=args.files_per_task)
         res.status.groupBy("crawl_date", "state").count().orderBy("crawl_date", "state").show()
     elif args.command == "analyse":
         lines = files.read_logs(spark, args.logs)

@@ -100,3 +100,18 @@ def test_filter_records_with_jvm_reader(spark, tmp_path):
     assert [(r.segment, r.postcodes) for r in out] == [(0, ["BS1 4AB", "BS2 0HQ"])]
     st = {r.segment: (r.state, r.n_records, r.n_matches) for r in res.status.collect()}
     assert st == {0: ("done", 3, 1), 1: ("empty", 2, 0), 2: ("pending", 0, 0)}
+
+
+def test_cli_text_reader(spark, tmp_path):
+    from pagesift.plans.cli import main
+    d = tmp_path / "arch"
+    _archives(d)
+    paths = tmp_path / "202104_wet.paths"
+    paths.write_text("a\nb\n")
+    spark.createDataFrame([("BS1 4AB",)], "pcds string").write.parquet(str(tmp_path / "lookup"))
+    out, status = str(tmp_path / "out"), str(tmp_path / "status")
+    assert main(["filter", "--wet-paths", str(paths), "--postcode-lookup", str(tmp_path / "lookup"),
+                 "--output-dir", out, "--status-dir", status, "--reader", "text",
+                 "--archives", str(d)], spark) == 0
+    st = {r.segment: r.state for r in spark.read.parquet(status).collect()}
+    assert st == {0: "done", 1: "empty"} and spark.read.parquet(out).count() == 1

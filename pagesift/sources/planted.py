@@ -2,7 +2,7 @@
 
 The driver's tables hold no crawl archives, postcodes, logs or job accounting, so the test
 inputs are derived from them with SQL that is valid unchanged in Spark SQL and DuckDB. Each
-text below is registered as a temporary view in Spark and inlined as a CTE in the oracle SQL.
+text below is run by ``spark.sql`` over the driver tables and inlined as a CTE in the oracle SQL.
 Every relation reads a driver table, so its size follows the scale factor -- except the
 25-row ``crawl_lines`` and ``manifest`` fixtures over ``nation``, kept for the expected numbers
 of FIXTURES.md; the registered queries use ``crawl_list_lines`` (one line per event) and
@@ -11,6 +11,8 @@ of FIXTURES.md; the registered queries use ``crawl_list_lines`` (one line per ev
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Driver tables each relation reads.
@@ -134,16 +136,15 @@ from events
 """
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names) -> None:
-    """Register driver tables ``names`` from ``sf_dir`` as temporary views."""
-    for name in names:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-
-
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The planted relation ``name`` over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir, DEPENDS[name])
-    return spark.sql(SQL[name])
+    """The planted relation ``name`` over the tables in ``sf_dir``.
+
+    The tables are bound as DataFrame arguments of ``spark.sql`` (no session-wide temporary
+    views), so calls for different scale folders never interfere."""
+    text = SQL[name]
+    for t in DEPENDS[name]:
+        text = re.sub(rf"\b(from|join)\s+{t}\b", rf"\1 {{{t}}}", text, flags=re.IGNORECASE)
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in DEPENDS[name]})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

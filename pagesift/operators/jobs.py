@@ -53,6 +53,16 @@ def latest_job(accounting: DataFrame) -> DataFrame:
                 F.col("submit_time").alias("latest_submit_time"))
 
 
+def first_jobs(accounting: DataFrame, n: int = 5,
+               states: tuple[str, ...] = ("RUNNING", "PENDING")) -> DataFrame:
+    """The first ``n`` jobs (lowest ids) of each active state, as the status listing shows the
+    head of the queue; ``n=1`` with ``("RUNNING",)`` is the first running job."""
+    w = Window.partitionBy("state").orderBy("job_id")
+    return accounting.where(F.col("state").isin(*states)) \
+        .select("state", "job_id", F.row_number().over(w).alias("rank")) \
+        .where(F.col("rank") <= n)
+
+
 def deadline_days(accounting: DataFrame, deadline: str,
                   alert_days: int = DEADLINE_ALERT_DAYS) -> DataFrame:
     """Per job: whole days from submission to ``deadline`` (truncated) and an alert flag."""

@@ -571,6 +571,14 @@ def q_latest_job(spark, d):
     return jobs.latest_job(relation(spark, d, "accounting")).select("state", "latest_job_id")
 
 
+@register("first_jobs", """
+SELECT state, job_id, row_number() OVER (PARTITION BY state ORDER BY job_id) AS rank
+FROM accounting WHERE state IN ('RUNNING', 'PENDING') QUALIFY rank <= 5""", ("accounting",))
+def q_first_jobs(spark, d):
+    """Head of the queue -- first five running and pending jobs."""
+    return jobs.first_jobs(relation(spark, d, "accounting"), 5)
+
+
 # ================================================================ report
 @register("run_report", f"""WITH {O_PP},{O_COVERAGE},
 flags AS ({O_ERR_FLAGS}),

@@ -1,8 +1,7 @@
 """Readers for the run's text and Parquet inputs: crawl list, manifests, logs, lookup, output.
 
-Manifests (segment = 0-based line index) and crawl lists need exact line numbers:
-``read_lines`` gives them without ever putting a whole file in one task (see there). Logs
-only need line order, so ``read_logs`` skips the numbering pass.
+Manifests (segment = 0-based line index), crawl lists and logs get exact line numbers from
+``read_lines`` without ever putting a whole file in one task (see there).
 """
 
 from __future__ import annotations
@@ -67,18 +66,12 @@ def read_manifest(spark: SparkSession, path: str | list[str], crawl_date: str |
 
 
 def read_logs(spark: SparkSession, directory: str, kinds=("err", "log", "out")) -> DataFrame:
-    """(file, source_kind, line_no, line) for the job's ``*.err``, ``*.log``, ``*.out`` files.
-
-    Read line by line (splittable, so one huge log is spread over many tasks). ``line_no``
-    orders the lines of a file -- split start offset, then position within the split -- but
-    is not dense; ``first_failures`` / ``recent_activity`` only need the order.
-    """
-    lines = spark.read.text(f"{directory.rstrip('/')}/*.{{{','.join(kinds)}}}")
-    in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    pos = F.col("_metadata.file_block_start") * F.lit(1 << 24) + in_split
-    return lines.select(F.col("_metadata.file_name").alias("file"),
-                        F.regexp_extract(F.col("_metadata.file_name"), LOG_KIND, 1).alias("source_kind"),
-                        pos.cast("bigint").alias("line_no"), F.col("value").alias("line"))
+    """(file, source_kind, line_no, line) for the job's ``*.err``, ``*.log``, ``*.out`` files,
+    with exact 0-based line numbers (splittable: see ``read_lines``)."""
+    lines = read_lines(spark, f"{directory.rstrip('/')}/*.{{{','.join(kinds)}}}")
+    return lines.select(F.col("file_name").alias("file"),
+                        F.regexp_extract("file_name", LOG_KIND, 1).alias("source_kind"),
+                        "line_no", "line")
 
 
 def log_files(spark: SparkSession, directory: str, kinds=("err", "log", "out")) -> DataFrame:

@@ -43,8 +43,8 @@ def test_read_logs_and_mining(spark, tmp_path):
     rt = logs.segment_runtime(lines).collect()
     assert [(r.crawl_date, r.segment, r.runtime_s) for r in rt] == [("202104", 7, 300)]
     first = logs.first_failures(lines).collect()
-    assert [r.line for r in first if r.file == "job_1.log"] == [
-        "2025-01-01 00:05:01,000 - ERROR - Failed to download https://h/y.gz after 5 attempts: timeout"]
+    assert [(r.line_no, r.line) for r in first if r.file == "job_1.log"] == [
+        (2, "2025-01-01 00:05:01,000 - ERROR - Failed to download https://h/y.gz after 5 attempts: timeout")]
     last = logs.recent_activity(lines, 1).collect()
     assert {r.file: r.line for r in last}["job_1.err"] == "Traceback: Exception raised"
 
@@ -56,10 +56,10 @@ def test_log_order_across_splits(spark, tmp_path):
     try:
         lines = files.read_logs(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 4
-        got = [r.line for r in lines.orderBy("line_no").collect()]
+        got = [(r.line_no, r.line) for r in lines.orderBy("line_no").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert got == [f"2025-01-01 00:00:00,000 - INFO - line {i}" for i in range(n)]
+    assert got == [(i, f"2025-01-01 00:00:00,000 - INFO - line {i}") for i in range(n)]
 
 
 def test_lookup_fails_fast(spark, tmp_path):

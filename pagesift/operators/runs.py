@@ -130,9 +130,12 @@ def segment_status(manifest: DataFrame, scanned: DataFrame, matches: DataFrame)
         if "state" in scan_cols else F.lit(None).cast("int")
     scan = scanned.groupBy(*SEGMENT_KEY).agg(
         F.sum("n_records").cast("bigint").alias("n_records"), worst.alias("worst"),
-        (F.max("error") if "error" in scan_cols else F.lit(None).cast("string")).alias("error"))
+        # collect_set keeps this hash-based (a string max would sort); ranges' errors joined
+        (F.array_join(F.array_sort(F.collect_set("error")), "; ") if "error" in scan_cols
+         else F.lit(None).cast("string")).alias("error"))
     scan = scan.withColumn("scan_state", F.when((F.col("worst") == 2) & (F.col("n_records") == 0), F.lit(FAILED))
-                           .when(F.col("worst") >= 1, F.lit(PARTIAL)))
+                           .when(F.col("worst") >= 1, F.lit(PARTIAL))) \
+        .withColumn("error", F.when(F.col("error") != "", F.col("error")))
     found = matches.groupBy(*SEGMENT_KEY).agg(F.count(F.lit(1)).alias("n_matches"))
     joined = manifest.select(*SEGMENT_KEY).join(scan, list(SEGMENT_KEY), "left") \
         .join(found, list(SEGMENT_KEY), "left")

@@ -96,3 +96,13 @@ def test_output_reads_prune_crawl_partitions(spark, tmp_path):
     plan = _plan(stats)
     assert "PartitionFilters: [isnotnull(crawl_date" in plan and "(crawl_date#" in plan
     assert stats.first().total_rows == pp.where(F.col("crawl_date") == "202104").count()
+
+
+def test_segment_status_with_errors_is_hash_aggregated(spark):
+    from pagesift.operators.runs import segment_status
+    m = spark.createDataFrame([("a", 0), ("a", 1)], "crawl_date string, segment int")
+    sc = spark.createDataFrame([("a", 0, 5, "read", None), ("a", 1, 3, "partial", "EOFError: x")],
+                               "crawl_date string, segment int, n_records long, state string, error string")
+    st = segment_status(m, sc, m.limit(0))
+    assert "SortAggregate" not in _plan(st)
+    assert {r.segment: r.error for r in st.collect()} == {0: None, 1: "EOFError: x"}

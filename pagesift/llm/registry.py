@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("exact_dedup", "simhash")
+MODULES = ("exact_dedup", "simhash", "langid", "mixing", "bpe", "toxicity", "ann",
+           "chat", "pii", "lm")
 
 _loaded = [importlib.import_module(f"{__package__}.{m}") for m in MODULES]
 

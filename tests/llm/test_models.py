@@ -1,0 +1,147 @@
+import brute
+import numpy as np
+import pytest
+from pagesift.llm import ann, langid, pii, toxicity
+from pyspark.sql import functions as F
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def test_langid_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == (brute.crc_mod(r.doc_id, 5) == 0) for r in got)
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+
+
+def test_langid_odd_rows(spark, odd, none):
+    got = langid.identify(odd).collect()
+    assert len(got) == odd.count()
+    by = {r.doc_id: r for r in got}
+    assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (1, 2, 4, 7, 13))
+    assert all(by[i].lang_pred in ("en", "de", "fr", "es") for i in (3, 5, 6, 11, 14))
+    assert langid.identify(none).count() == 0
+    assert langid.keep_identified(odd).columns == odd.columns
+    nothing = langid.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+
+
+def test_langid_pieces(monkeypatch):
+    text = "die größte Prüfung, " * 300
+    whole = langid.profile(text)
+    monkeypatch.setattr(langid, "PIECE", 1000)
+    assert np.allclose(whole, langid.profile(text))
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    y, s = np.array([r.toxic for r in held]), np.array([r.score for r in held])
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]])
+    assert auc > 0.97, auc
+    assert np.mean((s >= 0.5) == y) > 0.96
+    assert all(r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_toxicity_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(3, 1, 0), (3, 1, 0), (5, None, 1), (6, 0, 1), (None, 1, 1), (99, 1, 1)],
+                                   "doc_id long, toxic int, quality int")
+    got = toxicity.toxicity(odd, labels).collect()
+    assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.toxicity(none, labels).count() == 0
+    assert {r.score for r in toxicity.toxicity(odd, labels.filter("toxic = 0")).collect()} == {0.0}
+
+
+def test_non_negative_risk():
+    rng = np.random.default_rng(0)
+    pos = np.c_[np.ones(60), rng.integers(0, 2, (60, 3))].astype(float)
+    unl = np.c_[rng.random(600) < 0.1, rng.integers(0, 2, (600, 3))].astype(float)
+    w, b = toxicity.nn_pu(pos, unl, 0.1)
+    assert w[0] + b > 0 > b and abs(w[1:]).max() < w[0] / 2
+
+
+@pytest.mark.parametrize("kw", [{}, {"block_rows": 60, "chunk_queries": 7}])
+def test_ann_recall(spark, kw):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    got = ann.nearest(df, F.col("id") % 20 == 0, **kw).collect()
+    rows = df.collect()
+    x = {r.vec_id: np.array(r.embedding, np.float32).astype(float) for r in rows if r.embedding is not None}
+    want = {}
+    for q in x:
+        if q % 20 == 0:
+            s = sorted((-(x[q] * x[c]).sum(), c) for c in x if c != q)[:20]
+            want[q] = {c for _, c in s}
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        assert abs(r.score - (x[r.query_id] * x[r.vec_id]).sum()) < 1e-12
+    assert set(found) == set(want) and all(len(v) == 20 for v in found.values())
+    assert np.mean([len({c for _, c in found[q]} & want[q]) / 20 for q in want]) >= 0.9
+    again = sorted(got, key=lambda r: (r.query_id, -r.score, r.vec_id))
+    assert [r["rank"] for r in again] == [i for q in sorted(found) for i in range(1, 21)]
+
+
+def test_ann_odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]),
+            (5, [0.0, 0.0]), (6, [inf, 0.0]), (7, [None, 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (9, [-5.0, 9.0]), (10, [])]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, score int, id int")
+    got = [tuple(r) for r in ann.nearest(df, F.col("id") % 20 == 0, k=3).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.0), (20, 1, 9, 18.0), (20, 2, 0, 0.0), (20, 3, 1, 0.0)]
+    assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_index_retrieves_every_code_within_the_radius():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 256, (400, 8), dtype=np.uint8)
+    index = ann.Index(codes)
+    for r in (0, 7, 20, 27, 64):
+        q = rng.integers(0, 256, 8, dtype=np.uint8)
+        want = np.flatnonzero(np.bitwise_count(codes ^ q).sum(axis=1) <= r)
+        assert (index.within(q, r) == want).all()
+
+
+PII_TEXTS = ["mail me: a.b@c.d.e, not @x.y nor q@z; a@b.c_d@e.f", "at 10.0.0.255 or 1.2.3.256 or 1.2.3.4.5.6.7.8 v9.9.9.9.",
+             "card 4111 1111 1111 1111 and 4111-1111-1111-1112, 12345678901234", "call +1 (988) 555-2485, +12 34, +44 20 7946 0958.",
+             "", None, "ÀÉ+1-202-555-0143x çé@ü.de 0" + "1" * 3000 + " " + "a" * 3000 + "@ b", "a@b.co " * 50,
+             "+1 (988) 555-2485 and later 988-555-2485 or (988) 555-2485"]
+
+
+def test_pii_base_patterns_by_plain_regex():
+    import re
+    for t in PII_TEXTS:
+        t = t or ""
+        want = []
+        for k, p in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                               r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
+            for m in re.finditer(p, t):
+                d = re.sub("[^0-9]", "", m[0])
+                ok = (True, k != 1 or all(int(x) <= 255 for x in m[0].split(".")), 14 <= len(d) <= 19 and brute_luhn(d),
+                      10 <= len(d) <= 15)[k]
+                if ok:
+                    want.append((m.start(), k, m.end()))
+        assert pii.base_spans(t) == sorted(want), t
+
+
+def brute_luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        v = int(c) * (2 if i % 2 else 1)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def test_pii_query_and_skip_chain(spark, odd, none):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(PII_TEXTS)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    assert len(got) == len(PII_TEXTS)
+    for i, t in enumerate(PII_TEXTS):
+        base = pii.joined(pii.base_spans(t or ""))
+        assert got[i].base_sha256 == brute.sha(base)
+        assert set(filter(None, base.split(","))) <= set(filter(None, got[i].spans.split(",")))
+    assert got[7].n_email == 50 and got[7].n_added == 0
+    assert got[8].n_phone == 1 and got[8].n_added >= 1          # the repeated number is found again
+    assert pii.personal_data(odd).count() == odd.count() and pii.personal_data(none).count() == 0

@@ -20,13 +20,12 @@ import os
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import ship_package, table
-from .wordblocks import BUCKETS, DOC, unpack, unpack_words, word_blocks
+from .wordblocks import DOCS, documents_of, pack, unpack, unpack_words, word_blocks
 
 TOKENIZER = "word_bpe_49k.json"
 SPECIAL = b"<|"
@@ -74,8 +73,7 @@ def _encode_words(shared):
                     for w, e in zip(part, got):
                         known[w] = np.array(e.ids, "<u4").tobytes()
                 ids = [known[w] for w in words]
-                out = zstandard.ZstdCompressor(level=1).compress(
-                    np.fromiter(map(len, ids), "<u4", len(ids)).tobytes() + b"".join(ids))
+                out = pack(np.concatenate([np.fromiter(map(len, ids), "<u4", len(ids)), np.frombuffer(b"".join(ids), "<u4")]))
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([bucket], pa.int32()),
                                                   pa.array([out], pa.binary())], names=["block", "bucket", "ids"])
     return run
@@ -94,30 +92,28 @@ def _put_back(pieces, kind: pa.DataType):
     """One block: its documents and its words' ids -> ids and decoded text of every document."""
     def run(docs: pa.Table, ids: pa.Table) -> pa.Table:
         piece = pieces.value
-        docs = docs.to_pydict()
-        at = docs["bucket"].index(BUCKETS)
-        bucket = unpack(docs["data"][at])
+        row = docs.to_pylist()[0]
+        bucket = unpack(row["counts"])
         order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(bucket.max() + 2 if len(bucket) else 1))
         word_ids = [b""] * len(bucket)
-        lo = 0
-        for q, data in sorted(zip(ids.column("bucket").to_pylist(), ids.column("ids").to_pylist())):
-            raw = zstandard.ZstdDecompressor().decompress(data)
-            n = int(np.searchsorted(bucket[order], q, "right")) - lo
-            ends = np.cumsum(np.frombuffer(raw, "<u4", n)) + 4 * n
-            for i, s, e in zip(order[lo:lo + n].tolist(), [4 * n, *ends[:-1].tolist()], ends.tolist()):
+        for q, data in zip(ids.column("bucket").to_pylist(), ids.column("ids").to_pylist()):
+            words = order[cuts[q]:cuts[q + 1]].tolist()
+            got = unpack(data)
+            raw = got[len(words):].tobytes()
+            ends = np.cumsum(got[:len(words)], dtype=np.int64).tolist()
+            for i, s, e in zip(words, [0, *ends[:-1]], ends):
                 word_ids[i] = raw[s:e]
-            lo += n
         text = [b" ".join([piece[i] for i in np.frombuffer(w, "<u4").tolist()]) for w in word_ids]
         empty = any(not w for w in word_ids)
         out_id, out_ids, out_text = [], [], []
-        for k, data, d in zip(docs["bucket"], docs["data"], docs["id"]):
-            if k == DOC:
-                pos = unpack(data).tolist()
-                if empty:
-                    pos = [p for p in pos if word_ids[p]]
-                out_id.append(d)
-                out_ids.append(b"".join(map(word_ids.__getitem__, pos)))
-                out_text.append(b" ".join(map(text.__getitem__, pos)))
+        for d, at in documents_of(row["ids"], row["sizes"], row["data"]):
+            at = at.tolist()
+            if empty:
+                at = [p for p in at if word_ids[p]]
+            out_id.append(d)
+            out_ids.append(b"".join(map(word_ids.__getitem__, at)))
+            out_text.append(b" ".join(map(text.__getitem__, at)))
         return pa.table({"id": pa.array(out_id, kind), "ids": pa.array(out_ids, pa.binary()),
                          "decoded": pa.array(out_text, pa.binary())})
     return run
@@ -125,8 +121,8 @@ def _put_back(pieces, kind: pa.DataType):
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
            buckets: int | None = None, block_bytes: int | None = None) -> DataFrame:
-    """(id, ids, decoded): ids as little-endian unsigned 32-bit numbers, decoded as text. Vocabulary
-    buckets default to four for each shuffle partition."""
+    """(id, ids, decoded): ids as little-endian unsigned 32-bit numbers, decoded as text. The
+    vocabulary has as many buckets as there are shuffle partitions by default."""
     spark = docs.sparkSession
     ship_package(spark)
     blob = tokenizer_json(tokenizer)
@@ -134,12 +130,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     check_tokenizer(spec)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kw = {"block_bytes": block_bytes} if block_bytes else {}
-    blocks = word_blocks(docs, id_col, text_col, buckets=buckets or 4 * parts, special=SPECIAL, **kw)
+    blocks = word_blocks(docs, id_col, text_col, buckets=buckets or parts, special=SPECIAL, **kw)
     vocab, pieces = spark.sparkContext.broadcast(blob), spark.sparkContext.broadcast(piece_table(spec))
     words = blocks.filter(F.col("bucket") >= 0).select("block", "bucket", "data").repartition("bucket") \
         .mapInArrow(_encode_words(vocab), "block long, bucket int, ids binary")
     kind = docs.schema[id_col].dataType
-    own = blocks.filter(F.col("bucket") < 0).select("block", "bucket", "id", "data")
+    own = blocks.filter(F.col("bucket") == DOCS).select("block", "ids", "sizes", "data", "counts")
     out = own.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
         _put_back(pieces, to_arrow_type(kind)), f"id {kind.simpleString()}, ids binary, decoded binary")
     return out.select(F.col("id").alias(id_col), "ids", F.col("decoded").cast("string").alias("decoded"))

@@ -5,14 +5,17 @@ word once, the most frequent first) and, for each document, the positions of its
 the list. A corpus-wide join on words then moves a row per block and distinct word, not one per
 word of every text. Blocks are staged as a table, so their numbers never change on a retry.
 
-Rows of the table: a document (``id``, ``data`` = packed positions, ``bucket`` = -1), a block's bucket
-list (``data`` = bucket of each word, ``bucket`` = -2), and for each bucket the block's words in it
-(``data`` = compressed words, ``n`` = how many, ``counts`` = packed training counts).
+The table is bucketed by block, so what comes back to a block is shuffled to where the block already
+lies and the texts' positions never cross a shuffle. Rows: one for the block's documents (``bucket`` -1,
+``ids``, ``sizes`` in words, ``data`` = word positions of all, ``counts`` = vocabulary bucket of each word), and
+for each bucket of the vocabulary one of the block's words in it (``data`` = compressed words, ``counts`` =
+training counts, one list after the other for each group of training documents).
 """
 
 from __future__ import annotations
 
 import itertools
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -24,16 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import ship_package, staged
+from .common import ensure_checkpoint_dir, ship_package
 
 BLOCK_BYTES = 16 << 20
-DOC, BUCKETS = -1, -2
+DOCS = -1
 
 
 def pack(a: np.ndarray) -> bytes:
     """Whole numbers below 2**32, byte planes apart, compressed."""
     planes = np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -42,7 +45,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def pack_words(words: list[bytes]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b" ".join(words))
+    return zstandard.ZstdCompressor(level=3).compress(b" ".join(words))
 
 
 def unpack_words(data: bytes) -> list[bytes]:
@@ -58,55 +61,67 @@ def words_of(text: bytes, special: bytes | None = None) -> list[bytes]:
 
 
 class _Block:
-    def __init__(self, number: int):
-        self.number, self.size = number, 0
+    def __init__(self, number: int, groups: int):
+        self.number, self.groups, self.size = number, groups, 0
         self.words = defaultdict(itertools.count().__next__)
         self.docs: list[tuple] = []
 
-    def add(self, doc_id, text: bytes, train: bool, special: bytes | None) -> None:
-        self.docs.append((doc_id, np.array(list(map(self.words.__getitem__, words_of(text, special))), np.uint32), train))
-        self.size += len(text)
+    def add(self, doc_id, words: list[bytes], group: int, size: int) -> None:
+        """``group`` is the training group that counts the document's words, -1 for none."""
+        self.docs.append((doc_id, np.array(list(map(self.words.__getitem__, words)), np.uint32), group))
+        self.size += size
 
     def rows(self, buckets: int):
+        """(block, bucket, ids, sizes, data, counts)"""
         n = len(self.words)
         flat = np.concatenate([d for _, d, _ in self.docs])
         order = np.argsort(-np.bincount(flat, minlength=n), kind="stable")
         rank = np.empty(n, np.uint32)
         rank[order] = np.arange(n, dtype=np.uint32)
-        seen = [d for _, d, t in self.docs if t]
-        train = np.bincount(np.concatenate(seen) if seen else flat[:0], minlength=n)[order]
+        train = np.zeros((self.groups, n), np.int64)
+        for g in range(self.groups):
+            seen = [d for _, d, t in self.docs if t == g]
+            train[g] = np.bincount(np.concatenate(seen) if seen else flat[:0], minlength=n)[order]
         listed = list(self.words)
         listed = [listed[i] for i in order]
-        for doc_id, d, _ in self.docs:
-            yield self.number, doc_id, DOC, pack(rank[d]), len(d), None
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in listed), np.uint32, n)
-        yield self.number, None, BUCKETS, pack(bucket), n, None
+        sizes = np.array([len(d) for _, d, _ in self.docs])
+        yield self.number, DOCS, [d for d, _, _ in self.docs], pack(sizes), pack(rank[flat]), pack(bucket)
         by = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by])) + 1
         for part in np.split(by, cuts) if n else []:
-            yield (self.number, None, int(bucket[part[0]]), pack_words([listed[i] for i in part]), len(part),
-                   pack(train[part]))
+            yield (self.number, int(bucket[part[0]]), None, None, pack_words([listed[i] for i in part]),
+                   pack(train[:, part].ravel()) if self.groups else None)
+
+
+def documents_of(ids: list, sizes: bytes, data: bytes):
+    """(id, word positions) of each document of a block's row."""
+    ends = np.cumsum(unpack(sizes), dtype=np.int64)
+    yield from zip(ids, np.split(unpack(data), ends[:-1]))
 
 
 def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | None = None, buckets: int = 1,
-                special: bytes | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The staged block table of every whole text (null as empty); ``train`` marks the rows whose
-    words are counted."""
-    ship_package(docs.sparkSession)
+                special: bytes | None = None, block_bytes: int = BLOCK_BYTES, groups: int = 0,
+                group_of=None) -> DataFrame:
+    """The staged block table of every whole text (null as empty). ``train`` marks the rows whose words
+    are counted, in ``groups`` groups as ``group_of(words)`` says."""
+    spark = docs.sparkSession
+    ship_package(spark)
 
     def emit(block):
         rows = list(zip(*block.rows(buckets)))
-        kinds = (pa.int64(), id_type, pa.int32(), pa.binary(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.int32(), pa.list_(id_type), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)],
-                                          names=["block", "id", "bucket", "data", "n", "counts"])
+                                          names=["block", "bucket", "ids", "sizes", "data", "counts"])
 
     def run(batches):
         base = TaskContext.get().partitionId() << 32
         block = None
         for b in batches:
             for doc_id, text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                block = block or _Block(base)
-                block.add(doc_id, text, t, special)
+                block = block or _Block(base, groups)
+                words = words_of(text, special)
+                block.add(doc_id, words, group_of(words) if t else -1, len(text))
                 if block.size >= block_bytes:
                     yield emit(block)
                     base += 1
@@ -118,5 +133,9 @@ def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | Non
     id_type = to_arrow_type(kind)
     src = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary"),
                       F.lit(False) if train is None else train)
-    return staged(src.mapInArrow(run, f"block long, id {kind.simpleString()}, bucket int, data binary, n long, "
-                                      "counts binary"), "blocks")
+    rows = src.mapInArrow(run, f"block long, bucket int, ids array<{kind.simpleString()}>, sizes binary, data binary, "
+                               "counts binary")
+    name = f"llm_blocks_{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}") \
+        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").format("parquet").saveAsTable(name)
+    return spark.table(name)

@@ -5,16 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-LONG = "Word and other, " * 20000
-ROWS = [  # nulls, empty and long texts, ties, repeated rows
-    (5, "Hello  world\tagain", "en", "src1", 18), (3, "Hello world again", "en", "src2", 17),
-    (9, "hello world again", "de", None, 17), (1, None, None, None, None), (2, "", "fr", "src3", 0),
-    (4, " \n ", "es", "src3", 3), (6, LONG, "en", "src0", len(LONG)), (8, LONG + "x", "en", "src0", 1),
-    (7, "12345 ###", "en", "src0", 9), (7, "12345 ###", "en", "src0", 9), (11, "été naïve ça Σας İ ﬁ", "fr", "srcx", 20),
-    (12, "a<|endoftext|>b <|ENDOFTEXT|> c'mon it's 3.14 x", "en", "src9", 44), (None, "no id here", "en", "src1", 10),
-    (13, "    ", "en", "src1", 4), (14, "é ́x 한국어 😀!!!", "de", "src2", 14),
-]
+from brute import ROWS, SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -26,7 +26,7 @@ def exact(df):
 
 
 def test_exact_dedup_odd_rows(odd, none):
-    from conftest import ROWS
+    from brute import ROWS
     assert exact(odd) == expected_exact(ROWS)
     assert exact(none) == set()
     kept = sorted((r.doc_id is None, r.doc_id) for r in exact_dedup.keep_one(odd).collect())
@@ -53,7 +53,7 @@ def simhash_expected(rows):
 
 
 def test_simhash_against_brute_force(spark, odd, none, rows01):
-    from conftest import ROWS
+    from brute import ROWS
     for df, rows in ((odd, ROWS), (none, []), rows01):
         got = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id").collect()
         assert sorted((tuple(r) for r in got), key=str) == simhash_expected([tuple(r) for r in rows])
@@ -114,7 +114,7 @@ def test_mixing_oracle(spark):
 
 
 def test_mixing_odd_rows_and_redistribution(spark, odd, none):
-    from conftest import ROWS
+    from brute import ROWS
     got = mixing.mix_documents(odd).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in ROWS)
     assert mixing.mix_documents(none).count() == 0

@@ -1,8 +1,9 @@
 import corpus_pipeline as cp
-import test_dedup as td
-import test_tokens as tt
 from pagesift.llm import mixing
 
+from . import test_dedup as td
+from . import test_tokens as tt
+
 
 def test_stages_and_run(spark, odd, none):
     assert [n for n, _ in cp.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "source_mixing", "bpe"]

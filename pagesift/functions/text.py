@@ -43,7 +43,12 @@ def postcode_pattern(prefix: str | None = None) -> str:
 
 def extract_all(text: Column | str, pattern: str = UK_POSTCODE) -> Column:
     """All non-overlapping matches of ``pattern`` (whole match, group 0), in order."""
-    return F.regexp_extract_all(col_(text), F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(col_(text), F.lit(unicode_words(pattern)), F.lit(0))
+
+
+def unicode_words(pattern: str) -> str:
+    """``pattern`` with word boundaries by Unicode on every Java (from 19 on ``\\b`` is ASCII by default)."""
+    return "(?U)" + pattern
 
 
 def postcodes(text: Column | str, pattern: str = UK_POSTCODE) -> Column:
@@ -78,5 +83,8 @@ def output_file_name(crawl_date: Column | str, segment: Column | str) -> Column:
 
 
 def join_url(base: str, path: Column | str) -> Column:
-    """``base`` + relative ``path`` with exactly one slash between them."""
-    return F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(col_(path), r"^/+", ""))
+    """``base`` + relative ``path`` with exactly one slash between them; a path that is itself a URL
+    (``scheme://``) stays as it is."""
+    p = col_(path)
+    return F.when(p.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), p).otherwise(
+        F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(p, r"^/+", "")))

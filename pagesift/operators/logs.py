@@ -19,7 +19,7 @@ LOG_WARNINGS = "warning|no records|low disk"             # *.log, warnings
 FAILURE_LINES = "error|failed"                           # lines quoted as failure details
 SUCCESS_MARK = "Completed processing segment"            # one per finished segment
 COMPLETED = r"Completed processing segment (\d+): (\d+) records"
-DOWNLOADING = r"Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz"
+DOWNLOADING = r"Downloading \S+ to (?:\S*/)?crawldata(\d+)segment(\d+)\.wet\.gz"   # with or without a folder
 LOG_TS = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"  # "%(asctime)s - LEVEL - message"
 # ---------------------------------------------------------------------------
 # Word-bounded alternative for warnings (avoids "following", "slow", "allowed").
@@ -90,33 +90,34 @@ def log_time(line) -> F.Column:
                                                      num(12, 2), num(15, 2), secs))
 
 
-def segment_runtime(lines: DataFrame) -> DataFrame:
-    """Per (file, segment): seconds from the ``Downloading`` line to the ``Completed`` line.
+def segment_runtime(lines: DataFrame, source_kind: str = "log") -> DataFrame:
+    """Per finished segment: seconds from the ``Downloading`` line that last precedes its ``Completed``
+    line in the same file to that line; a retried segment thus counts from its last attempt, and
+    crawls that share a log are told apart by order.
 
-    The crawl date comes from the download target name. Segments lacking either line are
-    dropped.
+    Lines of one ``source_kind`` only (the console repeats every message) where ``lines`` has that
+    column. The crawl date comes from the download target name. Completed lines that no download
+    precedes are dropped. The window runs inside one (file, segment), a few lines.
     """
+    if "source_kind" in lines.columns:
+        lines = lines.where(F.col("source_kind") == source_kind)
     line = F.col("line")
     # each pattern is matched once per line; '' means no match
     parts = lines.select(
-        "file", F.regexp_extract(line, DOWNLOADING, 1).alias("dl_date"),
+        "file", "line_no", F.regexp_extract(line, DOWNLOADING, 1).alias("dl_date"),
         F.regexp_extract(line, DOWNLOADING, 2).alias("dl_seg"),
         F.regexp_extract(line, COMPLETED, 1).alias("done_seg"), log_time(line).alias("ts"))
     is_dl, is_done = F.col("dl_seg") != "", F.col("done_seg") != ""
-    events = parts.select(
-        "file", F.when(is_dl, F.col("dl_date")).alias("crawl_date"),
-        F.when(is_dl, F.col("dl_seg")).when(is_done, F.col("done_seg")).cast("bigint").alias("segment"),
-        F.when(is_dl, F.col("ts")).alias("start_ts"),
-        F.when(is_done, F.col("ts")).alias("end_ts"),
-    ).where(F.col("segment").isNotNull())
-    # collect_set keeps the aggregate hash-based (ObjectHashAggregate); a string max() would
-    # force a sort-based aggregate over every line. One download line per segment: set size 1.
-    per = events.groupBy("file", "segment").agg(
-        F.array_max(F.collect_set("crawl_date")).alias("crawl_date"),
-        F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"))
-    return per.where(F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()).select(
-        "file", "crawl_date", "segment",
-        F.timestamp_diff("SECOND", F.col("start_ts"), F.col("end_ts")).alias("runtime_s"))
+    events = parts.where(is_dl | is_done).select(
+        "file", "line_no", F.when(is_dl, F.col("dl_seg")).otherwise(F.col("done_seg")).cast("bigint").alias("segment"),
+        is_dl.alias("is_dl"), "dl_date", "ts")
+    before = Window.partitionBy("file", "segment").orderBy("line_no")
+    paired = events.select(
+        "file", "segment", "is_dl", "ts", F.lag("is_dl").over(before).alias("after_dl"),
+        F.lag("dl_date").over(before).alias("crawl_date"), F.lag("ts").over(before).alias("start_ts"))
+    return paired.where(~F.col("is_dl") & F.col("after_dl") & F.col("start_ts").isNotNull()
+                        & F.col("ts").isNotNull()).select(
+        "file", "crawl_date", "segment", F.timestamp_diff("SECOND", F.col("start_ts"), F.col("ts")).alias("runtime_s"))
 
 
 def runtime_summary(runtimes: DataFrame, by: tuple[str, ...] = ("crawl_date",)) -> DataFrame:
@@ -128,13 +129,14 @@ def runtime_summary(runtimes: DataFrame, by: tuple[str, ...] = ("crawl_date",))
         F.sum("runtime_s").cast("bigint").alias("total_s"))
 
 
-def failures_by_class(lines: DataFrame) -> DataFrame:
-    """Per (source_kind, class): lines of ``err``/``log`` files containing the class word."""
+def failures_by_class(lines: DataFrame, whole_words: bool = True) -> DataFrame:
+    """Per (source_kind, class): lines of ``err``/``log`` files containing the class word, as a
+    whole word, or with ``whole_words=False`` anywhere ("low" then also counts "following")."""
     lowered = F.lower(F.col("line"))
-    classes = F.filter(F.array(*[F.lit(c) for c in FAILURE_CLASSES]),
-                       lambda c: F.contains(lowered, c))
+    found = [F.when(lowered.rlike(rf"\b{c}\b") if whole_words else F.contains(lowered, F.lit(c)), F.lit(c))
+             for c in FAILURE_CLASSES]
     return lines.where(F.col("source_kind").isin("err", "log")) \
-        .select("source_kind", F.explode(classes).alias("failure_class")) \
+        .select("source_kind", F.explode(F.array_compact(F.array(*found))).alias("failure_class")) \
         .groupBy("source_kind", "failure_class").agg(F.count(F.lit(1)).alias("n_lines"))
 
 

@@ -4,7 +4,8 @@ Plan shape of :func:`postcode_pages`::
 
     scan -> Filter(rec_type, uri contains, language)            (pushed to the source)
          -> Generate explode(array_distinct(regexp_extract_all)) (regex evaluated once)
-         -> BroadcastHashJoin LeftSemi (lookup, size-checked)
+         -> LeftSemi join with the lookup: broadcast while Spark's statistics put it below the
+            broadcast threshold, else shuffled, where AQE splits a postcode that many pages hold
          -> partial ObjectHashAggregate per record
          -> Exchange hashpartitioning(record key)                (matched pages only)
          -> final aggregate -> Project(website, lower(text))
@@ -28,10 +29,10 @@ from ..functions.text import (
     page_predicate,
     postcode_pattern,
     postcodes,
+    unicode_words,
     website,
 )
 from ..schemas import RECORD_KEY
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 def page_filter(records: DataFrame, url_contains: str = UK_HOST_MARK,
@@ -60,7 +61,7 @@ def record_postcodes(records: DataFrame, pattern: str = UK_POSTCODE) -> DataFram
     Guarded by ``rlike`` (stops at the first hit) instead of ``size(extracted) > 0``, which
     Catalyst would answer by inlining the extraction into the filter: the full extraction
     then runs once, on matching records only."""
-    return records.where(F.col("text").rlike(pattern)) \
+    return records.where(F.col("text").rlike(unicode_words(pattern))) \
         .select(*RECORD_KEY, postcodes("text", pattern).alias("postcodes"))
 
 
@@ -72,17 +73,16 @@ def prefixed_postcodes(records: DataFrame, prefix: str = POSTCODE_PREFIX) -> Dat
 
 
 def lookup_match(records: DataFrame, lookup: DataFrame, prefix: str = POSTCODE_PREFIX,
-                 key: str = "pcds", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 key: str = "pcds") -> DataFrame:
     """(record, postcode) pairs whose postcode is in the reference list (equi semi join)."""
-    ref = bounded_broadcast(lookup_keys(lookup, prefix, key), max_broadcast_rows)
+    ref = lookup_keys(lookup, prefix, key)
     hits = prefixed_postcodes(records, prefix)
     return hits.join(ref.withColumnRenamed("pcds", "postcode"), "postcode", "left_semi") \
         .select(*RECORD_KEY, "postcode")
 
 
 def postcode_pages(records: DataFrame, lookup: DataFrame, *, url_contains: str = UK_HOST_MARK,
-                   language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds") -> DataFrame:
     """Pages under ``url_contains`` tagged ``language`` that mention a listed postcode.
 
     Output: crawl_date, segment, record_no, uri, website, postcodes (sorted, distinct,
@@ -94,8 +94,7 @@ def postcode_pages(records: DataFrame, lookup: DataFrame, *, url_contains: str =
                         url_contains, language)
     hits = pages.select(*RECORD_KEY, "uri", "text",
                         F.explode(F.array_distinct(extract_all("text", narrow))).alias("pcds"))
-    ref = bounded_broadcast(lookup_keys(lookup, prefix, key), max_broadcast_rows)
-    matched = hits.join(ref, "pcds", "left_semi")
+    matched = hits.join(lookup_keys(lookup, prefix, key), "pcds", "left_semi")
     grouped = matched.groupBy(*RECORD_KEY).agg(
         F.any_value("uri").alias("uri"),
         F.array_sort(F.collect_set("pcds")).alias("postcodes"),

@@ -28,6 +28,29 @@ def output_stats(matches: DataFrame, file_col: F.Column | None = None) -> DataFr
         F.countDistinct("postcode").alias("unique_postcodes"))
 
 
+def segment_figures(matches: DataFrame, scanned: DataFrame | None = None) -> DataFrame:
+    """The figures of :func:`output_stats` and, with ``scanned``, :func:`coverage_from_counts` from one
+    pass over the matches: they are aggregated once to a row per segment (rows, set of postcodes), all
+    else is computed from those rows."""
+    flat = matches.select("crawl_date", "segment", F.posexplode_outer("postcodes").alias("pos", "postcode"))
+    per = flat.groupBy("crawl_date", "segment").agg(
+        F.count_if(F.col("pos").isNull() | (F.col("pos") == 0)).alias("n_matches"),
+        F.collect_set("postcode").alias("postcodes"))
+    if scanned is None:
+        per = per.withColumn("n_records", F.lit(None).cast("bigint"))
+    else:
+        read = scanned.groupBy("crawl_date", "segment").agg(F.sum("n_records").alias("n_records"))
+        per = per.join(read, ["crawl_date", "segment"], "full")
+    n = F.coalesce("n_matches", F.lit(0))
+    rows = per.select(n.alias("n"), "n_records", F.posexplode_outer("postcodes").alias("pos", "postcode"))
+    once = F.col("pos").isNull() | (F.col("pos") == 0)          # one exploded row stands for its segment
+    return rows.agg(
+        F.coalesce(F.sum(F.when(once, F.col("n"))), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.count_if(once & (F.col("n") > 0)).alias("n_files"),
+        F.countDistinct("postcode").alias("unique_postcodes"),
+        F.avg(F.when(once & (F.col("n_records") > 0), F.col("n") / F.col("n_records") * 100)).alias("pct_with_postcodes"))
+
+
 def distinct_postcodes(matches: DataFrame) -> DataFrame:
     """Set union of all postcodes across outputs (nulls skipped)."""
     return matches.select(F.explode("postcodes").alias("postcode")) \

@@ -18,8 +18,8 @@ from ..functions.durations import (
     SUCCESS_NOTE_PCT,
     idiv,
 )
-from .logs import classify, success_lines
-from .outputs import output_stats
+from .logs import classify, segment_runtime, success_lines
+from .outputs import segment_figures
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -30,22 +30,28 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def run_figures(lines: DataFrame, matches: DataFrame, coverage: DataFrame | None = None,
-                error_kinds: tuple[str, ...] = ("log",)) -> DataFrame:
-    """One row: errors, warnings, successes, records, output rows/files/postcodes, coverage.
+def run_figures(lines: DataFrame, matches: DataFrame, scanned: DataFrame | None = None,
+                error_kinds: tuple[str, ...] = ("log",), runtimes: DataFrame | None = None,
+                sizes: DataFrame | None = None) -> DataFrame:
+    """One row: errors, warnings, successes, records, failing files, output rows/segments/postcodes,
+    coverage, average seconds per segment, output files and MB.
 
-    ``coverage``: a one-row ``pct_with_postcodes`` (``postcode_coverage`` or
-    ``coverage_from_counts``). ``error_kinds``: file kinds whose errors and warnings are
+    ``scanned``: (crawl_date, segment, n_records) of every archive read, for the coverage.
+    ``runtimes``: ``segment_runtime`` rows; default those of ``lines``. ``sizes``: ``file_sizes``' row.
+    ``error_kinds``: file kinds whose errors and warnings are
     counted. Default ``.log`` only: the console handler repeats every message on stderr, so
     adding ``.err`` counts each error twice; pass ``("err", "log")`` for the reference's totals.
     """
     errs = classify(lines.where(F.col("source_kind").isin(*error_kinds))).agg(
-        F.count_if("is_error").alias("n_errors"), F.count_if("is_warning").alias("n_warnings"))
+        F.count_if("is_error").alias("n_errors"), F.count_if("is_warning").alias("n_warnings"),
+        F.countDistinct(F.when(F.col("is_error"), F.col("file"))).alias("n_failing_files"))
     succ = success_lines(lines).agg(F.sum("n_marks").cast("bigint").alias("n_success"),
                                     F.sum("n_records").cast("bigint").alias("n_records"))
-    parts = [errs, succ, output_stats(matches)]
-    if coverage is not None:
-        parts.append(coverage.select("pct_with_postcodes"))
+    timed = (segment_runtime(lines) if runtimes is None else runtimes).agg(
+        F.floor(F.avg("runtime_s")).cast("bigint").alias("avg_segment_s"))
+    parts = [errs, succ, timed, segment_figures(matches, scanned)]
+    if sizes is not None:
+        parts.append(sizes.select(F.col("n_files").alias("n_output_files"), F.col("total_mb").alias("output_mb")))
     return _stack(parts)
 
 
@@ -69,6 +75,8 @@ def run_report(figures: DataFrame) -> DataFrame:
         rows.alias("total_rows"), files.alias("n_files"),
         num("unique_postcodes").alias("unique_postcodes"),
         cov.alias("pct_with_postcodes"),
+        num("n_failing_files").alias("n_failing_files"), num("avg_segment_s").alias("avg_segment_s"),
+        num("n_output_files").alias("n_output_files"), num("output_mb").alias("output_mb"),
         rate.alias("success_rate"),
         (err > ERROR_THRESHOLD).alias("high_errors"),
         (rate < SUCCESS_NOTE_PCT).alias("low_success"),

@@ -148,6 +148,25 @@ def segment_status(manifest: DataFrame, scanned: DataFrame, matches: DataFrame)
                          n_matches.alias("n_matches"), state.alias("state"), "error")
 
 
+def current_runs(status: DataFrame) -> DataFrame:
+    """(crawl_date, segment, run_id) of the run that counts: the latest that finished the segment,
+    else the latest. ``status`` holds every run's rows, with ``run_id``."""
+    finished = F.max(F.when(F.col("state").isin(*FINISHED_STATES), F.col("run_id")))
+    return status.groupBy(*SEGMENT_KEY).agg(F.coalesce(finished, F.max("run_id")).alias("run_id"))
+
+
+def run_summary(status: DataFrame) -> DataFrame:
+    """Per crawl date: segments, segments by state, and "n of m segments successful"."""
+    def n(state: str) -> F.Column:
+        return F.count_if(F.col("state") == state).alias(f"n_{state}")
+    ok = F.count_if(F.col("state").isin(*FINISHED_STATES))
+    per = status.groupBy("crawl_date").agg(
+        F.count(F.lit(1)).alias("n_segments"), ok.alias("n_successful"),
+        *[n(x) for x in (DONE, EMPTY, PARTIAL, FAILED, PENDING)],
+        F.sum("n_records").cast("bigint").alias("n_records"), F.sum("n_matches").cast("bigint").alias("n_matches"))
+    return per.withColumn("summary", F.format_string("%d of %d segments successful", "n_successful", "n_segments"))
+
+
 def remaining_segments(manifest: DataFrame, status: DataFrame) -> DataFrame:
     """Manifest segments not yet finished (anti join with done/empty status)."""
     finished = status.where(F.col("state").isin(*FINISHED_STATES)).select(*SEGMENT_KEY)
@@ -174,6 +193,24 @@ def progress_by_crawl(crawls: DataFrame, manifest: DataFrame, status: DataFrame)
         .otherwise(F.lit("in_progress")).alias("state"))
 
 
+def progress_overall(progress: DataFrame) -> DataFrame:
+    """One row over all crawls of :func:`progress_by_crawl`: files listed, segments, finished, remaining,
+    percent, crawls, crawls complete."""
+    per = progress.agg(
+        F.count(F.lit(1)).alias("n_crawls"), F.count_if(F.col("state") == "complete").alias("n_complete"),
+        F.coalesce(F.sum("n_listed"), F.lit(0)).cast("bigint").alias("n_listed"),
+        F.coalesce(F.sum("n_segments"), F.lit(0)).cast("bigint").alias("n_segments"),
+        F.coalesce(F.sum("n_finished"), F.lit(0)).cast("bigint").alias("n_finished"))
+    return per.withColumn("n_remaining", F.col("n_segments") - F.col("n_finished")) \
+        .withColumn("pct_complete", percent_floor(F.col("n_finished"), F.col("n_segments")))
+
+
+def eta_overall(progress: DataFrame, elapsed_seconds: int) -> DataFrame:
+    """Rate and ETA over all crawls together, as :func:`eta` computes them for each."""
+    every = progress_overall(progress).select(F.lit("all").alias("crawl_date"), "n_finished", "n_remaining")
+    return eta(every, elapsed_seconds).drop("crawl_date")
+
+
 def elapsed_breakdown(df: DataFrame, seconds: str = "elapsed_s") -> DataFrame:
     """Days / hours / minutes of a duration column and its ``Xd Yh Zm`` text (status script)."""
     parts = seconds_breakdown(F.col(seconds))

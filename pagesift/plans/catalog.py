@@ -10,16 +10,19 @@ agreement checks the semantics, not a transcription.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import UK_POSTCODE, website
+from ..functions.text import website
 from ..operators import jobs, logs, match, outputs, report, runs
-from ..sources import wet
+from ..session import ensure_checkpoint_dir
+from ..sources import files, wet
 from ..sources.planted import relation, table, with_relations
 from ..sources.planted_archives import planted_archives, record_no_from_id
+from .crawl_job import filter_crawl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -68,8 +71,23 @@ def _joined(col: str) -> F.Column:
     return F.array_join(F.col(col), ",").alias(col)
 
 
+def _job_folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
+
+
+def _job(spark, d, listed, where=None, **kw):
+    where = where or _job_folder(spark)
+    return filter_crawl(spark, listed, relation(spark, d, "postcode_lookup"), f"{where}/matches", f"{where}/status", **kw)
+
+
+def _with_record_no(matches, spark, d):
+    """Matches of planted archives under the planted record numbers, which each URI ends with."""
+    return matches.select("crawl_date", "segment", F.regexp_extract("uri", "([0-9]+)$", 1).cast("bigint").alias("record_no"),
+                          "uri", "website", _joined("postcodes"), "text")
+
+
 # ---------------------------------------------------------------- oracle fragments (DuckDB)
-O_UK = UK_POSTCODE
+O_UK = r"\b[A-Z]{1,2}[0-9][A-Z0-9]? [0-9][ABD-HJLNP-UW-Z]{2}\b"     # fixed value, spelled apart from the library's
 O_WEBSITE = "replace(replace(regexp_replace(uri, '\\.uk/.*', '.uk'), 'https://', ''), 'http://', '')"
 O_PP = f"""
 pages AS (
@@ -157,26 +175,17 @@ per_file AS (SELECT file, avg(has_pc) * 100 AS pct FROM rows_pc GROUP BY file)""
 
 
 O_RUNTIME = r"""
-ev AS (
-  SELECT file,
-    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-         THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 1) END AS crawl_date,
-    CAST(coalesce(
-      CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-           THEN regexp_extract(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz', 2) END,
-      CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
-           THEN regexp_extract(line, 'Completed processing segment (\d+): (\d+) records', 1) END) AS BIGINT) AS segment,
-    CASE WHEN regexp_matches(line, 'Downloading \S+ to crawldata(\d+)segment(\d+)\.wet\.gz')
-         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS start_ts,
-    CASE WHEN regexp_matches(line, 'Completed processing segment (\d+): (\d+) records')
-         THEN strptime(regexp_extract(line, '^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})', 1), '%Y-%m-%d %H:%M:%S,%g') END AS end_ts
-  FROM segment_log),
-per AS (
-  SELECT file, segment, max(crawl_date) AS crawl_date, min(start_ts) AS start_ts, max(end_ts) AS end_ts
-  FROM ev WHERE segment IS NOT NULL GROUP BY file, segment),
+logged AS (
+  SELECT file, line_no, strptime(line[1:19], '%Y-%m-%d %H:%M:%S') AS ts,
+    split_part(line, ' ', 6) AS word, string_split(line, ' ') AS words FROM segment_log WHERE source_kind = 'log'),
+started AS (
+  SELECT file, line_no, ts, regexp_extract(list_last(words), '([0-9]+)segment', 1) AS crawl_date,
+    CAST(regexp_extract(list_last(words), 'segment([0-9]+)', 1) AS BIGINT) AS segment FROM logged WHERE word = 'Downloading'),
+finished AS (
+  SELECT file, line_no, ts, CAST(rtrim(words[9], ':') AS BIGINT) AS segment FROM logged WHERE word = 'Completed'),
 rt AS (
-  SELECT file, crawl_date, segment, (epoch_us(end_ts) - epoch_us(start_ts)) // 1000000 AS runtime_s
-  FROM per WHERE start_ts IS NOT NULL AND end_ts IS NOT NULL)"""
+  SELECT f.file, s.crawl_date, f.segment, date_diff('second', s.ts, f.ts) AS runtime_s
+  FROM finished f ASOF JOIN started s ON f.file = s.file AND f.segment = s.segment AND f.line_no > s.line_no)"""
 
 
 # ================================================================ matching (flagship)
@@ -201,14 +210,50 @@ def q_archive_roundtrip(spark, d):
 @register("archive_status", f"WITH {O_PP},{O_STATUS}\nSELECT * FROM status",
           ("wet_records", "postcode_lookup", "archive_manifest"))
 def q_archive_status(spark, d):
-    """A1, A2, D4 from real archives: the job's manifest-driven reader yields records and one
-    status row per archive in one pass; matches and status are reconciled with the manifest."""
-    _, files = planted_archives(spark, _wet(spark, d), d)
-    scan = wet.scan_manifest(files, location="path")
-    recs = scan.where(~F.col("is_status")).withColumn("record_no", record_no_from_id())
-    pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
-    status = runs.segment_status(relation(spark, d, "archive_manifest"), scan.where(F.col("is_status")), pp)
-    return status.select("crawl_date", "segment", "n_records", "n_matches", "state")
+    """A1, A2, D4 from real archives: the job over the archives' manifest, one scan, then its status
+    against every listed segment."""
+    _, listed = planted_archives(spark, _wet(spark, d), d)
+    res = _job(spark, d, listed)
+    read = res.status.select("crawl_date", "segment", "n_records", "n_matches", "state")
+    pending = runs.remaining_segments(relation(spark, d, "archive_manifest"), read).select(
+        "crawl_date", "segment", F.lit(0).cast("bigint").alias("n_records"), F.lit(0).cast("bigint").alias("n_matches"),
+        F.lit("pending").alias("state"))
+    return read.unionByName(pending)
+
+
+@register("sliced_run", f"WITH {O_PP}\nSELECT * FROM pp", ("wet_records", "postcode_lookup"))
+def q_sliced_run(spark, d):
+    """Two slices of every crawl and a re-run of the first into the same folders;
+    read back they must equal ``postcode_pages``."""
+    _, listed = planted_archives(spark, _wet(spark, d), d)
+    where = _job_folder(spark)
+    for task in (0, 1, 0):
+        res = _job(spark, d, listed, where, task_id=task, segments_per_task=10)
+    return _with_record_no(res.matches, spark, d)
+
+
+@register("text_inputs", """
+SELECT crawl_date, segment, path, NULL::BIGINT AS n_lines, NULL::VARCHAR AS file FROM archive_manifest
+UNION ALL SELECT NULL, NULL, NULL, count(*), file FROM log_lines GROUP BY file""", ("archive_manifest", "log_lines"))
+def q_text_inputs(spark, d):
+    """Manifests and logs written as text files by Spark, read back with line numbers."""
+    where = _job_folder(spark)
+    relation(spark, d, "archive_manifest").select(
+        "path", F.concat(F.col("crawl_date"), F.lit("_wet.paths")).alias("name"), F.col("segment").alias("no")) \
+        .repartition("name").sortWithinPartitions("name", "no").select("name", F.col("path").alias("value")) \
+        .write.partitionBy("name").text(f"{where}/manifests")
+    relation(spark, d, "log_lines").select("file", "line_no", "line").repartition("file") \
+        .sortWithinPartitions("file", "line_no").select("file", F.col("line").alias("value")) \
+        .write.partitionBy("file").text(f"{where}/logs")
+    by_folder = F.regexp_extract("file_path", "name=([0-9]+)", 1)
+    manifest = files.read_lines(spark, f"{where}/manifests", recursive=True)
+    lines = files.read_lines(spark, f"{where}/logs", recursive=True)
+    return manifest.select(by_folder.alias("crawl_date"), F.col("line_no").cast("int").alias("segment"), F.col("line").alias("path"),
+                           F.lit(None).cast("bigint").alias("n_lines"), F.lit(None).cast("string").alias("file")) \
+        .unionByName(lines.groupBy(F.regexp_extract("file_path", "file=([^/]+)/", 1).alias("file")).agg(
+            (F.max("line_no") + 1).alias("n_lines")).select(
+            F.lit(None).cast("string").alias("crawl_date"), F.lit(None).cast("int").alias("segment"),
+            F.lit(None).cast("string").alias("path"), "n_lines", "file"))
 
 
 @register("page_filter", f"""
@@ -409,6 +454,61 @@ def q_monitor_eta(spark, d):
     return runs.monitor_eta(progress, summary)
 
 
+@register("progress_overall", f"""WITH {O_PP},{O_STATUS},{O_CRAWLS},{O_PROGRESS}
+SELECT count(*) AS n_crawls, count(*) FILTER (WHERE n_segments > 0 AND n_finished >= n_segments) AS n_complete,
+       coalesce(sum(n_listed), 0)::BIGINT AS n_listed, sum(n_segments)::BIGINT AS n_segments,
+       sum(n_finished)::BIGINT AS n_finished, (sum(n_segments) - sum(n_finished))::BIGINT AS n_remaining,
+       CASE WHEN sum(n_segments) <= 0 THEN 0 ELSE (sum(n_finished) * 100 // sum(n_segments))::BIGINT END AS pct_complete
+FROM progress""", ("wet_records", "postcode_lookup", "archive_manifest", "crawl_list_lines"))
+def q_progress_overall(spark, d):
+    """Progress over all crawls."""
+    return runs.progress_overall(runs.progress_by_crawl(
+        _crawls(spark, d), relation(spark, d, "archive_manifest"), _status(spark, d)))
+
+
+@register("eta_overall", f"""WITH {O_PP},{O_STATUS},{O_CRAWLS},{O_PROGRESS},
+p2 AS (SELECT sum(n_finished)::BIGINT AS n_finished, (sum(n_segments) - sum(n_finished))::BIGINT AS n_remaining FROM progress),
+p3 AS (SELECT *, CASE WHEN n_finished > 0 AND n_remaining > 0 THEN n_finished * 60 // {ELAPSED_S} END AS rate_per_min FROM p2),
+p4 AS (SELECT *, CASE WHEN rate_per_min > 0 THEN n_remaining // rate_per_min END AS eta_minutes FROM p3),
+p5 AS (SELECT *, eta_minutes // 60 // 24 AS eta_days, (eta_minutes // 60) % 24 AS eta_hours,
+              eta_minutes % 60 AS eta_mins FROM p4)
+SELECT n_finished, n_remaining, rate_per_min, eta_minutes, eta_days, eta_hours, eta_mins,
+  CASE WHEN n_finished = 0 OR n_remaining = 0 THEN 'waiting' WHEN rate_per_min <= 0 THEN 'calculating'
+       WHEN eta_days > 0 THEN printf('%dd %dh %dm', eta_days, eta_hours, eta_mins)
+       WHEN eta_hours > 0 THEN printf('%dh %dm', eta_hours, eta_mins)
+       ELSE printf('%dm', eta_mins) END AS eta_text
+FROM p5""", ("wet_records", "postcode_lookup", "archive_manifest", "crawl_list_lines"))
+def q_eta_overall(spark, d):
+    """Rate and ETA over all crawls."""
+    progress = runs.progress_by_crawl(_crawls(spark, d), relation(spark, d, "archive_manifest"), _status(spark, d))
+    return runs.eta_overall(progress, ELAPSED_S)
+
+
+@register("run_summary", f"""WITH {O_PP},{O_STATUS}
+SELECT crawl_date, count(*) AS n_segments, count(*) FILTER (WHERE state IN ('done', 'empty')) AS n_successful,
+       count(*) FILTER (WHERE state = 'done') AS n_done, count(*) FILTER (WHERE state = 'empty') AS n_empty,
+       0::BIGINT AS n_partial, 0::BIGINT AS n_failed, count(*) FILTER (WHERE state = 'pending') AS n_pending,
+       sum(n_records)::BIGINT AS n_records, sum(n_matches)::BIGINT AS n_matches,
+       printf('%d of %d segments successful', count(*) FILTER (WHERE state IN ('done', 'empty')), count(*)) AS summary
+FROM status GROUP BY crawl_date""", ("wet_records", "postcode_lookup", "archive_manifest"))
+def q_run_summary(spark, d):
+    """A2: n of m segments successful, per crawl."""
+    return runs.run_summary(_status(spark, d))
+
+
+@register("default_crawls", """
+SELECT c.crawl_date, c.n_files AS n_listed, coalesce(m.n, 0)::BIGINT AS n_segments
+FROM (VALUES ('202104', 79840), ('202110', 64000), ('202117', 64000), ('202121', 64000), ('202125', 64000),
+  ('202131', 72000), ('202139', 72000), ('202143', 72000), ('202149', 64000)) AS c(crawl_date, n_files)
+LEFT JOIN (SELECT crawl_date, count(*) AS n FROM archive_manifest GROUP BY 1) m USING (crawl_date)""", ("archive_manifest",))
+def q_default_crawls(spark, d):
+    """The built-in crawl list against the manifest's segments."""
+    manifest = relation(spark, d, "archive_manifest")
+    return runs.progress_by_crawl(runs.default_crawl_list(spark), manifest, runs.segment_status(
+        manifest, _scanned(spark, d), _wet(spark, d).limit(0))).where(F.col("n_listed").isNotNull()) \
+        .select("crawl_date", "n_listed", "n_segments")
+
+
 # ================================================================ output statistics
 @register("output_stats", f"""WITH {O_PP},
 flat AS (SELECT crawl_date || '/' || CAST(segment AS VARCHAR) AS file, unnest(string_split(postcodes, ',')) AS pc FROM pp)
@@ -436,6 +536,22 @@ def q_postcode_coverage(spark, d):
     return cov.select("n_files", F.round("pct_with_postcodes", 4).alias("pct_with_postcodes"))
 
 
+@register("output_sizes", """
+SELECT count(*) AS n_files, sum(ceil(file_size / 1048576))::BIGINT AS total_mb,
+       ceil(sum(file_size) / 1073741824)::BIGINT AS total_gb, ceil(sum(file_size) / 1073741824) > 500 AS over_limit
+FROM output_listing""", ("output_listing",))
+def q_output_sizes(spark, d):
+    """File count and size of the output."""
+    return outputs.file_sizes(relation(spark, d, "output_listing"))
+
+
+@register("latest_outputs", """
+SELECT file_path, file_size, file_mtime FROM output_listing ORDER BY file_mtime DESC, file_path LIMIT 5""", ("output_listing",))
+def q_latest_outputs(spark, d):
+    """The five files written last."""
+    return files.latest_files(relation(spark, d, "output_listing"), 5)
+
+
 # ================================================================ logs
 @register("log_error_counts", f"""WITH flags AS ({O_ERR_FLAGS})
 SELECT file, source_kind, count(*) FILTER (WHERE is_error) AS n_errors,
@@ -454,9 +570,6 @@ def q_log_success_totals(spark, d):
     return logs.log_success_totals(relation(spark, d, "log_lines"))
 
 
-
-
-
 @register("segment_runtime", f"WITH {O_RUNTIME}\nSELECT * FROM rt", ("segment_log",))
 def q_segment_runtime(spark, d):
     """Seconds from download to completion per segment (from log timestamps)."""
@@ -481,10 +594,10 @@ def q_runtime_by_task(spark, d):
     return logs.runtime_summary(logs.segment_runtime(relation(spark, d, "segment_log")), by=("file",))
 
 
-@register("failures_by_class", f"""
+@register("failures_by_class", """
 SELECT l.source_kind, c.failure_class, count(*) AS n_lines
-FROM log_lines l JOIN (VALUES {", ".join(f"('{c}')" for c in logs.FAILURE_CLASSES)}) AS c(failure_class)
-  ON contains(lower(l.line), c.failure_class)
+FROM log_lines l JOIN (VALUES ('error'), ('failed'), ('exception'), ('timeout'), ('warning'), ('low'), ('insufficient'),
+  ('no records')) AS c(failure_class) ON regexp_matches(lower(l.line), '\\b' || c.failure_class || '\\b')
 WHERE l.source_kind IN ('err', 'log') GROUP BY l.source_kind, c.failure_class""", ("log_lines",))
 def q_failures_by_class(spark, d):
     """Failing lines per failure class."""
@@ -580,7 +693,7 @@ def q_first_jobs(spark, d):
 
 
 # ================================================================ report
-@register("run_report", f"""WITH {O_PP},{O_COVERAGE},
+@register("run_report", f"""WITH {O_PP},{O_COVERAGE},{O_RUNTIME},
 flags AS ({O_ERR_FLAGS}),
 succ AS ({O_SUCCESS}),
 fig AS (
@@ -591,21 +704,25 @@ fig AS (
          (SELECT count(*) FROM pp) AS total_rows,
          (SELECT count(DISTINCT crawl_date || '/' || CAST(segment AS VARCHAR)) FROM pp) AS n_files,
          (SELECT count(DISTINCT pc) FROM (SELECT unnest(string_split(postcodes, ',')) AS pc FROM pp)) AS unique_postcodes,
-         (SELECT round(avg(pct), 4) FROM per_file) AS pct_with_postcodes),
+         (SELECT round(avg(pct), 4) FROM per_file) AS pct_with_postcodes,
+         (SELECT count(DISTINCT file) FROM flags WHERE is_error AND source_kind = 'log') AS n_failing_files,
+         (SELECT floor(avg(runtime_s))::BIGINT FROM rt) AS avg_segment_s,
+         (SELECT count(*) FROM output_listing) AS n_output_files,
+         (SELECT sum(ceil(file_size / 1048576))::BIGINT FROM output_listing) AS output_mb),
 r AS (SELECT *, CASE WHEN n_success + n_errors > 0 THEN n_success * 100 // (n_success + n_errors) ELSE 0 END
                AS success_rate FROM fig)
 SELECT n_errors, n_warnings, n_success, n_records, total_rows, n_files, unique_postcodes, pct_with_postcodes,
-       success_rate, n_errors > 5 AS high_errors, success_rate < 90 AS low_success,
+       n_failing_files, avg_segment_s, n_output_files, output_mb, success_rate, n_errors > 5 AS high_errors, success_rate < 90 AS low_success,
        pct_with_postcodes < 10 AS low_coverage, n_files > 0 AND total_rows > 0 AS quality_good,
        CASE WHEN n_success + n_errors = 0 THEN 'no_activity'
             WHEN n_errors = 0 AND success_rate > 95 THEN 'healthy'
             WHEN n_errors > 0 THEN 'rerun_failed_segments' ELSE 'below_target' END AS verdict
-FROM r""", ("wet_records", "postcode_lookup", "log_lines"))
+FROM r""", ("wet_records", "postcode_lookup", "log_lines", "segment_log", "output_listing"))
 def q_run_report(spark, d):
     """The one-row run report with verdict flags."""
-    pp = _pages(spark, d)
-    cov = outputs.coverage_from_counts(_scanned(spark, d), pp)
-    figs = report.run_figures(relation(spark, d, "log_lines"), pp, cov)
+    figs = report.run_figures(relation(spark, d, "log_lines"), _pages(spark, d), _scanned(spark, d),
+                              runtimes=logs.segment_runtime(relation(spark, d, "segment_log")),
+                              sizes=outputs.file_sizes(relation(spark, d, "output_listing")))
     figs = figs.withColumn("pct_with_postcodes", F.round("pct_with_postcodes", 4))
     return report.run_report(figs)
 

@@ -4,7 +4,8 @@
   array-style slice ``--task-id`` x ``--segments-per-task``); writes matches and status.
 * ``analyse`` -- log mining + output statistics -> one-row run report (printed, optionally
   written as JSON).
-* ``status``  -- progress, remaining segments and ETA per crawl from the status table.
+* ``status``  -- progress, remaining segments and ETA, per crawl and overall, from the status table;
+  with the logs, the output folder or an accounting listing also what they tell.
 
 The session comes from ``SparkSession.builder.getOrCreate()``, i.e. from spark-submit's
 configuration (master, executors, ``spark.checkpoint.dir``).
@@ -18,13 +19,14 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import outputs, report, runs
-from ..operators.joins import bounded_broadcast
+from ..operators import jobs, logs, outputs, report, runs
 from ..sources import files
-from ..sources.sinks import write_report
+from ..sources.sinks import read_matches, read_status, write_report
 from ..sources.wet_text import read_wet_text
 from .crawl_job import filter_crawl, filter_records
 
+ACCOUNTING = "job_id bigint, submit_time timestamp_ntz, state string, elapsed string, time_limit string"
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pagesift")
@@ -50,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("analyse", help="run report from logs and outputs")
     a.add_argument("--logs", required=True, help="folder with *.err, *.log, *.out")
     a.add_argument("--output-dir", required=True, help="match output (Parquet)")
+    a.add_argument("--status-dir", help="status table: counts current runs only, and coverage")
     a.add_argument("--report", help="write the report row here as JSON")
 
     s = sub.add_parser("status", help="progress, remaining segments, ETA")
@@ -57,53 +60,74 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--wet-paths", required=True)
     s.add_argument("--status-dir", required=True)
     s.add_argument("--elapsed-seconds", type=int, default=0)
+    s.add_argument("--logs", help="folder with the logs: ETA from measured segment runtimes")
+    s.add_argument("--output-dir", help="match output: file count and size")
+    s.add_argument("--accounting", help="CSV job_id,submit_time,state,elapsed,time_limit: jobs by state, "
+                   "jobs near their time limit")
+    s.add_argument("--deadline", help="with --accounting: jobs near this time (yyyy-MM-dd HH:mm:ss)")
     return p
 
 
+def _print(df) -> None:
+    """All rows of a report, a row per crawl or file."""
+    df.show(max(1, df.count()), truncate=False)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"pagesift-{args.command}").getOrCreate()
     if args.command == "filter":
         manifest = files.read_manifest(spark, args.wet_paths, crawl_date=args.crawl_date)
-        if args.segment is not None:
-            manifest = manifest.where(F.col("segment") == args.segment)
         lookup = files.read_lookup(spark, args.postcode_lookup, args.lookup_column)
+        part = {"task_id": args.task_id, "segments_per_task": args.segments_per_task, "segment": args.segment}
         if args.reader == "text":
             if not args.archives:
                 raise SystemExit("--reader text needs --archives")
             records = read_wet_text(spark, args.archives, crawl_date=args.crawl_date)
-            if args.task_id is not None or args.segment is not None:
-                if args.task_id is not None:
-                    manifest = runs.segment_slice(manifest, args.task_id, args.segments_per_task)
-                # a slice is small: keep its archives' records with a size-checked broadcast
-                keys = bounded_broadcast(manifest.select("crawl_date", "segment"))
-                records = records.join(keys, ["crawl_date", "segment"], "left_semi")
             res = filter_records(spark, records, manifest, lookup, args.output_dir,
-                                 args.status_dir, key=args.lookup_column)
+                                 args.status_dir, key=args.lookup_column, **part)
         else:
             res = filter_crawl(spark, manifest, lookup, args.output_dir, args.status_dir,
                                base_url=args.server_url, key=args.lookup_column,
-                               task_id=args.task_id, segments_per_task=args.segments_per_task,
-                               files_per_task=args.files_per_task)
-        res.status.groupBy("crawl_date", "state").count().orderBy("crawl_date", "state").show()
+                               files_per_task=args.files_per_task, **part)
+        _print(runs.run_summary(res.status).orderBy("crawl_date"))
     elif args.command == "analyse":
         lines = files.read_logs(spark, args.logs)
-        matches = spark.read.parquet(args.output_dir)
-        cov = outputs.postcode_coverage(files.read_output(spark, args.output_dir), F.col("file_path"))
-        rep = report.run_report(report.run_figures(lines, matches, cov))
+        status = read_status(spark, args.status_dir) if args.status_dir else None
+        matches = read_matches(spark, args.output_dir, args.status_dir) if args.status_dir \
+            else files.read_output(spark, args.output_dir)
+        figures = report.run_figures(lines, matches, status, sizes=outputs.file_sizes(
+            files.output_files(spark, args.output_dir)))
+        rep = report.run_report(figures)
         rep.show(vertical=True, truncate=False)
+        _print(logs.first_failures(lines).orderBy("file", "rank"))
+        _print(logs.runtime_summary(logs.segment_runtime(lines)).orderBy("crawl_date"))
         if args.report:
             write_report(rep, args.report)
     else:
         crawls = files.read_crawl_list(spark, args.crawl_list) if args.crawl_list \
             else runs.default_crawl_list(spark)
         manifest = files.read_manifest(spark, args.wet_paths)
-        status = spark.read.parquet(args.status_dir)
+        status = read_status(spark, args.status_dir)
         progress = runs.progress_by_crawl(crawls, manifest, status)
-        progress.orderBy("crawl_date").show(truncate=False)
-        runs.eta(progress, args.elapsed_seconds).orderBy("crawl_date").show(truncate=False)
-        runs.remaining_segments(manifest, status).groupBy("crawl_date") \
-            .agg(F.count(F.lit(1)).alias("n_remaining")).orderBy("crawl_date").show()
+        _print(progress.orderBy("crawl_date"))
+        _print(runs.progress_overall(progress))
+        _print(runs.run_summary(status).orderBy("crawl_date"))
+        _print(runs.eta(progress, args.elapsed_seconds).orderBy("crawl_date"))
+        _print(runs.eta_overall(progress, args.elapsed_seconds))
+        if args.logs:
+            timed = logs.runtime_summary(logs.segment_runtime(files.read_logs(spark, args.logs)))
+            _print(runs.monitor_eta(progress, timed).orderBy("crawl_date"))
+        if args.output_dir:
+            _print(outputs.file_sizes(files.output_files(spark, args.output_dir)))
+        if args.accounting:
+            listed = spark.read.schema(ACCOUNTING).option("header", "true").csv(args.accounting)
+            _print(jobs.jobs_by_state(listed).orderBy("state"))
+            _print(jobs.time_limit_use(listed).where("near_limit").orderBy("job_id"))
+            if args.deadline:
+                _print(jobs.deadline_days(listed, args.deadline).where("deadline_alert").orderBy("job_id"))
+        _print(runs.remaining_segments(manifest, status).groupBy("crawl_date")
+               .agg(F.count(F.lit(1)).alias("n_remaining")).orderBy("crawl_date"))
     return 0
 
 

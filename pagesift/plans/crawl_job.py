@@ -3,117 +3,140 @@
 One Spark job replaces the reference's per-date loop of cluster array tasks::
 
     manifest (slice) --hash(crawl_date, segment)--> archive reader (mapInArrow, header filter)
-        -> checkpoint(candidate pages + one status row per archive)  one pass over the archives
-        -> postcode_pages (regex once, broadcast semi join, one shuffle of matched pages)
-        -> Parquet partitioned by crawl_date
-        -> segment_status(manifest, scan status, written matches)    done / empty / partial / ...
+        -> staged table (candidate pages + one status row per archive)  one pass over the archives
+        -> postcode_pages (regex once, semi join, one shuffle of matched pages)
+        -> Parquet partitioned by crawl_date and run_id
+        -> segment_status(manifest, scan status, the run's matches)   done / empty / partial / ...
 
 The staged scan holds only records that passed the cheap header tests (``.co.uk/``
 and ``eng``) plus a row per archive, so both outputs come from a single read of the
-archives. It is checkpointed to the cluster's shared ``spark.checkpoint.dir`` by default, so
-a lost executor costs no re-read of archives.
+archives. It is a Parquet table in the cluster's shared ``spark.checkpoint.dir``, so a lost
+executor costs no re-read of archives.
+
+Runs add up: each writes under its own ``run_id``, and ``sinks.read_matches`` / ``read_status`` keep the
+latest run that finished a segment. Slices of one crawl, re-runs and ``remaining_segments`` fed
+back all go into the same two folders.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK, page_predicate
 from ..operators.match import postcode_pages
-from ..operators.runs import manifest_segments, segment_slice, segment_status
-from ..schemas import MATCH
+from ..operators.runs import PARTIAL, manifest_segments, segment_out_of_range, segment_status
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import write_matches, write_status
+from ..sources.sinks import new_run_id, read_matches, read_status, write_matches, write_status
 from ..sources.wet import scan_manifest
 
-
-DEFAULT_SPLIT_BYTES = 256 * 1024 * 1024   # crawl archives are ~100-150 MB: normally read whole
+FILES_PER_TASK = 4          # archives of 100-150 MB each: minutes per task, cheap to retry
 
 
 @dataclass
 class JobResult:
+    """Where a run wrote, and its id; ``status`` and ``matches`` are what counts over all runs."""
     matches_path: str
     status_path: str
+    run_id: int
     status: DataFrame
+    matches: DataFrame
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def requested_segments(manifest: DataFrame, first: int, last: int) -> DataFrame:
+    """(crawl_date, segment) for segments ``first`` to ``last`` of every crawl in the manifest."""
+    return manifest.select("crawl_date").distinct().select(
+        "crawl_date", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("segment"))
+
+
+def _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id) -> JobResult:
+    """Write the run's matches, then its status rows, counted from its own matches."""
+    write_matches(matches, output_dir, run_id)
+    written = spark.read.schema(matches.schema.add("run_id", "long")).parquet(output_dir) \
+        .where(F.col("run_id") == run_id).select("crawl_date", "segment")
+    status = segment_status(manifest.select("crawl_date", "segment"), scanned, written)
+    if beyond is not None:
+        status = status.unionByName(beyond.select(
+            "crawl_date", "segment", F.lit(0).cast("bigint").alias("n_records"),
+            F.lit(0).cast("bigint").alias("n_matches"), "state", "error"))
+    write_status(status, status_dir, run_id)
+    return JobResult(output_dir, status_dir, run_id, read_status(spark, status_dir),
+                     read_matches(spark, output_dir, status_dir))
+
+
+def _slice(manifest: DataFrame, task_id: int | None, segments_per_task: int, segment: int | None):
+    """The manifest's part of a slice, and the requested segments beyond it as failed rows."""
+    if task_id is None and segment is None:
+        return manifest, None
+    first = segment if segment is not None else task_id * segments_per_task
+    last = first if segment is not None else first + segments_per_task - 1
+    beyond = segment_out_of_range(requested_segments(manifest, first, last), manifest)
+    return manifest.where(F.col("segment").between(first, last)), beyond
 
 
 def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, output_dir: str,
                  status_dir: str, *, base_url: str | None = None, url_contains: str = UK_HOST_MARK,
                  language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
-                 task_id: int | None = None, segments_per_task: int = 1,
-                 files_per_task: int = 4, num_partitions: int | None = None,
-                 split_bytes: int | None = DEFAULT_SPLIT_BYTES,
-                 mode: str = "overwrite", stage: str = "checkpoint") -> JobResult:
-    """Run the filter over every archive in ``manifest`` (or one task's slice of it).
+                 task_id: int | None = None, segments_per_task: int = 1, segment: int | None = None,
+                 files_per_task: int = FILES_PER_TASK, num_partitions: int | None = None,
+                 run_id: int | None = None) -> JobResult:
+    """Run the filter over every archive in ``manifest``, one task's slice of it, or one ``segment``.
 
     ``manifest``: crawl_date, segment, path. Paths are read as given, or joined to
     ``base_url`` when it is set (http(s) archives are streamed, never staged on local disk).
-    ``split_bytes``: archives larger than this are read as several byte ranges (a single
-    oversized archive never pins one task).
-    ``stage``: how the single scan is shared by the match and status outputs --
-    ``checkpoint`` (default) writes the candidates to ``spark.checkpoint.dir`` (shared
-    storage; survives executor loss without re-reading archives), ``persist`` keeps them in
-    executor memory/disk and rebuilds lost blocks from the archives.
+    Requested segments that a crawl's manifest doesn't have become ``failed`` status rows.
     """
-    if task_id is not None:
-        manifest = segment_slice(manifest, task_id, segments_per_task)
-    if base_url:
-        manifest = manifest_segments(manifest, base_url)
-        location = "file_url"
-    else:
-        location = "path"
-    scan = scan_manifest(manifest, location=location, rec_type=CONVERSION,
-                         uri_contains=url_contains, language=language,
-                         files_per_task=files_per_task, num_partitions=num_partitions,
-                         split_bytes=split_bytes)
-    if stage == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        scan = scan.checkpoint(eager=True)
-    else:
-        scan = scan.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        records = scan.where(~F.col("is_status"))
-        matches = postcode_pages(records, lookup, url_contains=url_contains, language=language,
-                                 prefix=prefix, key=key)
-        write_matches(matches, output_dir, mode=mode)
-        written = spark.read.schema(MATCH).parquet(output_dir).select("crawl_date", "segment")
-        scanned = scan.where(F.col("is_status")).select(
-            "crawl_date", "segment", "n_records",
-            F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error")
-        status = segment_status(manifest.select("crawl_date", "segment"), scanned, written)
-        write_status(status, status_dir)
-    finally:
-        scan.unpersist()
-    return JobResult(output_dir, status_dir, spark.read.parquet(status_dir))
+    run_id = run_id or new_run_id()
+    manifest, beyond = _slice(manifest, task_id, segments_per_task, segment)
+    located, location = (manifest_segments(manifest, base_url), "file_url") if base_url else (manifest, "path")
+    scan = _staged(scan_manifest(located, location=location, rec_type=CONVERSION, uri_contains=url_contains,
+                                 language=language, num_partitions=num_partitions
+                                 or max(1, -(-manifest.count() // files_per_task))), "scan")
+    matches = postcode_pages(scan.where(~F.col("is_status")), lookup, url_contains=url_contains,
+                             language=language, prefix=prefix, key=key)
+    scanned = scan.where(F.col("is_status")).select(
+        "crawl_date", "segment", "n_records",
+        F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error")
+    return _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id)
 
 
 def filter_records(spark: SparkSession, records: DataFrame, manifest: DataFrame, lookup: DataFrame,
                    output_dir: str, status_dir: str, *, url_contains: str = UK_HOST_MARK,
                    language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
-                   mode: str = "overwrite") -> JobResult:
+                   task_id: int | None = None, segments_per_task: int = 1, segment: int | None = None,
+                   run_id: int | None = None) -> JobResult:
     """The same job over records from any reader, e.g. the JVM-only ``read_wet_text`` on a glob
     in HDFS or an object store.
 
-    One scan feeds both outputs: a narrow projection -- the key of every record, and type, URI,
-    language and text only where the cheap header tests pass -- is checkpointed to
-    ``spark.checkpoint.dir``; matches come from its candidates, records-per-segment from all
-    of its rows. (No ``partial`` state here: the text reader cannot tell a truncated archive.)
+    One scan feeds both outputs: a narrow projection -- key and framing of every record, and type, URI,
+    language and text only where the cheap header tests pass -- is staged as Parquet, where what
+    is null costs next to nothing. A segment with a record that the reader could not frame
+    (``framing_ok`` false) is ``partial``: it stays in ``remaining_segments``, to be read by
+    ``filter_crawl``, whose reader frames by length.
     """
+    run_id = run_id or new_run_id()
+    manifest, beyond = _slice(manifest, task_id, segments_per_task, segment)
+    if beyond is not None:
+        records = records.join(manifest.select("crawl_date", "segment"), ["crawl_date", "segment"], "left_semi")
     cand = F.coalesce(page_predicate(url_contains=url_contains, lang=language), F.lit(False))
-    narrow = records.select(
-        "crawl_date", "segment", "record_no", cand.alias("is_candidate"),
-        *[F.when(cand, F.col(c)).alias(c) for c in ("rec_type", "uri", "language", "text")])
-    ensure_checkpoint_dir(spark)
-    staged = narrow.checkpoint(eager=True)
+    framed = F.coalesce(F.col("framing_ok"), F.lit(True)) if "framing_ok" in records.columns else F.lit(True)
+    staged = _staged(records.select(
+        "crawl_date", "segment", "record_no", cand.alias("is_candidate"), framed.alias("framed"),
+        *[F.when(cand, F.col(c)).alias(c) for c in ("rec_type", "uri", "language", "text")]), "records")
     matches = postcode_pages(staged.where(F.col("is_candidate")), lookup, url_contains=url_contains,
                              language=language, prefix=prefix, key=key)
-    write_matches(matches, output_dir, mode=mode)
-    written = spark.read.schema(MATCH).parquet(output_dir).select("crawl_date", "segment")
-    scanned = staged.groupBy("crawl_date", "segment").agg(F.count(F.lit(1)).alias("n_records"))
-    status = segment_status(manifest.select("crawl_date", "segment"), scanned, written)
-    write_status(status, status_dir)
-    return JobResult(output_dir, status_dir, spark.read.parquet(status_dir))
+    cut = F.count_if(~F.col("framed"))
+    scanned = staged.groupBy("crawl_date", "segment").agg(
+        F.count(F.lit(1)).alias("n_records"), F.when(cut > 0, F.lit(PARTIAL)).alias("state"),
+        F.when(cut > 0, F.format_string("%d records cut at an inner delimiter", cut)).alias("error"))
+    return _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id)

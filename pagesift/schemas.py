@@ -36,6 +36,9 @@ SEGMENT_STATUS = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+# Written beside matches and status: microseconds since 1970 at the start of the run.
+RUN_ID = T.StructField("run_id", T.LongType())
+
 # One row per archive file read by the ``wet`` source (status side of the scan).
 SCAN_STATUS = T.StructType([
     T.StructField("crawl_date", T.StringType()),

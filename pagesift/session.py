@@ -7,6 +7,7 @@ convenience used by tests and ``bench.py``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -41,7 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs and tests) is a scratch folder created and set.
+    Where the setting is absent a scratch folder is created and set on a ``local`` master (tests);
+    on a cluster this raises, as executors don't share the driver's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="pagesift-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.joins import bounded_broadcast
 from ..operators.runs import parse_crawl_list
-from ..schemas import RECORD_KEY
+from ..schemas import MATCH, RECORD_KEY, RUN_ID
 
 MANIFEST_DATE = r"(\d+)_wet\.paths$"      # {date}_wet.paths, one manifest per crawl
 LOG_KIND = r"\.([A-Za-z]+)$"               # err / log / out from the extension
-MAX_SPLITS = 1_000_000                     # per-split offsets broadcast only below this many
 
 
 def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
@@ -38,8 +37,6 @@ def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = Fal
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("file_path", "block", "first",
                             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    # one row per file split: bounded by total input size / split size
-    offsets = bounded_broadcast(offsets, MAX_SPLITS)
     return raw.join(offsets, ["file_path", "block"]).select(
         "file_path", "file_name",
         (F.col("before") + F.col("pos") - F.col("first")).cast("bigint").alias("line_no"), "line")
@@ -92,12 +89,10 @@ def read_lookup(spark: SparkSession, path: str, key: str = "pcds") -> DataFrame:
     return df.select(key)
 
 
-def read_output(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """Match rows written by the job, with the file each row came from and its size."""
-    r = spark.read
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    df = r.parquet(path)
+def read_output(spark: SparkSession, path: str) -> DataFrame:
+    """Match rows written by the job, every run's, under the declared schema (so a crawl date stays
+    text), with the file each row came from and its size."""
+    df = spark.read.schema(T.StructType([*MATCH.fields, RUN_ID])).parquet(path)
     return df.select("*", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_size").alias("file_size"),
                      F.col("_metadata.file_modification_time").alias("file_mtime"))

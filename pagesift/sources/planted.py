@@ -26,6 +26,7 @@ DEPENDS = {
     "log_lines": ("events",),
     "segment_log": ("events",),
     "accounting": ("events",),
+    "output_listing": ("documents",),
 }
 
 SQL: dict[str, str] = {}
@@ -89,15 +90,25 @@ select concat('task_', cast(user_id % 40 as string),
 from events
 """
 
-SQL["segment_log"] = """
-select concat('task_', cast(user_id % 40 as string), '.log') as file, event_id * 2 as line_no,
-  concat(substr(cast(ts as string), 1, 19), ',000 - INFO - Downloading https://h/s', cast(event_id as string), '.gz to crawldata202104segment', cast(event_id as string), '.wet.gz') as line
-from events
-union all
-select concat('task_', cast(user_id % 40 as string), '.log') as file, event_id * 2 + 1 as line_no,
-  concat(substr(cast(ts + interval '1' second * cast(event_id % 600 as int) as string), 1, 19), ',000 - INFO - Completed processing segment ', cast(event_id as string), ': ', cast(event_id % 17 as string), ' records') as line
-from events
+# One log per task, shared by both crawls (segments come twice, crawl after crawl, as when no job id is
+# given); targets lie in an output folder; every tenth download is tried twice; the console (.err) repeats
+# every line of the log.
+_LOGGED = """
+select concat('task_', cast(cast(floor(event_id / 2) as int) % 40 as string), '.{kind}') as file, '{kind}' as source_kind,
+  event_id * 4 + {step} as line_no,
+  concat(substr(cast(ts + interval '1' second * cast({seconds} as int) as string), 1, 19), ',000 - INFO - ', {message}) as line
+from events{where}
 """
+_TARGET = """concat('Downloading https://h/s', cast(event_id as string), '.gz to ',
+    case when event_id % 3 = 0 then '' when event_id % 3 = 1 then 'output/' else '/data/run/output/' end, 'crawldata',
+    case when event_id % 2 = 0 then '202104' else '202110' end, 'segment',
+    lpad(cast(cast(floor(event_id / 2) as int) as string), 5, '0'), '.wet.gz')"""
+_FINISHED = """concat('Completed processing segment ', cast(cast(floor(event_id / 2) as int) as string), ': ',
+    cast(event_id % 17 as string), ' records')"""
+SQL["segment_log"] = "union all".join(
+    _LOGGED.format(kind=kind, step=step, seconds=seconds, message=message, where=where)
+    for kind in ("log", "err") for step, seconds, message, where in (
+        (0, "-30", _TARGET, " where event_id % 10 = 0"), (1, "0", _TARGET, ""), (2, "event_id % 600", _FINISHED, "")))
 
 SQL["accounting"] = """
 select event_id as job_id, ts as submit_time,
@@ -135,6 +146,15 @@ select event_id as line_no,
 from events
 """
 
+# What a listing of the output folder gives: one file per document.
+SQL["output_listing"] = """
+select concat('out/crawl_date=', case when doc_id % 2 = 0 then '202104' else '202110' end, '/part-',
+    cast(doc_id as string), '.parquet') as file_path,
+  n_chars * 1000 + doc_id % 7 as file_size,
+  timestamp '2024-01-01 00:00:00' + interval '1' minute * cast(doc_id * 37 % 1009 as int) as file_mtime
+from documents
+"""
+
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The planted relation ``name`` over the tables in ``sf_dir``.

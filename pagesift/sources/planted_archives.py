@@ -1,9 +1,8 @@
 """Planted archives: the planted ``wet_records`` written as real WET archives by Spark.
 
 Lets the archive readers be checked at the scale of the driver's tables: records are
-range-partitioned on (crawl_date, segment, record_no) -- a large segment spreads over several
-tasks and files -- and each task writes, per segment it holds, one gzip'ed WARC file with one
-gzip member per record (as crawl archives are stored). File names carry crawl date and
+dealt by (crawl_date, segment) and each task writes, per segment it holds, one gzip'ed WARC file
+with one gzip member per record (as crawl archives are stored: a segment is one archive). File names carry crawl date and
 segment; the record number travels in ``WARC-Record-ID``. Names depend only on the task's
 partition, so a retried task rewrites the same files.
 """
@@ -37,7 +36,7 @@ def write_archives(records: DataFrame, out_dir: str, rows_per_task: int = 2000)
     ship_package(records.sparkSession)
     cols = records.select("crawl_date", "segment", "record_no", "rec_type", "uri", "language", "text")
     n_parts = max(1, -(-cols.count() // rows_per_task))
-    parts = cols.repartitionByRange(n_parts, "crawl_date", "segment", "record_no") \
+    parts = cols.repartition(n_parts, "crawl_date", "segment") \
         .sortWithinPartitions("crawl_date", "segment", "record_no")
 
     def write(batches):

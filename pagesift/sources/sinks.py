@@ -1,34 +1,58 @@
-"""Writers: match output, segment status, run report.
+"""Writers and readers of the job's outputs: matches, segment status, run report.
 
-Output is partitioned by crawl date (the reference wrote one flat file per archive, up to
-615,840 of them); file size is bounded with ``maxRecordsPerFile`` rather than by one task
-per archive. Writes go through Spark's commit protocol, so a lost executor or a retried task
-never leaves partial files, and ``overwrite`` of a crawl partition is idempotent.
+Every run writes its own ``crawl_date=.../run_id=...`` folders, so slices of one crawl and re-runs
+lie side by side in one output folder. A run with the same id replaces what it wrote. What
+counts is decided when reading: for each (crawl_date, segment) the latest run that finished it, else
+the latest that tried. File size is bounded with ``maxRecordsPerFile``; writes go through Spark's
+commit protocol, so a lost executor or a retried task never leaves partial files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.runs import SEGMENT_KEY, current_runs
+from ..schemas import MATCH, RUN_ID, SEGMENT_STATUS
 
 DEFAULT_MAX_RECORDS_PER_FILE = 200_000
 
 
-def write_matches(matches: DataFrame, path: str, mode: str = "overwrite",
-                  max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-                  dynamic_overwrite: bool = True) -> None:
-    """Parquet (snappy), one folder per crawl date. With ``dynamic_overwrite`` only the crawl
-    dates present in ``matches`` are replaced."""
-    w = matches.write.mode(mode).partitionBy("crawl_date") \
-        .option("maxRecordsPerFile", max_records_per_file).option("compression", "snappy")
-    if dynamic_overwrite and mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+def new_run_id() -> int:
+    return time.time_ns() // 1000
+
+
+def _write(df: DataFrame, path: str, run_id: int) -> None:
+    df.withColumn("run_id", F.lit(run_id).cast("bigint")).write.mode("overwrite") \
+        .partitionBy("crawl_date", "run_id").option("partitionOverwriteMode", "dynamic") \
+        .option("maxRecordsPerFile", DEFAULT_MAX_RECORDS_PER_FILE).option("compression", "snappy").parquet(path)
+
+
+def write_matches(matches: DataFrame, path: str, run_id: int) -> None:
+    """Parquet, one folder per crawl date and run."""
+    _write(matches, path, run_id)
+
+
+def write_status(status: DataFrame, path: str, run_id: int) -> None:
+    """The run's rows of the per-segment status table."""
+    _write(status, path, run_id)
+
+
+def read_status(spark: SparkSession, path: str, every_run: bool = False) -> DataFrame:
+    """One row per (crawl_date, segment): that of the run that counts; with ``every_run`` all rows,
+    with their run_id."""
+    rows = spark.read.schema(T.StructType([*SEGMENT_STATUS.fields, RUN_ID])).parquet(path)
+    return rows if every_run else rows.join(current_runs(rows), [*SEGMENT_KEY, "run_id"], "left_semi").drop("run_id")
 
 
-def write_status(status: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The per-segment status table, partitioned by crawl date."""
-    status.write.mode(mode).partitionBy("crawl_date").option("partitionOverwriteMode", "dynamic") \
-        .parquet(path)
+def read_matches(spark: SparkSession, path: str, status_path: str) -> DataFrame:
+    """The match rows that count: those of each segment's current run."""
+    rows = spark.read.schema(T.StructType([*MATCH.fields, RUN_ID])).parquet(path)
+    keep = current_runs(read_status(spark, status_path, every_run=True))
+    return rows.join(keep, [*SEGMENT_KEY, "run_id"], "left_semi").drop("run_id")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:

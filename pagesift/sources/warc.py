@@ -69,6 +69,8 @@ def iter_records(stream, keep: Callable[[dict[str, str]], bool] | None = None,
     ``keep(headers)`` decides from headers alone whether a body is decoded and the record
     yielded; skipped bodies are read past without decoding. ``status`` (if given) receives the
     record count and ``partial`` when the archive is truncated or corrupt after some records.
+    Only errors of the format end an archive so; connection and filesystem errors are raised, and
+    Spark retries the task.
     """
     status = status if status is not None else ScanResult()
     n = 0
@@ -92,7 +94,7 @@ def iter_records(stream, keep: Callable[[dict[str, str]], bool] | None = None,
             if wanted:
                 yield (record_no, headers.get(H_TYPE), headers.get(H_URI), headers.get(H_LANGUAGE),
                        headers, length, body.decode(TEXT_ENCODING, TEXT_ERRORS))
-    except (EOFError, OSError, ValueError, zlib.error, gzip.BadGzipFile) as e:
+    except (EOFError, ValueError, zlib.error, gzip.BadGzipFile) as e:
         status.state = "partial" if n > 0 else "failed"
         status.error = f"{type(e).__name__}: {e}"
     status.n_records = n
@@ -107,93 +109,6 @@ def _skip(stream, length: int) -> None:
         left -= len(chunk)
 
 
-# ---------------------------------------------------------------------------
-# Splitting one large archive across tasks. Crawl archives store one gzip member per record,
-# so a byte range can be read on its own: start at the first member at or after the range
-# start that decompresses to a WARC record, and stop at the first member starting at or
-# after the range end. Each member belongs to exactly one range.
-GZIP_MAGIC = b"\x1f\x8b\x08"
-_CHUNK = 1 << 16
-MEMBER_SHIFT = 20          # record_no = member offset << 20 | index of the record in the member
-
-
-def _member_at(f, offset: int) -> tuple[bytes, int]:
-    """Decompress the gzip member starting at ``offset``: (data, compressed length)."""
-    f.seek(offset)
-    d = zlib.decompressobj(31)
-    out, consumed = [], 0
-    while not d.eof:
-        buf = f.read(_CHUNK)
-        if not buf:
-            raise EOFError("archive ended inside a gzip member")
-        out.append(d.decompress(buf))
-        consumed += len(buf)
-    return b"".join(out), consumed - len(d.unused_data)
-
-
-def _starts_record(f, offset: int) -> bool:
-    """Does a gzip member holding a WARC record start at ``offset``? Only its first bytes are
-    inflated, so a member cut short by truncation is still recognised (and reported later)."""
-    f.seek(offset)
-    try:
-        head = zlib.decompressobj(31).decompress(f.read(_CHUNK), len(VERSION_PREFIX))
-    except zlib.error:
-        return False
-    return head.startswith(VERSION_PREFIX)
-
-
-def _first_member(f, start: int, end: int) -> int | None:
-    """Offset of the first member in ``[start, end)`` that holds a WARC record."""
-    pos = start
-    while pos < end:
-        f.seek(pos)
-        window = f.read(_CHUNK + len(GZIP_MAGIC))
-        if not window:
-            return None
-        i = window.find(GZIP_MAGIC)
-        while i != -1 and pos + i < end:
-            if _starts_record(f, pos + i):
-                return pos + i
-            i = window.find(GZIP_MAGIC, i + 1)
-        pos += _CHUNK
-    return None
-
-
-def iter_range_records(f, start: int, end: int, keep=None,
-                       status: ScanResult | None = None) -> Iterator[tuple]:
-    """Records whose gzip member starts in ``[start, end)`` of the raw file ``f``.
-
-    Same tuples as :func:`iter_records`, with ``record_no`` = member offset << 20 | index in
-    the member (unique and ordered within the archive)."""
-    status = status if status is not None else ScanResult()
-    n = 0
-    try:
-        off = start if start == 0 else _first_member(f, start, end)
-        while off is not None and off < end:
-            data, used = _member_at(f, off)
-            inner = ScanResult()
-            for rec in iter_records(io.BytesIO(data), keep=keep, status=inner):
-                yield ((off << MEMBER_SHIFT) | rec[0],) + rec[1:]
-            n += inner.n_records
-            if inner.state != "read":
-                raise ValueError(f"record not aligned with gzip members at {off}: {inner.error}")
-            off += used
-            f.seek(off)
-            if not f.read(1):
-                break
-    except (EOFError, OSError, ValueError, zlib.error) as e:
-        status.state = "partial" if n > 0 else "failed"
-        status.error = f"{type(e).__name__}: {e}"
-    status.n_records = n
-
-
-def byte_ranges(size: int, split_bytes: int | None) -> list[tuple[int, int]]:
-    """``[start, end)`` ranges covering a file of ``size`` bytes; one range when not split."""
-    if not split_bytes or size <= split_bytes:
-        return [(0, -1)]
-    return [(s, min(s + split_bytes, size)) for s in range(0, size, split_bytes)]
-
-
 def header_filter(rec_type: str | None = None, uri_contains: str | None = None,
                   language: str | None = None, uri_startswith: str | None = None):
     """A ``keep`` predicate over record headers (all given conditions must hold)."""

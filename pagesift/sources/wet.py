@@ -3,7 +3,8 @@
 Two entry points share the framing helper in :mod:`.warc`:
 
 * ``spark.read.format("wet").load(path)`` -- a Python Data Source with one input partition
-  per archive. Equality / contains / prefix filters on ``rec_type``, ``uri`` and ``language``
+  per archive. A truncated or corrupt archive fails the query, or with
+  ``option("onTruncated", "keep")`` gives its leading records. Equality / contains / prefix filters on ``rec_type``, ``uri`` and ``language``
   are pushed into the reader when the session enables ``spark.sql.python.filterPushdown``
   (``read_wet`` asks for it then), so bodies of records that cannot pass are skipped
   undecoded; Spark still re-checks every filter. Without it the plain reader is used.
@@ -17,8 +18,10 @@ from __future__ import annotations
 
 import glob
 import gzip
+import io
 import os
 import re
+import urllib.error
 import urllib.request
 from collections.abc import Iterator
 
@@ -38,11 +41,12 @@ from pyspark.sql.datasource import (
 
 from ..schemas import SCAN_STATUS, WET_RECORD
 from ..session import ship_package
-from .warc import ScanResult, byte_ranges, header_filter, iter_range_records, iter_records, open_archive
+from .warc import ScanResult, header_filter, iter_records, open_archive
 
 # Archive names written by the reference's jobs: crawldata{date}segment{NNNNN}.wet.gz
 DEFAULT_NAME_PATTERN = r"crawldata(\d+)segment(\d+)"
-BATCH_ROWS = 1024   # rows per Arrow batch out of the reader
+BATCH_ROWS = 1024            # an Arrow batch out of the reader ends at so many rows ...
+BATCH_CHARS = 16 << 20       # ... or so many characters of text
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 ARCHIVE_GLOBS = ("*.wet.gz", "*.warc.wet.gz", "*.wet", "*.gz")
 
@@ -65,11 +69,43 @@ def _has_scheme(location: str) -> bool:
     return "://" in location
 
 
+class _Transfer(io.RawIOBase):
+    """An HTTP body that raises when it ends before its Content-Length: a cut connection must fail
+    the task, which Spark retries, not pass for a truncated archive."""
+
+    def __init__(self, response):
+        self.response = response
+        length = response.headers.get("Content-Length")
+        self.left = int(length) if length and length.isdigit() else None
+
+    def readable(self):
+        return True
+
+    def readinto(self, buffer):
+        data = self.response.read(len(buffer))
+        if self.left is not None:
+            self.left -= len(data)
+            if not data and self.left > 0 and len(buffer):
+                raise ConnectionError(f"transfer ended {self.left} bytes early")
+        buffer[:len(data)] = data
+        return len(data)
+
+    def close(self):
+        self.response.close()
+        super().close()
+
+
 def open_raw(location: str):
-    """Seekable binary file for a path or a filesystem URI (``file://``, ``s3://``,
-    ``gs://``, ``hdfs://``, ... through ``pyarrow.fs``), read inside the task."""
+    """Binary stream of the stored bytes: local/shared path, http(s) URL or any filesystem URI
+    (``file://``, ``s3://``, ``gs://``, ``hdfs://``, ... through ``pyarrow.fs``), read inside the task."""
     if location.startswith(("http://", "https://")):
-        raise ValueError("byte ranges need a seekable filesystem, not http")
+        try:
+            response = urllib.request.urlopen(location, timeout=300)  # noqa: S310 - archive URLs
+        except urllib.error.HTTPError as e:
+            if e.code in (404, 410):
+                raise FileNotFoundError(f"HTTP {e.code}: {location}") from e
+            raise
+        return io.BufferedReader(_Transfer(response), 1 << 20)
     if not _has_scheme(location):
         return open(location, "rb")  # noqa: SIM115
     from pyarrow import fs as pafs
@@ -78,34 +114,12 @@ def open_raw(location: str):
     return filesystem.open_input_file(path)
 
 
-def archive_size(location: str) -> int:
-    """Size in bytes, or -1 when unknown (http) or missing."""
-    try:
-        if location.startswith(("http://", "https://")):
-            return -1
-        if not _has_scheme(location):
-            return os.path.getsize(location)
-        from pyarrow import fs as pafs
-
-        filesystem, path = pafs.FileSystem.from_uri(location)
-        info = filesystem.get_file_info(path)
-        return info.size if info.type == pafs.FileType.File else -1
-    except (OSError, ValueError):
-        return -1
-
-
 def open_any(location: str):
-    """An archive as a binary stream, decompressed when gzip'ed: local/shared path, http(s)
-    URL (streamed), or any filesystem URI ``pyarrow.fs`` knows."""
-    if location.startswith(("http://", "https://")):
-        resp = urllib.request.urlopen(location, timeout=300)  # noqa: S310 - archive URLs
-        return gzip.GzipFile(fileobj=resp, mode="rb") if location.endswith(".gz") else resp
+    """An archive as a binary stream, decompressed when gzip'ed."""
     if not _has_scheme(location):
         return open_archive(location)
-    raw = open_raw(location)
-    head = raw.read(2)
-    raw.seek(0)
-    return gzip.GzipFile(fileobj=raw, mode="rb") if head == b"\x1f\x8b" else raw
+    raw = io.BufferedReader(open_raw(location), 1 << 20) if not location.startswith("http") else open_raw(location)
+    return gzip.GzipFile(fileobj=raw, mode="rb") if raw.peek(2)[:2] == b"\x1f\x8b" else raw
 
 
 ARCHIVE_SUFFIXES = (".wet.gz", ".wet", ".gz")
@@ -145,13 +159,11 @@ def list_archives(path: str) -> list[str]:
 
 
 class WetPartition(InputPartition):
-    """One archive, or one byte range ``[start, end)`` of a large one (``end == -1``: whole)."""
+    """One archive."""
 
-    def __init__(self, path: str, crawl_date: str | None, segment: int | None,
-                 start: int = 0, end: int = -1):
-        super().__init__((path, start))
+    def __init__(self, path: str, crawl_date: str | None, segment: int | None):
+        super().__init__(path)
         self.path, self.crawl_date, self.segment = path, crawl_date, segment
-        self.start, self.end = start, end
 
 
 class WetReader(DataSourceReader):
@@ -164,16 +176,12 @@ class WetReader(DataSourceReader):
         files = list_archives(self.options["path"])
         pattern = re.compile(self.options.get("namepattern", DEFAULT_NAME_PATTERN))
         fallback_date = self.options.get("crawldate")
-        split = int(self.options.get("splitbytes", "0")) or None
         parts = []
         for i, p in enumerate(files):
             m = pattern.search(os.path.basename(p))
             date, seg = (m.group(1), int(m.group(2))) if m and m.lastindex and m.lastindex >= 2 \
                 else (fallback_date, i)
-            # planning runs on the driver: decide by name, without opening every archive
-            size = archive_size(p) if split and p.endswith(".gz") else 0
-            for start, end in byte_ranges(size, split):
-                parts.append(WetPartition(p, date, seg, start, end))
+            parts.append(WetPartition(p, date, seg))
         return parts
 
     def _keep(self):
@@ -203,30 +211,21 @@ class WetReader(DataSourceReader):
         if self.status_mode:
             yield self._status_row(partition)
             return
-        keep = self._keep()
-        if partition.end != -1:
-            with open_raw(partition.path) as f:
-                yield from _record_batches(partition, iter_range_records(
-                    f, partition.start, partition.end, keep=keep))
-            return
+        status = ScanResult()
         with open_any(partition.path) as stream:
-            yield from _record_batches(partition, iter_records(stream, keep=keep))
+            yield from _record_batches(partition, iter_records(stream, keep=self._keep(), status=status))
+        if status.state != "read" and self.options.get("ontruncated", "fail").lower() != "keep":
+            raise ValueError(f"{partition.path} is {status.state} after {status.n_records} records: {status.error}")
 
     @staticmethod
     def _status_row(partition: WetPartition) -> tuple:
-        """Records read and state of one archive (or byte range); headers only, no body decode."""
+        """Records read and state of one archive; headers only, no body decode."""
         status = ScanResult()
-        skip_all = lambda h: False
         try:
-            if partition.end != -1:
-                with open_raw(partition.path) as f:
-                    for _ in iter_range_records(f, partition.start, partition.end, skip_all, status):
-                        pass
-            else:
-                with open_any(partition.path) as stream:
-                    for _ in iter_records(stream, keep=skip_all, status=status):
-                        pass
-        except OSError as e:
+            with open_any(partition.path) as stream:
+                for _ in iter_records(stream, keep=lambda h: False, status=status):
+                    pass
+        except FileNotFoundError as e:
             status.state, status.error = "failed", f"{type(e).__name__}: {e}"
         return (partition.crawl_date, partition.segment, status.n_records, status.state, status.error)
 
@@ -240,8 +239,9 @@ _ARROW_RECORD = pa.schema([
 
 
 def _record_batches(partition: WetPartition, records) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of ``BATCH_ROWS`` records (columnar hand-off to the JVM)."""
+    """Arrow batches of bounded rows and text (columnar hand-off to the JVM)."""
     cols: dict[str, list] = {k: [] for k in _ARROW_RECORD.names}
+    chars = 0
 
     def flush():
         batch = pa.RecordBatch.from_pydict(cols, schema=_ARROW_RECORD)
@@ -259,17 +259,14 @@ def _record_batches(partition: WetPartition, records) -> Iterator[pa.RecordBatch
         cols["headers"].append(list(headers.items()))
         cols["content_length"].append(length)
         cols["text"].append(text)
-        if len(cols["record_no"]) >= BATCH_ROWS:
+        chars += len(text)
+        if len(cols["record_no"]) >= BATCH_ROWS or chars >= BATCH_CHARS:
             yield flush()
+            chars = 0
     if cols["record_no"]:
         yield flush()
 
 
-def _is_gzip(path: str) -> bool:
-    with open_raw(path) as f:
-        return f.read(2) == b"\x1f\x8b"
-
-
 class WetPushdownReader(WetReader):
     """``WetReader`` that takes pushed filters (needs
     ``spark.sql.python.filterPushdown.enabled=true``, else Spark refuses the reader)."""
@@ -316,79 +313,44 @@ def register(spark: SparkSession) -> None:
 
 def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
              name_pattern: str = DEFAULT_NAME_PATTERN, crawl_date: str | None = None,
-             split_bytes: int | None = None) -> DataFrame:
+             on_truncated: str = "fail") -> DataFrame:
     """Records (or per-archive status rows with ``mode='status'``) of the archives at ``path``.
 
-    ``split_bytes``: gzip archives larger than this are read as several byte ranges in
-    parallel (one gzip member per record, as crawl archives are written); status rows are then
-    per range and add up per archive."""
+    ``on_truncated``: ``fail`` raises on a truncated or corrupt archive, ``keep`` gives the records
+    before the damage. ``path`` is listed on the driver: for a crawl's hundreds of thousands of
+    archives use :func:`scan_manifest`, which never lists."""
     register(spark)
     pushdown = spark.conf.get(PUSHDOWN_CONF, "false").lower() == "true"
     r = spark.read.format("wet").option("path", path).option("mode", mode) \
         .option("pushdown", str(pushdown).lower()) \
-        .option("namePattern", name_pattern).option("splitBytes", str(split_bytes or 0))
+        .option("namePattern", name_pattern).option("onTruncated", on_truncated)
     if crawl_date is not None:
         r = r.option("crawlDate", crawl_date)
     return r.load()
 
 
-def _open_unit(item: dict):
-    """Whole archive (decompressed stream) or the raw file for a byte range."""
-    return open_any(item["location"]) if item["end"] == -1 else open_raw(item["location"])
-
-
-def _byte_ranges(rows: DataFrame, split_bytes: int | None) -> DataFrame:
-    """Add ``start``/``end`` (``end = -1``: whole archive); sizes are taken inside tasks."""
-    if not split_bytes:
-        return rows.select("*", F.lit(0).cast("bigint").alias("start"),
-                           F.lit(-1).cast("bigint").alias("end"))
-
-    def sizes(batches):
-        for b in batches:
-            out = []
-            for loc in b.column("location").to_pylist():
-                size = archive_size(loc)
-                out.append(size if size > 0 and _is_gzip(loc) else -1)
-            yield b.append_column("size", pa.array(out, pa.int64()))
-
-    sized = rows.mapInArrow(sizes, "crawl_date string, segment int, location string, size bigint")
-    split = F.lit(split_bytes).cast("bigint")
-    big = F.col("size") > split
-    n_parts = F.when(big, F.ceil(F.col("size") / split)).otherwise(F.lit(1)).cast("int")
-    parts = sized.select("*", F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part"))
-    return parts.select(
-        "crawl_date", "segment", "location",
-        F.when(big, F.col("part") * split).otherwise(F.lit(0)).cast("bigint").alias("start"),
-        F.when(big, F.least((F.col("part") + 1) * split, F.col("size"))).otherwise(F.lit(-1))
-        .cast("bigint").alias("end"))
-
-
 def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type: str | None = None,
                   uri_contains: str | None = None, language: str | None = None,
-                  files_per_task: int = 4, num_partitions: int | None = None,
-                  split_bytes: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None) -> DataFrame:
     """Read the archives a manifest names, in parallel, inside tasks.
 
     ``manifest`` has ``crawl_date``, ``segment`` and a ``location`` column (path or URL). Each
     archive yields its records that pass the header filter and one status row
-    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``).
+    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``). A missing archive is
+    ``failed``, a damaged one ``partial``; other I/O errors fail the task, which Spark retries.
 
-    Manifest rows are range-partitioned on (crawl_date, segment) into tasks of about
-    ``files_per_task`` archives: equal-sized tasks whatever the spread of crawls, small
-    enough that a lost executor costs minutes, and stable across task retries.
-
-    ``split_bytes``: a local gzip archive larger than this becomes several byte ranges, each
-    its own unit of work (with its own status row), so one oversized archive is spread over
-    many tasks instead of holding one task for hours.
+    Manifest rows are dealt by hash of (crawl_date, segment) to ``num_partitions`` tasks (default: the
+    session's shuffle partitions, at least its parallelism); the caller who knows the number of
+    archives sets it so that a task holds a few.
     """
-    ship_package(manifest.sparkSession)
+    spark = manifest.sparkSession
+    ship_package(spark)
     keep = header_filter(rec_type=rec_type, uri_contains=uri_contains, language=language)
     filtered = any(v is not None for v in (rec_type, uri_contains, language))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
     rows = manifest.select("crawl_date", F.col("segment").cast("int").alias("segment"),
-                           F.col(location).alias("location"))
-    rows = _byte_ranges(rows, split_bytes)
-    n = num_partitions or max(1, -(-rows.count() // files_per_task))
-    rows = rows.repartitionByRange(n, "crawl_date", "segment", "start")
+                           F.col(location).alias("location")).repartition(n, "crawl_date", "segment")
 
     def read_batches(batches):
         out = {k: [] for k in _ARROW_SCAN.names}
@@ -405,22 +367,20 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
 
         for batch in batches:
             for item in batch.to_pylist():
-                status = ScanResult()
+                status, chars = ScanResult(), 0
                 try:
-                    with _open_unit(item) as stream:
-                        recs = iter_records(stream, keep=keep if filtered else None, status=status) \
-                            if item["end"] == -1 else \
-                            iter_range_records(stream, item["start"], item["end"],
-                                               keep=keep if filtered else None, status=status)
-                        for rec in recs:
+                    with open_any(item["location"]) as stream:
+                        for rec in iter_records(stream, keep=keep if filtered else None, status=status):
                             record_no, rt, uri, lang, headers, length, text = rec
                             add(crawl_date=item["crawl_date"], segment=item["segment"],
                                 record_no=record_no, rec_type=rt, uri=uri, language=lang,
                                 headers=list(headers.items()), content_length=length, text=text,
                                 is_status=False)
-                            if len(out["record_no"]) >= BATCH_ROWS:
+                            chars += len(text)
+                            if len(out["record_no"]) >= BATCH_ROWS or chars >= BATCH_CHARS:
                                 yield flush()
-                except OSError as e:
+                                chars = 0
+                except FileNotFoundError as e:
                     status.state, status.error = "failed", f"{type(e).__name__}: {e}"
                 add(crawl_date=item["crawl_date"], segment=item["segment"], is_status=True,
                     n_records=status.n_records, state=status.state, error=status.error)

@@ -9,8 +9,8 @@ Versus the ``wet`` Python source:
 
 * reads wherever Spark reads (object stores, HDFS), with Hadoop's gzip codec;
 * a body that itself contains ``WARC/1.0\\r\\n`` is cut there: the record gets
-  ``framing_ok = false`` and the left-over pieces (no ``WARC-Type`` / ``Content-Length``)
-  are dropped;
+  ``framing_ok = false``, which makes its segment ``partial`` in ``filter_records``, and the
+  left-over pieces (no ``WARC-Type`` / ``Content-Length``) are dropped;
 * ``record_no`` orders records within an archive but is not the dense 0-based index;
 * a genuine U+FFFD in a body that also holds invalid bytes is dropped with them.
 """

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.match import postcode_pages
+from ..plans.crawl_job import filter_crawl
 from ..schemas import MANIFEST, WET_RECORD
-from ..sources.wet import scan_manifest
-from ..functions.text import CONVERSION, LANGUAGE, UK_HOST_MARK
 
 
 def _batch_writer(lookup: DataFrame, output_dir: str, **match_kwargs):
@@ -38,19 +37,19 @@ def stream_records(spark: SparkSession, records_dir: str, lookup: DataFrame, out
 
 
 def stream_manifests(spark: SparkSession, manifest_dir: str, lookup: DataFrame, output_dir: str,
-                     checkpoint_dir: str, available_now: bool = False,
-                     url_contains: str = UK_HOST_MARK, language: str = LANGUAGE) -> StreamingQuery:
+                     status_dir: str, checkpoint_dir: str, available_now: bool = False,
+                     base_url: str | None = None, **match_kwargs) -> StreamingQuery:
     """Process the archives listed in manifest rows (CSV: crawl_date, segment, path) as new
-    manifest files land in ``manifest_dir``."""
+    manifest files land in ``manifest_dir``.
+
+    Each micro-batch is a run of the batch job with the batch number as run id: a batch that is
+    run again replaces its own rows, and every archive leaves a status row, a missing or damaged
+    one too, so ``remaining_segments`` finds what has to be listed again."""
     stream = spark.readStream.schema(MANIFEST).option("header", "true").csv(manifest_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scan = scan_manifest(batch, location="path", rec_type=CONVERSION,
-                             uri_contains=url_contains, language=language)
-        records = scan.where("NOT is_status")
-        out = postcode_pages(records, lookup, url_contains=url_contains, language=language)
-        out.write.mode("overwrite").partitionBy("crawl_date") \
-            .parquet(f"{output_dir.rstrip('/')}/batch={batch_id}")
+        filter_crawl(batch.sparkSession, batch, lookup, output_dir, status_dir, base_url=base_url,
+                     run_id=batch_id + 1, **match_kwargs)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from pagesift.plans import catalog
 from conftest import SF001, SF01
 from oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()         # those of the training-data subpackage have tests of their own
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

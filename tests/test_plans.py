@@ -33,9 +33,8 @@ def test_general_extraction_evaluated_once(spark):
     assert _plan(df).count("regexp_extract_all") == 1
 
 
-def test_lookup_beyond_bound_is_not_broadcast(spark):
-    pp = match.postcode_pages(relation(spark, SF001, "wet_records"), relation(spark, SF001, "postcode_lookup"),
-                              max_broadcast_rows=3)
+def test_lookup_beyond_the_threshold_is_not_broadcast(spark):
+    pp = match.postcode_pages(relation(spark, SF001, "wet_records"), relation(spark, SF001, "postcode_lookup"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -79,14 +78,62 @@ def test_reader_takes_pushed_filters():
 
 
 def test_no_cross_join_sort_aggregate_or_python_in_any_query(spark):
-    import __spark_entry__ as entry
-    for name, fn in entry.queries().items():
+    from pagesift.plans import catalog
+    for name, fn in catalog.queries().items():
         plan = _plan(fn(spark, SF001))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "SortAggregate" not in plan, name          # hash aggregates only
         assert "EvalPython" not in plan, name             # no Python UDF in any query
 
 
+# These write archives, text files or job outputs first, and read them back.
+WRITES_FIRST = {"archive_roundtrip", "archive_status", "sliced_run", "text_inputs"}
+
+
+def test_building_a_query_starts_no_job(spark):
+    from pagesift.plans import catalog
+    tracker = spark.sparkContext.statusTracker()
+    for name, fn in catalog.queries().items():
+        if name not in WRITES_FIRST:
+            fn(spark, SF001)                            # the session infers Parquet schemas once
+            spark.sparkContext.setJobGroup(f"build {name}", "")
+            relation_reads = len(tracker.getJobIdsForGroup(f"build {name}"))
+            fn(spark, SF001)
+            jobs = tracker.getJobIdsForGroup(f"build {name}")
+            stages = {tracker.getStageInfo(s).name for j in jobs for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)}
+            assert relation_reads == 0 and all("parquet" in s for s in stages), (name, stages)   # footers only
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_run_report_extracts_once(spark):
+    from pagesift.plans import catalog
+    df = catalog.queries()["run_report"](spark, SF001)
+    df.collect()
+    assert _optimized(df).count("explode(array_distinct(regexp_extract_all(") == 1
+
+
+def test_archives_are_scanned_once(spark, tmp_path):
+    """The job stages its scan: the archives' reader runs in one stage, before anything else."""
+    from pagesift.plans import crawl_job
+    from pagesift.sources import warc
+    p = tmp_path / "a.wet.gz"
+    p.write_bytes(warc.gzip_members([warc.encode_record({"WARC-Type": "warcinfo"}, b"x")]))
+    manifest = spark.createDataFrame([("202104", 0, str(p))], "crawl_date string, segment int, path string")
+    lookup = spark.createDataFrame([("BS1 4AB",)], "pcds string")
+    res = crawl_job.filter_crawl(spark, manifest, lookup, str(tmp_path / "o"), str(tmp_path / "s"))
+    assert "MapInArrow" not in _plan(res.status) and "MapInArrow" not in _plan(res.matches)
+
+
+def test_checkpoint_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+    from pagesift.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
 def test_output_reads_prune_crawl_partitions(spark, tmp_path):
     from pyspark.sql import functions as F
     pp = match.postcode_pages(relation(spark, SF001, "wet_records"), relation(spark, SF001, "postcode_lookup"))

@@ -47,9 +47,12 @@ def test_hot_postcode(spark):
         .otherwise(F.concat(F.lit("at BS2 "), (F.col("id") % 10).cast("string"), F.lit("AB"))).alias("text"))
     lookup = spark.range(10).select(F.concat(F.lit("BS2 "), F.col("id").cast("string"), F.lit("AB")).alias("pcds")) \
         .unionByName(spark.createDataFrame([("BS1 4AB",)], "pcds string"))
-    broadcast = match.postcode_pages(recs, lookup)
-    shuffled = match.postcode_pages(recs, lookup, max_broadcast_rows=1)   # fall back to a shuffled join
-    a = sorted(tuple(r) for r in broadcast.select("record_no", "postcodes").collect())
-    b = sorted(tuple(r) for r in shuffled.select("record_no", "postcodes").collect())
+    pages = match.postcode_pages(recs, lookup).select("record_no", "postcodes")
+    a = sorted(tuple(r) for r in pages.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")          # a shuffled join
+    try:
+        b = sorted(tuple(r) for r in match.postcode_pages(recs, lookup).select("record_no", "postcodes").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     assert a == b and len(a) == n
     assert sum(1 for _, pcs in a if pcs == ["BS1 4AB"]) == n // 3

@@ -29,7 +29,7 @@ def test_read_crawl_list_file(spark, tmp_path):
 
 def test_read_logs_and_mining(spark, tmp_path):
     (tmp_path / "job_1.log").write_text(
-        "2025-01-01 00:00:00,000 - INFO - Downloading https://h/x.gz to crawldata202104segment00007.wet.gz\n"
+        "2025-01-01 00:00:00,000 - INFO - Downloading https://h/x.gz to output/crawldata202104segment00007.wet.gz\n"
         "2025-01-01 00:05:00,000 - INFO - Completed processing segment 7: 12 records\n"
         "2025-01-01 00:05:01,000 - ERROR - Failed to download https://h/y.gz after 5 attempts: timeout\n")
     (tmp_path / "job_1.err").write_text("WARNING: Low disk space! following\nTraceback: Exception raised\n")
@@ -49,6 +49,35 @@ def test_read_logs_and_mining(spark, tmp_path):
     assert {r.file: r.line for r in last}["job_1.err"] == "Traceback: Exception raised"
 
 
+def test_runtimes_pair_lines_of_shared_logs(spark):
+    def at(h, m, text):
+        return f"2025-01-01 {h:02d}:{m:02d}:00,000 - INFO - {text}"
+    log = [at(0, 0, "Downloading https://h/a.gz to output/crawldata202104segment00005.wet.gz"),
+           at(0, 1, "Completed processing segment 5: 1 records"),
+           at(9, 0, "Downloading https://h/b.gz to /data/out/crawldata202110segment00005.wet.gz"),
+           at(9, 2, "Downloading https://h/b.gz to /data/out/crawldata202110segment00005.wet.gz"),     # retried
+           at(9, 3, "Completed processing segment 5: 2 records"), at(9, 4, "Completed processing segment 5: 2 records"),
+           at(9, 5, "Completed processing segment 6: 2 records"),
+           at(9, 6, "Downloading https://h/c.gz to crawldata202110segment00007.wet.gz")]
+    lines = spark.createDataFrame([("job.log", k, i, t) for k in ("log", "err") for i, t in enumerate(log)],
+                                  "file string, source_kind string, line_no long, line string")
+    got = sorted((r.crawl_date, r.segment, r.runtime_s) for r in logs.segment_runtime(lines).collect())
+    assert got == [("202104", 5, 60), ("202110", 5, 60)]
+
+
+def test_failure_classes_are_whole_words(spark):
+    lines = spark.createDataFrame([("a", "log", 0, "following slow allowed"), ("a", "log", 1, "LOW disk")],
+                                  "file string, source_kind string, line_no long, line string")
+    assert {r.failure_class: r.n_lines for r in logs.failures_by_class(lines).collect()} == {"low": 1}
+    assert logs.failures_by_class(lines, whole_words=False).first().n_lines == 2
+
+
+def test_absolute_manifest_urls(spark):
+    m = spark.createDataFrame([("202104", 0, "https://h/a.gz"), ("202104", 1, "/a/b.gz")], "crawl_date string, segment int, path string")
+    got = [r.file_url for r in runs.manifest_segments(m, "https://x.org/").orderBy("segment").collect()]
+    assert got == ["https://h/a.gz", "https://x.org/a/b.gz"]
+
+
 def test_log_order_across_splits(spark, tmp_path):
     n = 60000
     (tmp_path / "big.log").write_text("".join(f"2025-01-01 00:00:00,000 - INFO - line {i}\n" for i in range(n)))
@@ -74,6 +103,7 @@ def test_output_files_sizes_and_latest(spark, tmp_path):
     df = spark.createDataFrame([("202104", 1, ["BS1 4AB"]), ("202104", 2, None), ("202110", 3, ["BS2 0HQ"])],
                                "crawl_date string, segment int, postcodes array<string>")
     df.repartition(3).write.partitionBy("crawl_date").parquet(str(tmp_path / "out"))
+    assert files.read_output(spark, str(tmp_path / "out")).schema["crawl_date"].dataType.simpleString() == "string"
     fl = files.output_files(spark, str(tmp_path / "out"))
     sizes = outputs.file_sizes(fl).first()
     assert sizes.n_files == fl.count() and sizes.total_mb == sizes.n_files   # each file rounds up to 1 MB

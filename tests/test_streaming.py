@@ -51,10 +51,12 @@ def test_stream_manifests(spark, tmp_path):
     mdir.mkdir()
     (mdir / "m1.csv").write_text(f"crawl_date,segment,path\n202104,0,{arch / 'a.wet.gz'}\n")
     lookup = spark.createDataFrame([("BS1 4AB",)], "pcds string")
-    ck, out = str(tmp_path / "ck"), str(tmp_path / "out")
-    stream_manifests(spark, str(mdir), lookup, out, ck, available_now=True).awaitTermination(300)
+    ck, out, st = str(tmp_path / "ck"), str(tmp_path / "out"), str(tmp_path / "st")
+    stream_manifests(spark, str(mdir), lookup, out, st, ck, available_now=True).awaitTermination(300)
     assert spark.read.parquet(out).count() == 1
-    (mdir / "m2.csv").write_text(f"crawl_date,segment,path\n202104,1,{arch / 'b.wet.gz'}\n")
-    stream_manifests(spark, str(mdir), lookup, out, ck, available_now=True).awaitTermination(300)
+    (mdir / "m2.csv").write_text(f"crawl_date,segment,path\n202104,1,{arch / 'b.wet.gz'}\n202104,2,{arch / 'gone.wet.gz'}\n")
+    stream_manifests(spark, str(mdir), lookup, out, st, ck, available_now=True).awaitTermination(300)
     got = sorted((r.segment, r.record_no) for r in spark.read.parquet(out).collect())
     assert got == [(0, 0), (1, 1), (1, 2)]
+    from pagesift.sources.sinks import read_status
+    assert {r.segment: r.state for r in read_status(spark, st).collect()} == {0: "done", 1: "done", 2: "failed"}

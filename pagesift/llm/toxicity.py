@@ -2,8 +2,8 @@
 
 Only confirmed toxic examples and text without labels train the model; the class prior is the toxic
 share of the labelled training rows. Features are the presence of words and of word beginnings of
-4 to 6 letters. Candidates come from the positive sample; how many documents hold each of them is
-counted over every training document, and those with the largest gain are kept. A logistic model is
+4 to 6 letters. Candidates come from the positive sample; those that the unlabelled sample holds less
+often are counted over every training document, and those with the largest gain are kept. A logistic model is
 then fitted in numpy on a bounded sample (``max_pos`` positive rows, ``max_unl`` unlabelled rows,
 both by a hash of the id) by the risk
 
@@ -38,24 +38,37 @@ WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
 
 
+def words_of(text: str | None) -> set[str]:
+    """The distinct words, runs of letters in lower case, of a whole text."""
+    out = set()
+    for t in set((text or "").lower().split()):
+        if t.isalpha():
+            out.add(t)
+        else:
+            out.update(WORD.findall(t))
+    return out
+
+
 def features(text: str | None) -> set[str]:
-    """Words of a whole text in lower case, and their beginnings marked with an asterisk."""
-    words = set(WORD.findall((text or "").lower()))
+    """Words of a whole text, and their beginnings marked with an asterisk."""
+    words = words_of(text)
     return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
-def hits(text: str | None, known: dict[str, int]) -> list[int]:
-    """Indices of the known features that the text has, ascending."""
-    out = set()
-    for w in set(WORD.findall((text or "").lower())):
-        if w in known:
-            out.add(known[w])
-        for k in STEMS:
-            if len(w) > k:
-                i = known.get(w[:k] + "*")
-                if i is not None:
-                    out.add(i)
-    return sorted(out)
+class Known:
+    """Numbers of chosen features; a text's other words are told apart by their first letters."""
+
+    def __init__(self, names: list[str]):
+        self.index = {f: i for i, f in enumerate(names)}
+        self.heads = {f[:STEMS[0]] for f in names}
+
+    def hits(self, text: str | None) -> list[int]:
+        """Numbers of the features that the text has, ascending."""
+        out, get = set(), self.index.get
+        for w in words_of(text):
+            if w[:STEMS[0]] in self.heads:
+                out.update(i for i in (get(w), *(get(w[:k] + "*") for k in STEMS if len(w) > k)) if i is not None)
+        return sorted(out)
 
 
 def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, l2: float = 2e-4, steps: int = 600,
@@ -93,24 +106,30 @@ def _dense(rows: list[bytes], d: int) -> np.ndarray:
     return x
 
 
-def _documents_with(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
-    """How many documents hold each known feature, over all rows of ``docs(text)``."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+def _documents_with(texts: DataFrame, names: list[str]) -> np.ndarray:
+    """How many rows of ``texts`` hold each of the named features."""
+    shared = texts.sparkSession.sparkContext.broadcast(Known(names))
 
     def run(batches):
-        n = np.zeros(len(shared.value), np.int64)
+        n = np.zeros(len(shared.value.index), np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
-                n[hits(t, shared.value)] += 1
+                n[shared.value.hits(t)] += 1
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["f", "n"])
 
-    out = np.zeros(len(known), np.int64)
-    for r in docs.mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
-        out[r.f] = r.n                                          # at most MAX_CANDIDATES rows
+    out = np.zeros(len(names), np.int64)
+    for r in texts.mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
+        out[r.f] = r.n                                          # a row for each name at most
     return out
 
 
+def _gain(in_pos: np.ndarray, n_pos: int, in_all: np.ndarray, n_all: int) -> np.ndarray:
+    """What a feature tells of the positive class; 0 unless clearly more frequent there."""
+    p, q = np.minimum(in_pos / max(n_pos, 1), 1), (in_all + 1) / (n_all + 1)
+    return np.where(p > 1.5 * q, p * np.log(np.maximum(p, 1e-9) / q), 0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = FOLD,
         max_pos: int = MAX_POS, max_unl: int = MAX_UNL, max_candidates: int = MAX_CANDIDATES,
         max_features: int = MAX_FEATURES):
@@ -143,24 +162,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
            .filter(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(max_candidates).collect())
     if not top:
         return [], np.zeros(0), float(np.log(prior / (1 - prior)))
-    in_pos = np.array([r.n for r in top], float)
     total = train.count()
-    in_all = _documents_with(train.select("_t"), {r.f: i for i, r in enumerate(top)})
-    n_p = min(n_pos, max_pos)
-    p, q = np.minimum(in_pos / n_p, 1), (in_all + 1) / (total + 1)
-    gain = np.where(p > 1.5 * q, p * np.log(np.maximum(p, 1e-9) / q), 0)
-    best = [int(i) for i in np.argsort(-gain, kind="stable")[:max_features] if gain[i] > 0]
-    names = [top[i].f for i in best]
-    index = {f: i for i, f in enumerate(names)}
+    rate = min(1.0, max_unl / max(total, 1))
+    unl = train.filter(F.pmod(mark, F.lit(1_000_000)) < rate * 1e6).select("_t")
+    n_p, names, in_pos = min(n_pos, max_pos), [r.f for r in top], np.array([r.n for r in top], float)
+    # a first choice by the unlabelled sample, the last by every training document
+    for texts, n_all, most in ((unl, total * rate, 4 * max_features), (train.select("_t"), total, max_features)):
+        gain = _gain(in_pos, n_p, _documents_with(texts, names), n_all)
+        best = [int(i) for i in np.argsort(-gain, kind="stable")[:most] if gain[i] > 0]
+        names, in_pos = [names[i] for i in best], in_pos[best]
+    chosen = spark.sparkContext.broadcast(Known(names))
 
     def vectors(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([np.array(hits(t, index), np.int32).tobytes() for t in b.column(0).to_pylist()], pa.binary())],
-                names=["x"])
+                [pa.array([np.array(chosen.value.hits(t), np.int32).tobytes() for t in b.column(0).to_pylist()],
+                          pa.binary())], names=["x"])
 
-    rate = min(1.0, max_unl / max(total, 1))
-    unl = train.filter(F.pmod(mark, F.lit(1_000_000)) < rate * 1e6).select("_t")
     xp = _dense([r.x for r in positive.mapInArrow(vectors, "x binary").collect()], len(names))
     xu = _dense([r.x for r in unl.mapInArrow(vectors, "x binary").collect()], len(names))
     if not len(xp) or not len(xu):
@@ -177,10 +195,10 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         m = shared.value
-        index = {f: i for i, f in enumerate(m[0])} if m else {}
+        known = Known(m[0] if m else [])
         for b in batches:
             if m:
-                z = np.array([m[2] + m[1][hits(t, index)].sum() for t in b.column(1).to_pylist()], float)
+                z = np.array([m[2] + m[1][known.hits(t)].sum() for t in b.column(1).to_pylist()], float)
                 p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             else:
                 p = np.zeros(b.num_rows)

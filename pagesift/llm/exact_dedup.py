@@ -4,8 +4,9 @@ Texts are equal when identical after white-space runs are replaced by one space
 as empty). Rows are grouped by the normalised length, the survivors by a hash of a prefix, and
 only what still has company is read in full and grouped by SHA-256. The first two rounds work
 on three narrow numbers per row; text crosses a shuffle for survivors alone. All groupings are
-hash aggregates with map-side combine, and every join has one row per key on one side, so a
-group that holds a third of all rows is split by adaptive execution, not gathered.
+hash aggregates with map-side combine, staged before they are joined back: each join has one row
+per key on one side and a shuffle of its own on the other, which adaptive execution splits (or
+makes a broadcast of the small side), so a group that holds a third of all rows isn't gathered.
 
 Defined results: null text equals empty text; rows repeated with the same id and text are one
 document (``group_size`` counts each row); a null id never wins against an id, and alone is
@@ -28,15 +29,15 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     src = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_t"))
     keys = staged(src.select("_id", F.octet_length("_t").alias("_n"),
                              F.xxhash64(F.substring("_t", 1, prefix_chars)).alias("_p")), "dedup-keys")
-    lengths = keys.groupBy("_n").agg(F.count("*").alias("_c")).filter("_c > 1").select("_n")
+    lengths = staged(keys.groupBy("_n").agg(F.count("*").alias("_c")).filter("_c > 1").select("_n"), "dedup-lengths")
     same_length = keys.join(lengths, "_n", "left_semi")
-    prefixes = same_length.groupBy("_n", "_p").agg(F.count("*").alias("_c")).filter("_c > 1").select("_n", "_p")
+    prefixes = staged(same_length.groupBy("_n", "_p").agg(F.count("*").alias("_c")).filter("_c > 1").select("_n", "_p"),
+                      "dedup-prefixes")
     ids = same_length.join(prefixes, ["_n", "_p"], "left_semi").select(F.col("_id").alias("_s"))
     full = (src.join(ids, src["_id"].eqNullSafe(ids["_s"]), "left_semi")
             .select("_id", F.sha2("_t", 256).alias("text_sha256")))
-    return (full.groupBy("text_sha256")
-            .agg(F.min("_id").alias("keep_id"), F.count("*").alias("group_size"))
-            .filter("group_size > 1"))
+    return staged(full.groupBy("text_sha256").agg(F.min("_id").alias("keep_id"), F.count("*").alias("group_size"))
+                  .filter("group_size > 1"), "dedup-groups")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -54,16 +55,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows whose id occurs once pass
-    through anti joins; only repeated ids are compared by content."""
-    verdict = exact_dedup(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("_d"),
-                                                                           F.col("text_sha256").alias("_h"))
-    repeated = docs.groupBy(F.col(id_col).alias("_r")).agg(F.count("*").alias("_c")).filter("_c > 1").select("_r")
-    once = docs.join(repeated, docs[id_col].eqNullSafe(repeated["_r"]), "left_anti")
-    once = once.join(verdict, once[id_col].eqNullSafe(verdict["_d"]), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns. Texts are only moved for ids that occur
+    more than once; the other rows are held against the staged ids of those that go."""
+    gone = staged(exact_dedup(docs, id_col, text_col).filter("NOT kept")
+                  .select(F.col(id_col).alias("_d"), F.col("text_sha256").alias("_h")), "dedup-gone")
+    repeated = staged(docs.groupBy(F.col(id_col).alias("_r")).agg(F.count("*").alias("_c")).filter("_c > 1").select("_r"),
+                      "dedup-repeated")
+    ids = staged(gone.select(F.col("_d").alias("_i")).union(repeated).distinct(), "dedup-ids")
+    once = docs.join(ids, docs[id_col].eqNullSafe(ids["_i"]), "left_anti")
     sha = F.sha2(normalised(F.col(text_col)), 256)
     again = docs.join(repeated, docs[id_col].eqNullSafe(repeated["_r"]), "left_semi").withColumn("_sha", sha)
-    again = again.join(verdict, again[id_col].eqNullSafe(verdict["_d"]) & (again["_sha"] == verdict["_h"]), "left_anti")
+    again = again.join(gone, again[id_col].eqNullSafe(gone["_d"]) & (again["_sha"] == gone["_h"]), "left_anti")
     return once.unionByName(again.dropDuplicates([id_col, "_sha"]).drop("_sha"))
 
 

@@ -198,11 +198,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                          F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that stay, one per component: that with the smallest id."""
-    drop = near_duplicates(docs, id_col, text_col, **kw).filter(
-        ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_d"))
-    return docs.join(drop, docs[id_col].eqNullSafe(drop["_d"]), "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             **kw) -> DataFrame:
+    """The rows of ``docs`` that stay, one per component: that with the smallest id. Texts stay where they
+    are; only the staged ids of those that go are held against them. An id that several rows share goes
+    when all its rows do. Of rows without id one stays for each fingerprint that no row with id has."""
+    every = near_duplicates(docs, id_col, text_col, shingle, **kw)
+    drop = staged(every.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_d"))
+                  .agg(F.min((F.col(id_col) != F.col("component_id")).cast("int")).alias("_g")).filter("_g = 1").select("_d"),
+                  "near-gone")
+    named = docs.filter(F.col(id_col).isNotNull())
+    named = named.join(drop, named[id_col] == drop["_d"], "left_anti")
+    bare = docs.filter(F.col(id_col).isNull())
+    mark = F.pandas_udf(lambda texts: texts.map(lambda t: f"{fingerprint(t, shingle):016x}"), "string")
+    seen = every.filter(F.col(id_col).isNotNull()).select(F.col("fingerprint").alias("_seen")).distinct()
+    bare = bare.withColumn("_fp", mark(F.col(text_col)))
+    bare = bare.join(seen, bare["_fp"] == seen["_seen"], "left_anti").dropDuplicates(["_fp"]).drop("_fp")
+    return named.unionByName(bare)
 
 
 def op4_simhash(spark, sf_dir):

@@ -56,8 +56,8 @@ def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str
     msgs = staged(src.withColumn("id", ident), "messages")
     passages = staged(_passages(msgs), "passages")
     first = F.min(F.struct(F.col("ord"), F.col("id")))
-    index = passages.filter("level = 0").groupBy("scope", "hash").agg(first.alias("o")) \
-        .select(F.col("scope").alias("s"), F.col("hash").alias("h"), F.col("o.ord").alias("o_ord"), F.col("o.id").alias("o_id"))
+    index = staged(passages.filter("level = 0").groupBy("scope", "hash").agg(first.alias("o")).select(
+        F.col("scope").alias("s"), F.col("hash").alias("h"), F.col("o.ord").alias("o_ord"), F.col("o.id").alias("o_id")), "index")
     quotes = passages.filter("level > 0")
     linked = quotes.join(index, quotes["scope"].eqNullSafe(index["s"]) & (quotes["hash"] == index["h"])
                          & ((index["o_ord"] < quotes["ord"]) | (index["o_ord"].isNull() & quotes["ord"].isNotNull())), "left")

@@ -163,6 +163,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Model(x[order], got["lang"].to_numpy().astype(str)[order], families or FAMILIES)
 
 
+def languages(model: Model | None, texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+    rows = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
+    if rows:
+        lang[rows], score[rows] = model.predict(np.stack([profile(texts[i]) for i in rows]))
+    return lang, score
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for every row."""
     spark = docs.sparkSession
@@ -174,11 +183,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         for b in batches:
             for lo in range(0, b.num_rows, GROUP):
                 part = b.slice(lo, GROUP)
-                texts = part.column(1).to_pylist()
-                lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
-                rows = [i for i, t in enumerate(texts) if m is not None and has_letter(t)]
-                if rows:
-                    lang[rows], score[rows] = m.predict(np.stack([profile(texts[i]) for i in rows]))
+                lang, score = languages(m, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(lang), pa.string()), pa.array(score)],
                                                  names=["id", "lang_pred", "score"])
 
@@ -195,10 +200,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: those predicted ``und`` go. Only their ids
-    are joined back, so texts stay where they are when they are few."""
-    gone = identify(docs, id_col, text_col, **kw).filter("lang_pred = 'und'").select(F.col(id_col).alias("_u")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_u"]), "left_anti")
+    """The rows of ``docs`` whose text has a language, with all their columns: those predicted ``und`` go.
+    Each row is judged where it lies; nothing is joined or shuffled."""
+    model = fit(docs, id_col, text_col, **kw)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for lo in range(0, b.num_rows, GROUP):
+                keep += [lang != "und" for lang in languages(shared.value, b.column(at).slice(lo, GROUP).to_pylist())[0]]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_langid(spark, sf_dir):

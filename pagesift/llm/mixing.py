@@ -126,8 +126,9 @@ def mix_documents(docs: DataFrame, **kw) -> DataFrame:
 
 def take(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The rows of ``docs`` that are taken at least once, with all their columns."""
-    ids = mix_documents(docs, id_col=id_col, **kw).filter("epochs > 0").select(F.col(id_col).alias("_m"))
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_m"]), "left_semi")
+    left_out = staged(mix_documents(docs, id_col=id_col, **kw).groupBy(F.col(id_col).alias("_m"))
+                      .agg(F.max("epochs").alias("_e")).filter("_e = 0").select("_m"), "mix-left-out")
+    return docs.join(left_out, docs[id_col].eqNullSafe(left_out["_m"]), "left_anti")
 
 
 def op8_mixing(spark, sf_dir):

@@ -62,6 +62,16 @@ def test_simhash_against_brute_force(spark, odd, none, rows01):
     assert sorted(r.doc_id for r in got.collect()) == sorted(want)
 
 
+def test_keep_one_without_ids(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (None, "x y z w"), (None, "x y z w"),
+            (None, None), (3, "q r s t u"), (3, "q r s t u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit(1))
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str)
+    assert got == sorted([(1, "a b c d e f g"), (None, "x y z w"), (None, None), (3, "q r s t u"), (3, "q r s t u")], key=str)
+    got = sorted(((r.doc_id, r.text) for r in exact_dedup.keep_one(df).collect()), key=str)
+    assert got == sorted([(1, "a b c d e f g"), (None, "x y z w"), (None, None), (3, "q r s t u")], key=str)
+
+
 def test_simhash_links_dense_cells_and_bands(spark):
     rng = random.Random(5)
     fps = set()

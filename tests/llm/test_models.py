@@ -23,7 +23,9 @@ def test_langid_odd_rows(spark, odd, none):
     assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (1, 2, 4, 7, 13))
     assert all(by[i].lang_pred in ("en", "de", "fr", "es") for i in (3, 5, 6, 11, 14))
     assert langid.identify(none).count() == 0
-    assert langid.keep_identified(odd).columns == odd.columns
+    kept = langid.keep_identified(odd)
+    assert kept.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, (3, 5, 6, 8, 9, 11, 12, 14, None)))
     nothing = langid.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in nothing} == {"und"}
 

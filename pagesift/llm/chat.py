@@ -65,41 +65,44 @@ def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str
         F.count("*").alias("n_quotes"), F.count("o_id").alias("n_linked"), F.max("level").alias("max_level"),
         F.max(F.when(F.col("o_id").isNotNull(), F.struct((-F.col("level")).alias("up"), F.col("o_ord").alias("o"),
                                                          F.col("o_id").alias("p")))).alias("best"))
-    tree = staged(msgs.select("id").join(per, "id", "left")
-                  .select("id", F.col("best.p").alias("parent_id"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
-                          F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.coalesce("max_level", F.lit(0)).alias("max_level")),
-                  "tree")
-    up = staged(tree.select("id", F.coalesce("parent_id", "id").alias("anc"),
-                            F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("long").alias("depth")), "up")
-    while True:                     # each round doubles the length of the pointers
-        far = up.select(F.col("id").alias("k"), F.col("anc").alias("anc2"), F.col("depth").alias("depth2"))
-        moved = staged(up.join(far, up["anc"] == far["k"]).select(
-            "id", F.col("anc2").alias("anc"), (F.col("depth") + F.col("depth2")).alias("depth"), F.col("depth2")), "up")
-        up = moved.select("id", "anc", "depth")
-        if not moved.filter("depth2 > 0").limit(1).count():
-            break
+    kept = ["id", "parent_id", "n_quotes", "n_linked", "max_level"]
+    up = staged(msgs.select("id").join(per, "id", "left")
+                .select("id", F.col("best.p").alias("parent_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in kept[2:]])
+                .select(*kept, F.coalesce("parent_id", "id").alias("anc"), F.col("parent_id").isNull().alias("settled"),
+                        F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("long").alias("depth")), "up")
+    done, left = up.filter("settled"), up.filter("NOT settled")
+    while left.limit(1).count():        # each round doubles the pointers' length of what hasn't reached its root
+        far = done.unionByName(left).select(F.col("id").alias("k"), F.col("anc").alias("anc2"),
+                                            F.col("settled").alias("at_root"), F.col("depth").alias("depth2"))
+        moved = staged(left.join(far, left["anc"] == far["k"]).select(
+            *kept, F.col("anc2").alias("anc"), F.col("at_root").alias("settled"),
+            (F.col("depth") + F.col("depth2")).alias("depth")), "up")
+        done, left = done.unionByName(moved.filter("settled")), moved.filter("NOT settled")
+    up = done
     clean = F.regexp_replace(F.concat_ws("\n", F.filter(F.split("text", "\r?\n"), lambda x: ~x.rlike("^[ \\t]*>"))),
                              "^\\s+|\\s+$", "")
-    return (msgs.select("scope", "ord", "id", "role", clean.alias("text")).join(tree, "id").join(up, "id")
+    return (msgs.select("scope", "ord", "id", "role", clean.alias("text")).join(up, "id")
             .select(F.col("scope").alias(scope_col), F.col("ord").alias(order_col), F.col("id").alias("message_id"),
                     F.col("anc").alias("conversation_id"), "parent_id", "depth", "role", "text",
-                    F.col("n_quotes").cast("long").alias("n_quotes"), F.col("n_linked").cast("long").alias("n_linked"),
-                    F.col("max_level").cast("long").alias("max_level")))
+                    *kept[2:]))
 
 
 def quoted_threads(conversations: DataFrame, levels: int = MAX_LEVEL_DERIVED) -> DataFrame:
     """The turns of ``conversations`` as mail-like messages: each turn quotes the ``levels`` turns before
     it, nested. The tables hold no quotes, so the registered query reads these, made by Spark from
     every turn."""
-    src = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    out = src
-    for k in range(1, levels + 1):
-        prefix = ">" * k + " "
-        quoted = F.concat_ws("\n", F.transform(F.split("text", "\r?\n"), lambda x: F.concat(F.lit(prefix), x)))
-        before = src.groupBy("conv_id", (F.col("turn") + k).alias("turn")).agg(F.min(quoted).alias(f"q{k}"))
-        out = out.join(before, ["conv_id", "turn"], "left")
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"),
+                                F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("k")) \
+        .filter("k = 0 OR turn IS NOT NULL")
+    line = F.concat(F.repeat(F.lit(">"), F.col("k")), F.lit(" "))
+    quoted = F.concat_ws("\n", F.transform(F.split("text", "\r?\n"), lambda x: F.concat(line, x)))
+    # a turn meets the turns that quote it in one grouping; of a turn's several texts the smallest is quoted
+    met = rows.groupBy("conv_id", (F.col("turn") + F.col("k")).alias("turn")).agg(
+        F.collect_set(F.when(F.col("k") == 0, F.struct("role", "text"))).alias("own"),
+        *[F.min(F.when(F.col("k") == k, quoted)).alias(f"q{k}") for k in range(1, levels + 1)])
     quotes = [F.col(f"q{k}") for k in range(levels, 0, -1)]
-    return out.select("conv_id", "turn", "role", F.concat_ws("\n", *quotes, "text").alias("text"))
+    return met.select("conv_id", "turn", F.explode("own").alias("o"), *quotes).select(
+        "conv_id", "turn", F.col("o.role").alias("role"), F.concat_ws("\n", *quotes, "o.text").alias("text"))
 
 
 def op5_chat(spark, sf_dir):

@@ -202,7 +202,7 @@ def q_archive_roundtrip(spark, d):
     """S5-S8 at scale: planted records written as WET archives by Spark, read back by the
     ``wet`` source, matched by the flagship operator -- must equal ``postcode_pages``."""
     out, _ = planted_archives(spark, _wet(spark, d), d)
-    recs = wet.read_wet(spark, out).withColumn("record_no", record_no_from_id())
+    recs = wet.read_wet(spark, out, pushdown=True).withColumn("record_no", record_no_from_id())
     pp = match.postcode_pages(recs, relation(spark, d, "postcode_lookup"))
     return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
 

@@ -5,8 +5,8 @@ Two entry points share the framing helper in :mod:`.warc`:
 * ``spark.read.format("wet").load(path)`` -- a Python Data Source with one input partition
   per archive. A truncated or corrupt archive fails the query, or with
   ``option("onTruncated", "keep")`` gives its leading records. Equality / contains / prefix filters on ``rec_type``, ``uri`` and ``language``
-  are pushed into the reader when the session enables ``spark.sql.python.filterPushdown``
-  (``read_wet`` asks for it then), so bodies of records that cannot pass are skipped
+  are pushed into the reader on request, when the session enables
+  ``spark.sql.python.filterPushdown``, so bodies of records that cannot pass are skipped
   undecoded; Spark still re-checks every filter. Without it the plain reader is used.
   ``option("mode", "status")`` yields one row per archive instead (records read, state).
 * :func:`scan_manifest` -- the same reader driven by a manifest DataFrame via
@@ -313,14 +313,18 @@ def register(spark: SparkSession) -> None:
 
 def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
              name_pattern: str = DEFAULT_NAME_PATTERN, crawl_date: str | None = None,
-             on_truncated: str = "fail") -> DataFrame:
+             on_truncated: str = "fail", pushdown: bool = False) -> DataFrame:
     """Records (or per-archive status rows with ``mode='status'``) of the archives at ``path``.
 
     ``on_truncated``: ``fail`` raises on a truncated or corrupt archive, ``keep`` gives the records
     before the damage. ``path`` is listed on the driver: for a crawl's hundreds of thousands of
-    archives use :func:`scan_manifest`, which never lists."""
+    archives use :func:`scan_manifest`, which never lists.
+
+    ``pushdown`` lets the reader skip records by the query's filters, where the session allows it. Spark
+    keeps pushed filters with the loaded source, so such a DataFrame serves one query only: a
+    second one over it would be read under the first one's filters."""
     register(spark)
-    pushdown = spark.conf.get(PUSHDOWN_CONF, "false").lower() == "true"
+    pushdown = pushdown and spark.conf.get(PUSHDOWN_CONF, "false").lower() == "true"
     r = spark.read.format("wet").option("path", path).option("mode", mode) \
         .option("pushdown", str(pushdown).lower()) \
         .option("namePattern", name_pattern).option("onTruncated", on_truncated)

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import ensure_checkpoint_dir, ship_package
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 DOCS = -1
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import ship_package, table
+from .common import release, ship_package, table
 from .wordblocks import DOCS, documents_of, pack, unpack, unpack_words, word_blocks
 
 TOKENIZER = "word_bpe_49k.json"
@@ -76,6 +76,8 @@ def _encode_words(shared):
                 out = pack(np.concatenate([np.fromiter(map(len, ids), "<u4", len(ids)), np.frombuffer(b"".join(ids), "<u4")]))
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([bucket], pa.int32()),
                                                   pa.array([out], pa.binary())], names=["block", "bucket", "ids"])
+        known.clear()
+        release()
     return run
 
 
@@ -114,8 +116,11 @@ def _put_back(pieces, kind: pa.DataType):
             out_id.append(d)
             out_ids.append(b"".join(map(word_ids.__getitem__, at)))
             out_text.append(b" ".join(map(text.__getitem__, at)))
-        return pa.table({"id": pa.array(out_id, kind), "ids": pa.array(out_ids, pa.binary()),
-                         "decoded": pa.array(out_text, pa.binary())})
+        out = pa.table({"id": pa.array(out_id, kind), "ids": pa.array(out_ids, pa.binary()),
+                        "decoded": pa.array(out_text, pa.binary())})
+        del out_ids, out_text, text, word_ids
+        release()
+        return out
     return run
 
 

@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.session import ensure_checkpoint_dir, ship_package  # noqa: F401
+from pagesift.session import ensure_checkpoint_dir
+from pagesift.session import ship_package as _ship
 
-WHITESPACE = "[\\x20\\x09-\\x0D]+"      # the only characters that separate words
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20           # rows that a Python task holds at once, however long their texts
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, and bound the Arrow batches they get by bytes
+    (the session's own smaller bound stays)."""
+    _ship(spark)
+    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system: Python workers are used again, and two
+    on an executor would else keep their peaks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

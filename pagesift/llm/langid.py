@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ship_package, table
+from .common import crc_mod, release, ship_package, table
 
 # Languages of one family; a language not listed is a family of its own.
 FAMILIES = {"germanic": ["en", "de", "nl", "sv", "da", "no", "is"],
@@ -212,6 +212,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for lo in range(0, b.num_rows, GROUP):
                 keep += [lang != "und" for lang in languages(shared.value, b.column(at).slice(lo, GROUP).to_pylist())[0]]
             yield b.filter(pa.array(keep, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import ensure_checkpoint_dir, ship_package
+from .common import ensure_checkpoint_dir, release, ship_package
 
 BLOCK_BYTES = 8 << 20
 DOCS = -1
@@ -128,6 +128,8 @@ def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | Non
                     block = None
         if block:
             yield emit(block)
+        del block
+        release()
 
     kind = docs.schema[id_col].dataType
     id_type = to_arrow_type(kind)

@@ -71,13 +71,16 @@ class Known:
         return sorted(out)
 
 
-def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, l2: float = 2e-4, steps: int = 600,
-          rate: float = 0.05) -> tuple[np.ndarray, float]:
-    """Weights and bias of the non-negative PU risk under logistic loss, by Adam."""
+def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, pos_share=None, unl_share=None, l2: float = 2e-4,
+          steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, float]:
+    """Weights and bias of the non-negative PU risk under logistic loss, by Adam. ``pos_share`` and
+    ``unl_share`` say how large a share of its sample each row stands for."""
     d = pos.shape[1]
-    w = np.zeros(d + 1)
+    ep = np.full(len(pos), 1 / max(len(pos), 1), np.float32) if pos_share is None else pos_share
+    eu = np.full(len(unl), 1 / max(len(unl), 1), np.float32) if unl_share is None else unl_share
+    w = np.zeros(d + 1, np.float32)
     w[d] = np.log(prior / (1 - prior))
-    m, v = np.zeros(d + 1), np.zeros(d + 1)
+    m, v = np.zeros(d + 1, np.float32), np.zeros(d + 1, np.float32)
 
     def sig(z):
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -85,25 +88,27 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, l2: float = 2e-4, step
     for t in range(1, steps + 1):
         zp, zu = pos @ w[:d] + w[d], unl @ w[:d] + w[d]
         sp, su = sig(zp), sig(zu)
-        neg = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp, gu = -(1 - sp) / len(zp) * prior, su / len(zu)      # d R_pos(+1), d R_unl(-1)
-        gn = sp / len(zp) * prior                               # d prior * R_pos(-1)
+        neg = eu @ np.logaddexp(0, zu) - prior * (ep @ np.logaddexp(0, zp))
+        gp, gu = -(1 - sp) * ep * prior, su * eu                # d R_pos(+1), d R_unl(-1)
+        gn = sp * ep * prior                                    # d prior * R_pos(-1)
         if neg < 0:                                             # only the corrected term, reversed
             rp, ru = gn, -gu
         else:
             rp, ru = gp - gn, gu
-        g = np.append(pos.T @ rp + unl.T @ ru, rp.sum() + ru.sum())
+        g = np.append(pos.T @ rp + unl.T @ ru, rp.sum() + ru.sum()).astype(np.float32)
         g[:d] += l2 * w[:d]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return w[:d], float(w[d])
+        w -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
+    return w[:d].astype(float), float(w[d])
 
 
-def _dense(rows: list[bytes], d: int) -> np.ndarray:
-    x = np.zeros((len(rows), d), np.float32)
-    for i, r in enumerate(rows):
+def _patterns(rows: list[bytes], d: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct feature sets of a sample, and each one's share of it."""
+    seen = sorted(Counter(bytes(r) for r in rows).items())
+    x = np.zeros((len(seen), d), np.float32)
+    for i, (r, _) in enumerate(seen):
         x[i, np.frombuffer(r, np.int32)] = 1
-    return x
+    return x, np.array([n for _, n in seen], np.float32) / max(len(rows), 1)
 
 
 def _documents_with(texts: DataFrame, names: list[str]) -> np.ndarray:
@@ -179,11 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 [pa.array([np.array(chosen.value.hits(t), np.int32).tobytes() for t in b.column(0).to_pylist()],
                           pa.binary())], names=["x"])
 
-    xp = _dense([r.x for r in positive.mapInArrow(vectors, "x binary").collect()], len(names))
-    xu = _dense([r.x for r in unl.mapInArrow(vectors, "x binary").collect()], len(names))
+    xp, ep = _patterns([r.x for r in positive.mapInArrow(vectors, "x binary").collect()], len(names))
+    xu, eu = _patterns([r.x for r in unl.mapInArrow(vectors, "x binary").collect()], len(names))
     if not len(xp) or not len(xu):
         return names, np.zeros(len(names)), float(np.log(prior / (1 - prior)))
-    w, b = nn_pu(xp, xu, prior)
+    w, b = nn_pu(xp, xu, prior, ep, eu)
     return names, w, b
 
 

@@ -90,3 +90,13 @@ def test_lm_is_a_distribution():
         total += np.log10(np.where(bit == 1, p, 1 - p))
     assert abs((10 ** total).sum() - 1) < 1e-9
     assert m.spell([b"the"])[0] > m.spell([b"qzx"])[0]
+
+
+def test_lm_spells_known_words_too(spark):
+    docs = spark.createDataFrame([(0, "aa bb aa cc"), (1, "bb")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(docs, F.col("doc_id") == 0).collect()}
+    m = lm.fit(spark.createDataFrame([(bytearray(w),) for w in (b"aa", b"bb", b"cc")], "word binary").coalesce(1))
+    bb, end = 10 ** m.spell([b"bb", b""])
+    g = (1 + lm.STRENGTH / 2) / (1 + lm.STRENGTH)               # novelty is 1/2: two of four words occur once
+    want = math.log10((1 / 5 + bb) / 2) + math.log10(g * (1 - lm.CACHE) / 5 + (1 - g) * end)
+    assert got[1].n_known == 2 and abs(got[1].score - want) < 1e-9

@@ -100,3 +100,16 @@ def test_lm_spells_known_words_too(spark):
     g = (1 + lm.STRENGTH / 2) / (1 + lm.STRENGTH)               # novelty is 1/2: two of four words occur once
     want = math.log10((1 / 5 + bb) / 2) + math.log10(g * (1 - lm.CACHE) / 5 + (1 - g) * end)
     assert got[1].n_known == 2 and abs(got[1].score - want) < 1e-9
+
+
+def test_lm_learns_from_all_words_and_documents(spark):
+    """More documents than the former sample of 2,000, more words than the former 300,000."""
+    docs = spark.range(2600).select(F.concat_ws(" ", F.lit("aa"), F.when(F.col("id") % 2 == 0, "bb bb").otherwise("cc cc")).alias("text"),
+                                    (F.col("id") * 1_000).alias("mark"))
+    group = lm.grouping(docs)
+    assert group([b"bb"] * 3) != group([b"cc"] * 3)
+    x = spark.createDataFrame([(np.array([[0], [3]], np.uint32).tobytes(),)] * 2600, "x binary")
+    sums, n, _ = lm._pass(x, np.zeros((1, 1, 2)), np.zeros((1, 1)))
+    assert sums.ravel().tolist() == [7800, 0] and n.item() == 2600
+    words = spark.range(310_000).select(F.lpad(F.conv("id", 10, 36), 4, "0").cast("binary").alias("word"))
+    assert lm.learned(words, np.zeros(lm.SLOTS, np.uint16))[1].sum() == 8 * 5 * 310_000

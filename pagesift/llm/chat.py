@@ -2,14 +2,15 @@
 
 A message's lines carry a quote level, the number of ``>`` before them. Runs of lines of one level
 are passages; a passage is hashed after white space and case are normalised. Level-0 passages
-index the originals, quoted passages are joined to them on (scope, hash), and the latest original
-that a message quotes at its shallowest linked level is its parent. Parents make reply trees; a
+are the originals; a quoted passage is linked to the latest original of its scope and hash that
+stands before it (of several of one order, the smallest id), and the latest original that a message
+quotes at its shallowest linked level is its parent. Parents make reply trees; a
 conversation is a tree, its messages in reply order (depth, then order), quotes removed.
 
-The index has one row per (scope, hash), the earliest message, made by a hash aggregate with
-map-side combine: a passage that a third of all messages hold neither multiplies the join nor
-lands in one task. Roots and depths come from pointer doubling, a logarithmic number of joins on
-unique keys, each staged in the shared folder. Windows run inside one message only.
+Originals and quotes are dealt out together by ranges of (scope, hash, order), so a passage that a
+third of all messages hold is split by order; a window finds the latest original inside a range, and the
+last originals of a passage's earlier ranges, at most one row a range, are carried over. Roots and depths
+come from pointer doubling, a logarithmic number of joins on unique keys, each staged in the shared folder.
 
 Defined results: null text is empty; a message without quotes, or whose quotes match no earlier
 message of its scope, is a root; rows repeated with the same scope, order, role and text count
@@ -44,6 +45,27 @@ def _passages(messages: DataFrame) -> DataFrame:
     return runs.groupBy("id", "scope", "ord", "level", "run").agg(F.md5(text).alias("hash"))
 
 
+def _latest(originals: DataFrame, quotes: DataFrame) -> DataFrame:
+    """``quotes(id, scope, ord, level, run, hash)`` with (o_ord, o_id), the latest of ``originals(id, scope, ord, hash)``
+    before each, null if there is none."""
+    key = ["scope", "hash", "ord", "kind"]                       # of one order, quotes stand before originals
+    firsts = originals.groupBy("scope", "hash", "ord").agg(F.min("id").alias("o_id"))
+    events = quotes.select(*key[:3], F.lit(0).alias("kind"), "id", "level", "run").unionByName(
+        firsts.select(*key[:3], F.lit(1).alias("kind"), F.col("o_id").alias("id")), allowMissingColumns=True)
+    events = staged(events.repartitionByRange(*key).withColumn("part", F.spark_partition_id()), "events")
+    original = F.when(F.col("kind") == 1, F.struct("ord", "id"))
+    near = F.last(original, ignorenulls=True).over(
+        Window.partitionBy("scope", "hash", "part").orderBy("ord", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    far = F.last("o", ignorenulls=True).over(
+        Window.partitionBy("scope", "hash").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    carried = events.groupBy("scope", "hash", "part").agg(F.max(original).alias("o")).select(
+        F.col("scope").alias("s"), F.col("hash").alias("h"), F.col("part").alias("p"), far.alias("far")).filter("far IS NOT NULL")
+    at = events.withColumn("near", near).filter("kind = 0")
+    o = F.coalesce("near", "far")
+    return at.join(carried, at["scope"].eqNullSafe(carried["s"]) & (at["hash"] == carried["h"]) & (at["part"] == carried["p"]), "left") \
+        .select("id", "scope", "ord", "level", "run", o["ord"].alias("o_ord"), o["id"].alias("o_id"))
+
+
 def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """(scope, order, message_id, conversation_id, parent_id, depth, role, text, n_quotes, n_linked,
@@ -55,12 +77,7 @@ def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str
                         F.substring(F.md5(F.concat_ws("|", F.coalesce("role", F.lit("")), "text")), 1, 12))
     msgs = staged(src.withColumn("id", ident), "messages")
     passages = staged(_passages(msgs), "passages")
-    first = F.min(F.struct(F.col("ord"), F.col("id")))
-    index = staged(passages.filter("level = 0").groupBy("scope", "hash").agg(first.alias("o")).select(
-        F.col("scope").alias("s"), F.col("hash").alias("h"), F.col("o.ord").alias("o_ord"), F.col("o.id").alias("o_id")), "index")
-    quotes = passages.filter("level > 0")
-    linked = quotes.join(index, quotes["scope"].eqNullSafe(index["s"]) & (quotes["hash"] == index["h"])
-                         & ((index["o_ord"] < quotes["ord"]) | (index["o_ord"].isNull() & quotes["ord"].isNotNull())), "left")
+    linked = _latest(passages.filter("level = 0"), passages.filter("level > 0"))
     per = linked.groupBy("id").agg(
         F.count("*").alias("n_quotes"), F.count("o_id").alias("n_linked"), F.max("level").alias("max_level"),
         F.max(F.when(F.col("o_id").isNotNull(), F.struct((-F.col("level")).alias("up"), F.col("o_ord").alias("o"),

@@ -33,3 +33,14 @@ def test_odd_messages(spark):
     assert got[1, 4].text == "middle\nend" and got[1, 4].depth == 3 and got[1, 4].conversation_id == ids[1, 0]
     assert got[1, 5].text == "" and got[1, 2].max_level == 2
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_latest_of_repeated_originals(spark):
+    rows = [(1, 0, "u", "Yes"), (1, 1, "a", "> Yes\nGood"), (1, 2, "u", "Yes"), (1, 3, "a", "> Yes\nFine"), (1, 4, "u", "Yes"),
+            (1, 4, "a", "> Yes\nSame order")] + [(2, i, "u", "Thanks" if i % 2 == 0 else "> Thanks\nn%d" % i) for i in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn, r.role): r for r in chat.format_chats(df).collect()}
+    parent = {k: r.parent_id for k, r in got.items()}
+    assert parent[1, 1, "a"] == got[1, 0, "u"].message_id and parent[1, 3, "a"] == got[1, 2, "u"].message_id
+    assert parent[1, 4, "a"] == got[1, 2, "u"].message_id and got[1, 3, "a"].conversation_id == got[1, 2, "u"].message_id
+    assert all(parent[2, i, "u"] == got[2, i - 1, "u"].message_id for i in range(1, 400, 2))       # over several ranges

@@ -3,7 +3,9 @@
 A message's lines carry a quote level, the number of ``>`` before them. Runs of lines of one level
 are passages; a passage is hashed after white space and case are normalised. Level-0 passages
 are the originals; a quoted passage is linked to the latest original of its scope and hash that
-stands before it (of several of one order, the smallest id), and the latest original that a message
+stands before it (of several of one order, the smallest id). A quoted passage that no whole original
+equals is an excerpt: it is linked to the latest message before it whose own lines hold all of its lines,
+by a join on line hashes and a count for each (passage, message). The latest original that a message
 quotes at its shallowest linked level is its parent. Parents make reply trees; a
 conversation is a tree, its messages in reply order (depth, then order), quotes removed.
 
@@ -30,8 +32,8 @@ QUOTE = "^([ \\t]*>)+"
 MAX_LEVEL_DERIVED = 3
 
 
-def _passages(messages: DataFrame) -> DataFrame:
-    """(id, scope, ord, level, run, hash) of every passage; blank lines neither count nor split."""
+def _lines(messages: DataFrame) -> DataFrame:
+    """(id, scope, ord, pos, level, body, run) of every line that isn't blank; blank lines don't split a run."""
     lines = messages.select("id", "scope", "ord", F.posexplode(F.split("text", "\r?\n")).alias("pos", "line"))
     mark = F.regexp_extract("line", QUOTE, 0)
     body = F.lower(F.trim(F.regexp_replace(F.substring(F.col("line"), F.length(mark) + 1, F.length("line")),
@@ -40,7 +42,12 @@ def _passages(messages: DataFrame) -> DataFrame:
                          body.alias("body")).filter("body <> ''")
     at = F.row_number().over(Window.partitionBy("id").orderBy("pos"))
     own = F.row_number().over(Window.partitionBy("id", "level").orderBy("pos"))
-    runs = lines.withColumn("run", at - own)
+    return lines.withColumn("run", at - own)
+
+
+def _passages(messages: DataFrame) -> DataFrame:
+    """(id, scope, ord, level, run, hash) of every passage."""
+    runs = _lines(messages)
     text = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("pos", "body"))), lambda x: x["body"]))
     return runs.groupBy("id", "scope", "ord", "level", "run").agg(F.md5(text).alias("hash"))
 
@@ -66,6 +73,27 @@ def _latest(originals: DataFrame, quotes: DataFrame) -> DataFrame:
         .select("id", "scope", "ord", "level", "run", o["ord"].alias("o_ord"), o["id"].alias("o_id"))
 
 
+def _excerpts(messages: DataFrame, quotes: DataFrame) -> DataFrame:
+    """``quotes(id, scope, ord, level, run)`` with (o_ord, o_id), the latest message before each that has all of its
+    lines at level 0, null if there is none."""
+    def lines(some):
+        return staged(_lines(some).withColumn("hash", F.md5("body")).select("id", "scope", "ord", "level", "run", "hash").distinct(), "lines")
+
+    passage = ["id", "level", "run"]
+    held = lines(messages.join(quotes.select("id").distinct(), "id", "left_semi")).join(quotes.select(*passage), passage, "left_semi")
+    scopes = quotes.select(F.col("scope").alias("s")).distinct()
+    own = lines(messages.join(scopes, messages["scope"].eqNullSafe(scopes["s"]), "left_semi")).filter("level = 0").select(
+        F.col("id").alias("o_id"), F.col("scope").alias("s"), F.col("ord").alias("o_ord"), F.col("hash").alias("h")).distinct()
+    size = held.groupBy(*passage).agg(F.count("*").alias("size"))
+    before = (own["o_ord"] < held["ord"]) | (own["o_ord"].isNull() & held["ord"].isNotNull())
+    met = held.join(own, held["scope"].eqNullSafe(own["s"]) & (held["hash"] == own["h"]) & before) \
+        .groupBy(*passage, "o_ord", "o_id").agg(F.count("*").alias("n")).join(size, passage).filter("n = size") \
+        .groupBy(*passage, "o_ord").agg(F.min("o_id").alias("o_id")) \
+        .groupBy(*passage).agg(F.max(F.struct("o_ord", "o_id")).alias("o"))
+    return quotes.select(*passage, "scope", "ord").join(met, passage, "left").select(
+        "id", "scope", "ord", "level", "run", F.col("o.o_ord").alias("o_ord"), F.col("o.o_id").alias("o_id"))
+
+
 def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """(scope, order, message_id, conversation_id, parent_id, depth, role, text, n_quotes, n_linked,
@@ -77,7 +105,10 @@ def format_chats(messages: DataFrame, scope_col: str = "conv_id", order_col: str
                         F.substring(F.md5(F.concat_ws("|", F.coalesce("role", F.lit("")), "text")), 1, 12))
     msgs = staged(src.withColumn("id", ident), "messages")
     passages = staged(_passages(msgs), "passages")
-    linked = _latest(passages.filter("level = 0"), passages.filter("level > 0"))
+    linked = staged(_latest(passages.filter("level = 0"), passages.filter("level > 0")), "linked")
+    rest = linked.filter("o_id IS NULL")
+    if rest.limit(1).count():
+        linked = linked.filter("o_id IS NOT NULL").unionByName(_excerpts(msgs, rest))
     per = linked.groupBy("id").agg(
         F.count("*").alias("n_quotes"), F.count("o_id").alias("n_linked"), F.max("level").alias("max_level"),
         F.max(F.when(F.col("o_id").isNotNull(), F.struct((-F.col("level")).alias("up"), F.col("o_ord").alias("o"),

@@ -44,3 +44,18 @@ def test_latest_of_repeated_originals(spark):
     assert parent[1, 1, "a"] == got[1, 0, "u"].message_id and parent[1, 3, "a"] == got[1, 2, "u"].message_id
     assert parent[1, 4, "a"] == got[1, 2, "u"].message_id and got[1, 3, "a"].conversation_id == got[1, 2, "u"].message_id
     assert all(parent[2, i, "u"] == got[2, i - 1, "u"].message_id for i in range(1, 400, 2))       # over several ranges
+
+
+def test_excerpts_are_linked(spark):
+    rows = [(1, 0, "u", "First line\nSecond line\n\nThird line\nFourth line"), (1, 1, "a", "Second line\nOther"),
+            (1, 2, "u", "> third  LINE\n> Fourth line\nOne paragraph"), (1, 3, "u", "> First line\n> Fourth line\nSome lines"),
+            (1, 4, "u", "> Second line\nLatest holder"), (1, 5, "u", "> First line\n> Other\nOf two messages"),
+            (1, 6, "u", ">> Third line\n> One paragraph\nNested"), (2, 0, "u", "> First line\nOther scope"),
+            (None, 0, "u", "p\nq"), (None, 1, "u", "> q\nNull scope"), (3, None, "u", "p\nq"), (3, 0, "u", "> p\nNull order")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in chat.format_chats(df).collect()}
+    parent, ids = {k: r.parent_id for k, r in got.items()}, {k: r.message_id for k, r in got.items()}
+    assert parent[1, 2] == parent[1, 3] == ids[1, 0] and parent[1, 4] == ids[1, 1]
+    assert parent[1, 5] is None and got[1, 5].n_quotes == 1 and got[1, 5].n_linked == 0 and parent[2, 0] is None
+    assert parent[1, 6] == ids[1, 2] and got[1, 6].n_linked == 2 and got[1, 6].depth == 2
+    assert parent[None, 1] == ids[None, 0] and parent[3, 0] == ids[3, None]

@@ -2,9 +2,10 @@
 
 Base spans are the leftmost non-overlapping matches of each kind's pattern that pass its check. The
 field's nodes are a text's tokens that hold a digit or an at sign; neighbours in the text share
-chain potentials, and tokens that repeat (same address, or same last seven digits) are linked by
-skip potentials, each to the next one like it, however far away. Tokens inside base spans are
-observed. Loopy belief propagation spreads their labels, and a token whose marginal for a kind
+chain potentials, and tokens that repeat (same local part of an address, or same digits, the last seven of
+longer ones) are linked by skip potentials, each to the next one like it and to the nearest observed one like
+it, however far away. Tokens inside base spans are observed. Loopy belief propagation spreads their labels until
+the messages settle, and a token whose marginal for a kind
 reaches one half is added as a span of that kind where some token it is skip-linked with, directly
 or through others, is observed; so spans are added for consistency inside a document only.
 
@@ -42,7 +43,7 @@ EDGE_PUNCT = ".,;:!?\"'()[]{}<>|*&$%#"
 N_LABELS = len(KINDS) + 1                       # label 0 is none
 N_FEATURES = 18
 MAX_DOCS = 4000
-ROUNDS = 12
+SETTLED, ROUNDS = 1e-4, 1000                    # largest change of a settled message; rounds if they circle for ever
 
 
 def luhn(digits: str) -> bool:
@@ -113,9 +114,12 @@ def tokens(text: str) -> list[tuple[int, int, int]]:
 def token_key(core: str) -> str | None:
     """What repeated or similar tokens share."""
     if "@" in core:
-        return core.lower()
+        start = at = core.index("@")
+        while start and core[start - 1] in LOCAL:
+            start -= 1
+        return (core[start:at + 1] if start < at else core).lower()
     digits = "".join(c for c in core if "0" <= c <= "9")
-    return digits[-7:] if len(digits) >= 7 else None
+    return digits[-7:] if len(digits) >= 4 else None        # no kind has spans of fewer than four digits
 
 
 def token_features(core: str) -> list[int]:
@@ -165,6 +169,23 @@ def skip_edges(keys: list) -> list[tuple[int, int]]:
     return out
 
 
+def observed_edges(keys: list, seen) -> list[tuple[int, int]]:
+    """Each token that isn't observed with the last observed one of its key before it, or else the first
+    after it, unless ``skip_edges`` has the pair."""
+    first, last, out = {}, {}, []
+    for i, (k, y) in enumerate(zip(keys, seen)):
+        if k is not None and y:
+            first.setdefault(k, i)
+    for i, (k, y) in enumerate(zip(keys, seen)):
+        if y:
+            last[k] = i
+        elif k in first:
+            j = last.get(k, first[k])
+            out.append((min(i, j), max(i, j)))
+    known = set(skip_edges(keys))
+    return [e for e in out if e not in known]
+
+
 class Field:
     """Weights of the field and its inference."""
 
@@ -210,7 +231,10 @@ class Field:
             out = np.exp(out - out.max(axis=1, keepdims=True))
             new = np.einsum("el,elm->em", out, pot)
             new = np.log(np.maximum(new / new.sum(axis=1, keepdims=True), 1e-12))
+            change = np.abs(new - msg).max()
             msg = 0.5 * msg + 0.5 * new
+            if change < SETTLED:
+                break
         belief = node.copy()
         np.add.at(belief, dst, msg)
         p = np.exp(belief - belief.max(axis=1, keepdims=True))
@@ -226,7 +250,7 @@ class Field:
         with_base = {k for k, y in zip(keys, seen) if y and k}
         if not any(not y and k in with_base for k, y in zip(keys, seen)):
             return []
-        skip = skip_edges(keys)
+        skip = skip_edges(keys) + observed_edges(keys, seen)
         chain = [(i - 1, i) for i, t in enumerate(toks) if t[2]]
         p = self.marginals([token_features(text[s:e]) for s, e, _ in toks], seen, np.array(chain + skip, int),
                            np.array([0] * len(chain) + [1] * len(skip), int))

@@ -147,3 +147,19 @@ def test_pii_query_and_skip_chain(spark, odd, none):
     assert got[7].n_email == 50 and got[7].n_added == 0
     assert got[8].n_phone == 1 and got[8].n_added >= 1          # the repeated number is found again
     assert pii.personal_data(odd).count() == odd.count() and pii.personal_data(none).count() == 0
+
+
+def test_pii_repeats_far_from_the_observed_token():
+    field = pii.Field([], np.zeros((pii.N_LABELS,) * 2), np.zeros((pii.N_LABELS,) * 2))
+    text = "+19885552485" + " and then 988-555-2485" * 60
+    assert len(field.added(text, pii.base_spans(text))) == 60
+    before = "988-555-2485 and then " * 60 + "+19885552485"
+    assert len(field.added(before, pii.base_spans(before))) == 60
+
+
+def test_pii_similar_emails_and_short_numbers():
+    field = pii.Field([], np.zeros((pii.N_LABELS,) * 2), np.zeros((pii.N_LABELS,) * 2))
+    for text, kind, more in (("jo.doe@site.org wrote, Jo.Doe@localhost read", 0, "Jo.Doe@localhost"),
+                             ("from 10.0.0.1 then 10-0-0-1 then 12", 1, "10-0-0-1")):
+        got = field.added(text, pii.base_spans(text))
+        assert [(k, text[s:e]) for s, k, e in got] == [(kind, more)]

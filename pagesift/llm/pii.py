@@ -10,8 +10,7 @@ reaches one half is added as a span of that kind where some token it is skip-lin
 or through others, is observed; so spans are added for consistency inside a document only.
 
 Node weights are a multinomial logistic model and edge potentials smoothed label agreements,
-both fitted on a bounded sample (``max_docs`` documents by a hash of the id), with base spans as
-labels. Every whole text is searched, in time linear in its length.
+both counted over all documents, with base spans as labels. Every whole text is searched, in time linear in its length.
 
 Defined results: null text is empty and has no spans; spans are in code points, end exclusive; repeated
 rows and null ids are returned as often as they occur; an empty table gives an empty result; other
@@ -42,7 +41,6 @@ MARK = re.compile(r"[0-9@]")
 EDGE_PUNCT = ".,;:!?\"'()[]{}<>|*&$%#"
 N_LABELS = len(KINDS) + 1                       # label 0 is none
 N_FEATURES = 18
-MAX_DOCS = 4000
 SETTLED, ROUNDS = 1e-4, 1000                    # largest change of a settled message; rounds if they circle for ever
 
 
@@ -281,14 +279,11 @@ def _evidence(batches):
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["what", "f", "y", "n"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS) -> Field:
-    """The field of a bounded sample; patterns of features are counted in Spark, and there are at
+def fit(docs: DataFrame, text_col: str = "text") -> Field:
+    """The field of all documents; patterns of features are counted in Spark, and there are at
     most a few thousand of them."""
     ship_package(docs.sparkSession)
-    n = docs.count()
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit("pii sample")), F.lit(1_000_000))
-    some = docs.filter(u < 1e6 * min(1.0, max_docs / max(n, 1))).select(F.col(text_col))
-    got = some.mapInArrow(_evidence, "what int, f array<int>, y int, n long") \
+    got = docs.select(F.col(text_col)).mapInArrow(_evidence, "what int, f array<int>, y int, n long") \
         .groupBy("what", "f", "y").agg(F.sum("n").alias("n")).collect()
     pairs = np.zeros((2, N_LABELS, N_LABELS))
     for r in got:
@@ -323,10 +318,10 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     return out.withColumnRenamed("id", id_col)
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added); the numbers by kind count
     base spans."""
-    found = find(docs, fit(docs, id_col, text_col, **kw), id_col, text_col)
+    found = find(docs, fit(docs, text_col), id_col, text_col)
     count = [F.regexp_count("base", F.lit(k + ":")).cast("long").alias("n_" + k) for k in KINDS]
     n = F.regexp_count("spans", F.lit(":")) - F.regexp_count("base", F.lit(":"))
     return found.select(id_col, *count, F.sha2("base", 256).alias("base_sha256"), "spans",

@@ -163,3 +163,11 @@ def test_pii_similar_emails_and_short_numbers():
                              ("from 10.0.0.1 then 10-0-0-1 then 12", 1, "10-0-0-1")):
         got = field.added(text, pii.base_spans(text))
         assert [(k, text[s:e]) for s, k, e in got] == [(kind, more)]
+
+
+def test_pii_evidence_of_every_document(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(pii, "Field", lambda rows, chain, skip: made.append((rows, chain, skip)))
+    pii.fit(spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("a@b.co then a@b.co and 12").alias("text")))
+    rows, chain, skip = made[0]
+    assert sum(n for _, _, n in rows) == 3 * 9000 and skip[1, 1] == 9000

@@ -2,8 +2,8 @@
 
 Only confirmed toxic examples and text without labels train the model; the class prior is the toxic
 share of the labelled training rows. Features are the presence of words and of word beginnings of
-4 to 6 letters. Candidates come from the positive sample; those that the unlabelled sample holds less
-often are counted over every training document, and those with the largest gain are kept. A logistic model is
+4 to 6 letters. Every feature of every positive row is counted over the positive and over all training
+rows, and the ``max_features`` with the largest gain are kept. A logistic model is
 then fitted in numpy on a bounded sample (``max_pos`` positive rows, ``max_unl`` unlabelled rows,
 both by a hash of the id) by the risk
 
@@ -32,7 +32,6 @@ from .common import crc_mod, ship_package, table
 FOLD = 5
 MAX_POS = 4000
 MAX_UNL = 12000
-MAX_CANDIDATES = 20000
 MAX_FEATURES = 600
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -72,7 +71,7 @@ class Known:
 
 
 def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, pos_share=None, unl_share=None, l2: float = 2e-4,
-          steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, float]:
+          steps: int = 600, rate: float = 0.05) -> tuple[np.ndarray, float]:
     """Weights and bias of the non-negative PU risk under logistic loss, by Adam. ``pos_share`` and
     ``unl_share`` say how large a share of its sample each row stands for."""
     d = pos.shape[1]
@@ -111,33 +110,31 @@ def _patterns(rows: list[bytes], d: int) -> tuple[np.ndarray, np.ndarray]:
     return x, np.array([n for _, n in seen], np.float32) / max(len(rows), 1)
 
 
-def _documents_with(texts: DataFrame, names: list[str]) -> np.ndarray:
-    """How many rows of ``texts`` hold each of the named features."""
-    shared = texts.sparkSession.sparkContext.broadcast(Known(names))
-
-    def run(batches):
-        n = np.zeros(len(shared.value.index), np.int64)
+def _documents_with(texts: DataFrame) -> DataFrame:
+    """(f, n): how many rows of ``texts`` hold each feature."""
+    def each(batches):
         for b in batches:
+            got = Counter()
             for t in b.column(0).to_pylist():
-                n[shared.value.hits(t)] += 1
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["f", "n"])
+                got.update(features(t))
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())],
+                                             names=["f", "n"])
 
-    out = np.zeros(len(names), np.int64)
-    for r in texts.mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
-        out[r.f] = r.n                                          # a row for each name at most
-    return out
+    return texts.mapInArrow(each, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
 
 
-def _gain(in_pos: np.ndarray, n_pos: int, in_all: np.ndarray, n_all: int) -> np.ndarray:
-    """What a feature tells of the positive class; 0 unless clearly more frequent there."""
-    p, q = np.minimum(in_pos / max(n_pos, 1), 1), (in_all + 1) / (n_all + 1)
-    return np.where(p > 1.5 * q, p * np.log(np.maximum(p, 1e-9) / q), 0)
+def best_features(positive: DataFrame, train: DataFrame, n_pos: int, most: int) -> list[str]:
+    """The ``most`` features of ``positive(text)`` that tell most of the positive class, 0 unless clearly more
+    frequent there than in all of ``train(text)``."""
+    p = F.least(F.col("n_p") / max(n_pos, 1), F.lit(1.0))
+    q = (F.col("n") + 1) / (train.count() + 1)
+    counts = _documents_with(positive).withColumnRenamed("n", "n_p").join(_documents_with(train), "f")
+    gain = F.when(p > 1.5 * q, p * F.log(p / q)).otherwise(0.0)
+    return [r.f for r in counts.select("f", gain.alias("gain")).filter("gain > 0").orderBy(F.desc("gain"), "f").limit(most).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = FOLD,
-        max_pos: int = MAX_POS, max_unl: int = MAX_UNL, max_candidates: int = MAX_CANDIDATES,
-        max_features: int = MAX_FEATURES):
+        max_pos: int = MAX_POS, max_unl: int = MAX_UNL, max_features: int = MAX_FEATURES):
     """(features, weights, bias), or None without a positive example."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -154,28 +151,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = known.filter("_y = 1").orderBy(mark, "_id").limit(max_pos).select("_id")     # a bounded broadcast
     positive = train.join(F.broadcast(ids), "_id", "left_semi").select("_t")
 
-    def each(batches):
-        for b in batches:
-            got = Counter()
-            for t in b.column(0).to_pylist():
-                got.update(features(t))
-            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())],
-                                             names=["f", "n"])
-
-    least = max(2, n_pos // 400) if n_pos <= max_pos else max(2, max_pos // 400)
-    top = (positive.mapInArrow(each, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
-           .filter(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(max_candidates).collect())
-    if not top:
+    toxic = train.join(known.filter("_y = 1").select("_id"), "_id", "left_semi").select("_t")
+    names = best_features(toxic, train.select("_t"), n_pos, max_features)
+    if not names:
         return [], np.zeros(0), float(np.log(prior / (1 - prior)))
-    total = train.count()
-    rate = min(1.0, max_unl / max(total, 1))
+    rate = min(1.0, max_unl / max(train.count(), 1))
     unl = train.filter(F.pmod(mark, F.lit(1_000_000)) < rate * 1e6).select("_t")
-    n_p, names, in_pos = min(n_pos, max_pos), [r.f for r in top], np.array([r.n for r in top], float)
-    # a first choice by the unlabelled sample, the last by every training document
-    for texts, n_all, most in ((unl, total * rate, 4 * max_features), (train.select("_t"), total, max_features)):
-        gain = _gain(in_pos, n_p, _documents_with(texts, names), n_all)
-        best = [int(i) for i in np.argsort(-gain, kind="stable")[:most] if gain[i] > 0]
-        names, in_pos = [names[i] for i in best], in_pos[best]
     chosen = spark.sparkContext.broadcast(Known(names))
 
     def vectors(batches):

@@ -171,3 +171,11 @@ def test_pii_evidence_of_every_document(spark, monkeypatch):
     pii.fit(spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("a@b.co then a@b.co and 12").alias("text")))
     rows, chain, skip = made[0]
     assert sum(n for _, _, n in rows) == 3 * 9000 and skip[1, 1] == 9000
+
+
+def test_toxicity_counts_rare_words_of_all_positive_rows(spark):
+    """A word of 4 in 6,000 positive rows, fewer than the former floor of 10 in 4,000, and none of clean rows."""
+    rare = F.when(F.col("id") % 1500 == 0, "vile").otherwise("awful")
+    pos = spark.range(6000).select(F.concat(F.lit("some text "), rare).alias("text"))
+    train = pos.union(spark.range(6000).select(F.concat_ws(" ", F.lit("some text"), F.when(F.col("id") % 1500 == 0, "good")).alias("text")))
+    assert toxicity.best_features(pos, train, 6000, 600) == ["awfu*", "awful", "vile"]

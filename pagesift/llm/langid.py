@@ -199,18 +199,24 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
                       "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with all their columns: those predicted ``und`` go.
-    Each row is judged where it lies; nothing is joined or shuffled."""
-    model = fit(docs, id_col, text_col, **kw)
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **kw) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter, with all their columns; a null language becomes the predicted one
+    (and stays null if there is nothing to learn from). Each row is judged where it lies; nothing is joined or shuffled."""
+    model = fit(docs, id_col, text_col, lang_col, **kw)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+    at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches):
         for b in batches:
-            keep = []
-            for lo in range(0, b.num_rows, GROUP):
-                keep += [lang != "und" for lang in languages(shared.value, b.column(at).slice(lo, GROUP).to_pylist())[0]]
+            texts, lang = b.column(at), b.column(lang_at).to_pylist()
+            keep = [has_letter(t) for t in texts.to_pylist()]
+            new = [i for i, v in enumerate(lang) if keep[i] and v is None] if shared.value is not None else []
+            for lo in range(0, len(new), GROUP):
+                part = new[lo:lo + GROUP]
+                for i, v in zip(part, languages(shared.value, texts.take(pa.array(part)).to_pylist())[0]):
+                    lang[i] = v
+            if new:
+                b = b.set_column(lang_at, b.schema.field(lang_at), pa.array(lang, b.schema.field(lang_at).type))
             yield b.filter(pa.array(keep, pa.bool_()))
         release()
 

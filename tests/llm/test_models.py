@@ -179,3 +179,13 @@ def test_toxicity_counts_rare_words_of_all_positive_rows(spark):
     pos = spark.range(6000).select(F.concat(F.lit("some text "), rare).alias("text"))
     train = pos.union(spark.range(6000).select(F.concat_ws(" ", F.lit("some text"), F.when(F.col("id") % 1500 == 0, "good")).alias("text")))
     assert toxicity.best_features(pos, train, 6000, 600) == ["awfu*", "awful", "vile"]
+
+
+def test_language_stage_fills_null_languages(spark):
+    rows = [(i, *(("the cat sat on the mat and the dog", "en") if i % 2 else ("die Katze und der Hund sind nicht hier", "de")))
+            for i in range(40)] + [(40, "the dog and the cat", None), (41, "der Hund und die Katze", None), (42, "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in langid.keep_identified(docs).collect()}
+    assert got == {**{i: lang for i, _, lang in rows[:40]}, 40: "en", 41: "de"}
+    bare = langid.keep_identified(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert sorted(r.doc_id for r in bare) == list(range(42)) and {r.lang for r in bare} == {None}

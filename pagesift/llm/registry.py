@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("exact_dedup", "simhash", "langid", "mixing", "bpe", "toxicity", "ann",
-           "chat", "pii", "lm", "records")
+           "chat", "pii", "lm", "records", "merkle")
 
 _loaded = [importlib.import_module(f"{__package__}.{m}") for m in MODULES]
 

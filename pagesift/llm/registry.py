@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("exact_dedup", "simhash", "langid", "mixing", "bpe", "toxicity", "ann",
-           "chat", "pii", "lm", "records", "merkle")
+           "chat", "pii", "lm", "records", "merkle",
+           "spelling")
 
 _loaded = [importlib.import_module(f"{__package__}.{m}") for m in MODULES]
 

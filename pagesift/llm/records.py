@@ -15,7 +15,7 @@ the commit, so files of failed or repeated tasks are never read.
 Rows are dealt to files by quantiles of the id, taken from the id column alone; the rows of one id that spans
 several files are spread over them, so nothing depends on ids being unique. A text is cut before spaces that
 follow no white space, where the tokenizer's own pattern always cuts, and a word met before is
-looked up; ``check_tokenizer`` raises on tokenizers for which that isn't so.
+looked up, as are letters met before with other punctuation; ``check_tokenizer`` raises on tokenizers for which that isn't so.
 
 Defined results: null text is empty (the end id alone); a null id comes first and stays null; rows of the same id
 follow each other by their token ids, those of an id that spans files by file; repeated rows are records
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,13 @@ BATCH_BYTES = 4 << 20
 KNOWN_WORDS = 1 << 20       # words a worker remembers before it starts anew
 LONG_WORD = 64              # longer ones aren't remembered
 SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
-RUNS = [c + " " for c in SPACES]
+RUN = f"[{SPACES}] "
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]*)")     # one run of letters, one of punctuation
+LINES = re.compile(r"\S+(\n\S+)+")
+# Byte-level vocabularies write a byte as the character of its number where that is printable, the others from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+SPACE_SIGN = BYTE_SIGNS[0x20]
 LEAST_ID = -(1 << 63)       # where null ids are ordered
 ROW = "file int, id long, ids binary"
 HEAD, SUM, INDEX = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<QQQ")
@@ -84,8 +92,6 @@ def vocabulary_size(spec: dict) -> int:
 def units(text: str) -> list[str]:
     """The text cut before every space that follows no white space, those spaces left out."""
     parts = text.split(" ")
-    if not any(r in text for r in RUNS):
-        return parts
     out = [parts[0]]
     for p in parts[1:]:
         if out[-1] == "" or out[-1][-1] in SPACES:
@@ -96,7 +102,8 @@ def units(text: str) -> list[str]:
 
 
 class _Known(dict):
-    """Words with the space before them -> packed ids."""
+    """Words with the space before them -> packed ids. A word of letters and punctuation is two pieces of the tokenizer's
+    pattern: its letters go to the merges alone and are shared by all punctuation; other words go through the whole tokenizer."""
 
     def __init__(self, blob: str, code: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -104,21 +111,68 @@ class _Known(dict):
         self.tokenizer, self.code = Tokenizer.from_str(blob), code
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.tails = self.tokenizer.model, {}
+        self.newline = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    def letters(self, mark: str, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array(self.code, [t.id for t in self.model.tokenize(mark + word)]).tobytes()
+
+    def tail(self, signs: str) -> bytes:
+        if signs not in self.tails:
+            if len(self.tails) > KNOWN_WORDS >> 4:
+                self.tails.clear()
+            self.tails[signs] = self.ids(signs)
+        return self.tails[signs]
+
+    def line(self, word: str) -> bytes:
+        """A word after one line end."""
+        m = PLAIN.fullmatch(word)
+        return self.newline + (self.letters("", m[1]) + self.tail(m[2]) if m else self.ids(word))
+
     def __missing__(self, word: str) -> bytes:
-        got = self.ids(" " + word)
+        m = PLAIN.fullmatch(word)
+        if m:
+            got = self[m[1]] + self.tail(m[2]) if m[2] else self.letters(SPACE_SIGN, word)
+        elif LINES.fullmatch(word):
+            first, *rest = word.split("\n")
+            return self[first] + b"".join(map(self.line, rest))
+        else:
+            got = self.ids(" " + word)
         if len(word) <= LONG_WORD:
             self[word] = got
         return got
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """Packed ids of each text with ``end`` behind. Distinct words are looked up once an array, their ids are then
+        laid out by position."""
         if len(self) > KNOWN_WORDS:
             self.clear()
-        first, *rest = units(text)
-        return self.ids(first) + b"".join(map(self.__getitem__, rest))
+        odd = pc.match_substring_regex(texts, RUN)
+        parts = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        begin = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+        words = parts.flatten().dictionary_encode()
+        first = [self.ids(t) for t in parts.flatten().take(pa.array(begin)).to_pylist()]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            head, *rest = units(texts[i].as_py())
+            first[i] = self.ids(head) + b"".join(map(self.__getitem__, rest))
+        known = [self[w] for w in words.dictionary.to_pylist()]
+        code = words.indices.to_numpy().astype(np.int64)
+        code[begin] = len(known) + np.arange(len(first))
+        code = np.insert(code, np.append(begin[1:], len(code)), len(known) + len(first))
+        pool = [*known, *first, end]
+        width = len(end)
+        size = np.fromiter(map(len, pool), np.int64, len(pool)) // width
+        place = np.cumsum(size) - size
+        many = size[code]
+        after = np.cumsum(many)
+        ids = np.frombuffer(b"".join(pool), self.code)[np.repeat(place[code] - after + many, many) + np.arange(after[-1])]
+        ends = np.concatenate([[0], after[np.append(begin[1:], len(code) - len(first)) + np.arange(len(first))]]) * width
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.tobytes())])
 
 
 _KNOWN: dict[tuple, _Known] = {}       # of this worker, kept from task to task
@@ -133,10 +187,9 @@ def _encode_rows(shared, bounds: np.ndarray, end: bytes, code: str):
             order, spread = b.column(0).to_numpy(), b.column(1).to_numpy()
             low, high = np.searchsorted(bounds, order, "left"), np.searchsorted(bounds, order, "right")
             file = (low + spread % (high - low + 1)).astype(np.int32)
-            ids = [known.encode(t) + end for t in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(file), b.column(2), pa.array(ids, pa.binary())],
-                                             names=["file", "id", "ids"])
-            del ids
+            if len(b):
+                yield pa.RecordBatch.from_arrays([pa.array(file), b.column(2), known.encode(b.column(3), end)],
+                                                 names=["file", "id", "ids"])
         release()
     return run
 

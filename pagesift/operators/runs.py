@@ -132,7 +132,8 @@ def segment_status(manifest: DataFrame, scanned: DataFrame, matches: DataFrame)
         F.sum("n_records").cast("bigint").alias("n_records"), worst.alias("worst"),
         # collect_set keeps this hash-based (a string max would sort); ranges' errors joined
         (F.array_join(F.array_sort(F.collect_set("error")), "; ") if "error" in scan_cols
-         else F.lit(None).cast("string")).alias("error"))
+         else F.lit(None).cast("string")).alias("error"),
+        (F.sum("n_retries") if "n_retries" in scan_cols else F.lit(0)).cast("bigint").alias("n_retries"))
     scan = scan.withColumn("scan_state", F.when((F.col("worst") == 2) & (F.col("n_records") == 0), F.lit(FAILED))
                            .when(F.col("worst") >= 1, F.lit(PARTIAL))) \
         .withColumn("error", F.when(F.col("error") != "", F.col("error")))
@@ -145,7 +146,8 @@ def segment_status(manifest: DataFrame, scanned: DataFrame, matches: DataFrame)
              .when(F.col("n_records").isNotNull(), F.lit(EMPTY))
              .otherwise(F.lit(PENDING)))
     return joined.select(*SEGMENT_KEY, F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"),
-                         n_matches.alias("n_matches"), state.alias("state"), "error")
+                         n_matches.alias("n_matches"), state.alias("state"), "error",
+                         F.coalesce("n_retries", F.lit(0)).cast("bigint").alias("n_retries"))
 
 
 def current_runs(status: DataFrame) -> DataFrame:
@@ -167,10 +169,23 @@ def run_summary(status: DataFrame) -> DataFrame:
     return per.withColumn("summary", F.format_string("%d of %d segments successful", "n_successful", "n_segments"))
 
 
-def remaining_segments(manifest: DataFrame, status: DataFrame) -> DataFrame:
-    """Manifest segments not yet finished (anti join with done/empty status)."""
+def quarantined(every_run: DataFrame, max_failures: int = 3) -> DataFrame:
+    """Segments that ``max_failures`` runs or more tried, all in vain: (crawl_date, segment, n_failures, last_run,
+    error of the last). ``every_run``: the status rows of all runs (``read_status(every_run=True)``). A segment
+    that any run finished, or read in part, is none of them."""
+    failed = F.col("state") == FAILED
+    return every_run.groupBy(*SEGMENT_KEY).agg(
+        F.count_if(failed).alias("n_failures"), F.count_if(~failed).alias("_other"), F.max("run_id").alias("last_run"),
+        F.max_by("error", F.when(failed, F.col("run_id"))).alias("error")) \
+        .where((F.col("n_failures") >= max_failures) & (F.col("_other") == 0)).drop("_other")
+
+
+def remaining_segments(manifest: DataFrame, status: DataFrame, quarantine: DataFrame | None = None) -> DataFrame:
+    """Manifest segments not yet finished (anti join with done/empty status); without those in ``quarantine``
+    (:func:`quarantined`), which another run would only wait for again."""
     finished = status.where(F.col("state").isin(*FINISHED_STATES)).select(*SEGMENT_KEY)
-    return manifest.join(finished, list(SEGMENT_KEY), "left_anti")
+    left = manifest.join(finished, list(SEGMENT_KEY), "left_anti")
+    return left if quarantine is None else left.join(quarantine.select(*SEGMENT_KEY), list(SEGMENT_KEY), "left_anti")
 
 
 def progress_by_crawl(crawls: DataFrame, manifest: DataFrame, status: DataFrame) -> DataFrame:

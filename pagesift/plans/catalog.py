@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import website
-from ..operators import jobs, logs, match, outputs, report, runs
+from ..operators import dealing, jobs, logs, match, outputs, report, runs
 from ..session import ensure_checkpoint_dir
 from ..sources import files, wet
 from ..sources.planted import relation, table, with_relations
-from ..sources.planted_archives import planted_archives, record_no_from_id
+from ..sources.planted_archives import FaultyStore, planted_archives, record_no_from_id
+from ..sources.retry import Retry
 from .crawl_job import filter_crawl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +222,40 @@ def q_archive_status(spark, d):
     return read.unionByName(pending)
 
 
+FAULTS = "CASE segment % 10 WHEN 2 THEN '#fails=2@300' WHEN 3 THEN '#fails=99@0' WHEN 6 THEN '.gone' WHEN 7 THEN '#cut=80' ELSE '' END"
+
+
+@register("faulty_archives", f"""WITH {O_PP},{O_STATUS}
+SELECT crawl_date, segment,
+       CASE segment % 10 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 6 THEN 0 WHEN 7 THEN n_records - 1 ELSE n_records END::BIGINT AS n_records,
+       CASE segment % 10 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 6 THEN 0 WHEN 7 THEN NULL ELSE n_matches END::BIGINT AS n_matches,
+       CASE segment % 10 WHEN 3 THEN 'failed' WHEN 4 THEN 'failed' WHEN 6 THEN 'failed' WHEN 7 THEN 'partial' ELSE state END AS state,
+       CASE segment % 10 WHEN 2 THEN 2 WHEN 3 THEN 4 ELSE 0 END::BIGINT AS n_retries
+FROM status WHERE state <> 'pending'""", ("wet_records", "postcode_lookup", "archive_manifest"))
+def q_faulty_archives(spark, d):
+    """A job over planted archives of which some break for a while, some for good, some are missing, folders or cut
+    short: every other archive is read whole, each has its state and its retries."""
+    where, listed = planted_archives(spark, _wet(spark, d), d)
+    path = F.when(F.col("segment") % 10 == 4, F.lit(where)).otherwise(F.concat("path", F.expr(FAULTS)))
+    res = _job(spark, d, listed.withColumn("path", path), retry=Retry(first_wait=0.01), store=FaultyStore())
+    return res.status.select("crawl_date", "segment", "n_records", "state", "n_retries",
+                             F.when(F.col("segment") % 10 != 7, F.col("n_matches")).alias("n_matches"))
+
+
+DEALT_TASKS = 16
+
+
+@register("even_dealing", f"""
+SELECT file_path, file_size, (start::HUGEINT * {DEALT_TASKS} // total)::INT AS task
+FROM (SELECT *, sum(file_size) OVER () AS total, coalesce(sum(file_size) OVER (ORDER BY file_size DESC, file_path
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM (SELECT file_path, greatest(file_size, 1) AS file_size FROM output_listing))""", ("output_listing",))
+def q_even_dealing(spark, d):
+    """S5, array sizing: files dealt to tasks by size, the running sum taken over ranges of one sort."""
+    listed = relation(spark, d, "output_listing").select("file_path", F.greatest("file_size", F.lit(1)).alias("file_size"))
+    return dealing.deal_by_size(listed, "file_size", ("file_path",), DEALT_TASKS)
+
+
 @register("sliced_run", f"WITH {O_PP}\nSELECT * FROM pp", ("wet_records", "postcode_lookup"))
 def q_sliced_run(spark, d):
     """Two slices of every crawl and a re-run of the first into the same folders;

@@ -20,7 +20,6 @@ back all go into the same two folders.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +27,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK, page_predicate
 from ..operators.match import postcode_pages
-from ..operators.runs import PARTIAL, manifest_segments, segment_out_of_range, segment_status
-from ..session import ensure_checkpoint_dir
+from ..operators.dealing import deal_by_size
+from ..operators.runs import PARTIAL, SEGMENT_KEY, manifest_segments, segment_out_of_range, segment_status
+from ..session import staged as stage
 from ..sources.sinks import new_run_id, read_matches, read_status, write_matches, write_status
-from ..sources.wet import scan_manifest
+from ..sources.retry import Retry
+from ..sources.wet import ArchiveStore, scan_manifest, with_sizes
 
 FILES_PER_TASK = 4          # archives of 100-150 MB each: minutes per task, cheap to retry
 
@@ -46,13 +47,6 @@ class JobResult:
     matches: DataFrame
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def requested_segments(manifest: DataFrame, first: int, last: int) -> DataFrame:
     """(crawl_date, segment) for segments ``first`` to ``last`` of every crawl in the manifest."""
     return manifest.select("crawl_date").distinct().select(
@@ -68,7 +62,7 @@ def _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, r
     if beyond is not None:
         status = status.unionByName(beyond.select(
             "crawl_date", "segment", F.lit(0).cast("bigint").alias("n_records"),
-            F.lit(0).cast("bigint").alias("n_matches"), "state", "error"))
+            F.lit(0).cast("bigint").alias("n_matches"), "state", "error", F.lit(0).cast("bigint").alias("n_retries")))
     write_status(status, status_dir, run_id)
     return JobResult(output_dir, status_dir, run_id, read_status(spark, status_dir),
                      read_matches(spark, output_dir, status_dir))
@@ -89,24 +83,31 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
                  language: str = LANGUAGE, prefix: str = POSTCODE_PREFIX, key: str = "pcds",
                  task_id: int | None = None, segments_per_task: int = 1, segment: int | None = None,
                  files_per_task: int = FILES_PER_TASK, num_partitions: int | None = None,
-                 run_id: int | None = None) -> JobResult:
+                 run_id: int | None = None, even: bool = True, retry: Retry = Retry(),
+                 store: ArchiveStore | None = None) -> JobResult:
     """Run the filter over every archive in ``manifest``, one task's slice of it, or one ``segment``.
 
     ``manifest``: crawl_date, segment, path. Paths are read as given, or joined to
     ``base_url`` when it is set (http(s) archives are streamed, never staged on local disk).
     Requested segments that a crawl's manifest doesn't have become ``failed`` status rows.
+    Archives are dealt to tasks by their sizes (``even``; else by hash); one that can't be read after the attempts
+    of ``retry`` becomes a ``failed`` row and stops no other. ``store`` opens and measures archives.
     """
     run_id = run_id or new_run_id()
     manifest, beyond = _slice(manifest, task_id, segments_per_task, segment)
     located, location = (manifest_segments(manifest, base_url), "file_url") if base_url else (manifest, "path")
-    scan = _staged(scan_manifest(located, location=location, rec_type=CONVERSION, uri_contains=url_contains,
-                                 language=language, num_partitions=num_partitions
-                                 or max(1, -(-manifest.count() // files_per_task))), "scan")
+    if even:
+        located = stage(with_sizes(located, location, store), "sizes")
+    n = num_partitions or max(1, -(-located.count() // files_per_task))
+    if even:
+        located = deal_by_size(located, "bytes", SEGMENT_KEY, n)
+    scan = stage(scan_manifest(located, location=location, rec_type=CONVERSION, uri_contains=url_contains,
+                               language=language, num_partitions=n, retry=retry, store=store), "scan")
     matches = postcode_pages(scan.where(~F.col("is_status")), lookup, url_contains=url_contains,
                              language=language, prefix=prefix, key=key)
     scanned = scan.where(F.col("is_status")).select(
         "crawl_date", "segment", "n_records",
-        F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error")
+        F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error", "n_retries")
     return _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id)
 
 
@@ -130,7 +131,7 @@ def filter_records(spark: SparkSession, records: DataFrame, manifest: DataFrame,
         records = records.join(manifest.select("crawl_date", "segment"), ["crawl_date", "segment"], "left_semi")
     cand = F.coalesce(page_predicate(url_contains=url_contains, lang=language), F.lit(False))
     framed = F.coalesce(F.col("framing_ok"), F.lit(True)) if "framing_ok" in records.columns else F.lit(True)
-    staged = _staged(records.select(
+    staged = stage(records.select(
         "crawl_date", "segment", "record_no", cand.alias("is_candidate"), framed.alias("framed"),
         *[F.when(cand, F.col(c)).alias(c) for c in ("rec_type", "uri", "language", "text")]), "records")
     matches = postcode_pages(staged.where(F.col("is_candidate")), lookup, url_contains=url_contains,

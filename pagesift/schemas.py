@@ -34,6 +34,7 @@ SEGMENT_STATUS = T.StructType([
     T.StructField("n_matches", T.LongType()),
     T.StructField("state", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("n_retries", T.LongType()),
 ])
 
 # Written beside matches and status: microseconds since 1970 at the start of the run.

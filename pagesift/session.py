@@ -12,7 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -60,6 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back: the lineage is cut
+    there, and a lost executor costs no recomputation of what came before."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

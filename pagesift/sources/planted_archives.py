@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import os
 import uuid
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from .warc import encode_record
+from .wet import ArchiveStore
 
 RECORD_ID = "<urn:pagesift:record:{}>"
 RECORD_ID_PATTERN = r"record:(\d+)>"
@@ -126,6 +128,46 @@ def planted_archives(spark: SparkSession, records: DataFrame, key: str) -> tuple
     return out, write_archives(records, out)
 
 
+class FaultyStore(ArchiveStore):
+    """Planted archives that fail as the end of their location says: ``#fails=N@B`` breaks the connection after ``B`` more
+    bytes, ``N`` times in a row; ``#cut=B`` lacks the last ``B`` bytes. Others are read as they are."""
+
+    def __init__(self):
+        self.opened: dict[str, int] = {}
+
+    def open(self, location: str, offset: int = 0):
+        path, _, fault = location.partition("#")
+        if fault.startswith("cut="):
+            size = self.size(path)
+            return io.BytesIO(super().open(path, 0).read(size - int(fault[4:]))[offset:])
+        if fault.startswith("fails="):
+            times, _, after = fault[6:].partition("@")
+            n = self.opened[location] = self.opened.get(location, 0) + 1
+            if n <= int(times):
+                return _Breaking(super().open(path, offset), int(after))
+        return super().open(path, offset)
+
+    def size(self, location: str) -> int | None:
+        return super().size(location.partition("#")[0])
+
+
+class _Breaking:
+    """A stream whose connection is reset after ``left`` bytes."""
+
+    def __init__(self, raw, left: int):
+        self.raw, self.left = raw, left
+
+    def read(self, n: int) -> bytes:
+        if self.left <= 0:
+            raise ConnectionResetError("connection reset")
+        data = self.raw.read(min(n, self.left))
+        self.left -= len(data)
+        return data
+
+    def close(self) -> None:
+        self.raw.close()
+
+
 def record_no_from_id(headers: str = "headers") -> F.Column:
     """The planted record number carried in ``WARC-Record-ID``."""
     return F.regexp_extract(F.col(headers)["warc-record-id"], RECORD_ID_PATTERN, 1).cast("bigint")

@@ -21,12 +21,14 @@ H_LANGUAGE = "warc-identified-content-language"
 H_LENGTH = "content-length"
 TEXT_ENCODING = "utf-8"
 TEXT_ERRORS = "ignore"          # invalid bytes are dropped, not replaced
+PIECE = 1 << 20                 # bytes of a body read at once
 
 
 @dataclass
 class ScanResult:
     """Outcome of reading one archive."""
     n_records: int = 0
+    n_retries: int = 0
     state: str = "read"         # read | partial | failed
     error: str | None = None
     rows: list = field(default_factory=list)
@@ -69,8 +71,8 @@ def iter_records(stream, keep: Callable[[dict[str, str]], bool] | None = None,
     ``keep(headers)`` decides from headers alone whether a body is decoded and the record
     yielded; skipped bodies are read past without decoding. ``status`` (if given) receives the
     record count and ``partial`` when the archive is truncated or corrupt after some records.
-    Only errors of the format end an archive so; connection and filesystem errors are raised, and
-    Spark retries the task.
+    Only errors of the format end an archive so -- a length that isn't a number of digits is one, whatever
+    ``keep`` says of its record; connection and filesystem errors are raised to the caller.
     """
     status = status if status is not None else ScanResult()
     n = 0
@@ -80,12 +82,10 @@ def iter_records(stream, keep: Callable[[dict[str, str]], bool] | None = None,
             if got is None:
                 break
             _, headers = got
-            length = int(headers.get(H_LENGTH, "0"))
+            length = _length(headers.get(H_LENGTH, "0"))
             wanted = keep is None or keep(headers)
             if wanted:
-                body = stream.read(length)
-                if len(body) < length:
-                    raise EOFError("archive ended inside a record body")
+                body = _body(stream, length)
             else:
                 _skip(stream, length)
             record_no = n
@@ -100,10 +100,29 @@ def iter_records(stream, keep: Callable[[dict[str, str]], bool] | None = None,
     status.n_records = n
 
 
+def _length(value: str) -> int:
+    """Content-Length: digits only, so that a sign never turns into "all that is left"."""
+    if not (value.isascii() and value.isdigit()):
+        raise ValueError(f"bad Content-Length {value[:40]!r}")
+    return int(value)
+
+
+def _body(stream, length: int) -> bytes:
+    """``length`` bytes, read in pieces: a length beyond the archive costs no more memory than the archive has bytes."""
+    pieces, left = [], length
+    while left > 0:
+        piece = stream.read(min(left, PIECE))
+        if not piece:
+            raise EOFError("archive ended inside a record body")
+        pieces.append(piece)
+        left -= len(piece)
+    return b"".join(pieces)
+
+
 def _skip(stream, length: int) -> None:
     left = length
     while left > 0:
-        chunk = stream.read(min(left, 1 << 20))
+        chunk = stream.read(min(left, PIECE))
         if not chunk:
             raise EOFError("archive ended inside a record body")
         left -= len(chunk)

@@ -11,7 +11,8 @@ Two entry points share the framing helper in :mod:`.warc`:
   ``option("mode", "status")`` yields one row per archive instead (records read, state).
 * :func:`scan_manifest` -- the same reader driven by a manifest DataFrame via
   ``mapInArrow``: the file list never passes through the driver, and every archive yields
-  its candidate records plus one status row in the same pass.
+  its candidate records plus one status row in the same pass. Reads that break are resumed inside
+  the task (:mod:`.retry`), and an archive that can't be read ends alone.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from pyspark.sql.datasource import (
 
 from ..schemas import SCAN_STATUS, WET_RECORD
 from ..session import ship_package
+from .retry import LASTING, ArchiveUnavailable, Resumed, Retry
 from .warc import ScanResult, header_filter, iter_records, open_archive
 
 # Archive names written by the reference's jobs: crawldata{date}segment{NNNNN}.wet.gz
@@ -55,13 +57,14 @@ SCAN_ROW = T.StructType(WET_RECORD.fields + [
     T.StructField("n_records", T.LongType()),
     T.StructField("state", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("n_retries", T.LongType()),
 ])
 _ARROW_SCAN = pa.schema([
     ("crawl_date", pa.string()), ("segment", pa.int32()), ("record_no", pa.int64()),
     ("rec_type", pa.string()), ("uri", pa.string()), ("language", pa.string()),
     ("headers", pa.map_(pa.string(), pa.string())), ("content_length", pa.int64()),
     ("text", pa.string()), ("is_status", pa.bool_()), ("n_records", pa.int64()),
-    ("state", pa.string()), ("error", pa.string()),
+    ("state", pa.string()), ("error", pa.string()), ("n_retries", pa.int64()),
 ])
 
 
@@ -114,6 +117,64 @@ def open_raw(location: str):
     return filesystem.open_input_file(path)
 
 
+class ArchiveStore:
+    """Where archives lie: local or shared paths, http(s) URLs, filesystem URIs."""
+
+    def open(self, location: str, offset: int = 0):
+        """Binary stream of the stored bytes from ``offset`` on."""
+        if location.startswith(("http://", "https://")):
+            return self._request(location, offset)
+        raw = open_raw(location)
+        raw.seek(offset)
+        return raw
+
+    def _request(self, location: str, offset: int):
+        request = urllib.request.Request(location, headers={"Range": f"bytes={offset}-"} if offset else {})
+        try:
+            response = urllib.request.urlopen(request, timeout=300)  # noqa: S310 - archive URLs
+        except urllib.error.HTTPError as e:
+            if e.code in (404, 410):
+                raise FileNotFoundError(f"HTTP {e.code}: {location}") from e
+            if e.code == 416:           # nothing after offset: the last byte had come before the connection broke
+                return io.BytesIO()
+            raise
+        raw = io.BufferedReader(_Transfer(response), 1 << 20)
+        left = offset if response.status == 200 else 0       # a server that sends all again
+        while left > 0 and (skipped := len(raw.read(min(left, 1 << 20)))):
+            left -= skipped
+        return raw
+
+    def size(self, location: str) -> int | None:
+        """Stored bytes; None where that can't be told."""
+        try:
+            if location.startswith(("http://", "https://")):
+                with urllib.request.urlopen(urllib.request.Request(location, method="HEAD"), timeout=60) as r:  # noqa: S310
+                    length = r.headers.get("Content-Length", "")
+                return int(length) if length.isdigit() else None
+            if not _has_scheme(location):
+                return os.stat(location).st_size if os.path.isfile(location) else None
+            from pyarrow import fs as pafs
+
+            filesystem, path = pafs.FileSystem.from_uri(location)
+            return filesystem.get_file_info(path).size
+        except (OSError, ValueError):
+            return None
+
+
+def with_sizes(manifest: DataFrame, location: str = "path", store: ArchiveStore | None = None) -> DataFrame:
+    """``manifest`` with ``bytes``, the size of each archive, asked for inside tasks; null where unknown."""
+    ship_package(manifest.sparkSession)
+    store = store or ArchiveStore()
+
+    def measure(batches):
+        for batch in batches:
+            sizes = [None if at is None else store.size(at) for at in batch.column(location).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "bytes"])
+
+    schema = T.StructType([*manifest.schema.fields, T.StructField("bytes", T.LongType())])
+    return manifest.repartition("crawl_date", "segment").mapInArrow(measure, schema)
+
+
 def open_any(location: str):
     """An archive as a binary stream, decompressed when gzip'ed."""
     if not _has_scheme(location):
@@ -122,6 +183,12 @@ def open_any(location: str):
     return gzip.GzipFile(fileobj=raw, mode="rb") if raw.peek(2)[:2] == b"\x1f\x8b" else raw
 
 
+def _unpacked(raw: Resumed):
+    """The bytes of an archive, decompressed when gzip'ed."""
+    buffered = io.BufferedReader(raw, 1 << 20)
+    return gzip.GzipFile(fileobj=buffered, mode="rb") if buffered.peek(2)[:2] == b"\x1f\x8b" else buffered
+
+
 ARCHIVE_SUFFIXES = (".wet.gz", ".wet", ".gz")
 
 
@@ -335,17 +402,19 @@ def read_wet(spark: SparkSession, path: str, *, mode: str = "records",
 
 def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type: str | None = None,
                   uri_contains: str | None = None, language: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, retry: Retry = Retry(),
+                  store: ArchiveStore | None = None) -> DataFrame:
     """Read the archives a manifest names, in parallel, inside tasks.
 
     ``manifest`` has ``crawl_date``, ``segment`` and a ``location`` column (path or URL). Each
     archive yields its records that pass the header filter and one status row
-    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``). A missing archive is
-    ``failed``, a damaged one ``partial``; other I/O errors fail the task, which Spark retries.
+    (``is_status``, ``n_records``, ``state`` = read/partial/failed, ``error``, ``n_retries``). A read that breaks is
+    tried again as ``retry`` says, from where it broke. A missing archive and one that can't be read at all are
+    ``failed``, one that is damaged or breaks for good after some records is ``partial``: the others are read all the same.
 
-    Manifest rows are dealt by hash of (crawl_date, segment) to ``num_partitions`` tasks (default: the
-    session's shuffle partitions, at least its parallelism); the caller who knows the number of
-    archives sets it so that a task holds a few.
+    With a column ``task`` (see ``dealing.deal_by_size``) rows go to the task it names, else by hash of
+    (crawl_date, segment), to ``num_partitions`` tasks (default: the session's shuffle partitions, at least its
+    parallelism); the caller who knows the number of archives sets it so that a task holds a few.
     """
     spark = manifest.sparkSession
     ship_package(spark)
@@ -354,7 +423,9 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               spark.sparkContext.defaultParallelism)
     rows = manifest.select("crawl_date", F.col("segment").cast("int").alias("segment"),
-                           F.col(location).alias("location")).repartition(n, "crawl_date", "segment")
+                           F.col(location).alias("location"), *(["task"] if "task" in manifest.columns else []))
+    rows = rows.repartitionById(n, "task").drop("task") if "task" in manifest.columns else rows.repartition(n, "crawl_date", "segment")
+    store = store or ArchiveStore()
 
     def read_batches(batches):
         out = {k: [] for k in _ARROW_SCAN.names}
@@ -372,8 +443,9 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
         for batch in batches:
             for item in batch.to_pylist():
                 status, chars = ScanResult(), 0
+                raw = Resumed(item["location"], store.open, retry)
                 try:
-                    with open_any(item["location"]) as stream:
+                    with _unpacked(raw) as stream:
                         for rec in iter_records(stream, keep=keep if filtered else None, status=status):
                             record_no, rt, uri, lang, headers, length, text = rec
                             add(crawl_date=item["crawl_date"], segment=item["segment"],
@@ -384,10 +456,10 @@ def scan_manifest(manifest: DataFrame, *, location: str = "file_url", rec_type:
                             if len(out["record_no"]) >= BATCH_ROWS or chars >= BATCH_CHARS:
                                 yield flush()
                                 chars = 0
-                except FileNotFoundError as e:
-                    status.state, status.error = "failed", f"{type(e).__name__}: {e}"
-                add(crawl_date=item["crawl_date"], segment=item["segment"], is_status=True,
-                    n_records=status.n_records, state=status.state, error=status.error)
+                except (*LASTING, ArchiveUnavailable) as e:
+                    status.state, status.error = "partial" if status.n_records else "failed", f"{type(e).__name__}: {e}"
+                add(crawl_date=item["crawl_date"], segment=item["segment"], is_status=True, n_records=status.n_records,
+                    state=status.state, error=status.error, n_retries=raw.retries)
         if out["record_no"]:
             yield flush()
 

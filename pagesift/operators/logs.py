@@ -20,11 +20,14 @@ FAILURE_LINES = "error|failed"                           # lines quoted as failu
 SUCCESS_MARK = "Completed processing segment"            # one per finished segment
 COMPLETED = r"Completed processing segment (\d+): (\d+) records"
 DOWNLOADING = r"Downloading \S+ to (?:\S*/)?crawldata(\d+)segment(\d+)\.wet\.gz"   # with or without a folder
+HEARTBEAT = "[HEARTBEAT] Still running..."                # written every 300 seconds
 LOG_TS = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"  # "%(asctime)s - LEVEL - message"
 # ---------------------------------------------------------------------------
 # Word-bounded alternative for warnings (avoids "following", "slow", "allowed").
 ERR_WARNINGS_STRICT = r"\b(warning|low|insufficient)\b"
 
+HEARTBEAT_GAP = "15 minutes"       # three beats missed
+
 # Failure classes reported by ``failures_by_class`` (each is a literal, case-insensitive).
 FAILURE_CLASSES = ("error", "failed", "exception", "timeout", "warning", "low",
                    "insufficient", "no records")
@@ -76,6 +79,45 @@ def log_success_totals(lines: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("n_records"))
 
 
+def log_totals(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
+    """Errors, warnings, finished segments and reported records of every ``.err``/``.log``/``.out`` file, of each
+    kind and of all: ``level`` is ``file``, ``kind`` or ``all``. One scan; the grouping sets are taken over the
+    files' counts, a row a file, not over the lines."""
+    found = classify(lines.where(F.col("source_kind").isin("err", "log", "out")), strict_warnings)
+    success = F.col("source_kind").isin("log", "out")
+    per = found.groupBy("file", "source_kind").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if("is_error").alias("n_errors"), F.count_if("is_warning").alias("n_warnings"),
+        F.sum(F.when(success, F.regexp_count("line", F.lit(SUCCESS_MARK))).otherwise(0)).alias("n_success"),
+        F.sum(F.when(success & F.col("line").rlike(COMPLETED), F.regexp_extract("line", COMPLETED, 2).try_cast("bigint"))).alias("n_records"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("n_lines", "n_errors", "n_warnings", "n_success", "n_records")]
+    every = per.groupingSets([["file", "source_kind"], ["source_kind"], []], "file", "source_kind").agg(
+        F.grouping_id("file", "source_kind").alias("_g"), F.count(F.lit(1)).alias("n_files"), *sums)
+    level = F.when(F.col("_g") == 0, F.lit("file")).when(F.col("_g") == 2, F.lit("kind")).otherwise(F.lit("all"))
+    return every.select(level.alias("level"), *[c for c in every.columns if c != "_g"])
+
+
+def heartbeat_sessions(lines: DataFrame, gap: str = HEARTBEAT_GAP) -> DataFrame:
+    """Per file, the stretches of time in which its task was alive: heartbeats no further apart than ``gap``
+    (event-time session windows). Works on a stream with a watermark on ``ts`` as on a table; ``lines`` may bring
+    its own ``ts``."""
+    beats = lines.where(F.contains(F.col("line"), F.lit(HEARTBEAT)))
+    if "ts" not in lines.columns:
+        beats = beats.withColumn("ts", log_time(F.col("line")))
+    return beats.where(F.col("ts").isNotNull()).groupBy("file", F.session_window("ts", gap).alias("_w")).agg(
+        F.count(F.lit(1)).alias("n_beats"), F.min("ts").alias("first_beat"), F.max("ts").alias("last_beat")).drop("_w")
+
+
+def stalled_tasks(sessions: DataFrame, now: F.Column, gap: str = HEARTBEAT_GAP) -> DataFrame:
+    """Every session with the silence after it, in seconds: up to the file's next session, or up to ``now`` after the
+    last. ``state`` is ``resumed``, ``stalled`` (silent for longer than ``gap`` at ``now``) or ``alive``."""
+    after = F.lead("first_beat").over(Window.partitionBy("file").orderBy("first_beat"))
+    s = sessions.withColumn("_next", after).withColumn("silent_s", F.timestamp_diff(
+        "SECOND", F.col("last_beat"), F.coalesce("_next", now.cast("timestamp_ntz"))))
+    late = F.coalesce("_next", now.cast("timestamp_ntz")) > F.col("last_beat") + F.expr(f"interval {gap}")
+    return s.withColumn("state", F.when(F.col("_next").isNotNull(), F.lit("resumed")).when(late, F.lit("stalled"))
+                        .otherwise(F.lit("alive"))).drop("_next")
+
+
 def log_time(line) -> F.Column:
     """Timestamp of a log line (``asctime`` prefix), timezone-free; null when absent or invalid.
 
@@ -90,15 +132,9 @@ def log_time(line) -> F.Column:
                                                      num(12, 2), num(15, 2), secs))
 
 
-def segment_runtime(lines: DataFrame, source_kind: str = "log") -> DataFrame:
-    """Per finished segment: seconds from the ``Downloading`` line that last precedes its ``Completed``
-    line in the same file to that line; a retried segment thus counts from its last attempt, and
-    crawls that share a log are told apart by order.
-
-    Lines of one ``source_kind`` only (the console repeats every message) where ``lines`` has that
-    column. The crawl date comes from the download target name. Completed lines that no download
-    precedes are dropped. The window runs inside one (file, segment), a few lines.
-    """
+def segment_events(lines: DataFrame, source_kind: str = "log") -> DataFrame:
+    """``Downloading`` and ``Completed`` lines: (file, line_no, segment, is_dl, dl_date, ts), of one ``source_kind``
+    (the console repeats every message) where ``lines`` has that column."""
     if "source_kind" in lines.columns:
         lines = lines.where(F.col("source_kind") == source_kind)
     line = F.col("line")
@@ -108,9 +144,20 @@ def segment_runtime(lines: DataFrame, source_kind: str = "log") -> DataFrame:
         F.regexp_extract(line, DOWNLOADING, 2).alias("dl_seg"),
         F.regexp_extract(line, COMPLETED, 1).alias("done_seg"), log_time(line).alias("ts"))
     is_dl, is_done = F.col("dl_seg") != "", F.col("done_seg") != ""
-    events = parts.where(is_dl | is_done).select(
+    return parts.where(is_dl | is_done).select(
         "file", "line_no", F.when(is_dl, F.col("dl_seg")).otherwise(F.col("done_seg")).cast("bigint").alias("segment"),
         is_dl.alias("is_dl"), "dl_date", "ts")
+
+
+def segment_runtime(lines: DataFrame, source_kind: str = "log") -> DataFrame:
+    """Per finished segment: seconds from the ``Downloading`` line that last precedes its ``Completed``
+    line in the same file to that line; a retried segment thus counts from its last attempt, and
+    crawls that share a log are told apart by order.
+
+    The crawl date comes from the download target name. Completed lines that no download
+    precedes are dropped. The window runs inside one (file, segment), a few lines.
+    """
+    events = segment_events(lines, source_kind)
     before = Window.partitionBy("file", "segment").orderBy("line_no")
     paired = events.select(
         "file", "segment", "is_dl", "ts", F.lag("is_dl").over(before).alias("after_dl"),
@@ -133,10 +180,12 @@ def failures_by_class(lines: DataFrame, whole_words: bool = True) -> DataFrame:
     """Per (source_kind, class): lines of ``err``/``log`` files containing the class word, as a
     whole word, or with ``whole_words=False`` anywhere ("low" then also counts "following")."""
     lowered = F.lower(F.col("line"))
-    found = [F.when(lowered.rlike(rf"\b{c}\b") if whole_words else F.contains(lowered, F.lit(c)), F.lit(c))
-             for c in FAILURE_CLASSES]
+    if whole_words:     # no class word can begin inside another, so one pass over the line finds them all
+        found = F.array_distinct(F.regexp_extract_all(lowered, F.lit(rf"\b({'|'.join(FAILURE_CLASSES)})\b"), F.lit(1)))
+    else:
+        found = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(c)), F.lit(c)) for c in FAILURE_CLASSES]))
     return lines.where(F.col("source_kind").isin("err", "log")) \
-        .select("source_kind", F.explode(F.array_compact(F.array(*found))).alias("failure_class")) \
+        .select("source_kind", F.explode(found).alias("failure_class")) \
         .groupBy("source_kind", "failure_class").agg(F.count(F.lit(1)).alias("n_lines"))
 
 

@@ -7,7 +7,7 @@ each aggregate here is a hash aggregate with map-side combine and every join is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.durations import (
@@ -23,6 +23,7 @@ SEGMENT_KEY = ("crawl_date", "segment")
 # Segment states.
 DONE, EMPTY, PARTIAL, FAILED, PENDING = "done", "empty", "partial", "failed", "pending"
 FINISHED_STATES = (DONE, EMPTY)
+RANGE_SPAN = 4096           # segments a window of ``segment_ranges`` holds at most
 
 _CRAWL_LINE = r"^\s*(\S+)\s+(.*?)\s*$"
 _FIRST_TOKEN = r"^\s*(\S+)"
@@ -188,6 +189,34 @@ def remaining_segments(manifest: DataFrame, status: DataFrame, quarantine: DataF
     return left if quarantine is None else left.join(quarantine.select(*SEGMENT_KEY), list(SEGMENT_KEY), "left_anti")
 
 
+def segment_ranges(segments: DataFrame, span: int = RANGE_SPAN) -> DataFrame:
+    """(crawl_date, segment) -> maximal ranges of consecutive segments: (crawl_date, first_segment, last_segment, n_segments).
+
+    Islands are found inside spans of ``span`` segments, so a window holds a span at most, whatever the crawl's
+    size. Only islands that touch an edge of their span, two a span at most, are then joined with their
+    neighbours in a window over the crawl."""
+    span_of = F.col("segment") - F.pmod("segment", F.lit(span))
+    rows = segments.select("crawl_date", F.col("segment").cast("bigint").alias("segment")).distinct().withColumn("_span", span_of)
+    inside = Window.partitionBy("crawl_date", "_span").orderBy("segment")
+    islands = rows.withColumn("_island", F.col("segment") - F.row_number().over(inside)) \
+        .groupBy("crawl_date", "_span", "_island").agg(F.min("segment").alias("first_segment"), F.max("segment").alias("last_segment"))
+    at_edge = (F.col("first_segment") == F.col("_span")) | (F.col("last_segment") == F.col("_span") + span - 1)
+    along = Window.partitionBy("crawl_date").orderBy("first_segment")
+    goes_on = F.col("first_segment") == F.lag("last_segment").over(along) + 1
+    edges = islands.where(at_edge).withColumn("_new", F.when(goes_on, 0).otherwise(1)) \
+        .withColumn("_range", F.sum("_new").over(along)) \
+        .groupBy("crawl_date", "_range").agg(F.min("first_segment").alias("first_segment"), F.max("last_segment").alias("last_segment"))
+    cols = ["crawl_date", "first_segment", "last_segment"]
+    return islands.where(~at_edge).select(*cols).unionByName(edges.select(*cols)) \
+        .withColumn("n_segments", F.col("last_segment") - F.col("first_segment") + 1)
+
+
+def remaining_ranges(manifest: DataFrame, status: DataFrame, quarantine: DataFrame | None = None,
+                     span: int = RANGE_SPAN) -> DataFrame:
+    """The segments still to run as ranges a run can be started with."""
+    return segment_ranges(remaining_segments(manifest, status, quarantine), span)
+
+
 def progress_by_crawl(crawls: DataFrame, manifest: DataFrame, status: DataFrame) -> DataFrame:
     """Per crawl date: files listed, manifest segments (the total), finished, remaining, %.
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import website
 from ..operators import dealing, jobs, logs, match, outputs, report, runs
 from ..session import ensure_checkpoint_dir
-from ..sources import files, wet
+from ..sources import files, sinks, wet
 from ..sources.planted import relation, table, with_relations
 from ..sources.planted_archives import FaultyStore, planted_archives, record_no_from_id
 from ..sources.retry import Retry
@@ -222,6 +222,19 @@ def q_archive_status(spark, d):
     return read.unionByName(pending)
 
 
+@register("compacted_run", f"WITH {O_PP}\nSELECT * FROM pp", ("wet_records", "postcode_lookup"))
+def q_compacted_run(spark, d):
+    """A slice, the rest, then a re-run of the slice; compacted in between and at the end, old runs removed: read
+    back, the rows must equal ``postcode_pages``."""
+    _, listed = planted_archives(spark, _wet(spark, d), d)
+    where = _job_folder(spark)
+    for task in (0, 1, 0):
+        res = _job(spark, d, listed, where, task_id=task, segments_per_task=10)
+        sinks.compact_matches(spark, res.matches_path, res.status_path)
+    sinks.remove_compacted(spark, res.matches_path, res.status_path)
+    return _with_record_no(sinks.read_matches(spark, res.matches_path, res.status_path), spark, d)
+
+
 FAULTS = "CASE segment % 10 WHEN 2 THEN '#fails=2@300' WHEN 3 THEN '#fails=99@0' WHEN 6 THEN '.gone' WHEN 7 THEN '#cut=80' ELSE '' END"
 
 
@@ -443,6 +456,19 @@ def q_remaining_segments(spark, d):
         .select("crawl_date", "segment", "path")
 
 
+@register("remaining_ranges", f"""WITH {O_PP},{O_STATUS},
+todo AS (SELECT crawl_date, segment FROM status WHERE state NOT IN ('done', 'empty')),
+firsts AS (SELECT crawl_date, segment, row_number() OVER (PARTITION BY crawl_date ORDER BY segment) AS k FROM todo t
+  WHERE NOT EXISTS (SELECT 1 FROM todo p WHERE p.crawl_date = t.crawl_date AND p.segment = t.segment - 1)),
+lasts AS (SELECT crawl_date, segment, row_number() OVER (PARTITION BY crawl_date ORDER BY segment) AS k FROM todo t
+  WHERE NOT EXISTS (SELECT 1 FROM todo p WHERE p.crawl_date = t.crawl_date AND p.segment = t.segment + 1))
+SELECT f.crawl_date, f.segment::BIGINT AS first_segment, l.segment::BIGINT AS last_segment, (l.segment - f.segment + 1)::BIGINT AS n_segments
+FROM firsts f JOIN lasts l USING (crawl_date, k)""", ("wet_records", "postcode_lookup", "archive_manifest"))
+def q_remaining_ranges(spark, d):
+    """The segments still to run as ranges."""
+    return runs.remaining_ranges(relation(spark, d, "archive_manifest"), _status(spark, d), span=64)
+
+
 @register("progress_by_crawl", f"""WITH {O_PP},{O_STATUS},{O_CRAWLS},{O_PROGRESS}
 SELECT crawl_date, n_listed, n_segments, n_finished, n_segments - n_finished AS n_remaining,
        CASE WHEN n_segments <= 0 THEN 0 ELSE n_finished * 100 // n_segments END AS pct_complete,
@@ -597,6 +623,39 @@ def q_log_error_counts(spark, d):
     return logs.log_error_counts(relation(spark, d, "log_lines"))
 
 
+@register("log_error_totals", f"""WITH flags AS ({O_ERR_FLAGS}), succ AS ({O_SUCCESS}),
+per AS (SELECT file, source_kind, count(*) AS n_lines, count(*) FILTER (WHERE is_error) AS n_errors,
+    count(*) FILTER (WHERE is_warning) AS n_warnings FROM flags GROUP BY 1, 2),
+good AS (SELECT file, source_kind, sum(n_marks) AS n_success, sum(n_records) AS n_records FROM succ GROUP BY 1, 2),
+both_ AS (SELECT per.*, coalesce(n_success, 0) AS n_success, coalesce(n_records, 0) AS n_records FROM per LEFT JOIN good USING (file, source_kind))
+SELECT 'file' AS level, file, source_kind, 1::BIGINT AS n_files, n_lines, n_errors, n_warnings, n_success::BIGINT AS n_success, n_records::BIGINT AS n_records FROM both_
+UNION ALL SELECT 'kind', NULL, source_kind, count(*), sum(n_lines), sum(n_errors), sum(n_warnings), sum(n_success), sum(n_records) FROM both_ GROUP BY source_kind
+UNION ALL SELECT 'all', NULL, NULL, count(*), sum(n_lines), sum(n_errors), sum(n_warnings), sum(n_success), sum(n_records) FROM both_""",
+          ("log_lines",))
+def q_log_error_totals(spark, d):
+    """A7, A8 totals: errors, warnings, successes and records by file, by kind and over all, in one scan."""
+    return logs.log_totals(relation(spark, d, "log_lines"))
+
+
+BEAT_GAP, BEAT_NOW = "24 hours", "2024-01-31 00:00:00"
+
+
+@register("stalled_tasks", f"""
+WITH beats AS (SELECT file, strptime(line[1:19], '%Y-%m-%d %H:%M:%S') AS ts FROM log_lines WHERE contains(line, '[HEARTBEAT]')),
+clock AS (SELECT TIMESTAMP '{BEAT_NOW}' AS now),
+marked AS (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY file ORDER BY ts) + INTERVAL 24 HOUR THEN 0 ELSE 1 END AS fresh FROM beats),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY file ORDER BY ts, fresh DESC ROWS UNBOUNDED PRECEDING) AS s FROM marked),
+sess AS (SELECT file, s, count(*) AS n_beats, min(ts) AS first_beat, max(ts) AS last_beat FROM numbered GROUP BY 1, 2),
+nexts AS (SELECT *, lead(first_beat) OVER (PARTITION BY file ORDER BY first_beat) AS nxt FROM sess)
+SELECT file, n_beats, first_beat, last_beat, date_diff('second', last_beat, coalesce(nxt, now)) AS silent_s,
+  CASE WHEN nxt IS NOT NULL THEN 'resumed' WHEN now > last_beat + INTERVAL 24 HOUR THEN 'stalled' ELSE 'alive' END AS state
+FROM nexts, clock""", ("log_lines",))
+def q_stalled_tasks(spark, d):
+    """Stretches of heartbeats per task log, the silence after each, and the tasks silent now."""
+    sessions = logs.heartbeat_sessions(relation(spark, d, "log_lines"), BEAT_GAP)
+    return logs.stalled_tasks(sessions, F.lit(BEAT_NOW).cast("timestamp_ntz"), BEAT_GAP)
+
+
 @register("log_success_totals", f"""WITH s AS ({O_SUCCESS})
 SELECT file, source_kind, sum(n_marks)::BIGINT AS n_success, coalesce(sum(n_records), 0)::BIGINT AS n_records
 FROM s GROUP BY file, source_kind""", ("log_lines",))

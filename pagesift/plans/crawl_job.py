@@ -30,7 +30,7 @@ from ..operators.match import postcode_pages
 from ..operators.dealing import deal_by_size
 from ..operators.runs import PARTIAL, SEGMENT_KEY, manifest_segments, segment_out_of_range, segment_status
 from ..session import staged as stage
-from ..sources.sinks import new_run_id, read_matches, read_status, write_matches, write_status
+from ..sources.sinks import clear_run, new_run_id, read_matches, read_status, write_matches, write_status
 from ..sources.retry import Retry
 from ..sources.wet import ArchiveStore, scan_manifest, with_sizes
 
@@ -54,7 +54,10 @@ def requested_segments(manifest: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id) -> JobResult:
-    """Write the run's matches, then its status rows, counted from its own matches."""
+    """Write the run's matches, then its status rows, counted from its own matches. What an earlier attempt under
+    the same id left is taken away before, its status first."""
+    for where in (status_dir, output_dir):
+        clear_run(spark, where, run_id)
     write_matches(matches, output_dir, run_id)
     written = spark.read.schema(matches.schema.add("run_id", "long")).parquet(output_dir) \
         .where(F.col("run_id") == run_id).select("crawl_date", "segment")

@@ -42,14 +42,14 @@ def stream_manifests(spark: SparkSession, manifest_dir: str, lookup: DataFrame,
     """Process the archives listed in manifest rows (CSV: crawl_date, segment, path) as new
     manifest files land in ``manifest_dir``.
 
-    Each micro-batch is a run of the batch job with the batch number as run id: a batch that is
-    run again replaces its own rows, and every archive leaves a status row, a missing or damaged
-    one too, so ``remaining_segments`` finds what has to be listed again."""
+    Each micro-batch is a run of the batch job of its own, with the time as run id like any other run: streams and batch runs
+    may share the two folders. A batch that is run again is a later run of the same segments, which counts instead of
+    the first (and of what a broken first attempt left, which has no status). Every archive leaves a status row, a
+    missing or damaged one too, so ``remaining_segments`` finds what has to be listed again."""
     stream = spark.readStream.schema(MANIFEST).option("header", "true").csv(manifest_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        filter_crawl(batch.sparkSession, batch, lookup, output_dir, status_dir, base_url=base_url,
-                     run_id=batch_id + 1, **match_kwargs)
+        filter_crawl(batch.sparkSession, batch, lookup, output_dir, status_dir, base_url=base_url, **match_kwargs)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")

@@ -87,7 +87,7 @@ def test_no_cross_join_sort_aggregate_or_python_in_any_query(spark):
 
 
 # These write archives, text files or job outputs first, and read them back.
-WRITES_FIRST = {"archive_roundtrip", "archive_status", "sliced_run", "text_inputs"}
+WRITES_FIRST = {"archive_roundtrip", "archive_status", "sliced_run", "text_inputs", "faulty_archives", "even_dealing", "compacted_run"}
 
 
 def test_building_a_query_starts_no_job(spark):

@@ -104,6 +104,46 @@ def postcode_pages(records: DataFrame, lookup: DataFrame, *, url_contains: str =
                           F.lower("text").alias("text"))
 
 
+FILTER_BITS = 1 << 22        # 512 KB; at two bits a key some 0.2 % of other keys pass beside 100,000 listed ones
+
+
+def _bit_places(key: F.Column, bits: int) -> list[F.Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(2)]
+
+
+def lookup_filter(ref: DataFrame, bits: int = FILTER_BITS) -> F.Column:
+    """A Bloom filter of ``ref.pcds`` as one array of 64-bit words, a scalar subquery of a size fixed by ``bits``."""
+    places = ref.select(F.explode(F.array(*_bit_places(F.col("pcds"), bits))).alias("_p"))
+    words = places.select(F.expr("_p div 64").alias("_w"), F.expr("shiftleft(1L, cast(_p % 64 AS int))").alias("_b")) \
+        .groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+    every = ref.sparkSession.range(bits // 64).select(F.col("id").alias("_w"), F.lit(0).cast("bigint").alias("_b"))
+    return words.unionByName(every).groupBy("_w").agg(F.bit_or("_b").alias("_b")) \
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_w", "_b"))), lambda x: x["_b"]).alias("filter")).scalar()
+
+
+def may_be_listed(key: F.Column, bloom: F.Column, bits: int = FILTER_BITS) -> F.Column:
+    """False only for keys that the filter's table doesn't hold."""
+    tests = [F.getbit(F.get(bloom, F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1 for p in _bit_places(key, bits)]
+    return tests[0] & tests[1]
+
+
+def postcode_pages_by_key(records: DataFrame, lookup: DataFrame, *, url_contains: str = UK_HOST_MARK, language: str = LANGUAGE,
+                          prefix: str = POSTCODE_PREFIX, key: str = "pcds", bits: int = FILTER_BITS) -> DataFrame:
+    """:func:`postcode_pages` for lookups too large to broadcast, over records that are cheap to read twice (the job's
+    staged scan). A Bloom filter of the lookup drops postcodes in the stage that extracts them; the semi join's
+    shuffles carry record keys and postcodes only. Text is attached after it by key and crosses one shuffle, once a page
+    (a runtime filter of the matched keys, where the session allows one, leaves only theirs)."""
+    narrow, ref = postcode_pattern(prefix), lookup_keys(lookup, prefix, key)
+    bloom = lookup_filter(ref, bits)
+    pages = page_filter(records.select(*RECORD_KEY, "rec_type", "uri", "language", "text"), url_contains, language)
+    hits = pages.select(*RECORD_KEY, F.explode(F.array_distinct(extract_all("text", narrow))).alias("pcds")) \
+        .where(may_be_listed(F.col("pcds"), bloom, bits))
+    matched = hits.join(ref, "pcds", "left_semi").groupBy(*RECORD_KEY).agg(F.array_sort(F.collect_set("pcds")).alias("postcodes"))
+    texts = pages.where(F.col("text").rlike(unicode_words(narrow))).select(*RECORD_KEY, "uri", "text")
+    return texts.join(matched, list(RECORD_KEY)).select(
+        *RECORD_KEY, "uri", website("uri").alias("website"), "postcodes", F.lower("text").alias("text"))
+
+
 def lower_text(records: DataFrame) -> DataFrame:
     """Conversion records with their text lower-cased (the output text form)."""
     return records.where(F.col("rec_type") == CONVERSION) \

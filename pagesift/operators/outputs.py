@@ -51,6 +51,25 @@ def segment_figures(matches: DataFrame, scanned: DataFrame | None = None) -> Dat
         F.avg(F.when(once & (F.col("n_records") > 0), F.col("n") / F.col("n_records") * 100)).alias("pct_with_postcodes"))
 
 
+SKETCH_LG_K = 12                # 4,096 registers: a standard error of 1.6 %
+SKETCH_BOUND = 0.05             # three standard errors
+
+
+def postcode_sketches(matches: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per segment a mergeable sketch of its distinct postcodes, and its rows: (crawl_date, segment, n_matches, sketch).
+    Written beside a run (``sinks.write_sketches``), it answers for any set of segments without reading matches again."""
+    flat = matches.select("crawl_date", "segment", F.posexplode_outer("postcodes").alias("pos", "postcode"))
+    return flat.groupBy("crawl_date", "segment").agg(
+        F.count_if(F.col("pos").isNull() | (F.col("pos") == 0)).alias("n_matches"), F.hll_sketch_agg("postcode", lg_k).alias("sketch"))
+
+
+def estimated_postcodes(sketches: DataFrame) -> DataFrame:
+    """Distinct postcodes per crawl and over all (``crawl_date`` null), estimated from sketches; the exact way is
+    :func:`output_stats`."""
+    return sketches.groupingSets([["crawl_date"], []], "crawl_date").agg(
+        F.sum("n_matches").cast("bigint").alias("n_matches"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_postcodes"))
+
+
 def distinct_postcodes(matches: DataFrame) -> DataFrame:
     """Set union of all postcodes across outputs (nulls skipped)."""
     return matches.select(F.explode("postcodes").alias("postcode")) \

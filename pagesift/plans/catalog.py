@@ -304,6 +304,13 @@ def q_text_inputs(spark, d):
             F.lit(None).cast("string").alias("path"), "n_lines", "file"))
 
 
+@register("pages_by_key", f"WITH {O_PP}\nSELECT * FROM pp", ("wet_records", "postcode_lookup"))
+def q_pages_by_key(spark, d):
+    """J1 beyond broadcast: a Bloom filter of the lookup in the scan, a semi join of keys, text attached after it."""
+    pp = match.postcode_pages_by_key(_wet(spark, d), relation(spark, d, "postcode_lookup"))
+    return pp.select("crawl_date", "segment", "record_no", "uri", "website", _joined("postcodes"), "text")
+
+
 @register("page_filter", f"""
 SELECT crawl_date, segment, record_no, uri, {O_WEBSITE} AS website, language,
        length(text) AS n_chars, text
@@ -588,6 +595,23 @@ def q_distinct_postcodes(spark, d):
     return outputs.distinct_postcodes(_pages(spark, d))
 
 
+@register("postcode_estimates", f"""WITH {O_PP},
+flat AS (SELECT crawl_date, unnest(string_split(postcodes, ',')) AS pc FROM pp)
+SELECT crawl_date, (SELECT count(*) FROM pp p WHERE p.crawl_date = flat.crawl_date) AS n_matches, count(DISTINCT pc) AS n_exact, true AS within
+FROM flat GROUP BY crawl_date UNION ALL SELECT NULL, (SELECT count(*) FROM pp), count(DISTINCT pc), true FROM flat""",
+          ("wet_records", "postcode_lookup"))
+def q_postcode_estimates(spark, d):
+    """A4, U1 over runs: distinct postcodes from per-segment sketches, held against the exact count."""
+    pages = _pages(spark, d).select("crawl_date", "segment", "postcodes")
+    said = outputs.estimated_postcodes(outputs.postcode_sketches(pages))
+    flat = pages.select("crawl_date", F.explode("postcodes").alias("pc")).distinct()
+    exact = flat.groupBy("crawl_date").agg(F.count(F.lit(1)).alias("n_exact")).unionByName(
+        flat.select("pc").distinct().agg(F.count(F.lit(1)).alias("n_exact")).withColumn("crawl_date", F.lit(None).cast("string")))
+    off = F.abs(F.col("n_postcodes") - F.col("n_exact"))
+    return said.withColumnRenamed("crawl_date", "c").join(exact, F.col("c").eqNullSafe(F.col("crawl_date"))).select(
+        "crawl_date", "n_matches", "n_exact", (off <= F.lit(outputs.SKETCH_BOUND) * F.col("n_exact")).alias("within"))
+
+
 @register("postcode_coverage", f"""WITH {O_PP},{O_COVERAGE}
 SELECT count(*) AS n_files, round(avg(pct), 4) AS pct_with_postcodes FROM per_file""",
           ("wet_records", "postcode_lookup"))
@@ -688,6 +712,21 @@ def q_runtime_by_task(spark, d):
     return logs.runtime_summary(logs.segment_runtime(relation(spark, d, "segment_log")), by=("file",))
 
 
+@register("runtime_quartiles", f"""WITH {O_RUNTIME}
+SELECT crawl_date, count(*) AS n_segments, true AS q1_ok, true AS median_ok, true AS q3_ok FROM rt GROUP BY crawl_date""",
+          ("segment_log",))
+def q_runtime_quartiles(spark, d):
+    """A9 spread: quartiles per crawl from sketches per task log; each one's exact rank lies within 2 % of its own."""
+    times = logs.segment_runtime(relation(spark, d, "segment_log"))
+    quartiles = logs.runtime_quartiles(logs.runtime_sketches(times))
+    ranked = times.join(quartiles, "crawl_date").groupBy("crawl_date", "n_segments")
+
+    def share(c, strict):
+        return F.avg(((F.col("runtime_s") < F.col(c)) if strict else (F.col("runtime_s") <= F.col(c))).cast("int"))
+    return ranked.agg(*[((share(f"{c}_s", True) <= q + 0.02) & (share(f"{c}_s", False) >= q - 0.02)).alias(f"{c}_ok")
+                        for c, q in zip(("q1", "median", "q3"), logs.QUARTILES)])
+
+
 @register("failures_by_class", """
 SELECT l.source_kind, c.failure_class, count(*) AS n_lines
 FROM log_lines l JOIN (VALUES ('error'), ('failed'), ('exception'), ('timeout'), ('warning'), ('low'), ('insufficient'),

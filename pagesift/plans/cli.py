@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import jobs, logs, outputs, report, runs
 from ..sources import files
-from ..sources.sinks import read_matches, read_status, write_report
+from ..sources.sinks import current_files, read_matches, read_status, write_report
 from ..sources.wet_text import read_wet_text
 from .crawl_job import filter_crawl, filter_records
 
@@ -97,7 +97,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         matches = read_matches(spark, args.output_dir, args.status_dir) if args.status_dir \
             else files.read_output(spark, args.output_dir)
         figures = report.run_figures(lines, matches, status, sizes=outputs.file_sizes(
-            files.output_files(spark, args.output_dir)))
+            current_files(spark, args.output_dir, args.status_dir) if args.status_dir
+            else files.output_files(spark, args.output_dir)))
         rep = report.run_report(figures)
         rep.show(vertical=True, truncate=False)
         _print(logs.first_failures(lines).orderBy("file", "rank"))

@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import CONVERSION, LANGUAGE, POSTCODE_PREFIX, UK_HOST_MARK, page_predicate
-from ..operators.match import postcode_pages
+from ..operators.match import postcode_pages, postcode_pages_by_key
 from ..operators.dealing import deal_by_size
+from ..operators.outputs import postcode_sketches
 from ..operators.runs import PARTIAL, SEGMENT_KEY, manifest_segments, segment_out_of_range, segment_status
 from ..session import staged as stage
-from ..sources.sinks import clear_run, new_run_id, read_matches, read_status, write_matches, write_status
+from ..sources.sinks import clear_run, new_run_id, read_matches, read_status, write_matches, write_sketches, write_status
 from ..sources.retry import Retry
 from ..sources.wet import ArchiveStore, scan_manifest, with_sizes
 
@@ -53,15 +54,17 @@ def requested_segments(manifest: DataFrame, first: int, last: int) -> DataFrame:
         "crawl_date", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("segment"))
 
 
-def _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id) -> JobResult:
+def _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id, sketch_dir=None) -> JobResult:
     """Write the run's matches, then its status rows, counted from its own matches. What an earlier attempt under
     the same id left is taken away before, its status first."""
-    for where in (status_dir, output_dir):
+    for where in (status_dir, output_dir, *([sketch_dir] if sketch_dir else [])):
         clear_run(spark, where, run_id)
     write_matches(matches, output_dir, run_id)
     written = spark.read.schema(matches.schema.add("run_id", "long")).parquet(output_dir) \
-        .where(F.col("run_id") == run_id).select("crawl_date", "segment")
-    status = segment_status(manifest.select("crawl_date", "segment"), scanned, written)
+        .where(F.col("run_id") == run_id)
+    if sketch_dir:
+        write_sketches(postcode_sketches(written), sketch_dir, run_id)
+    status = segment_status(manifest.select("crawl_date", "segment"), scanned, written.select("crawl_date", "segment"))
     if beyond is not None:
         status = status.unionByName(beyond.select(
             "crawl_date", "segment", F.lit(0).cast("bigint").alias("n_records"),
@@ -87,7 +90,7 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
                  task_id: int | None = None, segments_per_task: int = 1, segment: int | None = None,
                  files_per_task: int = FILES_PER_TASK, num_partitions: int | None = None,
                  run_id: int | None = None, even: bool = True, retry: Retry = Retry(),
-                 store: ArchiveStore | None = None) -> JobResult:
+                 store: ArchiveStore | None = None, wide_lookup: bool = False, sketch_dir: str | None = None) -> JobResult:
     """Run the filter over every archive in ``manifest``, one task's slice of it, or one ``segment``.
 
     ``manifest``: crawl_date, segment, path. Paths are read as given, or joined to
@@ -95,6 +98,8 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
     Requested segments that a crawl's manifest doesn't have become ``failed`` status rows.
     Archives are dealt to tasks by their sizes (``even``; else by hash); one that can't be read after the attempts
     of ``retry`` becomes a ``failed`` row and stops no other. ``store`` opens and measures archives.
+    ``wide_lookup`` matches by key (``postcode_pages_by_key``), for lookups that can't be broadcast; ``sketch_dir`` gets the
+    run's postcode sketches.
     """
     run_id = run_id or new_run_id()
     manifest, beyond = _slice(manifest, task_id, segments_per_task, segment)
@@ -106,12 +111,13 @@ def filter_crawl(spark: SparkSession, manifest: DataFrame, lookup: DataFrame, ou
         located = deal_by_size(located, "bytes", SEGMENT_KEY, n)
     scan = stage(scan_manifest(located, location=location, rec_type=CONVERSION, uri_contains=url_contains,
                                language=language, num_partitions=n, retry=retry, store=store), "scan")
-    matches = postcode_pages(scan.where(~F.col("is_status")), lookup, url_contains=url_contains,
-                             language=language, prefix=prefix, key=key)
+    match = postcode_pages_by_key if wide_lookup else postcode_pages
+    matches = match(scan.where(~F.col("is_status")), lookup, url_contains=url_contains,
+                    language=language, prefix=prefix, key=key)
     scanned = scan.where(F.col("is_status")).select(
         "crawl_date", "segment", "n_records",
         F.when(F.col("state").isin("partial", "failed"), F.col("state")).alias("state"), "error", "n_retries")
-    return _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id)
+    return _finish(spark, manifest, beyond, scanned, matches, output_dir, status_dir, run_id, sketch_dir)
 
 
 def filter_records(spark: SparkSession, records: DataFrame, manifest: DataFrame, lookup: DataFrame,

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,18 @@ def write_status(status: DataFrame, path: str, run_id: int) -> None:
     _write(status, path, run_id)
 
 
+def write_sketches(sketches: DataFrame, path: str, run_id: int) -> None:
+    """The run's postcode sketches, a row per segment with matches."""
+    _write(sketches, path, run_id)
+
+
+def read_sketches(spark: SparkSession, path: str, status_path: str) -> DataFrame:
+    """The sketches that count: those of each segment's current run."""
+    schema = T.StructType([*COVERS.fields, T.StructField("n_matches", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    keep = current_runs(read_status(spark, status_path, every_run=True))
+    return spark.read.schema(schema).parquet(path).join(keep, [*SEGMENT_KEY, "run_id"], "left_semi").drop("run_id")
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -84,15 +96,16 @@ def _covered(spark: SparkSession, path: str, generation: int) -> DataFrame:
     return spark.read.schema(COVERS).parquet(f"{_generations(path)}/covers/generation={generation}")
 
 
-def _every_match(spark: SparkSession, path: str) -> DataFrame:
-    """Match rows with run_id: those of the last generation, and those of runs that it doesn't cover."""
+def _every_match(spark: SparkSession, path: str, *more: Column) -> DataFrame:
+    """Match rows with run_id (and ``more`` columns of their files): those of the last generation, and those of runs that
+    it doesn't cover."""
     schema = T.StructType([*MATCH.fields, RUN_ID])
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path).select("*", *more)
     found = published_generations(spark, path)
     if not found:
         return rows
     loose = rows.join(_covered(spark, path, found[-1]), [*SEGMENT_KEY, "run_id"], "left_anti")
-    return loose.unionByName(spark.read.schema(schema).parquet(f"{_generations(path)}/rows/generation={found[-1]}"))
+    return loose.unionByName(spark.read.schema(schema).parquet(f"{_generations(path)}/rows/generation={found[-1]}").select("*", *more))
 
 
 def compact_matches(spark: SparkSession, path: str, status_path: str) -> int:
@@ -147,6 +160,15 @@ def read_matches(spark: SparkSession, path: str, status_path: str) -> DataFrame:
     return rows.join(keep, [*SEGMENT_KEY, "run_id"], "left_semi").drop("run_id")
 
 
+def current_files(spark: SparkSession, path: str, status_path: str) -> DataFrame:
+    """One row per file that holds rows that count, as ``files.output_files`` lists every run's: path, size, modification
+    time, rows that count."""
+    cols = {"file_path": "file_path", "file_size": "file_size", "file_mtime": "file_modification_time"}
+    rows = _every_match(spark, path, *[F.col(f"_metadata.{c}").alias(n) for n, c in cols.items()])
+    keep = current_runs(read_status(spark, status_path, every_run=True))
+    return rows.join(keep, [*SEGMENT_KEY, "run_id"], "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The one-row run report as JSON (one small file)."""
     report.coalesce(1).write.mode(mode).json(path)

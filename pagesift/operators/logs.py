@@ -79,16 +79,21 @@ def log_success_totals(lines: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("n_records"))
 
 
-def log_totals(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
-    """Errors, warnings, finished segments and reported records of every ``.err``/``.log``/``.out`` file, of each
-    kind and of all: ``level`` is ``file``, ``kind`` or ``all``. One scan; the grouping sets are taken over the
-    files' counts, a row a file, not over the lines."""
+def file_totals(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
+    """Lines, errors, warnings, finished segments and reported records of every ``.err``/``.log``/``.out`` file, in one
+    pass over the lines."""
     found = classify(lines.where(F.col("source_kind").isin("err", "log", "out")), strict_warnings)
     success = F.col("source_kind").isin("log", "out")
-    per = found.groupBy("file", "source_kind").agg(
+    return found.groupBy("file", "source_kind").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("is_error").alias("n_errors"), F.count_if("is_warning").alias("n_warnings"),
         F.sum(F.when(success, F.regexp_count("line", F.lit(SUCCESS_MARK))).otherwise(0)).alias("n_success"),
         F.sum(F.when(success & F.col("line").rlike(COMPLETED), F.regexp_extract("line", COMPLETED, 2).try_cast("bigint"))).alias("n_records"))
+
+
+def log_totals(lines: DataFrame, strict_warnings: bool = True) -> DataFrame:
+    """:func:`file_totals` by file, of each kind and of all: ``level`` is ``file``, ``kind`` or ``all``. The grouping
+    sets are taken over the files' counts, a row a file, not over the lines."""
+    per = file_totals(lines, strict_warnings)
     sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("n_lines", "n_errors", "n_warnings", "n_success", "n_records")]
     every = per.groupingSets([["file", "source_kind"], ["source_kind"], []], "file", "source_kind").agg(
         F.grouping_id("file", "source_kind").alias("_g"), F.count(F.lit(1)).alias("n_files"), *sums)

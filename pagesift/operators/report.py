@@ -18,7 +18,7 @@ from ..functions.durations import (
     SUCCESS_NOTE_PCT,
     idiv,
 )
-from .logs import classify, segment_runtime, success_lines
+from .logs import file_totals, segment_runtime
 from .outputs import segment_figures
 
 
@@ -42,14 +42,14 @@ def run_figures(lines: DataFrame, matches: DataFrame, scanned: DataFrame | None
     counted. Default ``.log`` only: the console handler repeats every message on stderr, so
     adding ``.err`` counts each error twice; pass ``("err", "log")`` for the reference's totals.
     """
-    errs = classify(lines.where(F.col("source_kind").isin(*error_kinds))).agg(
-        F.count_if("is_error").alias("n_errors"), F.count_if("is_warning").alias("n_warnings"),
-        F.countDistinct(F.when(F.col("is_error"), F.col("file"))).alias("n_failing_files"))
-    succ = success_lines(lines).agg(F.sum("n_marks").cast("bigint").alias("n_success"),
-                                    F.sum("n_records").cast("bigint").alias("n_records"))
+    counted = F.col("source_kind").isin(*error_kinds)
+    said = file_totals(lines).agg(          # one pass over the lines, a row a file after it
+        F.sum(F.when(counted, F.col("n_errors"))).alias("n_errors"), F.sum(F.when(counted, F.col("n_warnings"))).alias("n_warnings"),
+        F.count_if(counted & (F.col("n_errors") > 0)).alias("n_failing_files"),
+        F.sum("n_success").cast("bigint").alias("n_success"), F.sum("n_records").cast("bigint").alias("n_records"))
     timed = (segment_runtime(lines) if runtimes is None else runtimes).agg(
         F.floor(F.avg("runtime_s")).cast("bigint").alias("avg_segment_s"))
-    parts = [errs, succ, timed, segment_figures(matches, scanned)]
+    parts = [said, timed, segment_figures(matches, scanned)]
     if sizes is not None:
         parts.append(sizes.select(F.col("n_files").alias("n_output_files"), F.col("total_mb").alias("output_mb")))
     return _stack(parts)

@@ -164,3 +164,11 @@ def test_no_window_holds_a_crawl(spark):
     plan = runs.segment_ranges(df)._jdf.queryExecution().optimizedPlan().toString()
     spec = plan.split("row_number() windowspecdefinition(")[1].split("specifiedwindowframe")[0]
     assert spec.startswith("crawl_date") and "_span" in spec
+
+
+def test_report_figures_read_the_lines_once(spark):
+    from pagesift.operators.report import run_figures
+    lines = relation(spark, SF001, "log_lines")
+    none = spark.createDataFrame([], "crawl_date string, segment int, postcodes array<string>")
+    plan = run_figures(lines, none, runtimes=spark.createDataFrame([], "runtime_s long"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

@@ -174,9 +174,19 @@ body AS (SELECT id, conv_id, turn, pos, length(regexp_replace(regexp_extract(lin
 runs AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) - row_number() OVER (PARTITION BY id, level ORDER BY pos) AS run
   FROM body WHERE body <> ''),
 pass AS (SELECT id, conv_id, turn, level, run, md5(string_agg(body, ' ' ORDER BY pos)) AS hash FROM runs GROUP BY ALL),
-idx AS (SELECT conv_id, hash, min((turn, id)) AS o FROM pass WHERE level = 0 GROUP BY 1, 2),
-linked AS (SELECT p.id, p.level, i.o[1] AS o_turn, i.o[2] AS o_id FROM pass p LEFT JOIN idx i
-  ON p.conv_id = i.conv_id AND p.hash = i.hash AND i.o[1] < p.turn WHERE p.level > 0),
+firsts AS (SELECT conv_id, hash, turn AS o_turn, min(id) AS o_id FROM pass WHERE level = 0 GROUP BY 1, 2, 3),
+whole AS (SELECT p.id, p.conv_id, p.turn, p.level, p.run, f.o_turn, f.o_id FROM (SELECT * FROM pass WHERE level > 0) p
+  ASOF LEFT JOIN firsts f ON p.conv_id = f.conv_id AND p.hash = f.hash AND p.turn > f.o_turn),
+asked AS (SELECT DISTINCT w.id, w.conv_id, w.turn, w.level, w.run, r.body FROM whole w
+  JOIN runs r ON w.id = r.id AND w.level = r.level AND w.run = r.run WHERE w.o_id IS NULL),
+own AS (SELECT DISTINCT id AS o_id, conv_id, turn AS o_turn, body FROM runs WHERE level = 0),
+met AS (SELECT a.id, a.level, a.run, o.o_turn, o.o_id, count(*) AS n FROM asked a
+  JOIN own o ON a.conv_id = o.conv_id AND a.body = o.body AND o.o_turn < a.turn GROUP BY ALL),
+holder AS (SELECT m.id, m.level, m.run, max(m.o_turn) AS o_turn, list(m.o_id ORDER BY m.o_turn DESC, m.o_id)[1] AS o_id FROM met m
+  JOIN (SELECT id, level, run, count(*) AS n FROM asked GROUP BY ALL) s ON m.id = s.id AND m.level = s.level AND m.run = s.run AND m.n = s.n
+  GROUP BY ALL),
+linked AS (SELECT w.id, w.level, coalesce(w.o_turn, h.o_turn) AS o_turn, coalesce(w.o_id, h.o_id) AS o_id FROM whole w
+  LEFT JOIN holder h ON w.id = h.id AND w.level = h.level AND w.run = h.run),
 per AS (SELECT id, count(*) AS n_quotes, count(o_id) AS n_linked, max(level) AS max_level,
   max((-level, o_turn, o_id)) FILTER (o_id IS NOT NULL) AS best FROM linked GROUP BY 1),
 tree AS (SELECT m.conv_id, m.turn, m.id, m.role, m.text, per.best[3] AS parent_id, coalesce(n_quotes, 0) AS n_quotes,

@@ -72,7 +72,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         if e - s < 7:
             continue
         for m in IP.finditer(text, s, e):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) < 4 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
                 out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text, s, e):
             digits = m[0].replace(" ", "").replace("-", "")

@@ -8,6 +8,20 @@ def test_chat_oracle(spark):
     assert n and not problems, problems
 
 
+def test_oracle_on_repeated_passages_and_excerpts(spark, tmp_path):
+    """Turns that repeat, turns that hold quotes of their own (whole, of some lines, of none)."""
+    turns = [["Yes", "What now", "Yes", "Done", "Yes"], ["Thanks"] * 6,
+             ["one\ntwo\nthree", "> two\nsome lines", "other", "> one\n> three\nboth", "> gone\nx", "two\none", "> two\n> one\nlater", ">> other\nnested"]]
+    rows = [(c, t, "u" if t % 2 else "a", text) for c, some in enumerate(turns) for t, text in enumerate(some)]
+    where = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(where)
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{where}/*.parquet')")
+    n, problems = compare(chat.op5_chat(spark, str(tmp_path)), con, chat.ORACLES["op5_chat"])
+    assert n == len(rows) and not problems, problems
+
+
 def test_threads_are_rebuilt(spark):
     conv = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     got = chat.format_chats(chat.quoted_threads(conv)).collect()

@@ -136,6 +136,13 @@ def brute_luhn(d):
     return total % 10 == 0
 
 
+def test_pii_long_runs_of_zeros(spark):
+    texts = ["0" * 5000 + ".1.2.3", "1.2.3." + "0" * 6000 + "4", "1.2.3." + "9" * 6000, "000.00.0." + "0" * 5000, "256.1.1.1", "0255.1.1.1"]
+    assert [len([s for s in pii.base_spans(t) if s[1] == 1]) for t in texts] == [1, 1, 0, 1, 0, 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_ip for r in pii.personal_data(docs).orderBy("doc_id").collect()] == [1, 1, 0, 1, 0, 1]
+
+
 def test_pii_query_and_skip_chain(spark, odd, none):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(PII_TEXTS)], "doc_id long, text string")
     got = {r.doc_id: r for r in pii.personal_data(docs).collect()}

@@ -63,6 +63,50 @@ def first_jobs(accounting: DataFrame, n: int = 5,
         .where(F.col("rank") <= n)
 
 
+# What the accounting listing writes. Sizes carry a binary unit, none means bytes; an exit code is
+# ``code:signal``; these states are of jobs that have ended.
+SIZE = r"^([0-9]+(?:\.[0-9]+)?)([KMGTkmgt]?)$"
+EXIT = r"^([0-9]+):([0-9]+)$"
+UNIT_MB = {"": 2.0 ** -20, "K": 2.0 ** -10, "M": 1.0, "G": 2.0 ** 10, "T": 2.0 ** 20}
+ENDED = ("COMPLETED", "FAILED", "TIMEOUT", "OUT_OF_MEMORY", "CANCELLED", "NODE_FAIL", "PREEMPTED")
+MEMORY_WARN_PCT = 90
+
+
+def size_mb(text: str) -> F.Column:
+    """Whole megabytes of a size text; null when it is empty or none."""
+    unit = F.upper(F.regexp_extract(text, SIZE, 2))
+    factor = F.lit(None).cast("double")
+    for u, f in UNIT_MB.items():
+        factor = F.when(unit == u, F.lit(f)).otherwise(factor)
+    return F.when(F.col(text).rlike(SIZE), F.floor(F.regexp_extract(text, SIZE, 1).cast("double") * factor).cast("bigint"))
+
+
+def failures_by_exit(accounting: DataFrame) -> DataFrame:
+    """Ended jobs by state, exit code and signal (null where the listing has none): jobs, and their share of all
+    ended jobs in whole percent. A job that completed with code and signal 0 is no failure."""
+    ended = accounting.where(F.col("state").isin(*ENDED)).select(
+        "state", *[F.when(F.col("exit_code").rlike(EXIT), F.regexp_extract("exit_code", EXIT, i)).cast("int").alias(c)
+                   for i, c in ((1, "code"), (2, "signal"))])
+    per = ended.groupBy("state", "code", "signal").agg(F.count(F.lit(1)).alias("n_jobs"))
+    per = per.withColumn("pct_of_ended", percent_floor(F.col("n_jobs"), F.sum("n_jobs").over(Window.partitionBy())))
+    good = (F.col("state") == "COMPLETED") & F.coalesce((F.col("code") == 0) & (F.col("signal") == 0), F.lit(False))
+    return per.where(~good)
+
+
+def resource_use(accounting: DataFrame, warn_pct: int = MEMORY_WARN_PCT) -> DataFrame:
+    """Per state: jobs, those with a memory figure, mean and largest memory in MB, jobs above ``warn_pct`` of what they
+    asked for, and CPU time used in whole percent of the CPU time held (null where nothing was held)."""
+    held = duration_seconds("elapsed") * F.col("n_cpus")
+    used = duration_seconds("cpu_time")
+    known = used.isNotNull() & (held > 0)
+    rows = accounting.select("state", size_mb("max_rss").alias("mb"), size_mb("req_mem").alias("asked"),
+                             F.when(known, used).alias("used"), F.when(known, held).alias("held"))
+    return rows.groupBy("state").agg(
+        F.count(F.lit(1)).alias("n_jobs"), F.count("mb").alias("n_measured"), F.floor(F.avg("mb")).cast("bigint").alias("mean_mb"),
+        F.max("mb").alias("max_mb"), F.count_if(F.col("mb") * 100 > F.col("asked") * warn_pct).alias("n_near_limit"),
+        idiv(F.sum("used") * 100, F.sum("held")).alias("cpu_pct"))
+
+
 def deadline_days(accounting: DataFrame, deadline: str,
                   alert_days: int = DEADLINE_ALERT_DAYS) -> DataFrame:
     """Per job: whole days from submission to ``deadline`` (truncated) and an alert flag."""

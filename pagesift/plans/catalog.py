@@ -808,6 +808,29 @@ def q_jobs_by_state(spark, d):
     return jobs.jobs_by_state(relation(spark, d, "accounting"))
 
 
+@register("failures_by_exit", """
+WITH e AS (SELECT state, TRY_CAST(split_part(exit_code, ':', 1) AS INT) AS code, TRY_CAST(split_part(exit_code, ':', 2) AS INT) AS signal
+  FROM job_usage WHERE state NOT IN ('RUNNING', 'PENDING'))
+SELECT state, code, signal, count(*) AS n_jobs, (count(*) * 100 // (SELECT count(*) FROM e))::BIGINT AS pct_of_ended
+FROM e GROUP BY ALL HAVING NOT (state = 'COMPLETED' AND code = 0 AND signal = 0)""", ("job_usage",))
+def q_failures_by_exit(spark, d):
+    """Ended jobs by exit code and signal."""
+    return jobs.failures_by_exit(relation(spark, d, "job_usage"))
+
+
+@register("resource_use", f"""
+WITH u AS (SELECT *, CASE right(max_rss, 1) WHEN 'K' THEN rtrim(max_rss, 'K')::DOUBLE / 1024 WHEN 'M' THEN rtrim(max_rss, 'M')::DOUBLE
+    WHEN 'G' THEN rtrim(max_rss, 'G')::DOUBLE * 1024 WHEN '' THEN NULL ELSE max_rss::DOUBLE / 1048576 END AS mb_,
+  {_o_duration('cpu_time')} AS used_, {_o_duration('elapsed')} * n_cpus AS held_ FROM job_usage),
+f AS (SELECT state, floor(mb_)::BIGINT AS mb, CASE WHEN held_ > 0 THEN used_ END AS used, CASE WHEN held_ > 0 THEN held_ END AS held FROM u)
+SELECT state, count(*) AS n_jobs, count(mb) AS n_measured, floor(avg(mb))::BIGINT AS mean_mb, max(mb) AS max_mb,
+  count(*) FILTER (WHERE mb * 100 > 2048 * 90) AS n_near_limit, (sum(used) * 100 // sum(held))::BIGINT AS cpu_pct FROM f GROUP BY state""",
+          ("job_usage",))
+def q_resource_use(spark, d):
+    """Job analysis: memory and CPU used, per state."""
+    return jobs.resource_use(relation(spark, d, "job_usage"))
+
+
 @register("latest_job", """
 SELECT state, job_id AS latest_job_id FROM accounting
 QUALIFY row_number() OVER (PARTITION BY state ORDER BY submit_time DESC, job_id DESC) = 1""",

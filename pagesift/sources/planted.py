@@ -27,6 +27,7 @@ DEPENDS = {
     "segment_log": ("events",),
     "accounting": ("events",),
     "output_listing": ("documents",),
+    "job_usage": ("events",),
 }
 
 SQL: dict[str, str] = {}
@@ -123,6 +124,20 @@ select event_id as job_id, ts as submit_time,
 from events
 """
 
+# The same jobs with what they used: exit codes with signals, memory in several units, CPU time on two CPUs.
+SQL["job_usage"] = """
+select event_id as job_id,
+  case event_type when 'error' then case event_id % 4 when 2 then 'OUT_OF_MEMORY' when 3 then 'TIMEOUT' else 'FAILED' end
+    when 'click' then 'RUNNING' when 'view' then 'PENDING' else 'COMPLETED' end as state,
+  case when event_type = 'error' then case event_id % 4 when 0 then '1:0' when 1 then '2:0' when 2 then '0:9' else '0:15' end
+    when event_type = 'view' then '' when event_id % 41 = 0 then '3:0' else '0:0' end as exit_code,
+  case event_id % 5 when 0 then concat(cast(event_id * 211 % 2097152 as string), 'K') when 1 then concat(cast(event_id % 2048 as string), '.50M')
+    when 2 then '1.25G' when 3 then '' else cast(event_id * 1048577 as string) end as max_rss,
+  '2G' as req_mem, 2 as n_cpus,
+  concat(cast(event_id % 24 as string), ':05:07') as cpu_time,
+  case when event_id % 9 = 0 then 'UNLIMITED' else concat(cast(event_id % 24 as string), ':30:00') end as elapsed
+from events
+"""
 
 # Manifest at scale: one archive per document, alternating between the two crawls, so each
 # crawl lists n/2 segments; records exist only for segments 0-19 (wet_records), the rest are

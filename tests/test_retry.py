@@ -1,5 +1,6 @@
 """Archives that fail: resumed reads, growing waits, states and retries per archive, quarantine, framing, even dealing."""
 
+import contextlib
 import io
 import os
 import random
@@ -175,3 +176,40 @@ def test_the_reader_gets_the_dealt_partitions(spark, tmp_path):
     total = sum(sizes)
     per = [sum(s for i, s in enumerate(sizes) if got[i] == p) for p in range(6)]
     assert max(per) <= max(2 * total / 6, sizes[0] + 1000)
+
+
+class Served:
+    """What a server would answer, without one."""
+
+    def __init__(self, data, ranges=True):
+        self.data, self.ranges, self.asked = data, ranges, []
+
+    def __call__(self, request, timeout=None):
+        import urllib.error
+        from types import SimpleNamespace
+        start = request.get_header("Range", "")
+        self.asked.append((request.get_method(), start))
+        if request.full_url.endswith("gone"):
+            raise urllib.error.HTTPError(request.full_url, 404, "gone", {}, None)
+        offset = int(start[6:-1]) if start and self.ranges else 0
+        if offset and offset >= len(self.data):
+            raise urllib.error.HTTPError(request.full_url, 416, "range", {}, None)
+        body = io.BytesIO(self.data[offset:])
+        answer = SimpleNamespace(status=206 if offset else 200, headers={"Content-Length": str(len(self.data) - offset)},
+                                 read=body.read, close=body.close)
+        return contextlib.closing(answer) if request.get_method() == "HEAD" else answer
+
+
+@pytest.mark.parametrize("ranges", [True, False])
+def test_http_resumes_by_range_or_by_skipping(monkeypatch, ranges):
+    data = os.urandom(50_000)
+    served = Served(data, ranges)
+    monkeypatch.setattr(wet.urllib.request, "urlopen", served)
+    store = wet.ArchiveStore()
+    assert store.open("https://h/a", 0).read() == data and store.open("https://h/a", 20_001).read() == data[20_001:]
+    assert store.open("https://h/a", 50_000).read() == b""              # broken after the last byte
+    assert served.asked[0] == ("GET", "") and served.asked[1] == ("GET", "bytes=20001-")
+    assert store.size("https://h/a") == 50_000 and served.asked[-1][0] == "HEAD"
+    assert store.size("https://h/gone") is None
+    with pytest.raises(FileNotFoundError):
+        store.open("https://h/gone")

@@ -111,9 +111,9 @@ def _bit_places(key: F.Column, bits: int) -> list[F.Column]:
     return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(2)]
 
 
-def lookup_filter(ref: DataFrame, bits: int = FILTER_BITS) -> F.Column:
-    """A Bloom filter of ``ref.pcds`` as one array of 64-bit words, a scalar subquery of a size fixed by ``bits``."""
-    places = ref.select(F.explode(F.array(*_bit_places(F.col("pcds"), bits))).alias("_p"))
+def lookup_filter(ref: DataFrame, bits: int = FILTER_BITS, key: str = "pcds") -> F.Column:
+    """A Bloom filter of ``ref``'s ``key`` as one array of 64-bit words, a scalar subquery of a size fixed by ``bits``."""
+    places = ref.select(F.explode(F.array(*_bit_places(F.col(key), bits))).alias("_p"))
     words = places.select(F.expr("_p div 64").alias("_w"), F.expr("shiftleft(1L, cast(_p % 64 AS int))").alias("_b")) \
         .groupBy("_w").agg(F.bit_or("_b").alias("_b"))
     every = ref.sparkSession.range(bits // 64).select(F.col("id").alias("_w"), F.lit(0).cast("bigint").alias("_b"))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagesift.operators.match import lookup_filter, may_be_listed
+
 from .common import crc_mod, ship_package, table
 
 FOLD = 5
@@ -151,7 +153,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = known.filter("_y = 1").orderBy(mark, "_id").limit(max_pos).select("_id")     # a bounded broadcast
     positive = train.join(F.broadcast(ids), "_id", "left_semi").select("_t")
 
-    toxic = train.join(known.filter("_y = 1").select("_id"), "_id", "left_semi").select("_t")
+    toxic_ids = known.filter("_y = 1").select("_id")    # any number: a filter of fixed size lets few other texts into the join
+    toxic = train.filter(may_be_listed(F.col("_id"), lookup_filter(toxic_ids, key="_id"))) \
+        .join(toxic_ids, "_id", "left_semi").select("_t")
     names = best_features(toxic, train.select("_t"), n_pos, max_features)
     if not names:
         return [], np.zeros(0), float(np.log(prior / (1 - prior)))

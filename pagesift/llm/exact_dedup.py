@@ -2,8 +2,9 @@
 
 Texts are equal when identical after white-space runs are replaced by one space (null counts
 as empty). Rows are grouped by the normalised length, the survivors by a hash of a prefix, and
-only what still has company is read in full and grouped by SHA-256. The first two rounds work
-on three narrow numbers per row; text crosses a shuffle for survivors alone. All groupings are
+only what still has company is grouped by SHA-256 of the whole text. The first two rounds work
+on three narrow numbers per row; the last joins texts to the survivors' ids, and where those are too many to
+broadcast every text crosses that join's shuffle once. All groupings are
 hash aggregates with map-side combine, staged before they are joined back: each join has one row
 per key on one side and a shuffle of its own on the other, which adaptive execution splits (or
 makes a broadcast of the small side), so a group that holds a third of all rows isn't gathered.

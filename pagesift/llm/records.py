@@ -111,7 +111,7 @@ class _Known(dict):
         self.tokenizer, self.code = Tokenizer.from_str(blob), code
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.tails = self.tokenizer.model, {}
+        self.model, self.tails, self.starts = self.tokenizer.model, {}, {}
         self.newline = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
@@ -131,8 +131,15 @@ class _Known(dict):
 
     def line(self, word: str) -> bytes:
         """A word after one line end."""
-        m = PLAIN.fullmatch(word)
-        return self.newline + (self.letters("", m[1]) + self.tail(m[2]) if m else self.ids(word))
+        got = self.starts.get(word)
+        if got is None:
+            m = PLAIN.fullmatch(word)
+            got = self.newline + (self.letters("", m[1]) + self.tail(m[2]) if m else self.ids(word))
+            if len(word) <= LONG_WORD:
+                if len(self.starts) > KNOWN_WORDS >> 3:
+                    self.starts.clear()
+                self.starts[word] = got
+        return got
 
     def __missing__(self, word: str) -> bytes:
         m = PLAIN.fullmatch(word)

@@ -1,25 +1,31 @@
 """Language-model scoring by logistic context mixing, bit by bit.
 
-A text is its words in lower case and one end. A word is spelled as its bytes and a closing space,
-eight binary decisions a byte. Six hashed contexts (position; the last 1, 2, 3, 4 and 6 bytes of the
-word) each predict the next bit from counts; their log odds are added under weights that a gate
-picks (bit number, position, confidence of the counts). Counts, weights and map cover every distinct
-training word: the weights are learned online, batch after batch, by each task over its part, on leave-one-out
-counts, and averaged; an adaptive probability map then refines the mixture's output. Along a text, a word has
-
-    P = g * ((1 - CACHE) * P_known + CACHE * P_cache) + (1 - g) * P_spelled
-
-where P_known is 0 if training has never seen it. P_known mixes the word's frequency in each of ``GROUPS`` groups of training documents by how well
-each group predicts the last ``WINDOW`` words, P_cache is the word's share of the text so far, and the gate g
-follows how many words so far were known. All weights depend on earlier words only, so the P of all texts add up
-to at most 1, and its logarithm also gives the total bits per byte. The groups are those of
-a multinomial mixture over the ``VOCABULARY`` most frequent words, fitted by expectation-maximisation
-passes over every training document.
-
-What is gathered grows with the corpus: the table of all distinct words with their counts, made by
-one grouping over block word lists. Only the predictors' hashed count tables are of fixed size
-(``SLOTS``, 22 MB in all), summed in Spark and broadcast. Each distinct word is priced once and joined
-back to the blocks that hold it, whether training has seen it or not.
+A text is its words in lower case and one end. Every token is coded in binary decisions, and every decision's
+probability comes from the same kind of mixer: hashed contexts predict the bit from counts, their log odds are
+added under weights that a gate picks, and an adaptive probability map refines the sum.
+
+* Along the text, first whether training knows the word, then the four bits of its class (the group of documents
+  it is most frequent in, and its frequency in tens). Contexts reach across words: the last class, the last two
+  classes, the groups of the last four words, the previous word, the groups of the last ``WINDOW`` words, the share of
+  unknown words so far. The gate is the decision and the confidence of the previous word's counts.
+* Inside a word, its bytes and a closing space, eight decisions a byte, from the position and the last
+  1, 2, 3, 4 and 6 bytes, gated by bit number, position and confidence of the counts.
+
+With p the first decision's probability, a word has
+
+    P = (1 - CACHE) * (p * P_class * P_word + (1 - p) * P_spelled) + CACHE * P_cache
+
+where P_word is its share of the training tokens of its class in the group of most of the last ``WINDOW`` words (a share
+``BACKOFF`` of it in all groups; 0 if unknown), and P_cache its share of the text so far. All of it depends on earlier words only, so the P of all texts add up to at most 1, and the logarithm also gives the total
+bits per byte.
+
+What is gathered grows with the corpus: the table of all distinct words with their counts, made by one grouping over
+block word lists; class totals, counts of contexts, weights and maps are sums over every training word of every training
+text. Words that occur once stand for unknown ones there. Only the tables of the contexts' counts are of fixed
+size (``SLOTS``, 22 MB, and ``TOKEN_SLOTS``), summed in Spark and broadcast. Weights along texts take ``STEPS`` Newton steps,
+one pass each; those inside words are learned online in ``SHARDS`` shards of the words by hash and averaged in shard order.
+Sums are whole numbers, so scores don't depend on the number of shuffle partitions. The ``GROUPS`` groups of documents are
+found by clustering the ``VOCABULARY`` most frequent words by the documents they share, counted in one pass over all.
 
 Defined results: null text is empty and scores its end alone; repeated rows and null ids are scored
 as often as they occur; without training rows every word is spelled with even odds; an empty table
@@ -28,7 +34,9 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -39,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import crc_mod, release, ship_package, staged, table
-from .wordblocks import DOCS, documents_of, unpack, unpack_words, word_blocks, words_of
+from .wordblocks import DOCS, by_block, documents_of, unpack, unpack_words, word_blocks, words_of
 
 LN10 = math.log(10)
 
@@ -51,11 +59,18 @@ PART = 1 << 16                               # slots of a row of the summed tabl
 N_CONF, N_GATE, N_MAP = 16, 32, 33
 WEIGHTS = len(SLOT_BITS) * N_CONF * N_GATE
 STREAM = 1 << 14                             # bytes spelled at once
-STRENGTH = 30.0                              # words' worth of prior in the text's gate
 GROUPS, WINDOW, CACHE = 4, 48, 0.03
-BACKOFF = 0.05                               # share of the whole corpus in a group's frequencies
-VOCABULARY, RESTARTS, PASSES = 1000, 8, 15
+VOCABULARY, RESTARTS, ROUNDS = 500, 8, 20
+EFFECTIVE = 100.0                            # words' worth of evidence in a word's shared documents
+SHARDS, LESSON = 64, 4096                    # shards of the distinct words, words learned at once
 FIXED = 1 << 20                              # sums of a pass are whole numbers of 1 / FIXED, the same in any order
+TOKEN_CONTEXTS = (18, 18 * 18, 6 ** 4, 1 << 13, 128, 128)
+NODES = 16                                   # known or not, and the inner nodes of the class's four bits
+TOKEN_OFFSETS = np.cumsum([0] + [NODES * c for c in TOKEN_CONTEXTS])
+TOKEN_SLOTS = int(TOKEN_OFFSETS[-1])
+INPUTS, TOKEN_GATES, STEPS, START, RIDGE = len(TOKEN_CONTEXTS), 4 * NODES, 2, 0.2, 4.0
+BACKOFF = 0.05                               # share of all groups in a class's words
+TOKENS = 1 << 17                             # tokens mixed at once
 RATE, CURVATURE = 1.0, 0.25
 
 
@@ -181,7 +196,7 @@ class Mixer:
 
 # -- groups of documents ----------------------------------------------------------------------
 class Grouping:
-    """Multinomial mixture over the counts of some frequent words; assigns a text to a group."""
+    """Groups of some frequent words; assigns a text to the group that predicts those it holds best."""
 
     def __init__(self, vocabulary: list[bytes], log_p: np.ndarray):
         self.index = {w: i for i, w in enumerate(vocabulary)}
@@ -192,62 +207,50 @@ class Grouping:
         return int(self.log_p[:, at].sum(axis=1).argmax()) if at else 0
 
 
-def _dense(rows: list[bytes], width: int) -> np.ndarray:
-    """Counts of the vocabulary's words, from (word, count) pairs of 32 bits."""
-    x = np.zeros((len(rows), width))
-    for i, r in enumerate(rows):
-        at, n = np.frombuffer(r, np.uint32).reshape(2, -1)
-        x[i, at] = n
-    return x
-
+def add_up(rows: DataFrame, width: int) -> np.ndarray:
+    """The sum of all of ``rows(data)``, compressed arrays of ``width`` 64-bit numbers."""
+    def add(batches):
+        total = None
+        for b in batches:
+            for d in b.column(0).to_pylist():
+                n = np.frombuffer(zstandard.ZstdDecompressor().decompress(d), np.int64)
+                total = n.copy() if total is None else total + n
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)])], names=["data"])
+
+    out = np.zeros(width, np.int64)
+    for r in rows.repartition(8).mapInArrow(add, "data binary").collect():       # 8 rows at most
+        out += np.frombuffer(zstandard.ZstdDecompressor().decompress(r.data), np.int64)
+    return out
 
-def _pass(x: DataFrame, log_p: np.ndarray, log_w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One pass over ``x(x)`` for all restarts at once, from ``log_p`` (restart, group, word) and ``log_w``
-    (restart, group): the groups' word counts, their documents, and each restart's log likelihood."""
-    restarts, groups, width = log_p.shape
-    shared = x.sparkSession.sparkContext.broadcast((log_p, log_w))
 
-    def each(batches):
-        log_p, log_w = shared.value
-        total, any_rows = np.zeros((restarts * groups, width + 2)), False
-        for b in batches:
-            rows = b.column(0).to_pylist()
-            any_rows = any_rows or bool(rows)
-            for lo in range(0, len(rows), 512):
-                d = _dense(rows[lo:lo + 512], width)
-                z = (d @ log_p.reshape(-1, width).T).reshape(len(d), restarts, groups) + log_w
-                top = z.max(axis=2, keepdims=True)
-                r = np.exp(z - top)
-                norm = r.sum(axis=2, keepdims=True)
-                r = (r / norm).reshape(len(d), -1)
-                total[:, :width] += r.T @ d
-                total[:, width] += r.sum(axis=0)
-                total[::groups, width + 1] += (top + np.log(norm)).sum(axis=(0, 2))
-        if any_rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(total), dtype=np.int32)),
-                 pa.array([np.rint(t * FIXED).astype(np.int64).tobytes() for t in total])], names=["k", "v"])
+def squeeze(n: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(n, np.int64).tobytes())
 
-    def add(batches):
-        total = {}
-        for b in batches:
-            for k, v in zip(*(c.to_pylist() for c in b.columns)):
-                n = np.frombuffer(v, np.int64)
-                total[k] = total[k] + n if k in total else n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([n.tobytes() for n in total.values()], pa.binary())],
-                                         names=["k", "v"])
 
-    out = np.zeros((restarts * groups, width + 2))
-    for r in x.mapInArrow(each, "k int, v binary").repartition("k").mapInArrow(add, "k int, v binary").collect():
-        out[r.k] = np.frombuffer(r.v, np.int64) / FIXED          # a row for each restart and group
-    shared.unpersist()
-    out = out.reshape(restarts, groups, width + 2)
-    return out[:, :, :width], out[:, :, width], out[:, 0, width + 1]
+def clusters(shared: np.ndarray) -> np.ndarray:
+    """log P(word | group) of a mixture over each word's row of shared documents; the best of RESTARTS."""
+    rows = shared.astype(float)
+    rows = rows / np.maximum(rows.sum(axis=1, keepdims=True), 1)
+    best, best_fit, mean = None, -np.inf, rows.mean(axis=0)
+    for restart in range(RESTARTS):
+        start = np.random.default_rng(restart).choice(len(rows), GROUPS, replace=len(rows) < GROUPS)
+        p, log_w = 0.5 * rows[start] + 0.5 * mean, np.zeros(GROUPS)
+        for _ in range(ROUNDS):
+            p = p + 0.01 * mean * p.sum(axis=1, keepdims=True) + 1e-9
+            log_p = np.log(p / p.sum(axis=1, keepdims=True))
+            z = EFFECTIVE * rows @ log_p.T + log_w
+            norm = np.logaddexp.reduce(z, axis=1)
+            r = np.exp(z - norm[:, None])
+            p, log_w = r.T @ rows, np.log(r.mean(axis=0) + 1e-6)
+        if norm.sum() > best_fit:
+            best, best_fit = log_p, norm.sum()
+    return best
 
 
 def grouping(train: DataFrame) -> Grouping:
-    """The grouping of all of ``train(text, mark)``; the restarts begin at the documents of the smallest marks."""
-    train = train.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), "mark")
+    """The grouping by all of ``train(text)``."""
+    train = train.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def frequent(batches):
         for b in batches:
@@ -257,33 +260,223 @@ def grouping(train: DataFrame) -> Grouping:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
                                              names=["word", "n"])
 
-    top = train.select("text").mapInArrow(frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")) \
+    top = train.mapInArrow(frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")) \
         .orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     listed = [bytes(r.word) for r in top]
     if not listed:
         return Grouping([], np.zeros((GROUPS, 0)))
 
-    def vectors(batches):
-        index = {w: i for i, w in enumerate(listed)}
+    def together(batches):
+        index, total = {w: i for i, w in enumerate(listed)}, np.zeros((len(listed),) * 2, np.int64)
         for b in batches:
-            out = []
-            for t in b.column(0).to_pylist():
-                at = [i for i in map(index.get, words_of(t)) if i is not None]
-                out.append(np.stack(np.unique(np.array(at, np.int64), return_counts=True)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), b.column(1)], names=["x", "mark"])
-
-    every = staged(train.mapInArrow(vectors, "x binary, mark long"), "group-vectors")
-    x = every.select("x")
-    n_start = RESTARTS * GROUPS
-    start = [bytes(r.x) for r in every.orderBy("mark", "x").limit(n_start).collect()]
-    start = _dense([start[i % len(start)] for i in range(n_start)], len(listed)).reshape(RESTARTS, GROUPS, -1)
-    sums, docs, _ = _pass(x, np.zeros((1, 1, len(listed))), np.zeros((1, 1)))
-    p, log_w = start + sums[0, 0] / docs[0, 0] + 0.5, np.zeros((RESTARTS, GROUPS))
-    for _ in range(PASSES):
-        log_p = np.log(p / p.sum(axis=2, keepdims=True))
-        p, docs, fit = _pass(x, log_p, log_w)
-        p, log_w = p + 0.5, np.log(docs / docs.sum(axis=1, keepdims=True) + 1e-3)
-    return Grouping(listed, log_p[fit.argmax()])
+            texts = b.column(0).to_pylist()
+            for lo in range(0, len(texts), 512):
+                x = np.zeros((min(512, len(texts) - lo), len(listed)), np.float32)
+                for row, t in zip(x, texts[lo:lo + 512]):
+                    row[[i for i in map(index.get, set(words_of(t))) if i is not None]] = 1
+                total += np.rint(x.T @ x).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)])], names=["data"])
+
+    shared = add_up(train.mapInArrow(together, "data binary"), len(listed) ** 2)
+    return Grouping(listed, clusters(shared.reshape(len(listed), -1)))
+
+
+# -- tokens of texts ----------------------------------------------------------------------------
+class Words:
+    """The word list of one block, by position, and the end as its last row."""
+
+    def __init__(self, found: pa.Table, end: dict):
+        rank = found.column("rank").to_numpy()
+        for name, kind in (("cls", np.int64), ("hash", np.uint32), ("spelled", float), ("size", np.int64), *((c, np.int64) for c in COUNTS)):
+            v = np.zeros(len(rank) + 1, kind)
+            v[rank] = found.column(name).to_numpy().astype(kind)
+            v[-1] = end[name]
+            setattr(self, name, v)
+        self.n = sum(getattr(self, c) for c in COUNTS)
+
+
+def pieces(row: dict, end_at: int, training: bool):
+    """A block's texts in pieces of about TOKENS: (ids, first tokens of texts, position in the text, word positions)."""
+    ids, texts, size = [], [], 0
+    marks = unpack(row["counts"])
+    for (doc_id, at), mark in itertools.chain(zip(documents_of(row["ids"], row["sizes"], row["data"]), marks), [((None, None), None)]):
+        if texts and (mark is None or size >= TOKENS):
+            lens = np.array([len(t) for t in texts])
+            starts = np.cumsum(lens) - lens
+            yield ids, starts, np.arange(size) - np.repeat(starts, lens), np.concatenate(texts)
+            ids, texts, size = [], [], 0
+        if mark is not None and (mark or not training):
+            ids.append(doc_id)
+            texts.append(np.append(at, end_at).astype(np.int64))
+            size += len(texts[-1])
+
+
+def token_contexts(sym: np.ndarray, hashes: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
+    """Each context's number at each token, from the tokens before it in its text."""
+    def back(x, k, none):
+        return np.where(pos >= k, np.concatenate([np.zeros(min(k, len(x)), x.dtype), x[:-k]]), none)
+
+    t = np.arange(len(sym))
+    group = np.where(sym > 0, (sym - 1) >> 2, GROUPS)
+    one = back(sym, 1, 17)
+    four = sum(back(group, k, 5) * 6 ** (k - 1) for k in range(1, 5))
+    before = np.zeros((GROUPS + 1, len(sym) + 1), np.int32)
+    for g in range(GROUPS + 1):
+        np.cumsum(group == g, out=before[g, 1:])
+    width = np.minimum(pos, WINDOW)
+    recent = before[:, t] - before[:, t - width]
+    top = recent[:GROUPS].argmax(axis=0)
+    lot = np.maximum(width, 1)
+    window = (top * 8 + np.minimum(8 * recent[top, t] // lot, 7)) * 4 + np.minimum(8 * recent[GROUPS] // lot, 3)
+    unknown = before[GROUPS, t] - before[GROUPS, t - pos]
+    so_far = np.minimum(np.log2(pos + 1).astype(np.int64), 15) * 8 + np.minimum(32 * unknown // np.maximum(pos, 1), 7)
+    word = (hashes * np.uint32(0x9E3779B1)) >> np.uint32(19)
+    return [one, one * 18 + back(sym, 2, 17), four, back(word, 1, 0).astype(np.int64), window, so_far]
+
+
+def decisions(sym: np.ndarray, ctx: list[np.ndarray]):
+    """For each binary decision of the tokens: which tokens take it, node, bit, slots."""
+    known = np.flatnonzero(sym > 0)
+    for j in range(5):
+        at = known if j else np.arange(len(sym))
+        code = sym[at] - 1
+        node = (1 << j - 1) | code >> 5 - j if j else np.zeros(len(at), np.int64)
+        bit = code >> 4 - j & 1 if j else (code >= 0).astype(np.int64)
+        yield at, node, bit, [int(o) + c[at] * NODES + node for o, c in zip(TOKEN_OFFSETS, ctx)]
+
+
+class TokenMixer:
+    """Count tables, weights and refinement map of the decisions along texts."""
+
+    def __init__(self, tables: np.ndarray):
+        self.tables = tables
+        self.w = np.full((TOKEN_GATES, INPUTS), START)
+        self.refine = None
+
+    def mix(self, node, slots, bit=None):
+        """(log odds, inputs, gate); with ``bit`` on leave-one-out counts."""
+        vs = [self.tables[s] if bit is None else LESS[bit, self.tables[s]] for s in slots]
+        gate = node * 4 + np.minimum((CONF[vs[3]] & 7) >> 1, 3)
+        xs = [STRETCH[v].astype(float) for v in vs]
+        z = np.zeros(len(node))
+        for i, x in enumerate(xs):
+            z += self.w[gate, i] * x
+        return np.clip(z, -14, 14), xs, gate
+
+    @staticmethod
+    def bucket(z, node):
+        return node * N_MAP + np.round((z + 14) * (N_MAP - 1) / 28).astype(np.int64)
+
+    def probability(self, z, node):
+        p = 1 / (1 + np.exp(-z))
+        return p if self.refine is None else 0.5 * p + 0.5 * self.refine[self.bucket(z, node)]
+
+
+PAIRS = [(i, k) for i in range(INPUTS) for k in range(i, INPUTS)]
+SLOPES = TOKEN_GATES * (INPUTS + len(PAIRS))
+
+
+def _counts(sym, ctx, _):
+    n = np.zeros(2 * TOKEN_SLOTS, np.int64)
+    for _, _, bit, slots in decisions(sym, ctx):
+        n += np.bincount(np.concatenate([2 * s + bit for s in slots]), minlength=len(n))
+    return n
+
+
+def _slopes(sym, ctx, m):
+    """Gradient and curvature of each gate's weights."""
+    out = np.zeros((INPUTS + len(PAIRS), TOKEN_GATES))
+    for _, node, bit, slots in decisions(sym, ctx):
+        z, xs, gate = m.mix(node, slots, bit)
+        p = m.probability(z, node)
+        err, curve = bit - p, p * (1 - p)
+        for i, x in enumerate(xs):
+            out[i] += np.bincount(gate, err * x, TOKEN_GATES)
+        xs_curve = [curve * x for x in xs]
+        for o, (i, k) in zip(out[INPUTS:], PAIRS):
+            o += np.bincount(gate, xs_curve[i] * xs[k], TOKEN_GATES)
+    return np.rint(out.ravel() * FIXED).astype(np.int64)
+
+
+def _bits_by_bucket(sym, ctx, m):
+    out = np.zeros(2 * NODES * N_MAP, np.int64)
+    for _, node, bit, slots in decisions(sym, ctx):
+        z, _, _ = m.mix(node, slots, bit)
+        out += np.bincount(m.bucket(z, node) * 2 + bit, minlength=len(out))
+    return out
+
+
+def train_pass(blocks: DataFrame, found: DataFrame, end: dict, each, width: int, model=None) -> np.ndarray:
+    """The sum of ``each(symbols, contexts, model)`` over all training texts."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
+
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+        w, total = Words(words, end), np.zeros(width, np.int64)
+        for row in docs.to_pylist():
+            for _, _, pos, at in pieces(row, len(w.n) - 1, True):
+                sym = np.where(w.n[at] > 1, w.cls[at], 0)
+                total += each(sym, token_contexts(sym, w.hash[at], pos), shared.value)
+        release()
+        return pa.table({"data": pa.array([squeeze(total)], pa.binary())})
+
+    return add_up(blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, "data binary"), width)
+
+
+def fit_tokens(blocks: DataFrame, found: DataFrame, end: dict) -> TokenMixer:
+    """Counts, then weights, then the map, each over every training text."""
+    n = train_pass(blocks, found, end, _counts, 2 * TOKEN_SLOTS)
+    q = quantise(n.reshape(-1, 2))
+    m = TokenMixer(q[:, 0] << 8 | q[:, 1])
+    for _ in range(STEPS):
+        s = train_pass(blocks, found, end, _slopes, SLOPES, m).reshape(-1, TOKEN_GATES) / FIXED
+        curve = np.zeros((TOKEN_GATES, INPUTS, INPUTS))
+        for o, (i, k) in zip(s[INPUTS:], PAIRS):
+            curve[:, i, k] = curve[:, k, i] = o
+        pull = s[:INPUTS].T - RIDGE * (m.w - START)
+        m.w = np.clip(m.w + np.linalg.solve(curve + RIDGE * np.eye(INPUTS), pull[..., None])[..., 0], -1.5, 2.5)
+    seen = train_pass(blocks, found, end, _bits_by_bucket, 2 * NODES * N_MAP, m).reshape(-1, 2)
+    m.refine = refined(seen, NODES)
+    return m
+
+
+def refined(seen: np.ndarray, gates: int) -> np.ndarray:
+    """Probability of a one in each bucket of the map."""
+    centre = 1 / (1 + np.exp(-(np.arange(N_MAP) * 28 / (N_MAP - 1) - 14)))
+    return (seen[:, 1] + 8 * np.tile(centre, gates)) / (seen.sum(axis=1) + 8)
+
+
+def _before(at: np.ndarray) -> np.ndarray:
+    """How often the same value stands earlier in the list."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))
+    out = np.empty(len(at), np.int64)
+    out[order] = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    return out
+
+
+def token_log10(m: TokenMixer, w: Words, totals: np.ndarray, pos: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log10 P of each token; ``totals`` are the training tokens by group and class."""
+    sym = w.cls[at]
+    ctx = token_contexts(sym, w.hash[at], pos)
+    listed = np.stack([getattr(w, c) for c in COUNTS])
+    whole = w.n / np.maximum(totals.sum(axis=0), 1)[w.cls]
+    shares = np.where(totals[:, w.cls] > 0, (1 - BACKOFF) * listed / np.maximum(totals, 1)[:, w.cls] + BACKOFF * whole, whole)
+    share = np.where(pos > 0, shares[ctx[4] >> 5, at], whole[at])
+    known = np.log(np.maximum(share, 1e-300))
+    known[sym == 0] = -np.inf
+    spelled = w.spelled[at] * LN10
+    for j, (took, node, bit, slots) in enumerate(decisions(sym, ctx)):
+        p = m.probability(m.mix(node, slots)[0], node)
+        if j == 0:
+            known += np.log(p)
+            spelled += np.log1p(-p)
+        else:
+            known[took] += np.log(np.where(bit == 1, p, 1 - p))
+    text = np.cumsum(pos == 0)
+    cache = np.where(pos > 0, CACHE, 0)
+    share = cache * _before(text * len(w.n) + at) / np.maximum(pos, 1)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log1p(-cache) + np.logaddexp(known, spelled), np.log(share)) / LN10
 
 
 # -- Spark ------------------------------------------------------------------------------------
@@ -345,84 +538,60 @@ def fit(types: DataFrame) -> Mixer:
         v = np.frombuffer(r.data, np.uint16)
         tables[r.part * PART:r.part * PART + len(v)] = v
     weights, seen = learned(types, tables)
-    centre = 1 / (1 + np.exp(-(np.arange(N_MAP) * 28 / (N_MAP - 1) - 14)))
-    prior = np.tile(centre, N_GATE)
-    return Mixer(tables, weights, (seen[:, 1] + 8 * prior) / (seen.sum(axis=1) + 8))
+    return Mixer(tables, weights, refined(seen, N_GATE))
 
 
 def learned(types: DataFrame, tables: np.ndarray):
-    """Weights (None without words), and bits by bucket of the map, of one pass over all of ``types(word)``."""
+    """Weights (None without words), and bits by bucket of the map, of one pass over all of ``types(word)``:
+    each shard's words are learned in the order of another hash, LESSON at once, whatever partition they lie in."""
     shared = types.sparkSession.sparkContext.broadcast(tables)
+    empty = np.zeros(2 * N_GATE * N_MAP, np.int64)
 
     def learn(batches):
-        m, counts, n = Mixer(shared.value), np.zeros(2 * N_GATE * N_MAP, np.int64), 0
-        for b in batches:
-            if b.num_rows:
-                m.learn(b.column(0).to_pylist(), counts)
-                n += b.num_rows
-        if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(WEIGHTS + len(counts) + 1)), pa.array(np.concatenate([m.w * n, counts, [n]]))],
-                names=["k", "v"])
-
-    total = np.zeros(WEIGHTS + 2 * N_GATE * N_MAP + 1)
-    for r in types.mapInArrow(learn, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
-        total[r.k] = r.v
-    return total[:WEIGHTS] / total[-1] if total[-1] else None, total[WEIGHTS:-1].reshape(-1, 2)
-
-
-def _before(at: np.ndarray) -> np.ndarray:
-    """How often the same value stands earlier in the list."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))
-    out = np.empty(len(at), np.int64)
-    out[order] = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    return out
-
-
-def text_log10(at: np.ndarray, counts: np.ndarray, log_p: np.ndarray, spelled: np.ndarray, novelty: float) -> np.ndarray:
-    """log10 P of each word of a text: ``at`` its rows in ``counts`` (whole corpus), ``log_p`` (log10 of the
-    frequency by group; rows of words without count are ignored) and ``spelled`` (log10)."""
-    known = counts[at] > 0
-    t = np.arange(len(at))
-    g = (np.cumsum(known) - known + STRENGTH * (1 - novelty)) / (t + STRENGTH)
-    lp = np.where(known[:, None], log_p[at], 0.0)
-    total = np.concatenate([np.zeros((1, lp.shape[1])), np.cumsum(lp, axis=0)])
-    recent = (total[t] - total[np.maximum(t - WINDOW, 0)]) * LN10
-    w = np.exp(recent - recent.max(axis=1, keepdims=True))
-    w /= w.sum(axis=1, keepdims=True)
-    word = np.where(known, (w * 10.0 ** lp).sum(axis=1), 0)
-    cache = np.where(t > 0, CACHE, 0)
-    seen = (1 - cache) * word + cache * _before(at) / np.maximum(t, 1)
-    return np.logaddexp(np.log(np.maximum(g * seen, 1e-300)), np.log(1 - g) + spelled[at] * LN10) / LN10
-
-
-def _texts(kind, sums: list[int], n_types: int, novelty: float, end: list[int], end_spelled: float):
-    """One block: documents as word positions, and the words' counts, spelling and length -> scores."""
-    n_train = sum(sums)
-    share = np.array(sums, float)
+        shard, m, counts, n, waiting = None, None, None, 0, []
 
+        def done():
+            m.learn(waiting, counts)
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([m.w.tobytes()]),
+                                               pa.array([counts.tobytes()])], names=["shard", "n", "w", "counts"])
+        for b in batches:
+            for s, word in zip(*(c.to_pylist() for c in b.columns)):
+                if s != shard:
+                    if shard is not None:
+                        yield done()
+                    shard, m, counts, n, waiting = s, Mixer(shared.value), empty.copy(), 0, []
+                waiting.append(word)
+                n += 1
+                if len(waiting) == LESSON:
+                    m.learn(waiting, counts)
+                    waiting = []
+        if shard is not None:
+            yield done()
+
+    dealt = types.select(F.pmod(F.xxhash64("word"), F.lit(SHARDS)).cast("int").alias("shard"), "word") \
+        .repartition("shard").sortWithinPartitions("shard", F.xxhash64("word", F.lit(SHARDS)), "word")
+    weights, seen, n = np.zeros(WEIGHTS), empty.copy(), 0
+    for r in sorted(dealt.mapInArrow(learn, "shard int, n long, w binary, counts binary").collect(), key=lambda r: r.shard):
+        weights += np.frombuffer(r.w) * r.n                          # SHARDS rows at most
+        seen += np.frombuffer(r.counts, np.int64)
+        n += r.n
+    return weights / n if n else None, seen.reshape(-1, 2)
+
+
+def _texts(kind, model, totals: np.ndarray, n_types: int, end: dict):
+    """One block: documents as word positions, and the words' counts, classes, spelling and length -> scores."""
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        rank = words.column("rank").to_numpy()
-        c = np.zeros((len(rank) + 1, GROUPS), np.int64)
-        spelled, size = np.zeros(len(rank) + 1), np.zeros(len(rank) + 1, np.int64)
-        for g, name in enumerate(COUNTS):
-            c[rank, g] = words.column(name).to_numpy()
-        spelled[rank], size[rank] = words.column("spelled").to_numpy(), words.column("size").to_numpy()
-        c[-1], spelled[-1] = end, end_spelled
-        every = c.sum(axis=1)
-        p = (1 - BACKOFF) * c / np.maximum(share, 1) + BACKOFF * every[:, None] / max(n_train, 1)
-        p[:, share == 0] = (every / max(n_train, 1))[:, None]
-        log_p = np.log10(np.maximum(p, 1e-300))
-        base = np.log10((every + 1) / (n_train + n_types + 1))
+        w, m = Words(words, end), model.value
+        base = np.log10((w.n + 1) / (int(totals.sum()) + n_types + 1))
         out = [[] for _ in range(6)]
-        row = docs.to_pylist()[0]
-        for doc_id, at in documents_of(row["ids"], row["sizes"], row["data"]):
-            at = np.append(at, len(rank)).astype(np.int64)
-            total = float(text_log10(at, every, log_p, spelled, novelty).sum())
-            for o, v in zip(out, (doc_id, len(at), int((every[at] > 0).sum()), float(base[at].sum()), total,
-                                  -total * math.log2(10) / (int(size[at].sum()) + len(at)))):
-                o.append(v)
+        for row in docs.to_pylist():
+            for ids, starts, pos, at in pieces(row, len(w.n) - 1, False):
+                total = np.add.reduceat(token_log10(m, w, totals, pos, at), starts)
+                n = np.diff(np.append(starts, len(at)))
+                size = np.add.reduceat(w.size[at], starts) + n
+                for o, v in zip(out, (ids, n, np.add.reduceat((w.n[at] > 0).astype(np.int64), starts),
+                                      np.add.reduceat(base[at], starts), total, -total * math.log2(10) / size)):
+                    o.extend(v)
         release()
         kinds = (kind, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
         names = ("id", "n_tokens", "n_known", "base_score", "score", "bits_per_byte")
@@ -430,48 +599,56 @@ def _texts(kind, sums: list[int], n_types: int, novelty: float, end: list[int],
     return run
 
 
+def class_of(n: Column, counts: list[Column], sums: list[int]) -> Column:
+    """1 to 16: the group that a word is most frequent in, and its frequency in tens; 0 without training counts."""
+    share = F.array(*[c / F.lit(float(max(s, 1))) for c, s in zip(counts, sums)])
+    level = F.greatest(F.lit(0), F.least(F.lit(3), F.floor(F.log10(F.lit(float(max(sum(sums), 1))) / n)) - 2))
+    return F.when(n > 0, F.array_position(share, F.array_max(share)) * 4 - 3 + level).otherwise(0).cast("int")
+
+
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte); ``train`` says which rows
     teach the model."""
     spark = docs.sparkSession
     ship_package(spark)
-    mark = F.xxhash64(F.col(id_col), F.lit("lm sample"))
-    group = spark.sparkContext.broadcast(grouping(docs.filter(train).select(F.col(text_col).alias("text"), mark.alias("mark"))))
+    group = spark.sparkContext.broadcast(grouping(docs.filter(train).select(F.col(text_col).alias("text"))))
     blocks = word_blocks(docs, id_col, text_col, train, groups=GROUPS, group_of=lambda words: group.value(words))
     rows = blocks.filter("bucket >= 0").select("block", "data", "counts") \
         .mapInArrow(_word_rows, "block long, rank int, word binary, " + ", ".join(f"{c} long" for c in COUNTS))
     words = staged(rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS]), "words")
     every = sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0]))
-    stat = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS], F.count(F.when(every > 0, 1)).alias("types"),
-                     F.count(F.when(every == 1, 1)).alias("once")).first()
+    stat = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS], F.count(F.when(every > 0, 1)).alias("types")).first()
     n_end = docs.filter(train).count()
     sums = [stat[c] for c in COUNTS]
-    n = sum(sums)
-    # ends follow the groups' sizes in words
-    end = [n_end * s // max(n, 1) for s in sums]
-    end[0] += n_end - sum(end)
-    sums = [s + e for s, e in zip(sums, end)]
-    types = stat.types + (n_end > 0)
-    model = fit(words.filter(every > 0).select("word"))
-    shared = spark.sparkContext.broadcast(model)
-    end_spelled = float(model.spell([b""])[0])
+    words = words.select("word", *COUNTS, class_of(every, [F.col(c) for c in COUNTS], sums).alias("cls"))
+    totals = np.zeros((GROUPS, 17), np.int64)
+    for r in words.groupBy("cls").agg(*[F.sum(c).alias(c) for c in COUNTS]).collect():
+        totals[:, r.cls] = [r[c] for c in COUNTS]
+    speller = fit(words.filter("cls > 0").select("word"))
+    shared = spark.sparkContext.broadcast(speller)
+    end = {"cls": 1 if n_end else 0, "hash": 0, "spelled": float(speller.spell([b""])[0]), "size": 0}
+    ends = [n_end * s // max(sum(sums), 1) for s in sums]         # they follow the groups' sizes in words
+    ends[0] += n_end - sum(ends)
+    end |= zip(COUNTS, ends)
+    totals[:, end["cls"]] += ends
 
     def spelled(batches):
         for b in batches:
-            lp = shared.value.spell(b.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lp)], names=["word", *COUNTS, "spelled"])
+            listed = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([zlib.crc32(w) for w in listed], pa.int64()),
+                                              pa.array(shared.value.spell(listed))], names=["word", *COUNTS, "cls", "hash", "spelled"])
 
-    prices = words.select("word", *COUNTS).mapInArrow(
-        spelled, "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", spelled double")
+    prices = words.mapInArrow(spelled, "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", cls int, hash long, spelled double")
     found = rows.select("block", "rank", "word").join(prices, "word") \
-        .select("block", "rank", *COUNTS, "spelled", F.octet_length("word").alias("size"))
+        .select("block", "rank", *COUNTS, "cls", "hash", "spelled", F.octet_length("word").alias("size"))
+    found = by_block(found)
+    texts = blocks.filter(F.col("bucket") == DOCS).select("block", "ids", "sizes", "data", "counts")
+    model = spark.sparkContext.broadcast(fit_tokens(texts, found, end))
     kind = docs.schema[id_col].dataType
-    novelty = min(0.5, max(1e-4, stat.once / max(n, 1)))
-    out = blocks.filter(F.col("bucket") == DOCS).select("block", "ids", "sizes", "data").groupBy("block") \
-        .cogroup(found.groupBy("block")).applyInArrow(
-            _texts(to_arrow_type(kind), sums, types, novelty, end, end_spelled),
-            f"id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
-    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(sum(sums)).cast("long").alias("train_tokens"),
+    out = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+        _texts(to_arrow_type(kind), model, totals, stat.types + (n_end > 0), end),
+        f"id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
+    return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(int(totals.sum())).cast("long").alias("train_tokens"),
                       "base_score", "score", "bits_per_byte")
 
 

@@ -7,7 +7,8 @@ word of every text. Blocks are staged as a table, so their numbers never change
 
 The table is bucketed by block, so what comes back to a block is shuffled to where the block already
 lies and the texts' positions never cross a shuffle. Rows: one for the block's documents (``bucket`` -1,
-``ids``, ``sizes`` in words, ``data`` = word positions of all, ``counts`` = vocabulary bucket of each word), and
+``ids``, ``sizes`` in words, ``data`` = word positions of all, ``counts`` = vocabulary bucket of each word or, with groups,
+the document's group from 1, 0 if it isn't counted), and
 for each bucket of the vocabulary one of the block's words in it (``data`` = compressed words, ``counts`` =
 training counts, one list after the other for each group of training documents).
 """
@@ -86,7 +87,8 @@ class _Block:
         listed = [listed[i] for i in order]
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in listed), np.uint32, n)
         sizes = np.array([len(d) for _, d, _ in self.docs])
-        yield self.number, DOCS, [d for d, _, _ in self.docs], pack(sizes), pack(rank[flat]), pack(bucket)
+        marks = pack(np.array([g + 1 for _, _, g in self.docs])) if self.groups else pack(bucket)
+        yield self.number, DOCS, [d for d, _, _ in self.docs], pack(sizes), pack(rank[flat]), marks
         by = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by])) + 1
         for part in np.split(by, cuts) if n else []:
@@ -137,6 +139,12 @@ def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | Non
                       F.lit(False) if train is None else train)
     rows = src.mapInArrow(run, f"block long, bucket int, ids array<{kind.simpleString()}>, sizes binary, data binary, "
                                "counts binary")
+    return by_block(rows)
+
+
+def by_block(rows: DataFrame) -> DataFrame:
+    """``rows(block, ...)`` as a staged table bucketed by block."""
+    spark = rows.sparkSession
     name = f"llm_blocks_{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}") \
         .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").format("parquet").saveAsTable(name)

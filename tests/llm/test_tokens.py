@@ -3,6 +3,7 @@ import math
 
 import brute
 import numpy as np
+import pyarrow as pa
 from pagesift.llm import bpe, lm
 from pagesift.llm.common import crc_mod
 from pyspark.sql import functions as F
@@ -92,24 +93,117 @@ def test_lm_is_a_distribution():
     assert m.spell([b"the"])[0] > m.spell([b"qzx"])[0]
 
 
-def test_lm_spells_known_words_too(spark):
-    docs = spark.createDataFrame([(0, "aa bb aa cc"), (1, "bb")], "doc_id long, text string")
-    got = {r.doc_id: r for r in lm.score(docs, F.col("doc_id") == 0).collect()}
-    m = lm.fit(spark.createDataFrame([(bytearray(w),) for w in (b"aa", b"bb", b"cc")], "word binary").coalesce(1))
-    bb, end = 10 ** m.spell([b"bb", b""])
-    g = (1 + lm.STRENGTH / 2) / (1 + lm.STRENGTH)               # novelty is 1/2: two of four words occur once
-    want = math.log10((1 / 5 + bb) / 2) + math.log10(g * (1 - lm.CACHE) / 5 + (1 - g) * end)
-    assert got[1].n_known == 2 and abs(got[1].score - want) < 1e-9
+def token_model(seed=0):
+    """A mixer along texts with random counts and weights, and a block's words."""
+    rng = np.random.default_rng(seed)
+    m = lm.TokenMixer(rng.integers(0, 1 << 16, lm.TOKEN_SLOTS).astype(np.uint16))
+    m.w = rng.uniform(-0.2, 0.4, m.w.shape)
+    m.refine = rng.uniform(0.05, 0.95, lm.NODES * lm.N_MAP)
+    counts = rng.integers(1, 30, (lm.GROUPS, 12))
+    counts[:, [3, 7]] = 0                                                  # words that training has never seen
+    cls = np.where(counts.sum(axis=0) > 0, 1 + rng.integers(0, 16, 12), 0)
+    found = pa.table({"rank": np.arange(11), "cls": cls[:-1], "hash": rng.integers(0, 1 << 32, 11), "spelled": rng.uniform(-9, -4, 11),
+                      "size": np.full(11, 3), **{c: n[:-1] for c, n in zip(lm.COUNTS, counts)}})
+    end = {"cls": cls[-1], "hash": 0, "spelled": -2.0, "size": 0, **{c: n[-1] for c, n in zip(lm.COUNTS, counts)}}
+    totals = np.zeros((lm.GROUPS, 17), np.int64)
+    np.add.at(totals.T, cls, counts.T)
+    return m, lm.Words(found, end), totals
+
+
+def plain_log10(m, w, totals, text):
+    """One text token by token, each decision on its own."""
+    out = []
+    for t, word in enumerate(text):
+        syms = [int(w.cls[x]) for x in text[:t]]
+        groups = [lm.GROUPS if s == 0 else (s - 1) // 4 for s in syms]
+        one, two = ([17, 17, *syms])[-1], ([17, 17, *syms])[-2]
+        recent = groups[-lm.WINDOW:]
+        often = [recent.count(g) for g in range(lm.GROUPS + 1)]
+        top = often[:-1].index(max(often[:-1]))
+        lot = max(len(recent), 1)
+        ctx = [one, one * 18 + (two if t > 1 else 17), sum(([5] * 4 + groups)[-k] * 6 ** (k - 1) for k in range(1, 5)),
+               (int(w.hash[text[t - 1]]) * 0x9E3779B1 % 2 ** 32) >> 19 if t else 0,
+               (top * 8 + min(8 * often[top] // lot, 7)) * 4 + min(8 * often[-1] // lot, 3),
+               min(int(math.log2(t + 1)), 15) * 8 + min(32 * groups.count(lm.GROUPS) // max(t, 1), 7)]
+
+        def chance(node):
+            v = [int(m.tables[lm.TOKEN_OFFSETS[i] + c * lm.NODES + node]) for i, c in enumerate(ctx)]
+            gate = node * 4 + min((int(lm.CONF[v[3]]) & 7) // 2, 3)
+            z = max(-14, min(14, sum(float(m.w[gate, i]) * float(lm.STRETCH[x]) for i, x in enumerate(v))))
+            return 0.5 / (1 + math.exp(-z)) + 0.5 * m.refine[node * lm.N_MAP + round((z + 14) * (lm.N_MAP - 1) / 28)]
+
+        s = int(w.cls[word])
+        known = 0.0
+        if s:
+            known, node = chance(0), 1
+            for j in range(4):
+                bit = (s - 1) >> 3 - j & 1
+                known *= chance(node) if bit else 1 - chance(node)
+                node = 2 * node + bit
+            whole = w.n[word] / totals[:, s].sum()
+            own = getattr(w, lm.COUNTS[top])[word] / max(totals[top, s], 1)
+            known *= (1 - lm.BACKOFF) * own + lm.BACKOFF * whole if t and totals[top, s] else whole
+        cache = lm.CACHE if t else 0
+        p = (1 - cache) * (known + (1 - chance(0)) * 10 ** float(w.spelled[word])) + cache * text[:t].count(word) / max(t, 1)
+        out.append(math.log10(p))
+    return out
+
+
+def test_lm_along_texts_against_a_plain_version():
+    m, w, totals = token_model()
+    rng = np.random.default_rng(1)
+    texts = [[*rng.integers(0, 11, n), 11] for n in (0, 1, 2, 60, 200)]
+    pos = np.concatenate([np.arange(len(t)) for t in texts])
+    got = lm.token_log10(m, w, totals, pos, np.concatenate(texts).astype(np.int64))
+    want = np.concatenate([plain_log10(m, w, totals, [int(x) for x in t]) for t in texts])
+    assert np.abs(got - want).max() < 1e-9
+
+
+def test_lm_next_tokens_share_one():
+    """Whatever came before, the probabilities of all words that may follow add up to at most 1."""
+    m, w, totals = token_model(2)
+    w.spelled[:] = -np.inf
+    for before in ([], [0], [3, 3, 1], list(range(11)) * 6):
+        last = [lm.token_log10(m, w, totals, np.arange(len(before) + 1), np.array([*before, x]))[-1] for x in range(12)]
+        assert 0 < (10 ** np.array(last)).sum() <= 1 + 1e-9
+
+
+def test_lm_scores_do_not_follow_partitions_and_come_from_the_mixer(spark, monkeypatch, rows01):
+    docs, _ = rows01
+    held = crc_mod(F.col("doc_id"), 7) == 2
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append({r.doc_id: (r.score, r.bits_per_byte, r.n_known == r.n_tokens) for r in lm.score(docs, ~held).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+    monkeypatch.setattr(lm, "fit_tokens", lambda *_: lm.TokenMixer(np.zeros(lm.TOKEN_SLOTS, np.uint16)))     # even odds
+    even = {r.doc_id: r.score for r in lm.score(docs, ~held).collect()}
+    known = [i for i, r in got[0].items() if r[2]]
+    assert known and sum(even[i] for i in known) < 1.05 * sum(got[0][i][0] for i in known)
 
 
 def test_lm_learns_from_all_words_and_documents(spark):
-    """More documents than the former sample of 2,000, more words than the former 300,000."""
-    docs = spark.range(2600).select(F.concat_ws(" ", F.lit("aa"), F.when(F.col("id") % 2 == 0, "bb bb").otherwise("cc cc")).alias("text"),
-                                    (F.col("id") * 1_000).alias("mark"))
+    """More documents than a former sample of 2,000, more words than a former one of 300,000."""
+    docs = spark.range(2600).select(F.concat_ws(" ", F.lit("aa"), F.when(F.col("id") % 2 == 0, "bb bb").otherwise("cc cc")).alias("text"))
     group = lm.grouping(docs)
     assert group([b"bb"] * 3) != group([b"cc"] * 3)
-    x = spark.createDataFrame([(np.array([[0], [3]], np.uint32).tobytes(),)] * 2600, "x binary")
-    sums, n, _ = lm._pass(x, np.zeros((1, 1, 2)), np.zeros((1, 1)))
-    assert sums.ravel().tolist() == [7800, 0] and n.item() == 2600
     words = spark.range(310_000).select(F.lpad(F.conv("id", 10, 36), 4, "0").cast("binary").alias("word"))
     assert lm.learned(words, np.zeros(lm.SLOTS, np.uint16))[1].sum() == 8 * 5 * 310_000
+
+
+def test_lm_counts_every_decision_of_every_training_text(spark, monkeypatch):
+    seen = {}
+    plain = lm.train_pass
+
+    def spy(blocks, found, end, each, width, model=None):
+        seen[each.__name__] = plain(blocks, found, end, each, width, model)
+        return seen[each.__name__]
+    monkeypatch.setattr(lm, "train_pass", spy)
+    docs = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "aa bb once").otherwise("cc dd").alias("text"))
+    lm.score(docs, F.col("id") % 3 != 2, "id").collect()
+    # 600 training texts: 300 of three words, 300 of two, each with an end; five decisions a token
+    assert seen["_bits_by_bucket"].sum() == 5 * (300 * 4 + 300 * 3) == seen["_counts"].sum() // lm.INPUTS

@@ -55,6 +55,7 @@ FOLD, HELD = 7, 2
 SLOT_BITS = (12, 16, 19, 21, 22, 22)         # one table for each context
 OFFSETS = np.cumsum([0] + [1 << b for b in SLOT_BITS])
 SLOTS = int(OFFSETS[-1])
+ONE = np.uint32(1)                           # of the counts' own type: far faster to add in place
 PART = 1 << 16                               # slots of a row of the summed tables
 N_CONF, N_GATE, N_MAP = 16, 32, 33
 WEIGHTS = len(SLOT_BITS) * N_CONF * N_GATE
@@ -94,6 +95,7 @@ def _lookup():
 
 
 STRETCH, CONF, LESS = _lookup()
+LESS_FLAT = LESS.ravel()
 
 
 # -- contexts -------------------------------------------------------------------------------
@@ -355,12 +357,14 @@ class TokenMixer:
 
     def mix(self, node, slots, bit=None):
         """(log odds, inputs, gate); with ``bit`` on leave-one-out counts."""
-        vs = [self.tables[s] if bit is None else LESS[bit, self.tables[s]] for s in slots]
-        gate = node * 4 + np.minimum((CONF[vs[3]] & 7) >> 1, 3)
-        xs = [STRETCH[v].astype(float) for v in vs]
+        vs = [self.tables.take(s).astype(np.int64) for s in slots]
+        if bit is not None:
+            vs = [LESS_FLAT.take(v + (bit << 16)).astype(np.int64) for v in vs]
+        gate = node * 4 + np.minimum((CONF.take(vs[3]) & 7) >> 1, 3)
+        xs = [STRETCH.take(v).astype(float) for v in vs]
         z = np.zeros(len(node))
-        for i, x in enumerate(xs):
-            z += self.w[gate, i] * x
+        for x, w in zip(xs, np.ascontiguousarray(self.w.T)):
+            z += w.take(gate) * x
         return np.clip(z, -14, 14), xs, gate
 
     @staticmethod
@@ -372,8 +376,7 @@ class TokenMixer:
         return p if self.refine is None else 0.5 * p + 0.5 * self.refine[self.bucket(z, node)]
 
 
-PAIRS = [(i, k) for i in range(INPUTS) for k in range(i, INPUTS)]
-SLOPES = TOKEN_GATES * (INPUTS + len(PAIRS))
+SLOPES = TOKEN_GATES * INPUTS * (INPUTS + 1)
 
 
 def _counts(sym, ctx, _):
@@ -385,16 +388,17 @@ def _counts(sym, ctx, _):
 
 def _slopes(sym, ctx, m):
     """Gradient and curvature of each gate's weights."""
-    out = np.zeros((INPUTS + len(PAIRS), TOKEN_GATES))
+    out = np.zeros((TOKEN_GATES, INPUTS + 1, INPUTS))
     for _, node, bit, slots in decisions(sym, ctx):
         z, xs, gate = m.mix(node, slots, bit)
         p = m.probability(z, node)
-        err, curve = bit - p, p * (1 - p)
-        for i, x in enumerate(xs):
-            out[i] += np.bincount(gate, err * x, TOKEN_GATES)
-        xs_curve = [curve * x for x in xs]
-        for o, (i, k) in zip(out[INPUTS:], PAIRS):
-            o += np.bincount(gate, xs_curve[i] * xs[k], TOKEN_GATES)
+        order = np.argsort(gate.astype(np.uint8), kind="stable")
+        x, err, curve = np.stack(xs, axis=1)[order], (bit - p)[order], (p * (1 - p))[order]
+        ends = np.cumsum(np.bincount(gate, minlength=TOKEN_GATES))
+        for g, (lo, hi) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+            if lo < hi:
+                out[g, 0] += err[lo:hi] @ x[lo:hi]
+                out[g, 1:] += (x[lo:hi] * curve[lo:hi, None]).T @ x[lo:hi]
     return np.rint(out.ravel() * FIXED).astype(np.int64)
 
 
@@ -428,11 +432,8 @@ def fit_tokens(blocks: DataFrame, found: DataFrame, end: dict) -> TokenMixer:
     q = quantise(n.reshape(-1, 2))
     m = TokenMixer(q[:, 0] << 8 | q[:, 1])
     for _ in range(STEPS):
-        s = train_pass(blocks, found, end, _slopes, SLOPES, m).reshape(-1, TOKEN_GATES) / FIXED
-        curve = np.zeros((TOKEN_GATES, INPUTS, INPUTS))
-        for o, (i, k) in zip(s[INPUTS:], PAIRS):
-            curve[:, i, k] = curve[:, k, i] = o
-        pull = s[:INPUTS].T - RIDGE * (m.w - START)
+        s = train_pass(blocks, found, end, _slopes, SLOPES, m).reshape(TOKEN_GATES, INPUTS + 1, INPUTS) / FIXED
+        pull, curve = s[:, 0] - RIDGE * (m.w - START), s[:, 1:]
         m.w = np.clip(m.w + np.linalg.solve(curve + RIDGE * np.eye(INPUTS), pull[..., None])[..., 0], -1.5, 2.5)
     seen = train_pass(blocks, found, end, _bits_by_bucket, 2 * NODES * N_MAP, m).reshape(-1, 2)
     m.refine = refined(seen, NODES)
@@ -504,7 +505,7 @@ def _count(batches):
         for _, raw, _, pos in streams(b.column(0).to_pylist()):
             for _, bit, slots in bits(raw, pos):
                 for s in slots:
-                    np.add.at(n, 2 * s + bit, 1)
+                    np.add.at(n, 2 * s + bit, ONE)
     if any_rows:
         pack = zstandard.ZstdCompressor(level=1)
         for part in range(0, -(-SLOTS // PART)):

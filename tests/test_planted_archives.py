@@ -17,7 +17,7 @@ def documents(spark, tmp_path, monkeypatch):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["archive_roundtrip", "archive_status", "faulty_archives", "sliced_run"])
+@pytest.mark.parametrize("name", ["archive_roundtrip", "archive_status", "compacted_run", "faulty_archives", "sliced_run"])
 def test_archives_of_fewer_segments_than_tasks(spark, documents, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{documents}/documents.parquet/*.parquet')")

@@ -71,7 +71,7 @@ TOKEN_OFFSETS = np.cumsum([0] + [NODES * c for c in TOKEN_CONTEXTS])
 TOKEN_SLOTS = int(TOKEN_OFFSETS[-1])
 INPUTS, TOKEN_GATES, STEPS, START, RIDGE = len(TOKEN_CONTEXTS), 4 * NODES, 2, 0.2, 4.0
 BACKOFF = 0.05                               # share of all groups in a class's words
-TOKENS = 1 << 17                             # tokens mixed at once
+TOKENS, DECISIONS = 1 << 17, 1 << 14         # tokens of a piece, decisions mixed at once: they stay in a core's cache
 RATE, CURVATURE = 1.0, 0.25
 
 
@@ -96,6 +96,8 @@ def _lookup():
 
 STRETCH, CONF, LESS = _lookup()
 LESS_FLAT = LESS.ravel()
+WEIGHT_OF = CONF.astype(np.int64) * N_GATE   # of the first context and gate
+EIGHTHS = np.minimum(8 * np.arange(WINDOW + 1) // np.maximum(np.arange(WINDOW + 1), 1)[:, None], 7).ravel()    # by window and count
 
 
 # -- contexts -------------------------------------------------------------------------------
@@ -151,11 +153,11 @@ class Mixer:
         z = np.zeros(len(gate))
         xs, at = [], []
         for i, s in enumerate(slots):
-            v = self.tables[s]
+            v = self.tables.take(s).astype(np.int64)
             if bit is not None:
-                v = LESS[bit, v]
-            x, k = STRETCH[v], (CONF[v] + i * N_CONF) * N_GATE + gate
-            z += self.w[k] * x
+                v = LESS_FLAT.take(v + (bit.astype(np.int64) << 16)).astype(np.int64)
+            x, k = STRETCH.take(v), WEIGHT_OF.take(v) + (i * N_CONF * N_GATE + gate)
+            z += self.w.take(k) * x
             xs.append(x)
             at.append(k)
         return np.clip(z, -14, 14), xs, at
@@ -315,36 +317,49 @@ def pieces(row: dict, end_at: int, training: bool):
 
 def token_contexts(sym: np.ndarray, hashes: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
     """Each context's number at each token, from the tokens before it in its text."""
+    start = [np.flatnonzero(pos < k) for k in range(5)]
+
     def back(x, k, none):
-        return np.where(pos >= k, np.concatenate([np.zeros(min(k, len(x)), x.dtype), x[:-k]]), none)
+        out = np.concatenate([np.zeros(min(k, len(x)), x.dtype), x[:-k]])
+        out[start[k]] = none
+        return out
 
     t = np.arange(len(sym))
     group = np.where(sym > 0, (sym - 1) >> 2, GROUPS)
     one = back(sym, 1, 17)
     four = sum(back(group, k, 5) * 6 ** (k - 1) for k in range(1, 5))
-    before = np.zeros((GROUPS + 1, len(sym) + 1), np.int32)
+    before = np.zeros((GROUPS + 1, len(sym) + 1), np.int64)
     for g in range(GROUPS + 1):
         np.cumsum(group == g, out=before[g, 1:])
     width = np.minimum(pos, WINDOW)
-    recent = before[:, t] - before[:, t - width]
-    top = recent[:GROUPS].argmax(axis=0)
-    lot = np.maximum(width, 1)
-    window = (top * 8 + np.minimum(8 * recent[top, t] // lot, 7)) * 4 + np.minimum(8 * recent[GROUPS] // lot, 3)
-    unknown = before[GROUPS, t] - before[GROUPS, t - pos]
-    so_far = np.minimum(np.log2(pos + 1).astype(np.int64), 15) * 8 + np.minimum(32 * unknown // np.maximum(pos, 1), 7)
+    recent = [b[:-1] - b.take(t - width) for b in before]
+    top, most = np.zeros(len(sym), np.int64), recent[0]
+    for g in range(1, GROUPS):
+        top[recent[g] > most] = g
+        most = np.maximum(most, recent[g])
+    of_width = width * (WINDOW + 1)
+    window = (top * 8 + EIGHTHS.take(of_width + most)) * 4 + np.minimum(EIGHTHS.take(of_width + recent[GROUPS]), 3)
+    unknown = before[GROUPS, :-1] - before[GROUPS].take(t - pos)
+    doubled = np.minimum(np.log2(np.arange(1, pos.max(initial=0) + 2)).astype(np.int64), 15) * 8
+    so_far = doubled.take(pos) + np.minimum(32 * unknown // np.maximum(pos, 1), 7)
     word = (hashes * np.uint32(0x9E3779B1)) >> np.uint32(19)
     return [one, one * 18 + back(sym, 2, 17), four, back(word, 1, 0).astype(np.int64), window, so_far]
 
 
 def decisions(sym: np.ndarray, ctx: list[np.ndarray]):
-    """For each binary decision of the tokens: which tokens take it, node, bit, slots."""
+    """The binary decisions of the tokens, DECISIONS at once: which tokens take them, node, bit, slots."""
+    slots = [int(o) + c * NODES for o, c in zip(TOKEN_OFFSETS, ctx)]
+    for lo in range(0, len(sym), DECISIONS):
+        some = slice(lo, lo + DECISIONS)
+        bit = (sym[some] > 0).astype(np.int64)
+        yield np.arange(lo, lo + len(bit)), np.zeros(len(bit), np.int64), bit, [s[some] for s in slots]
     known = np.flatnonzero(sym > 0)
-    for j in range(5):
-        at = known if j else np.arange(len(sym))
-        code = sym[at] - 1
-        node = (1 << j - 1) | code >> 5 - j if j else np.zeros(len(at), np.int64)
-        bit = code >> 4 - j & 1 if j else (code >= 0).astype(np.int64)
-        yield at, node, bit, [int(o) + c[at] * NODES + node for o, c in zip(TOKEN_OFFSETS, ctx)]
+    for lo in range(0, len(known), DECISIONS):
+        took = known[lo:lo + DECISIONS]
+        code, taken = sym.take(took) - 1, [s.take(took) for s in slots]
+        for j in range(1, 5):
+            node = (1 << j - 1) | code >> 5 - j
+            yield took, node, code >> 4 - j & 1, [s + node for s in taken]
 
 
 class TokenMixer:
@@ -354,19 +369,28 @@ class TokenMixer:
         self.tables = tables
         self.w = np.full((TOKEN_GATES, INPUTS), START)
         self.refine = None
+        self.made = {}
 
     def mix(self, node, slots, bit=None):
         """(log odds, inputs, gate); with ``bit`` on leave-one-out counts."""
-        vs = [self.tables.take(s).astype(np.int64) for s in slots]
-        if bit is not None:
-            vs = [LESS_FLAT.take(v + (bit << 16)).astype(np.int64) for v in vs]
-        gate = node * 4 + np.minimum((CONF.take(vs[3]) & 7) >> 1, 3)
-        xs = [STRETCH.take(v).astype(float) for v in vs]
+        inputs, level = self.by_slot(bit is not None)
+        at = slots if bit is None else [2 * s + bit for s in slots]
+        gate = node * 4 + level.take(at[3])
+        xs = [inputs.take(a) for a in at]
         z = np.zeros(len(node))
         for x, w in zip(xs, np.ascontiguousarray(self.w.T)):
             z += w.take(gate) * x
         return np.clip(z, -14, 14), xs, gate
 
+    def by_slot(self, less: bool):
+        """Input and level of confidence of every slot (``less``: slot and bit, on leave-one-out counts), made once."""
+        if less not in self.made:
+            v = self.tables.astype(np.int64)
+            if less:
+                v = LESS_FLAT.take(np.stack([v, v + (1 << 16)], axis=1).ravel()).astype(np.int64)
+            self.made[less] = STRETCH.take(v).astype(float), np.minimum((CONF.take(v) & 7) >> 1, 3).astype(np.int64)
+        return self.made[less]
+
     @staticmethod
     def bucket(z, node):
         return node * N_MAP + np.round((z + 14) * (N_MAP - 1) / 28).astype(np.int64)
@@ -380,10 +404,14 @@ SLOPES = TOKEN_GATES * INPUTS * (INPUTS + 1)
 
 
 def _counts(sym, ctx, _):
-    n = np.zeros(2 * TOKEN_SLOTS, np.int64)
-    for _, _, bit, slots in decisions(sym, ctx):
-        n += np.bincount(np.concatenate([2 * s + bit for s in slots]), minlength=len(n))
-    return n
+    n = np.zeros((TOKEN_SLOTS // NODES, NODES, 2), np.int64)
+    for c, size, o in zip(ctx, TOKEN_CONTEXTS, TOKEN_OFFSETS // NODES):
+        seen = np.bincount(c * (NODES + 1) + sym, minlength=size * (NODES + 1)).reshape(size, -1)
+        own, known = n[o:o + size], seen[:, 1:]
+        own[:, 0, 0], own[:, 0, 1] = seen[:, 0], known.sum(axis=1)
+        for j in range(1, 5):
+            own[:, 1 << j - 1:1 << j] = known.reshape(size, 1 << j - 1, 2, -1).sum(axis=3)
+    return n.ravel()
 
 
 def _slopes(sym, ctx, m):
@@ -393,7 +421,7 @@ def _slopes(sym, ctx, m):
         z, xs, gate = m.mix(node, slots, bit)
         p = m.probability(z, node)
         order = np.argsort(gate.astype(np.uint8), kind="stable")
-        x, err, curve = np.stack(xs, axis=1)[order], (bit - p)[order], (p * (1 - p))[order]
+        x, err, curve = np.stack(xs, axis=1).take(order, axis=0), (bit - p).take(order), (p * (1 - p)).take(order)
         ends = np.cumsum(np.bincount(gate, minlength=TOKEN_GATES))
         for g, (lo, hi) in enumerate(zip(np.append(0, ends[:-1]), ends)):
             if lo < hi:
@@ -448,29 +476,39 @@ def refined(seen: np.ndarray, gates: int) -> np.ndarray:
 
 def _before(at: np.ndarray) -> np.ndarray:
     """How often the same value stands earlier in the list."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))
+    wide = len(at).bit_length()
+    if len(at) and int(at.max()) < 1 << 62 - wide:               # one sort of whole numbers is far faster
+        order = np.sort(at << wide | np.arange(len(at))) & (1 << wide) - 1
+    else:
+        order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     out = np.empty(len(at), np.int64)
     out[order] = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
     return out
 
 
-def token_log10(m: TokenMixer, w: Words, totals: np.ndarray, pos: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 P of each token; ``totals`` are the training tokens by group and class."""
-    sym = w.cls[at]
-    ctx = token_contexts(sym, w.hash[at], pos)
+def shares_of(w: Words, totals: np.ndarray):
+    """Each word's share of the training tokens of its class, in all groups and in each."""
     listed = np.stack([getattr(w, c) for c in COUNTS])
     whole = w.n / np.maximum(totals.sum(axis=0), 1)[w.cls]
-    shares = np.where(totals[:, w.cls] > 0, (1 - BACKOFF) * listed / np.maximum(totals, 1)[:, w.cls] + BACKOFF * whole, whole)
+    return whole, np.where(totals[:, w.cls] > 0, (1 - BACKOFF) * listed / np.maximum(totals, 1)[:, w.cls] + BACKOFF * whole, whole)
+
+
+def token_log10(m: TokenMixer, w: Words, totals: np.ndarray, pos: np.ndarray, at: np.ndarray, shares=None) -> np.ndarray:
+    """log10 P of each token; ``totals`` are the training tokens by group and class, ``shares`` their ``shares_of``."""
+    sym = w.cls[at]
+    ctx = token_contexts(sym, w.hash[at], pos)
+    whole, shares = shares or shares_of(w, totals)
     share = np.where(pos > 0, shares[ctx[4] >> 5, at], whole[at])
     known = np.log(np.maximum(share, 1e-300))
     known[sym == 0] = -np.inf
     spelled = w.spelled[at] * LN10
-    for j, (took, node, bit, slots) in enumerate(decisions(sym, ctx)):
+    for took, node, bit, slots in decisions(sym, ctx):
         p = m.probability(m.mix(node, slots)[0], node)
-        if j == 0:
-            known += np.log(p)
-            spelled += np.log1p(-p)
+        if node[0] == 0:
+            known[took] += np.log(p)
+            spelled[took] += np.log1p(-p)
         else:
             known[took] += np.log(np.where(bit == 1, p, 1 - p))
     text = np.cumsum(pos == 0)
@@ -583,11 +621,11 @@ def _texts(kind, model, totals: np.ndarray, n_types: int, end: dict):
     """One block: documents as word positions, and the words' counts, classes, spelling and length -> scores."""
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         w, m = Words(words, end), model.value
-        base = np.log10((w.n + 1) / (int(totals.sum()) + n_types + 1))
+        base, shares = np.log10((w.n + 1) / (int(totals.sum()) + n_types + 1)), shares_of(w, totals)
         out = [[] for _ in range(6)]
         for row in docs.to_pylist():
             for ids, starts, pos, at in pieces(row, len(w.n) - 1, False):
-                total = np.add.reduceat(token_log10(m, w, totals, pos, at), starts)
+                total = np.add.reduceat(token_log10(m, w, totals, pos, at, shares), starts)
                 n = np.diff(np.append(starts, len(at)))
                 size = np.add.reduceat(w.size[at], starts) + n
                 for o, v in zip(out, (ids, n, np.add.reduceat((w.n[at] > 0).astype(np.int64), starts),

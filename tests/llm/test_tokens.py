@@ -1,5 +1,6 @@
 import hashlib
 import math
+from collections import Counter
 
 import brute
 import numpy as np
@@ -207,3 +208,25 @@ def test_lm_counts_every_decision_of_every_training_text(spark, monkeypatch):
     lm.score(docs, F.col("id") % 3 != 2, "id").collect()
     # 600 training texts: 300 of three words, 300 of two, each with an end; five decisions a token
     assert seen["_bits_by_bucket"].sum() == 5 * (300 * 4 + 300 * 3) == seen["_counts"].sum() // lm.INPUTS
+
+
+def test_decisions_come_in_pieces_and_are_counted_once():
+    rng = np.random.default_rng(3)
+    sym, hashes = rng.integers(0, 17, 50_000), rng.integers(0, 1 << 32, 50_000).astype(np.uint32)
+    ctx = lm.token_contexts(sym, hashes, np.arange(50_000) % 700)
+    want, taken = Counter(), Counter()
+    for took, node, bit, slots in lm.decisions(sym, ctx):
+        assert 0 < len(took) == len(node) == len(bit) <= lm.DECISIONS and len(set(node.tolist())) <= 8
+        taken.update(took.tolist())
+        for s in slots:
+            want.update((2 * s + bit).tolist())
+    assert all(taken[t] == (5 if s else 1) for t, s in enumerate(sym))
+    got = lm._counts(sym, ctx, None)
+    assert {i: int(got[i]) for i in np.flatnonzero(got)} == want
+
+
+def test_earlier_occurrences_are_counted_for_numbers_of_any_size():
+    for top in (1 << 20, 1 << 60):
+        at = np.array([5, 7, 5, 5, 7, 9]) + top
+        assert lm._before(at).tolist() == [0, 0, 1, 2, 1, 0]
+    assert lm._before(np.zeros(0, np.int64)).tolist() == []

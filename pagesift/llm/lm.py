@@ -21,7 +21,9 @@ bits per byte.
 
 What is gathered grows with the corpus: the table of all distinct words with their counts, made by one grouping over
 block word lists; class totals, counts of contexts, weights and maps are sums over every training word of every training
-text. Words that occur once stand for unknown ones there. Only the tables of the contexts' counts are of fixed
+text. Words are counted in ``BUCKETS`` buckets of the vocabulary or more (one for 128 MB of text), blocks' word lists go to them and
+come back compressed; training texts are staged once as contexts by symbol, which every pass reads.
+Words that occur once stand for unknown ones there. Only the tables of the contexts' counts are of fixed
 size (``SLOTS``, 22 MB, and ``TOKEN_SLOTS``), summed in Spark and broadcast. Weights along texts take ``STEPS`` Newton steps,
 one pass each; those inside words are learned online in ``SHARDS`` shards of the words by hash and averaged in shard order.
 Sums are whole numbers, so scores don't depend on the number of shuffle partitions. The ``GROUPS`` groups of documents are
@@ -37,7 +39,7 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import crc_mod, release, ship_package, staged, table
-from .wordblocks import DOCS, by_block, documents_of, unpack, unpack_words, word_blocks, words_of
+from .wordblocks import DOCS, by_block, documents_of, pack, pack_words, unpack, unpack_words, word_blocks
 
 LN10 = math.log(10)
 
@@ -63,6 +65,7 @@ STREAM = 1 << 14                             # bytes spelled at once
 GROUPS, WINDOW, CACHE = 4, 48, 0.03
 VOCABULARY, RESTARTS, ROUNDS = 500, 8, 20
 EFFECTIVE = 100.0                            # words' worth of evidence in a word's shared documents
+BUCKETS = 32                                 # of the vocabulary at least
 SHARDS, LESSON = 64, 4096                    # shards of the distinct words, words learned at once
 FIXED = 1 << 20                              # sums of a pass are whole numbers of 1 / FIXED, the same in any order
 TOKEN_CONTEXTS = (18, 18 * 18, 6 ** 4, 1 << 13, 128, 128)
@@ -95,8 +98,8 @@ def _lookup():
 
 
 STRETCH, CONF, LESS = _lookup()
-LESS_FLAT = LESS.ravel()
-WEIGHT_OF = CONF.astype(np.int64) * N_GATE   # of the first context and gate
+WEIGHT_OF = CONF.astype(np.int64) * N_GATE   # of the first gate
+STRETCH_LESS, WEIGHT_LESS = STRETCH[LESS].ravel(), WEIGHT_OF[LESS].ravel()      # by bit and value
 EIGHTHS = np.minimum(8 * np.arange(WINDOW + 1) // np.maximum(np.arange(WINDOW + 1), 1)[:, None], 7).ravel()    # by window and count
 
 
@@ -149,15 +152,14 @@ class Mixer:
         self.refine = refine                                   # probabilities by gate and bucket
 
     def mix(self, gate, slots, bit=None):
-        """(log odds, inputs, indices of the weights); with ``bit`` on leave-one-out counts."""
-        z = np.zeros(len(gate))
+        """(log odds, inputs, indices of each context's weights); with ``bit`` on leave-one-out counts."""
+        stretch, weight = (STRETCH, WEIGHT_OF) if bit is None else (STRETCH_LESS, WEIGHT_LESS)
+        z, after = np.zeros(len(gate)), 0 if bit is None else bit.astype(np.int64) << 16
         xs, at = [], []
-        for i, s in enumerate(slots):
-            v = self.tables.take(s).astype(np.int64)
-            if bit is not None:
-                v = LESS_FLAT.take(v + (bit.astype(np.int64) << 16)).astype(np.int64)
-            x, k = STRETCH.take(v), WEIGHT_OF.take(v) + (i * N_CONF * N_GATE + gate)
-            z += self.w.take(k) * x
+        for w, s in zip(self.w.reshape(len(SLOT_BITS), -1), slots):
+            v = self.tables.take(s).astype(np.int64) + after
+            x, k = stretch.take(v), weight.take(v) + gate
+            z += w.take(k) * x
             xs.append(x)
             at.append(k)
         return np.clip(z, -14, 14), xs, at
@@ -176,11 +178,10 @@ class Mixer:
                 p = 1 / (1 + np.exp(-z))
                 counts += np.bincount(self.bucket(z, gate) * 2 + bit, minlength=len(counts))
                 err = bit - p
-                up, down = np.zeros(WEIGHTS), np.full(WEIGHTS, 50.0)
-                for x, k in zip(xs, at):
-                    up += np.bincount(k, err * x, WEIGHTS)
-                    down += np.bincount(k, CURVATURE * x * x, WEIGHTS)     # a bound, so that no step overshoots
-                self.w = np.clip(self.w + RATE * up / down, -1, 4)
+                own = N_CONF * N_GATE
+                up = np.concatenate([np.bincount(k, err * x, own) for x, k in zip(xs, at)])
+                down = 50.0 + np.concatenate([np.bincount(k, CURVATURE * x * x, own) for x, k in zip(xs, at)])
+                self.w = np.clip(self.w + RATE * up / down, -1, 4)         # the bound of the curvature keeps steps short
 
     def spell(self, words: list[bytes]) -> np.ndarray:
         """log10 of the probability of each word's spelling."""
@@ -192,7 +193,7 @@ class Mixer:
                 gate = j * 4 + p4
                 z, _, _ = self.mix(gate, slots)
                 p = 1 / (1 + np.exp(-z))
-                p = 0.5 * p + 0.5 * self.refine[self.bucket(z, gate)]
+                p = 0.5 * p + 0.5 * self.refine.take(self.bucket(z, gate))
                 total += np.log10(np.where(bit == 1, p, 1 - p))
             out[lo:lo + len(starts)] = np.add.reduceat(total, starts)
         return out
@@ -200,15 +201,19 @@ class Mixer:
 
 # -- groups of documents ----------------------------------------------------------------------
 class Grouping:
-    """Groups of some frequent words; assigns a text to the group that predicts those it holds best."""
+    """Groups of some frequent words; assigns texts to the group that predicts those they hold best."""
 
     def __init__(self, vocabulary: list[bytes], log_p: np.ndarray):
         self.index = {w: i for i, w in enumerate(vocabulary)}
         self.log_p = log_p
 
     def __call__(self, words: list[bytes]) -> int:
-        at = [i for i in map(self.index.get, words) if i is not None]
-        return int(self.log_p[:, at].sum(axis=1).argmax()) if at else 0
+        at = np.array([i for i in map(self.index.get, words) if i is not None], np.int64)
+        return int(self.assign(np.zeros(len(at), np.int64), at, 1)[0])
+
+    def assign(self, doc: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """The group of each of ``n`` texts from which text holds which word, repeats included."""
+        return np.stack([np.bincount(doc, p.take(at), n) for p in self.log_p]).argmax(axis=0)
 
 
 def add_up(rows: DataFrame, width: int) -> np.ndarray:
@@ -217,14 +222,14 @@ def add_up(rows: DataFrame, width: int) -> np.ndarray:
         total = None
         for b in batches:
             for d in b.column(0).to_pylist():
-                n = np.frombuffer(zstandard.ZstdDecompressor().decompress(d), np.int64)
+                n = numbers(d)
                 total = n.copy() if total is None else total + n
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)])], names=["data"])
 
     out = np.zeros(width, np.int64)
     for r in rows.repartition(8).mapInArrow(add, "data binary").collect():       # 8 rows at most
-        out += np.frombuffer(zstandard.ZstdDecompressor().decompress(r.data), np.int64)
+        out += numbers(r.data)
     return out
 
 
@@ -252,40 +257,159 @@ def clusters(shared: np.ndarray) -> np.ndarray:
     return best
 
 
+def _vocabulary(rows: pa.Table) -> pa.Table:
+    """Rows (bucket, block, data, counts) of one bucket -> its distinct words with their training counts (block -1), and the
+    position of each block's words among them."""
+    index, n, out = defaultdict(itertools.count().__next__), np.zeros(1 << 12, np.int64), []
+    bucket = rows.column("bucket")[0].as_py()
+    for block, data, counts in zip(*(rows.column(c) for c in ("block", "data", "counts"))):
+        at = np.fromiter(map(index.__getitem__, unpack_words(data.as_py())), np.int64)
+        if len(index) > len(n):
+            n = np.concatenate([n, np.zeros(len(index), np.int64)])
+        n[at] += unpack(counts.as_py())                         # a block lists a word once
+        out.append((bucket, block.as_py(), pack(at), None))
+    out.append((bucket, DOCS, pack_words(list(index)), squeeze(n[:len(index)])))
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                    names=["bucket", "block", "data", "counts"])
+
+
+def vocabulary(blocks: DataFrame) -> DataFrame:
+    return by_block(blocks.filter("bucket >= 0").select("bucket", "block", "data", "counts").groupBy("bucket")
+                    .applyInArrow(_vocabulary, "bucket int, block long, data binary, counts binary"), "bucket")
+
+
+def _most(batches):
+    """Distinct words with counts -> those that may be among the VOCABULARY most frequent."""
+    for b in batches:
+        for data, counts in zip(*(c.to_pylist() for c in b.columns)):
+            words, n = unpack_words(data), numbers(counts)
+            least = max(np.sort(n)[-VOCABULARY:][0], 1)
+            top = sorted((-int(n[i]), words[i]) for i in np.flatnonzero(n >= least))[:VOCABULARY]
+            yield pa.RecordBatch.from_arrays([pa.array([w for _, w in top], pa.binary()), pa.array([-k for k, _ in top], pa.int64())],
+                                             names=["word", "n"])
+
+
+class _Listed:
+    """A block's training documents, and where its words of ``index`` stand in them."""
+
+    def __init__(self, block: pa.Table, index: dict):
+        rows = {r["bucket"]: r for r in block.to_pylist()}
+        row = rows.pop(DOCS)
+        marks, sizes = unpack(row["counts"]), unpack(row["sizes"])
+        self.train, bucket = np.flatnonzero(marks[:len(sizes)]), marks[len(sizes):]
+        number = np.full(len(bucket), -1)
+        self.places = words_by_bucket(bucket)
+        for q, r in rows.items():
+            got = [(i, index[w]) for i, w in enumerate(unpack_words(r["data"])) if w in index]
+            if got:
+                i, k = np.array(got).T
+                number[self.places(q)[i]] = k
+        self.flat = unpack(row["data"])
+        doc = np.full(len(sizes), -1)
+        doc[self.train] = np.arange(len(self.train))
+        self.doc = np.repeat(doc, sizes)                        # of each word, -1 for texts that don't train
+        self.buckets, self.n_words = list(rows), len(bucket)
+        number = number.take(self.flat)
+        hit = (number >= 0) & (self.doc >= 0)
+        self.hit_doc, self.hit = self.doc[hit], number[hit]
+
+
+def words_by_bucket(bucket: np.ndarray):
+    """The places of the words of a bucket in a block's list, by bucket."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(bucket.max() + 2 if len(bucket) else 1))
+    return lambda q: order[cuts[q]:cuts[q + 1]]
+
+
 def grouping(train: DataFrame) -> Grouping:
     """The grouping by all of ``train(text)``."""
-    train = train.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    blocks = word_blocks(train.select("text", F.lit(0).alias("id")), "id", "text", F.lit(True))
+    return grouping_of(blocks, vocabulary(blocks))
 
-    def frequent(batches):
-        for b in batches:
-            seen = Counter()
-            for t in b.column(0).to_pylist():
-                seen.update(words_of(t))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["word", "n"])
 
-    top = train.mapInArrow(frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")) \
+def grouping_of(blocks: DataFrame, vocab: DataFrame) -> Grouping:
+    """The grouping by all training documents of the blocks."""
+    top = vocab.filter(F.col("block") == DOCS).select("data", "counts").mapInArrow(_most, "word binary, n long") \
         .orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     listed = [bytes(r.word) for r in top]
     if not listed:
         return Grouping([], np.zeros((GROUPS, 0)))
 
-    def together(batches):
-        index, total = {w: i for i, w in enumerate(listed)}, np.zeros((len(listed),) * 2, np.int64)
-        for b in batches:
-            texts = b.column(0).to_pylist()
-            for lo in range(0, len(texts), 512):
-                x = np.zeros((min(512, len(texts) - lo), len(listed)), np.float32)
-                for row, t in zip(x, texts[lo:lo + 512]):
-                    row[[i for i in map(index.get, set(words_of(t))) if i is not None]] = 1
-                total += np.rint(x.T @ x).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)])], names=["data"])
-
-    shared = add_up(train.mapInArrow(together, "data binary"), len(listed) ** 2)
+    def together(block: pa.Table) -> pa.Table:
+        b, total = _Listed(block, {w: i for i, w in enumerate(listed)}), np.zeros((len(listed),) * 2, np.int64)
+        cuts = np.searchsorted(b.hit_doc, np.arange(0, len(b.train) + 512, 512))
+        for first, lo, hi in zip(range(0, len(b.train), 512), cuts, cuts[1:]):
+            x = np.zeros((512, len(listed)), np.float32)
+            x[b.hit_doc[lo:hi] - first, b.hit[lo:hi]] = 1
+            total += np.rint(x.T @ x).astype(np.int64)
+        return pa.table({"data": pa.array([squeeze(total)], pa.binary())})
+
+    shared = add_up(blocks.groupBy("block").applyInArrow(together, "data binary"), len(listed) ** 2)
     return Grouping(listed, clusters(shared.reshape(len(listed), -1)))
 
 
+def _tallies(group):
+    """One block -> (block, bucket, training counts of its words by group)."""
+    def run(block: pa.Table) -> pa.Table:
+        b = _Listed(block, group.value.index)
+        of = np.append(group.value.assign(b.hit_doc, b.hit, len(b.train)), -1)
+        mine, out = of.take(b.doc), []                          # the last stands for texts that don't train
+        n = np.stack([np.bincount(b.flat[mine == g], minlength=b.n_words) for g in range(GROUPS)])
+        number = block.column("block")[0].as_py()
+        for q in b.buckets:
+            out.append((number, q, pack(n[:, b.places(q)].ravel())))
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else ([], [], []), (pa.int64(), pa.int32(), pa.binary()))],
+                        names=["block", "bucket", "counts"])
+    return run
+
+
+def _word_counts(vocab: pa.Table, tallies: pa.Table) -> pa.Table:
+    """One bucket's words, and the blocks' counts of them by group -> (bucket, words, counts by group)."""
+    places, words = {}, None
+    for block, data in zip(vocab.column("block").to_pylist(), vocab.column("data")):
+        places[block] = data.as_py()
+    words = places.pop(DOCS)
+    n = None
+    for block, counts in zip(tallies.column("block").to_pylist(), tallies.column("counts")):
+        at, counts = unpack(places[block]), unpack(counts.as_py()).reshape(GROUPS, -1)
+        if n is None:
+            n = np.zeros((GROUPS, words_in(words)), np.int64)
+        n[:, at] += counts
+    return pa.table({"bucket": pa.array([vocab.column("bucket")[0].as_py()], pa.int32()), "data": pa.array([words], pa.binary()),
+                     "counts": pa.array([squeeze(n)], pa.binary())})
+
+
+def words_in(data: bytes) -> int:
+    return zstandard.ZstdDecompressor().decompress(data).count(b" ") + 1
+
+
+def numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int64)
+
+
 # -- tokens of texts ----------------------------------------------------------------------------
+COUNTS = [f"c{g}" for g in range(GROUPS)]
+ATTRIBUTES = {"spelled": "<f8", "hash": "<u4", "size": "<u4", "cls": "u1", **dict.fromkeys(COUNTS, "<u8")}
+KEPT = {"two": "<u2", "four": "<u2", "word": "<u2", "window": "u1", "so_far": "u1"}
+
+
+def pack_columns(kinds: dict, columns) -> bytes:
+    """Columns of equal length, byte planes apart, compressed."""
+    planes = [np.ascontiguousarray(c, k).view(np.uint8).reshape(len(c), np.dtype(k).itemsize).T.tobytes()
+              for c, k in zip(columns, kinds.values())]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack_columns(kinds: dict, data: bytes) -> dict:
+    raw, lo, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), 0, {}
+    n = len(raw) // sum(np.dtype(k).itemsize for k in kinds.values())
+    for name, k in kinds.items():
+        wide = np.dtype(k).itemsize
+        out[name] = np.ascontiguousarray(raw[lo:lo + n * wide].reshape(wide, n).T).view(k).reshape(-1)
+        lo += n * wide
+    return out
+
+
 class Words:
     """The word list of one block, by position, and the end as its last row."""
 
@@ -347,19 +471,23 @@ def token_contexts(sym: np.ndarray, hashes: np.ndarray, pos: np.ndarray) -> list
 
 
 def decisions(sym: np.ndarray, ctx: list[np.ndarray]):
-    """The binary decisions of the tokens, DECISIONS at once: which tokens take them, node, bit, slots."""
+    """The binary decisions of the tokens, DECISIONS at once, each time of one node and bit: which tokens take them, node,
+    bit, slots."""
+    order = np.arange(len(sym))
+    if (sym[1:] < sym[:-1]).any():
+        order = np.argsort(sym.astype(np.uint8), kind="stable")
+        ctx = [c.take(order) for c in ctx]
     slots = [int(o) + c * NODES for o, c in zip(TOKEN_OFFSETS, ctx)]
-    for lo in range(0, len(sym), DECISIONS):
-        some = slice(lo, lo + DECISIONS)
-        bit = (sym[some] > 0).astype(np.int64)
-        yield np.arange(lo, lo + len(bit)), np.zeros(len(bit), np.int64), bit, [s[some] for s in slots]
-    known = np.flatnonzero(sym > 0)
-    for lo in range(0, len(known), DECISIONS):
-        took = known[lo:lo + DECISIONS]
-        code, taken = sym.take(took) - 1, [s.take(took) for s in slots]
-        for j in range(1, 5):
-            node = (1 << j - 1) | code >> 5 - j
-            yield took, node, code >> 4 - j & 1, [s + node for s in taken]
+    ends = np.append(0, np.cumsum(np.bincount(sym, minlength=17)))       # symbols in order: those of a node lie together
+    turns = [(0, 0, 0, 1), (0, 1, 1, 17)]
+    for j in range(1, 5):
+        wide = 1 << 4 - j
+        turns += [(1 << j - 1 | h >> 1, h & 1, 1 + h * wide, 1 + (h + 1) * wide) for h in range(1 << j)]
+    for node, bit, first, last in turns:
+        for lo in range(ends[first], ends[last], DECISIONS):
+            some = slice(lo, min(lo + DECISIONS, ends[last]))
+            took = order[some]
+            yield took, np.full(len(took), node), np.full(len(took), bit), [s[some] + node for s in slots]
 
 
 class TokenMixer:
@@ -371,33 +499,39 @@ class TokenMixer:
         self.refine = None
         self.made = {}
 
-    def mix(self, node, slots, bit=None):
-        """(log odds, inputs, gate); with ``bit`` on leave-one-out counts."""
-        inputs, level = self.by_slot(bit is not None)
-        at = slots if bit is None else [2 * s + bit for s in slots]
-        gate = node * 4 + level.take(at[3])
-        xs = [inputs.take(a) for a in at]
-        z = np.zeros(len(node))
-        for x, w in zip(xs, np.ascontiguousarray(self.w.T)):
-            z += w.take(gate) * x
-        return np.clip(z, -14, 14), xs, gate
-
-    def by_slot(self, less: bool):
-        """Input and level of confidence of every slot (``less``: slot and bit, on leave-one-out counts), made once."""
-        if less not in self.made:
-            v = self.tables.astype(np.int64)
-            if less:
-                v = LESS_FLAT.take(np.stack([v, v + (1 << 16)], axis=1).ravel()).astype(np.int64)
-            self.made[less] = STRETCH.take(v).astype(float), np.minimum((CONF.take(v) & 7) >> 1, 3).astype(np.int64)
-        return self.made[less]
+    def mix(self, node: int, slots, bit=None):
+        """Of decisions of one node (with ``bit`` of one bit, on leave-one-out counts): their order by gate, each gate's
+        number and slice, inputs and log odds in that order."""
+        inputs, level = self.by_slot(node, bit)
+        of = level.take(slots[3] >> 4)
+        order = np.argsort(of, kind="stable")
+        x = np.empty((INPUTS, len(order)))
+        for row, s in zip(x, slots):
+            np.take(inputs, s.take(order) >> 4, out=row, mode="clip")
+        z, gates, lo = np.empty(len(order)), [], 0
+        for g, n in enumerate(np.bincount(of, minlength=4).tolist()):
+            if n:
+                gates.append((node * 4 + g, slice(lo, lo + n)))
+                np.matmul(self.w[node * 4 + g], x[:, lo:lo + n], out=z[lo:lo + n])
+                lo += n
+        return order, gates, x, np.clip(z, -14, 14, out=z)
+
+    def by_slot(self, node: int, bit):
+        """Input and level of confidence of the node's slots (with ``bit`` on leave-one-out counts), made once."""
+        if (node, bit) not in self.made:
+            v = self.tables[node::NODES].astype(np.int64)
+            if bit is not None:
+                v = LESS[bit].take(v).astype(np.int64)
+            self.made[node, bit] = STRETCH.take(v).astype(float), np.minimum((CONF.take(v) & 7) >> 1, 3).astype(np.uint8)
+        return self.made[node, bit]
 
     @staticmethod
     def bucket(z, node):
-        return node * N_MAP + np.round((z + 14) * (N_MAP - 1) / 28).astype(np.int64)
+        return node * N_MAP + np.round((z + 14) * ((N_MAP - 1) / 28)).astype(np.int64)
 
     def probability(self, z, node):
         p = 1 / (1 + np.exp(-z))
-        return p if self.refine is None else 0.5 * p + 0.5 * self.refine[self.bucket(z, node)]
+        return p if self.refine is None else 0.5 * p + 0.5 * self.refine.take(self.bucket(z, node))
 
 
 SLOPES = TOKEN_GATES * INPUTS * (INPUTS + 1)
@@ -418,52 +552,57 @@ def _slopes(sym, ctx, m):
     """Gradient and curvature of each gate's weights."""
     out = np.zeros((TOKEN_GATES, INPUTS + 1, INPUTS))
     for _, node, bit, slots in decisions(sym, ctx):
-        z, xs, gate = m.mix(node, slots, bit)
-        p = m.probability(z, node)
-        order = np.argsort(gate.astype(np.uint8), kind="stable")
-        x, err, curve = np.stack(xs, axis=1).take(order, axis=0), (bit - p).take(order), (p * (1 - p)).take(order)
-        ends = np.cumsum(np.bincount(gate, minlength=TOKEN_GATES))
-        for g, (lo, hi) in enumerate(zip(np.append(0, ends[:-1]), ends)):
-            if lo < hi:
-                out[g, 0] += err[lo:hi] @ x[lo:hi]
-                out[g, 1:] += (x[lo:hi] * curve[lo:hi, None]).T @ x[lo:hi]
+        _, gates, x, z = m.mix(int(node[0]), slots, int(bit[0]))
+        p = m.probability(z, int(node[0]))
+        curved = x * (p * (1 - p))
+        err = bit[0] - p
+        for g, some in gates:
+            out[g, 0] += x[:, some] @ err[some]
+            out[g, 1:] += curved[:, some] @ x[:, some].T
     return np.rint(out.ravel() * FIXED).astype(np.int64)
 
 
 def _bits_by_bucket(sym, ctx, m):
     out = np.zeros(2 * NODES * N_MAP, np.int64)
     for _, node, bit, slots in decisions(sym, ctx):
-        z, _, _ = m.mix(node, slots, bit)
-        out += np.bincount(m.bucket(z, node) * 2 + bit, minlength=len(out))
+        z = m.mix(int(node[0]), slots, int(bit[0]))[-1]
+        out[int(bit[0])::2] += np.bincount(m.bucket(z, int(node[0])), minlength=len(out) // 2)
     return out
 
 
-def train_pass(blocks: DataFrame, found: DataFrame, end: dict, each, width: int, model=None) -> np.ndarray:
-    """The sum of ``each(symbols, contexts, model)`` over all training texts."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
+def train_pass(rows: DataFrame, sym: str, ctx: str, each, width: int, model=None) -> np.ndarray:
+    """The sum of ``each(symbols, contexts, model)`` over all ``rows(sym, ctx)``, pieces of training texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        w, total = Words(words, end), np.zeros(width, np.int64)
-        for row in docs.to_pylist():
-            for _, _, pos, at in pieces(row, len(w.n) - 1, True):
-                sym = np.where(w.n[at] > 1, w.cls[at], 0)
-                total += each(sym, token_contexts(sym, w.hash[at], pos), shared.value)
+    def run(batches):
+        total = np.zeros(width, np.int64)
+        for b in batches:
+            for s, c in zip(b.column(0), b.column(1)):
+                c = [v.astype(np.int64) for v in unpack_columns(KEPT, c.as_py()).values()]
+                total += each(np.repeat(np.arange(17), unpack(s.as_py())), [c[0] // 18, *c], shared.value)
+        yield pa.RecordBatch.from_arrays([pa.array([squeeze(total)], pa.binary())], names=["data"])
+        del total
         release()
-        return pa.table({"data": pa.array([squeeze(total)], pa.binary())})
 
-    return add_up(blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, "data binary"), width)
+    return add_up(rows.select(sym, ctx).mapInArrow(run, "data binary"), width)
 
 
-def fit_tokens(blocks: DataFrame, found: DataFrame, end: dict) -> TokenMixer:
+def lesson(sym: np.ndarray, ctx: list[np.ndarray]):
+    """A piece of training texts for ``train_pass``: how many tokens each symbol has, and the tokens' contexts by symbol."""
+    order = np.sort((sym << 13 | ctx[3]) << 32 | np.arange(len(sym))) & (1 << 32) - 1
+    return pack(np.bincount(sym, minlength=17)), pack_columns(KEPT, [c.take(order) for c in ctx[1:]])
+
+
+def fit_tokens(lessons: DataFrame) -> TokenMixer:
     """Counts, then weights, then the map, each over every training text."""
-    n = train_pass(blocks, found, end, _counts, 2 * TOKEN_SLOTS)
+    n = train_pass(lessons, "sym", "ctx", _counts, 2 * TOKEN_SLOTS)
     q = quantise(n.reshape(-1, 2))
     m = TokenMixer(q[:, 0] << 8 | q[:, 1])
     for _ in range(STEPS):
-        s = train_pass(blocks, found, end, _slopes, SLOPES, m).reshape(TOKEN_GATES, INPUTS + 1, INPUTS) / FIXED
+        s = train_pass(lessons, "sym", "ctx", _slopes, SLOPES, m).reshape(TOKEN_GATES, INPUTS + 1, INPUTS) / FIXED
         pull, curve = s[:, 0] - RIDGE * (m.w - START), s[:, 1:]
         m.w = np.clip(m.w + np.linalg.solve(curve + RIDGE * np.eye(INPUTS), pull[..., None])[..., 0], -1.5, 2.5)
-    seen = train_pass(blocks, found, end, _bits_by_bucket, 2 * NODES * N_MAP, m).reshape(-1, 2)
+    seen = train_pass(lessons, "sym", "ctx", _bits_by_bucket, 2 * NODES * N_MAP, m).reshape(-1, 2)
     m.refine = refined(seen, NODES)
     return m
 
@@ -495,6 +634,12 @@ def shares_of(w: Words, totals: np.ndarray):
     return whole, np.where(totals[:, w.cls] > 0, (1 - BACKOFF) * listed / np.maximum(totals, 1)[:, w.cls] + BACKOFF * whole, whole)
 
 
+def log_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log(exp(a) + exp(b)); numpy's own is several times slower."""
+    top = np.maximum(np.maximum(a, b), -1e300)
+    return top + np.log(np.exp(a - top) + np.exp(b - top))
+
+
 def token_log10(m: TokenMixer, w: Words, totals: np.ndarray, pos: np.ndarray, at: np.ndarray, shares=None) -> np.ndarray:
     """log10 P of each token; ``totals`` are the training tokens by group and class, ``shares`` their ``shares_of``."""
     sym = w.cls[at]
@@ -505,36 +650,21 @@ def token_log10(m: TokenMixer, w: Words, totals: np.ndarray, pos: np.ndarray, at
     known[sym == 0] = -np.inf
     spelled = w.spelled[at] * LN10
     for took, node, bit, slots in decisions(sym, ctx):
-        p = m.probability(m.mix(node, slots)[0], node)
+        order, _, _, z = m.mix(int(node[0]), slots)
+        took, p = took.take(order), m.probability(z, int(node[0]))
         if node[0] == 0:
             known[took] += np.log(p)
             spelled[took] += np.log1p(-p)
         else:
-            known[took] += np.log(np.where(bit == 1, p, 1 - p))
+            known[took] += np.log(p if bit[0] else 1 - p)
     text = np.cumsum(pos == 0)
     cache = np.where(pos > 0, CACHE, 0)
     share = cache * _before(text * len(w.n) + at) / np.maximum(pos, 1)
     with np.errstate(divide="ignore"):
-        return np.logaddexp(np.log1p(-cache) + np.logaddexp(known, spelled), np.log(share)) / LN10
+        return log_sum(np.log1p(-cache) + log_sum(known, spelled), np.log(share)) / LN10
 
 
 # -- Spark ------------------------------------------------------------------------------------
-def _word_rows(batches):
-    """Block word lists -> rows (block, rank, word, counts by group)."""
-    for b in batches:
-        for block, data, counts in zip(*(c.to_pylist() for c in b.columns)):
-            words, n = unpack_words(data), unpack(counts).reshape(GROUPS, -1).astype(np.int64)
-            for lo in range(0, len(words), 1 << 15):
-                part = words[lo:lo + (1 << 15)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part)), pa.array(np.arange(lo, lo + len(part), dtype=np.int32)),
-                     pa.array(part, pa.binary()), *(pa.array(g[lo:lo + len(part)]) for g in n)],
-                    names=["block", "rank", "word", *COUNTS])
-
-
-COUNTS = [f"c{g}" for g in range(GROUPS)]
-
-
 def _count(batches):
     """Words -> partial count tables, in parts that hold anything."""
     n, any_rows = np.zeros(2 * SLOTS, np.uint32), False          # of one task's distinct words
@@ -618,12 +748,13 @@ def learned(types: DataFrame, tables: np.ndarray):
 
 
 def _texts(kind, model, totals: np.ndarray, n_types: int, end: dict):
-    """One block: documents as word positions, and the words' counts, classes, spelling and length -> scores."""
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        w, m = Words(words, end), model.value
-        base, shares = np.log10((w.n + 1) / (int(totals.sum()) + n_types + 1)), shares_of(w, totals)
-        out = [[] for _ in range(6)]
-        for row in docs.to_pylist():
+    """Blocks: documents as word positions, and the words' counts, classes, spelling and length -> scores."""
+    def run(batches):
+        m = model.value
+        for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
+            w = Words(pa.table(unpack_columns(ATTRIBUTES | {"rank": "<u4"}, row["words"])), end)
+            base, shares = np.log10((w.n + 1) / (int(totals.sum()) + n_types + 1)), shares_of(w, totals)
+            out = [[] for _ in range(6)]
             for ids, starts, pos, at in pieces(row, len(w.n) - 1, False):
                 total = np.add.reduceat(token_log10(m, w, totals, pos, at, shares), starts)
                 n = np.diff(np.append(starts, len(at)))
@@ -631,18 +762,81 @@ def _texts(kind, model, totals: np.ndarray, n_types: int, end: dict):
                 for o, v in zip(out, (ids, n, np.add.reduceat((w.n[at] > 0).astype(np.int64), starts),
                                       np.add.reduceat(base[at], starts), total, -total * math.log2(10) / size)):
                     o.extend(v)
+            kinds = (kind, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            names = ("id", "n_tokens", "n_known", "base_score", "score", "bits_per_byte")
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
         release()
-        kinds = (kind, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-        names = ("id", "n_tokens", "n_known", "base_score", "score", "bits_per_byte")
-        return pa.table({n: pa.array(o, k) for n, o, k in zip(names, out, kinds)})
     return run
 
 
-def class_of(n: Column, counts: list[Column], sums: list[int]) -> Column:
-    """1 to 16: the group that a word is most frequent in, and its frequency in tens; 0 without training counts."""
-    share = F.array(*[c / F.lit(float(max(s, 1))) for c, s in zip(counts, sums)])
-    level = F.greatest(F.lit(0), F.least(F.lit(3), F.floor(F.log10(F.lit(float(max(sum(sums), 1))) / n)) - 2))
-    return F.when(n > 0, F.array_position(share, F.array_max(share)) * 4 - 3 + level).otherwise(0).cast("int")
+def _with_words(kind, end: dict):
+    """One block's documents, and its words' attributes by bucket -> the documents with all attributes (``words``), and their
+    training texts in pieces (``sym``, ``ctx``)."""
+    def run(docs: pa.Table, given: pa.Table) -> pa.Table:
+        row = docs.to_pylist()[0]
+        places = words_by_bucket(unpack(row["counts"])[len(row["ids"]):])
+        rank, parts = [np.zeros(0, np.int64)], []
+        for q, data in zip(given.column("bucket").to_pylist(), given.column("data")):
+            rank.append(places(q))
+            parts.append(unpack_columns(ATTRIBUTES, data.as_py()))
+        words = {n: np.concatenate([np.zeros(0, k), *(p[n] for p in parts)]) for n, k in ATTRIBUTES.items()}
+        words["rank"] = np.concatenate(rank)
+        w, out = Words(pa.table(words), end), [(row["ids"], row["sizes"], row["data"], row["counts"],
+                                                pack_columns(ATTRIBUTES | {"rank": "<u4"}, words.values()), None, None)]
+        seen = np.where(w.n > 1, w.cls, 0)
+        for _, _, pos, at in pieces(row, len(w.n) - 1, True):
+            sym = seen.take(at)
+            out.append((None,) * 5 + lesson(sym, token_contexts(sym, w.hash.take(at), pos)))
+        release()
+        return pa.table([pa.array(c, pa.list_(kind) if i == 0 else pa.binary()) for i, c in enumerate(zip(*out))],
+                        names=["ids", "sizes", "data", "counts", "words", "sym", "ctx"])
+    return run
+
+
+def class_of(n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """1 to 16 for words of counts ``n`` by group: the group that a word is most frequent in, and its frequency in tens; 0
+    without training counts."""
+    every = n.sum(axis=0)
+    level = np.clip(np.floor(np.log10(max(sums.sum(), 1) / np.maximum(every, 1))) - 2, 0, 3).astype(np.int64)
+    return np.where(every > 0, (n / np.maximum(sums, 1)[:, None]).argmax(axis=0) * 4 + 1 + level, 0)
+
+
+def summed(stats: DataFrame, each, width: int) -> np.ndarray:
+    """The sum of ``each(counts by group)`` over the buckets of ``stats(counts)``."""
+    def run(batches):
+        for b in batches:
+            for counts in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([squeeze(each(numbers(counts).reshape(GROUPS, -1)))], pa.binary())], names=["data"])
+    return add_up(stats.select("counts").mapInArrow(run, "data binary"), width)
+
+
+def _types(batches):
+    """Words of training, one a row."""
+    for b in batches:
+        for data, counts in zip(*(c.to_pylist() for c in b.columns)):
+            words = unpack_words(data)
+            at = np.flatnonzero(numbers(counts).reshape(GROUPS, -1).any(axis=0)).tolist()
+            for lo in range(0, len(at), 1 << 14):
+                yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in at[lo:lo + (1 << 14)]], pa.binary())], names=["word"])
+
+
+def _given(speller, sums: np.ndarray):
+    """One bucket's vocabulary and its words' counts -> (block, bucket, attributes of the block's words)."""
+    def run(vocab: pa.Table, stats: pa.Table) -> pa.Table:
+        words, n = unpack_words(stats.column("data")[0].as_py()), numbers(stats.column("counts")[0].as_py()).reshape(GROUPS, -1)
+        of = {"spelled": speller.value.spell(words), "hash": np.fromiter(map(zlib.crc32, words), np.uint32, len(words)),
+              "size": np.fromiter(map(len, words), np.uint32, len(words)), "cls": class_of(n, sums).astype(np.uint8), **dict(zip(COUNTS, n))}
+        del words
+        blocks, out = [], []
+        for block, data in zip(vocab.column("block").to_pylist(), vocab.column("data")):
+            if block != DOCS:
+                at = unpack(data.as_py())
+                blocks.append(block)
+                out.append(pack_columns(ATTRIBUTES, [of[c].take(at) for c in ATTRIBUTES]))
+        release()
+        return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array([stats.column("bucket")[0].as_py()] * len(out), pa.int32()),
+                         "data": pa.array(out, pa.binary())})
+    return run
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -650,42 +844,41 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     teach the model."""
     spark = docs.sparkSession
     ship_package(spark)
-    group = spark.sparkContext.broadcast(grouping(docs.filter(train).select(F.col(text_col).alias("text"))))
-    blocks = word_blocks(docs, id_col, text_col, train, groups=GROUPS, group_of=lambda words: group.value(words))
-    rows = blocks.filter("bucket >= 0").select("block", "data", "counts") \
-        .mapInArrow(_word_rows, "block long, rank int, word binary, " + ", ".join(f"{c} long" for c in COUNTS))
-    words = staged(rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS]), "words")
-    every = sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0]))
-    stat = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS], F.count(F.when(every > 0, 1)).alias("types")).first()
-    n_end = docs.filter(train).count()
-    sums = [stat[c] for c in COUNTS]
-    words = words.select("word", *COUNTS, class_of(every, [F.col(c) for c in COUNTS], sums).alias("cls"))
-    totals = np.zeros((GROUPS, 17), np.int64)
-    for r in words.groupBy("cls").agg(*[F.sum(c).alias(c) for c in COUNTS]).collect():
-        totals[:, r.cls] = [r[c] for c in COUNTS]
-    speller = fit(words.filter("cls > 0").select("word"))
+    size = docs.agg(F.count(F.when(train, 1)).alias("train"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("bytes")).first()
+    n_end = size.train
+    blocks = word_blocks(docs, id_col, text_col, train, buckets=max(BUCKETS, size.bytes >> 27))
+    vocab = vocabulary(blocks)
+    group = spark.sparkContext.broadcast(grouping_of(blocks, vocab))
+    tallies = blocks.groupBy("block").applyInArrow(_tallies(group), "block long, bucket int, counts binary")
+    stats = by_block(vocab.groupBy("bucket").cogroup(tallies.groupBy("bucket"))
+                     .applyInArrow(_word_counts, "bucket int, data binary, counts binary"), "bucket")
+    total = summed(stats, lambda n: np.append(n.sum(axis=1), n.any(axis=0).sum()), GROUPS + 1)
+    sums, n_types = total[:-1], int(total[-1])
+
+    def by_class(n):
+        out = np.zeros((17, GROUPS), np.int64)
+        np.add.at(out, class_of(n, sums), n.T)
+        return out
+
+    totals = summed(stats, by_class, 17 * GROUPS).reshape(17, GROUPS).T.copy()
+    speller = fit(stats.select("data", "counts").mapInArrow(_types, "word binary"))
     shared = spark.sparkContext.broadcast(speller)
     end = {"cls": 1 if n_end else 0, "hash": 0, "spelled": float(speller.spell([b""])[0]), "size": 0}
-    ends = [n_end * s // max(sum(sums), 1) for s in sums]         # they follow the groups' sizes in words
+    every = int(sums.sum())
+    ends = [n_end * int(s) // max(every, 1) for s in sums]         # they follow the groups' sizes in words
     ends[0] += n_end - sum(ends)
     end |= zip(COUNTS, ends)
     totals[:, end["cls"]] += ends
-
-    def spelled(batches):
-        for b in batches:
-            listed = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([zlib.crc32(w) for w in listed], pa.int64()),
-                                              pa.array(shared.value.spell(listed))], names=["word", *COUNTS, "cls", "hash", "spelled"])
-
-    prices = words.mapInArrow(spelled, "word binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", cls int, hash long, spelled double")
-    found = rows.select("block", "rank", "word").join(prices, "word") \
-        .select("block", "rank", *COUNTS, "cls", "hash", "spelled", F.octet_length("word").alias("size"))
-    found = by_block(found)
-    texts = blocks.filter(F.col("bucket") == DOCS).select("block", "ids", "sizes", "data", "counts")
-    model = spark.sparkContext.broadcast(fit_tokens(texts, found, end))
+    given = vocab.groupBy("bucket").cogroup(stats.groupBy("bucket")) \
+        .applyInArrow(_given(shared, sums), "block long, bucket int, data binary")
     kind = docs.schema[id_col].dataType
-    out = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        _texts(to_arrow_type(kind), model, totals, stat.types + (n_end > 0), end),
+    texts = blocks.filter(F.col("bucket") == DOCS).select("block", "ids", "sizes", "data", "counts")
+    made = staged(texts.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
+        _with_words(to_arrow_type(kind), end), f"ids array<{kind.simpleString()}>, sizes binary, data binary, counts binary, "
+                                               "words binary, sym binary, ctx binary"), "tokens")
+    model = spark.sparkContext.broadcast(fit_tokens(made.filter("sym IS NOT NULL")))
+    out = made.filter("ids IS NOT NULL").select("ids", "sizes", "data", "counts", "words").mapInArrow(
+        _texts(to_arrow_type(kind), model, totals, n_types + (n_end > 0), end),
         f"id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
     return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(int(totals.sum())).cast("long").alias("train_tokens"),
                       "base_score", "score", "bits_per_byte")

@@ -7,10 +7,10 @@ word of every text. Blocks are staged as a table, so their numbers never change
 
 The table is bucketed by block, so what comes back to a block is shuffled to where the block already
 lies and the texts' positions never cross a shuffle. Rows: one for the block's documents (``bucket`` -1,
-``ids``, ``sizes`` in words, ``data`` = word positions of all, ``counts`` = vocabulary bucket of each word or, with groups,
-the document's group from 1, 0 if it isn't counted), and
+``ids``, ``sizes`` in words, ``data`` = word positions of all, ``counts`` = vocabulary bucket of each word, after a mark
+for each document that says whether its words are counted, if ``train`` was given), and
 for each bucket of the vocabulary one of the block's words in it (``data`` = compressed words, ``counts`` =
-training counts, one list after the other for each group of training documents).
+training counts, if ``train`` was given).
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from __future__ import annotations
 import itertools
 import uuid
 import zlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -61,39 +61,49 @@ def words_of(text: bytes, special: bytes | None = None) -> list[bytes]:
     return text.lower().split()
 
 
+def split_words(texts: list[bytes], special: bytes | None = None) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and the words of all, as ``words_of`` gives them."""
+    if special and any(special in t for t in texts):
+        lists = [words_of(t, special) for t in texts]
+        return np.array([len(w) for w in lists]), pa.array(itertools.chain.from_iterable(lists), pa.binary())
+    raw = pa.array(texts, pa.binary())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.Array.from_buffers(pa.string(), len(raw), raw.buffers())))
+    words = lists.flatten()
+    full = pc.binary_length(words).to_numpy() > 0               # white space at a text's ends leaves empty ones
+    before = np.append(0, np.cumsum(full))
+    return np.diff(before[lists.offsets.to_numpy()]), words.filter(pa.array(full)).cast(pa.binary())
+
+
 class _Block:
-    def __init__(self, number: int, groups: int):
-        self.number, self.groups, self.size = number, groups, 0
-        self.words = defaultdict(itertools.count().__next__)
+    def __init__(self, number: int, counted: bool, special: bytes | None):
+        self.number, self.counted, self.special, self.size = number, counted, special, 0
         self.docs: list[tuple] = []
 
-    def add(self, doc_id, words: list[bytes], group: int, size: int) -> None:
-        """``group`` is the training group that counts the document's words, -1 for none."""
-        self.docs.append((doc_id, np.array(list(map(self.words.__getitem__, words)), np.uint32), group))
-        self.size += size
+    def add(self, doc_id, text: bytes, train: bool) -> None:
+        """``train`` says whether the document's words are counted."""
+        self.docs.append((doc_id, text, train))
+        self.size += len(text)
 
     def rows(self, buckets: int):
         """(block, bucket, ids, sizes, data, counts)"""
-        n = len(self.words)
-        flat = np.concatenate([d for _, d, _ in self.docs])
+        sizes, words = split_words([t for _, t, _ in self.docs], self.special)
+        words = words.dictionary_encode()                       # numbered as they come
+        flat, listed = words.indices.to_numpy(), words.dictionary.to_pylist()
+        n, train = len(listed), np.array([bool(t) for _, _, t in self.docs])
+        del words
         order = np.argsort(-np.bincount(flat, minlength=n), kind="stable")
         rank = np.empty(n, np.uint32)
         rank[order] = np.arange(n, dtype=np.uint32)
-        train = np.zeros((self.groups, n), np.int64)
-        for g in range(self.groups):
-            seen = [d for _, d, t in self.docs if t == g]
-            train[g] = np.bincount(np.concatenate(seen) if seen else flat[:0], minlength=n)[order]
-        listed = list(self.words)
-        listed = [listed[i] for i in order]
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in listed), np.uint32, n)
-        sizes = np.array([len(d) for _, d, _ in self.docs])
-        marks = pack(np.array([g + 1 for _, _, g in self.docs])) if self.groups else pack(bucket)
-        yield self.number, DOCS, [d for d, _, _ in self.docs], pack(sizes), pack(rank[flat]), marks
+        counts = np.bincount(flat[np.repeat(train, sizes)], minlength=n)[order]
+        listed = list(map(listed.__getitem__, order.tolist()))
+        bucket = np.fromiter(map(zlib.crc32, listed), np.uint32, n) % np.uint32(buckets)
+        marks = train.astype(np.uint32) if self.counted else bucket[:0]
+        yield self.number, DOCS, [d for d, _, _ in self.docs], pack(sizes), pack(rank[flat]), pack(np.concatenate([marks, bucket]))
         by = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by])) + 1
         for part in np.split(by, cuts) if n else []:
-            yield (self.number, int(bucket[part[0]]), None, None, pack_words([listed[i] for i in part]),
-                   pack(train[:, part].ravel()) if self.groups else None)
+            yield (self.number, int(bucket[part[0]]), None, None, pack_words(list(map(listed.__getitem__, part.tolist()))),
+                   pack(counts[part]) if self.counted else None)
 
 
 def documents_of(ids: list, sizes: bytes, data: bytes):
@@ -103,12 +113,12 @@ def documents_of(ids: list, sizes: bytes, data: bytes):
 
 
 def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | None = None, buckets: int = 1,
-                special: bytes | None = None, block_bytes: int = BLOCK_BYTES, groups: int = 0,
-                group_of=None) -> DataFrame:
+                special: bytes | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The staged block table of every whole text (null as empty). ``train`` marks the rows whose words
-    are counted, in ``groups`` groups as ``group_of(words)`` says."""
+    are counted."""
     spark = docs.sparkSession
     ship_package(spark)
+    counted = train is not None
 
     def emit(block):
         rows = list(zip(*block.rows(buckets)))
@@ -121,9 +131,8 @@ def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | Non
         block = None
         for b in batches:
             for doc_id, text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                block = block or _Block(base, groups)
-                words = words_of(text, special)
-                block.add(doc_id, words, group_of(words) if t else -1, len(text))
+                block = block or _Block(base, counted, special)
+                block.add(doc_id, text, t)
                 if block.size >= block_bytes:
                     yield emit(block)
                     base += 1
@@ -142,10 +151,10 @@ def word_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column | Non
     return by_block(rows)
 
 
-def by_block(rows: DataFrame) -> DataFrame:
-    """``rows(block, ...)`` as a staged table bucketed by block."""
+def by_block(rows: DataFrame, key: str = "block") -> DataFrame:
+    """``rows(block, ...)`` as a staged table bucketed by block (or another key)."""
     spark = rows.sparkSession
     name = f"llm_blocks_{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").option("path", f"{ensure_checkpoint_dir(spark)}/{name}") \
-        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").format("parquet").saveAsTable(name)
+        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).format("parquet").saveAsTable(name)
     return spark.table(name)

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pagesift.llm import bpe, lm
 from pagesift.llm.common import crc_mod
+from pagesift.llm.wordblocks import split_words, unpack, unpack_words, word_blocks, words_of
 from pyspark.sql import functions as F
 
 
@@ -230,3 +231,63 @@ def test_earlier_occurrences_are_counted_for_numbers_of_any_size():
         at = np.array([5, 7, 5, 5, 7, 9]) + top
         assert lm._before(at).tolist() == [0, 0, 1, 2, 1, 0]
     assert lm._before(np.zeros(0, np.int64)).tolist() == []
+
+
+def test_lm_pieces_of_training_texts_are_kept_whole():
+    rng = np.random.default_rng(5)
+    sym, hashes, pos = rng.integers(0, 17, 5000), rng.integers(0, 1 << 32, 5000).astype(np.uint32), np.arange(5000) % 90
+    ctx = lm.token_contexts(sym, hashes, pos)
+    n, kept = lm.lesson(sym, ctx)
+    back = [c.astype(np.int64) for c in lm.unpack_columns(lm.KEPT, kept).values()]
+    got = [np.repeat(np.arange(17), unpack(n)), back[0] // 18, *back]
+    assert sorted(zip(*got)) == sorted(zip(sym, *ctx))
+    m, _, _ = token_model(4)
+    for each in (lm._counts, lm._bits_by_bucket):
+        assert each(got[0], got[1:], m).tolist() == each(sym, ctx, m).tolist()
+
+
+def test_lm_reads_training_texts_once_for_all_passes(spark, monkeypatch, rows01):
+    """Every pass reads staged pieces of texts, one row for a piece, not a row for every word of a block."""
+    plans = []
+    plain = lm.train_pass
+
+    def spy(rows, *rest):
+        plans.append((rows._jdf.queryExecution().executedPlan().toString(), rows.count()))
+        return plain(rows, *rest)
+    monkeypatch.setattr(lm, "train_pass", spy)
+    docs, _ = rows01
+    lm.score(docs, F.lit(True)).count()
+    assert len(plans) == 2 + lm.STEPS and all("Exchange" not in p and "Join" not in p and 0 < n < 100 for p, n in plans)
+
+
+def test_lm_vocabulary_and_groups_from_blocks(spark):
+    texts = [(n, " ".join(f"w{(n * k) % 40}" for k in range(n % 9))) for n in range(200)] + [(200, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    blocks = word_blocks(docs, "doc_id", "text", F.col("doc_id") % 3 != 0, buckets=5, block_bytes=300)
+    vocab = lm.vocabulary(blocks)
+    got = {}
+    for r in vocab.filter("block = -1").collect():
+        got |= dict(zip(unpack_words(r.data), lm.numbers(r.counts).tolist()))
+    want = Counter({w.encode(): 0 for _, t in texts if t for w in t.split()})
+    want.update(w.encode() for i, t in texts if t and i % 3 for w in t.split())
+    assert got == dict(want)
+    group = lm.grouping_of(blocks, vocab)
+    assert list(group.index) == [w for w, _ in sorted(want.items(), key=lambda x: (-x[1], x[0])) if want[w]][:lm.VOCABULARY]
+    totals = np.zeros((lm.GROUPS, 1), np.int64)
+    shared = spark.sparkContext.broadcast(group)
+    for r in blocks.groupBy("block").applyInArrow(lm._tallies(shared), "block long, bucket int, counts binary").collect():
+        totals[:, 0] += unpack(r.counts).astype(np.int64).reshape(lm.GROUPS, -1).sum(axis=1)
+    by_text = Counter()
+    for i, t in texts:
+        if i % 3 and t:
+            by_text[group([w.encode() for w in t.split()])] += len(t.split())
+    assert totals[:, 0].tolist() == [by_text[g] for g in range(lm.GROUPS)]
+
+
+def test_split_words_as_word_by_word():
+    texts = [b"", b" \t\x0b a B\xff \xc3\x84X a\x00b\x1c\n", b"  ", b"a  b\x85c", "ÉtÉ  x".encode()]
+    for special, some in ((None, texts), (b"<S>", [*texts, b"Q <S>X Zz"])):
+        sizes, words = split_words(some, special)
+        want = [words_of(t, special) for t in some]
+        assert sizes.tolist() == [len(w) for w in want] and words.to_pylist() == [w for ws in want for w in ws]
+    assert split_words([], None)[0].tolist() == []

@@ -196,3 +196,18 @@ def test_language_stage_fills_null_languages(spark):
     assert got == {**{i: lang for i, _, lang in rows[:40]}, 40: "en", 41: "de"}
     bare = langid.keep_identified(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert sorted(r.doc_id for r in bare) == list(range(42)) and {r.lang for r in bare} == {None}
+
+
+def test_language_stage_predicts_given_languages_too(spark):
+    """Rows with a wrong language, a repeated id, a null id, more than a group of rows, a language with no training row."""
+    text = {"en": "the cat sat on the mat and the dog", "de": "die Katze und der Hund sind nicht hier"}
+    rows = [(i, text[("en", "de")[i % 2]], ("en", "de")[i % 2]) for i in range(600)]
+    held = [i for i in range(600, 700) if brute.crc_mod(i, 5) == 0]
+    wrong = [(held[0], text["de"], "en"), (held[1], text["en"], "de"), (held[1], text["en"], "de"), (None, text["de"], "en")]
+    rows += wrong + [(held[2], text["en"], None), (held[3], text["en"], "is"), (held[4], "12", "en"), (held[5], None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    got = sorted(map(str, map(tuple, langid.keep_identified(docs).collect())))
+    true = {t: lang for lang, t in text.items()}
+    assert got == sorted(str((i, t, "is" if lang == "is" else true[t])) for i, t, lang in rows if t in true)
+    pred = langid.identify(docs).filter("lang_pred != 'und'").select("doc_id", "lang_pred").collect()
+    assert sorted(str((r.doc_id, r.lang_pred)) for r in pred) == sorted(str((i, true[t])) for i, t, _ in rows if t in true)
